@@ -1,0 +1 @@
+"""fieldkit.streaming."""
