@@ -91,6 +91,21 @@ def with_views(sql: str, *names: str) -> str:
         return sql
     ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in order)
     body = sql.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
+
+
+def hav_sql(lat1: str, lon1: str, lat2: str, lon2: str, radius: float = 6371.0) -> str:
+    """Haversine km as DuckDB text, same operation order as the Spark column."""
+    dlat, dlon = f"radians(({lat2}) - ({lat1}))", f"radians(({lon2}) - ({lon1}))"
+    a = (f"(sin({dlat} / 2) * sin({dlat} / 2) + cos(radians({lat1})) * cos(radians({lat2}))"
+         f" * sin({dlon} / 2) * sin({dlon} / 2))")
+    return f"(CAST({radius!r} AS DOUBLE) * (2 * atan2(sqrt({a}), sqrt(1 - {a}))))"
+
+
+def r6(expr: str) -> str:
+    """Round half up to 6 decimals with IEEE arithmetic (twin of ``round6``)."""
+    return f"(floor(({expr}) * 1e6 + 0.5) / 1e6)"
