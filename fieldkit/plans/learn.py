@@ -1 +1,44 @@
-"""Queries (placeholder)."""
+"""Random-forest and ranking-metric queries (ML-*)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from fieldkit.functions.geo import round6
+from fieldkit.operators import ml as ML
+from fieldkit.plans.catalog import register
+from fieldkit.plans.oracle_views import r6
+from fieldkit.sources import fixtures as FX
+from fieldkit.sources.tables import read_table
+
+
+def _points(spark, sf_dir):
+    emb = read_table(spark, sf_dir, "embeddings")
+    return ML.array_features(emb, "embedding").select("vec_id", F.col("label").cast("double").alias("label"),
+                                                      "features")
+
+
+def _predictions(spark, sf_dir):
+    train, test = ML.train_test(_points(spark, sf_dir))
+    model = ML.fit_forest(train)
+    return model.transform(test)
+
+
+@register("rf_predictions", ids=("ML-1", "ML-2", "ML-3", "ML-4", "ML-8"))
+def rf_predictions(spark, sf_dir):
+    return _predictions(spark, sf_dir).select("vec_id", "label", "prediction")
+
+
+@register("rf_test_error", ids=("ML-5",))
+def rf_test_error(spark, sf_dir):
+    return ML.test_error(_predictions(spark, sf_dir))
+
+
+@register("map_at_5", ids=("ML-7",), views=("scores",), sql=f"""
+    WITH r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, cls) AS rk FROM scores),
+         a AS (SELECT vec_id, max(CASE WHEN rk <= 5 AND cls = label THEN 1.0 / rk ELSE 0.0 END) AS ap
+               FROM r GROUP BY vec_id)
+    SELECT {r6('avg(ap)')} AS map_at_5, CAST(count(*) AS BIGINT) AS n FROM a""")
+def map_at_5(spark, sf_dir):
+    m = ML.map_at_k(FX.scores(spark, sf_dir), "vec_id", "cls", "score", "label", 5)
+    return m.select(round6("map_at_5").alias("map_at_5"), "n")
