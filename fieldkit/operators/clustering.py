@@ -12,12 +12,18 @@ one user-day is; output is one row per cluster, far smaller than the input.
 from __future__ import annotations
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+import fieldkit
 from fieldkit.functions.geo import haversine_py
 from fieldkit.params import EXCLUDED_DAYS, HOME_HOURS, HOME_WORK_RADIUS_KM, TRANSIT_HOURS, TRIP_RADIUS_KM, WORK_HOURS
 
+# The fold helpers travel with the task (pickled by value), so Python
+# workers need no installed copy of this package.
+cloudpickle.register_pickle_by_value(fieldkit)
+
 TRIP_CLUSTER_SCHEMA = (
     "user_id bigint, day date, clust_id int, visit_freq int, sx double, sy double, "
     "first_visit timestamp_ntz, last_visit timestamp_ntz, hours array<int>")

@@ -29,10 +29,10 @@ _ON_EDGE = ("((element_at(ring, i + 1).x - element_at(ring, i).x) * (py - elemen
             "py BETWEEN least(element_at(ring, i).y, element_at(ring, i + 1).y) "
             "AND greatest(element_at(ring, i).y, element_at(ring, i + 1).y)")
 
-WITHIN = F.expr(f"""
+WITHIN_SQL = f"""
     NOT exists(rings, ring -> exists(sequence(1, size(ring) - 1), i -> {_ON_EDGE}))
     AND aggregate(rings, 0, (acc, ring) -> acc + size(filter(sequence(1, size(ring) - 1), i -> {_CROSS}))) % 2 = 1
-""")
+"""
 
 
 def polygon_cells(polygons: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
@@ -62,7 +62,7 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, x: str = "x", y:
     p = points.select("*", F.col(x).alias("px"), F.col(y).alias("py"),
                       F.floor(F.col(x) / g).alias("gx"), F.floor(F.col(y) / g).alias("gy"))
     cells = polygon_cells(polygons, cell_deg)
-    return p.join(cells, ["gx", "gy"]).where(WITHIN).drop("gx", "gy", "px", "py", "rings")
+    return p.join(cells, ["gx", "gy"]).where(F.expr(WITHIN_SQL)).drop("gx", "gy", "px", "py", "rings")
 
 
 def od_attributes(trips: DataFrame, polygons: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
