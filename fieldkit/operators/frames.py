@@ -9,6 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a frame over the cluster when its scan is narrower than
+    the default parallelism (one big file / one row group), so CPU-heavy row
+    work that follows is not serialised in a few tasks. A wide input (the
+    normal case on a cluster) is returned untouched — no extra shuffle."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
+
+
 def remove_spaces_in_colnames(df: DataFrame) -> DataFrame:
     """Replace spaces in every column name with '_' (PR-6)."""
     return df.withColumnsRenamed({c: c.replace(" ", "_") for c in df.columns if " " in c})

@@ -10,6 +10,24 @@ from pyspark.sql import functions as F
 from fieldkit.operators.frames import remove_spaces_in_colnames, union_all_by_name
 
 
+# Row limit under which a dimension side is broadcast after an explicit count.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, weight: Column | None = None) -> DataFrame:
+    """Broadcast hint only after checking the side's size.
+
+    The check runs on the (dimension) side alone: its row count, or the sum
+    of ``weight`` per row (e.g. vertices carried by a polygon row). Above
+    ``max_rows`` the frame is returned unhinted and the planner falls back
+    to a shuffle join."""
+    if weight is None:
+        n = df.limit(max_rows + 1).count()
+    else:
+        n = df.agg(F.sum(weight)).first()[0] or 0
+    return F.broadcast(df) if n <= max_rows else df
+
+
 def enrich_with_site(events: DataFrame, site_tables: Sequence[DataFrame], event_key: str,
                      site_key: str) -> DataFrame:
     """Attach site coordinates to events (MB-1, JN-2): normalise column names,

@@ -16,7 +16,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldkit.operators.joins import broadcast_if_small
+
 DEFAULT_CELL_DEG = 0.01
+# vertices (summed over cell rows) under which the polygon side is broadcast
+BROADCAST_MAX_VERTICES = 4_000_000
 
 # a = ring[i], b = ring[i + 1]; point (px, py)
 _CROSS = ("((element_at(ring, i).y > py) <> (element_at(ring, i + 1).y > py)) AND "
@@ -54,14 +58,17 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, x: str = "x", y:
                        cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
     """Inner spatial join: each point with every polygon it lies within.
 
-    The polygon side is the (small, fixed-size) admin layer; Spark's runtime
-    size check picks a broadcast hash join when it fits under
-    ``spark.sql.autoBroadcastJoinThreshold`` and a shuffle join otherwise.
+    The polygon side is the admin layer listed per grid cell; it is broadcast
+    when the vertices it carries stay under ``BROADCAST_MAX_VERTICES``
+    (checked by an aggregate over that side), else both sides shuffle on the
+    cell key.
     """
     g = F.lit(float(cell_deg))
     p = points.select("*", F.col(x).alias("px"), F.col(y).alias("py"),
                       F.floor(F.col(x) / g).alias("gx"), F.floor(F.col(y) / g).alias("gy"))
+    # the cell list of the polygon layer is broadcast only after its size check
     cells = polygon_cells(polygons, cell_deg)
+    cells = broadcast_if_small(cells, BROADCAST_MAX_VERTICES, F.size(F.flatten("rings")) + 1)
     return p.join(cells, ["gx", "gy"]).where(F.expr(WITHIN_SQL)).drop("gx", "gy", "px", "py", "rings")
 
 

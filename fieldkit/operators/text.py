@@ -6,24 +6,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldkit.functions.text import chunks, ngrams
+from fieldkit.operators.frames import spread
 
 
 def word_count(docs: DataFrame, tokens: Column, name: str = "word") -> DataFrame:
     """Token frequencies over a corpus: explode, then a hash aggregate whose
     partial (map-side) step is the MapReduce combiner, so a very frequent
     word is pre-summed in every task before the shuffle."""
-    return docs.select(F.explode(tokens).alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+    return spread(docs).select(F.explode(tokens).alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
 
 
 def ngram_count(docs: DataFrame, tokens: Column, n: int) -> DataFrame:
     """Frequencies of word n-grams (within each document) over a corpus."""
     # tokens land in their own column first: a lambda that referenced the
     # split expression itself would re-split the text for every position
-    return (docs.select(tokens.alias("_tok")).select(F.explode(ngrams("_tok", n)).alias("ngram"))
+    return (spread(docs).select(tokens.alias("_tok")).select(F.explode(ngrams("_tok", n)).alias("ngram"))
             .groupBy("ngram").agg(F.count(F.lit(1)).alias("n")))
 
 
 def token_chunks(docs: DataFrame, key: str, tokens: Column, n: int) -> DataFrame:
     """Non-overlapping n-token chunks per document with their position."""
-    return (docs.select(key, tokens.alias("_tok"))
+    return (spread(docs).select(key, tokens.alias("_tok"))
             .select(key, F.posexplode(chunks("_tok", n)).alias("chunk_no", "chunk")))

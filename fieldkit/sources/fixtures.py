@@ -116,6 +116,20 @@ def cdrs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("site_id").cast("string").alias("last calling cellid"))
 
 
+def _literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A fixed in-plan table (``LocalTableScan``: exact size statistics, no
+    Python-side RDD)."""
+    def lit(v, dt):
+        if isinstance(dt, T.ArrayType):
+            return F.array(*[lit(e, dt.elementType) for e in v]).cast(dt)
+        if isinstance(dt, T.StructType):
+            vals = [v[f.name] for f in dt.fields] if isinstance(v, dict) else list(v)
+            return F.struct(*[lit(e, f.dataType).alias(f.name) for e, f in zip(vals, dt.fields)])
+        return F.lit(v).cast(dt)
+
+    return spark.range(1).select(F.inline(F.array(*[lit(r, schema) for r in rows])))
+
+
 def admin_polygons(spark: SparkSession) -> DataFrame:
     """Admin-area layer: 9 rectangles, one ring each (closed)."""
     rows = []
@@ -124,12 +138,13 @@ def admin_polygons(spark: SparkSession) -> DataFrame:
             x0, x1 = ADMIN_X_EDGES[c], ADMIN_X_EDGES[c + 1]
             y0, y1 = ADMIN_Y_EDGES[r], ADMIN_Y_EDGES[r + 1]
             ring = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
-            rows.append((f"A{r}{c}", ADMIN_NAMES[(r, c)], [ring]))
-    return spark.createDataFrame(rows, POLYGON_SCHEMA)
+            rows.append((f"A{r}{c}", ADMIN_NAMES[(r, c)], [[{"x": x, "y": y} for x, y in ring]]))
+    return _literal_table(spark, rows, POLYGON_SCHEMA)
 
 
 def codebook(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(RETURNFLAG_LABELS), "code string, label string")
+    schema = T.StructType([T.StructField("code", T.StringType()), T.StructField("label", T.StringType())])
+    return _literal_table(spark, list(RETURNFLAG_LABELS), schema)
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
