@@ -91,7 +91,21 @@ def _frame(rows: list[tuple], cols: list[str]) -> pd.DataFrame:
     return pd.DataFrame.from_records(rows, columns=cols)
 
 
-def trip_clusters_raw(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM) -> DataFrame:
+def has_hot_groups(df: DataFrame, keys: list[str], fraction: float = 0.001, min_sampled: int = 1000,
+                   n_tasks: int | None = None) -> bool:
+    """True when a sample shows one group holding more than two tasks' worth
+    of rows (share > 2 / shuffle partitions). One sampled scan, one
+    aggregate, one result row."""
+    n_tasks = n_tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    r = (df.sample(fraction=fraction, seed=7).groupBy(*keys).count()
+         .agg(F.max("count").alias("mx"), F.sum("count").alias("n")).first())
+    if not r or not r.n or r.n < min_sampled:
+        return False
+    return r.mx / r.n > 2.0 / n_tasks
+
+
+def trip_clusters_raw(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM,
+                      split_hot: bool | None = None) -> DataFrame:
     """Sequential leader clustering per (user, day) (WN-4, MB-6).
 
     Events are visited by time (ties by event id); an event joins the most
@@ -99,9 +113,20 @@ def trip_clusters_raw(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM) -> Da
     members) is within ``radius_km``, else it opens the next cluster.
     Returns one row per cluster with the running sums, visit count, first and
     last visit and a 24-slot hour histogram.
+
+    ``split_hot``: None = decide from a sample (``has_hot_groups``); True
+    forces the range-split fold of ``split_fold`` (exact, splits a hot
+    user-day over many tasks), False the one-task-per-user-day stream.
     """
     pts = pings.select("user_id", F.to_date("ts").alias("day"), "ts", "event_id", "x", "y",
                        F.hour("ts").alias("hr"))
+    if split_hot is None:
+        split_hot = has_hot_groups(pts, ["user_id", "day"])
+    if split_hot:
+        # a user-day too big for one task: exact range-split fold
+        from fieldkit.operators.split_fold import trip_clusters_split
+        n = int(pings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return trip_clusters_split(pts, radius_km, n)
     return _sorted_stream(pts, ["user_id", "day"]).mapInPandas(_trip_fold(radius_km), TRIP_CLUSTER_SCHEMA)
 
 

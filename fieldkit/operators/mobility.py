@@ -25,10 +25,10 @@ def with_day(pings: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------- clusters
 
-def trip_clusters(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM) -> DataFrame:
+def trip_clusters(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM, split_hot: bool | None = None) -> DataFrame:
     """Clusters per user-day with centre, visit count, first/last visit and
     hour histogram (WN-3, WN-4, MB-6). Centre kept unrounded in cx/cy."""
-    raw = trip_clusters_raw(pings, radius_km)
+    raw = trip_clusters_raw(pings, radius_km, split_hot)
     return raw.select(*_DAY, "clust_id", "visit_freq", "first_visit", "last_visit", "hours",
                       (F.col("sx") / F.col("visit_freq")).alias("cx"),
                       (F.col("sy") / F.col("visit_freq")).alias("cy"))
@@ -79,8 +79,8 @@ def trips(clusters_with_stay: DataFrame) -> DataFrame:
         F.col("ox").alias("_ox"), F.col("oy").alias("_oy"), F.col("dx").alias("_dx"), F.col("dy").alias("_dy"))
 
 
-def trips_from_pings(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM) -> DataFrame:
-    return trips(cluster_stay_time(trip_clusters(pings, radius_km)))
+def trips_from_pings(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM, split_hot: bool | None = None) -> DataFrame:
+    return trips(cluster_stay_time(trip_clusters(pings, radius_km, split_hot)))
 
 
 # ------------------------------------------------------- per-day location stats
