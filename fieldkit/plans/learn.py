@@ -42,3 +42,19 @@ def rf_test_error(spark, sf_dir):
 def map_at_5(spark, sf_dir):
     m = ML.map_at_k(FX.scores(spark, sf_dir), "vec_id", "cls", "score", "label", 5)
     return m.select(round6("map_at_5").alias("map_at_5"), "n")
+
+
+@register("rf_quality_predictions", ids=("ML-1", "ML-3", "ML-8", "ML-9"))
+def rf_quality_predictions(spark, sf_dir):
+    """Document quality from simple text features: labels joined to
+    documents, assembled columns in a fixed order, language indexed."""
+    from pyspark.ml.feature import StringIndexer
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", F.col("n_chars").cast("double").alias("n_chars"),
+        F.size(F.split("text", "\n")).cast("double").alias("n_lines"))
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    data = StringIndexer(inputCol="lang", outputCol="lang_idx", handleInvalid="keep").fit(docs).transform(docs)
+    data = data.join(lab, "doc_id").na.drop(how="any")
+    train, test = ML.train_test(data)
+    model = ML.fit_forest(train, feature_cols=["n_chars", "n_lines", "lang_idx"])
+    return model.transform(test).select("doc_id", "label", "prediction")
