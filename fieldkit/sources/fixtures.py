@@ -78,7 +78,11 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Location-stamped events (CDR stand-in): user, time, site and its x/y."""
-    ev = read_table(spark, sf_dir, "events")
+    return pings_from_events(read_table(spark, sf_dir, "events"))
+
+
+def pings_from_events(ev: DataFrame) -> DataFrame:
+    """The pings projection of any events frame (batch or stream)."""
     s = (F.col("event_id") * 37 + F.col("user_id")) % 100
     return (ev.select("event_id", "user_id", "ts", "event_type", s.alias("site_id"))
             .select("event_id", "user_id", "ts", "event_type", "site_id",

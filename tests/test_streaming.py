@@ -1,0 +1,18 @@
+import os
+import shutil
+
+from fieldkit.streaming.ingest import hourly_site_counts, start_hourly_site_counts
+
+from .conftest import SF_SMALL
+
+
+def test_stream_counts_equal_batch(spark, tmp_out):
+    src = os.path.join(tmp_out, "in")
+    os.makedirs(src)
+    shutil.copy(f"{SF_SMALL}/events.parquet", os.path.join(src, "part-0.parquet"))
+    q = start_hourly_site_counts(spark, src, "site_hours_test")
+    q.processAllAvailable()
+    q.stop()
+    got = sorted(tuple(r) for r in spark.table("site_hours_test").collect())
+    exp = sorted(tuple(r) for r in hourly_site_counts(spark.read.parquet(f"{SF_SMALL}/events.parquet")).collect())
+    assert got == exp and len(got) > 0
