@@ -19,66 +19,76 @@ from pyspark.sql import functions as F
 from fieldkit.operators.joins import broadcast_if_small
 
 DEFAULT_CELL_DEG = 0.01
-# vertices (summed over cell rows) under which the polygon side is broadcast
+# edges (summed over cell rows) under which the polygon side is broadcast
 BROADCAST_MAX_VERTICES = 4_000_000
 
-# a = ring[i], b = ring[i + 1]; point (px, py)
-_CROSS = ("((element_at(ring, i).y > py) <> (element_at(ring, i + 1).y > py)) AND "
-          "(px < (element_at(ring, i + 1).x - element_at(ring, i).x) * (py - element_at(ring, i).y) "
-          "/ (element_at(ring, i + 1).y - element_at(ring, i).y) + element_at(ring, i).x)")
-_ON_EDGE = ("((element_at(ring, i + 1).x - element_at(ring, i).x) * (py - element_at(ring, i).y) "
-            "- (element_at(ring, i + 1).y - element_at(ring, i).y) * (px - element_at(ring, i).x) = 0) AND "
-            "px BETWEEN least(element_at(ring, i).x, element_at(ring, i + 1).x) "
-            "AND greatest(element_at(ring, i).x, element_at(ring, i + 1).x) AND "
-            "py BETWEEN least(element_at(ring, i).y, element_at(ring, i + 1).y) "
-            "AND greatest(element_at(ring, i).y, element_at(ring, i + 1).y)")
-
-WITHIN_SQL = f"""
-    NOT exists(rings, ring -> exists(sequence(1, size(ring) - 1), i -> {_ON_EDGE}))
-    AND aggregate(rings, 0, (acc, ring) -> acc + size(filter(sequence(1, size(ring) - 1), i -> {_CROSS}))) % 2 = 1
-"""
+# Point-in-polygon test over a cell's edge list e = (x1, y1, x2, y2), point (px, py):
+# on an edge → not within; else within iff the ray to +x crosses an odd
+# number of edges (even-odd rule over all rings: holes, multi-part areas).
+_ON_EDGE = ("exists(cell_edges, e -> (e.x2 - e.x1) * (py - e.y1) - (e.y2 - e.y1) * (px - e.x1) = 0 "
+            "AND px BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) "
+            "AND py BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2))")
+_CROSSINGS = ("size(filter(cell_edges, e -> ((e.y1 > py) <> (e.y2 > py)) "
+              "AND px < (e.x2 - e.x1) * (py - e.y1) / (e.y2 - e.y1) + e.x1))")
+WITHIN_SQL = f"NOT {_ON_EDGE} AND {_CROSSINGS} % 2 = 1"
 
+_EDGES_SQL = """flatten(transform(rings, ring -> transform(sequence(1, size(ring) - 1), i ->
+    named_struct('x1', element_at(ring, i).x, 'y1', element_at(ring, i).y,
+                 'x2', element_at(ring, i + 1).x, 'y2', element_at(ring, i + 1).y))))"""
 
-def polygon_cells(polygons: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
-    """Polygons listed under each grid cell their bounding box touches."""
-    pts = F.flatten("rings")
-    g = F.lit(float(cell_deg))
-    box = polygons.select(
-        "*",
-        F.floor(F.array_min(F.transform(pts, lambda p: p["x"])) / g).alias("gx0"),
-        F.floor(F.array_max(F.transform(pts, lambda p: p["x"])) / g).alias("gx1"),
-        F.floor(F.array_min(F.transform(pts, lambda p: p["y"])) / g).alias("gy0"),
-        F.floor(F.array_max(F.transform(pts, lambda p: p["y"])) / g).alias("gy1"))
-    return (box.withColumn("gx", F.explode(F.sequence("gx0", "gx1")))
-            .withColumn("gy", F.explode(F.sequence("gy0", "gy1")))
-            .drop("gx0", "gx1", "gy0", "gy1"))
 
+def polygon_cells(polygons: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
+    """Polygons listed under each grid cell their bounding box touches, each
+    with only the edges that matter for points of that cell: edges in the
+    cell's row (y-range overlap) reaching the cell's left side or beyond —
+    the only ones a ray from such a point towards +x can meet or lie on."""
+    g = float(cell_deg)
+    eps = g * 1e-9  # widen the strip by a hair: may add, never drop, an edge
+    box = (polygons.withColumn("edges", F.expr(_EDGES_SQL))
+           .withColumn("gx0", F.floor(F.array_min(F.transform("edges", lambda e: F.least(e.x1, e.x2))) / g))
+           .withColumn("gx1", F.floor(F.array_max(F.transform("edges", lambda e: F.greatest(e.x1, e.x2))) / g))
+           .withColumn("gy0", F.floor(F.array_min(F.transform("edges", lambda e: F.least(e.y1, e.y2))) / g))
+           .withColumn("gy1", F.floor(F.array_max(F.transform("edges", lambda e: F.greatest(e.y1, e.y2))) / g)))
+    cells = (box.withColumn("gx", F.explode(F.sequence("gx0", "gx1")))
+             .withColumn("gy", F.explode(F.sequence("gy0", "gy1"))))
+    strip = F.filter("edges", lambda e: (F.greatest(e.y1, e.y2) >= F.col("gy") * g - eps)
+                     & (F.least(e.y1, e.y2) <= (F.col("gy") + 1) * g + eps)
+                     & (F.greatest(e.x1, e.x2) >= F.col("gx") * g - eps))
+    return (cells.withColumn("cell_edges", strip)
+            .drop("gx0", "gx1", "gy0", "gy1", "edges", "rings"))
+
+
+def indexed_polygons(polygons: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
+    """The polygon layer as grid cells with their edge lists, broadcast only
+    when the edges it carries stay under ``BROADCAST_MAX_VERTICES`` (checked
+    by one aggregate over this small side); otherwise left to a shuffle join."""
+    cells = polygon_cells(polygons, cell_deg)
+    return broadcast_if_small(cells, BROADCAST_MAX_VERTICES, F.size("cell_edges") + 1)
 
-def points_in_polygons(points: DataFrame, polygons: DataFrame, x: str = "x", y: str = "y",
-                       cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
-    """Inner spatial join: each point with every polygon it lies within.
 
-    The polygon side is the admin layer listed per grid cell; it is broadcast
-    when the vertices it carries stay under ``BROADCAST_MAX_VERTICES``
-    (checked by an aggregate over that side), else both sides shuffle on the
-    cell key.
-    """
+def join_cells(points: DataFrame, cells: DataFrame, x: str = "x", y: str = "y",
+               cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
+    """Points × indexed polygons: equi-join on the grid cell, then the exact test."""
     g = F.lit(float(cell_deg))
     p = points.select("*", F.col(x).alias("px"), F.col(y).alias("py"),
                       F.floor(F.col(x) / g).alias("gx"), F.floor(F.col(y) / g).alias("gy"))
-    # the cell list of the polygon layer is broadcast only after its size check
-    cells = polygon_cells(polygons, cell_deg)
-    cells = broadcast_if_small(cells, BROADCAST_MAX_VERTICES, F.size(F.flatten("rings")) + 1)
-    return p.join(cells, ["gx", "gy"]).where(F.expr(WITHIN_SQL)).drop("gx", "gy", "px", "py", "rings")
+    return p.join(cells, ["gx", "gy"]).where(F.expr(WITHIN_SQL)).drop("gx", "gy", "px", "py", "cell_edges")
+
+
+def points_in_polygons(points: DataFrame, polygons: DataFrame, x: str = "x", y: str = "y",
+                       cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
+    """Inner spatial join: each point with every polygon it lies within."""
+    return join_cells(points, indexed_polygons(polygons, cell_deg), x, y, cell_deg)
 
 
 def od_attributes(trips: DataFrame, polygons: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
     """Each trip with the admin area of its origin and of its destination
-    (two lookups on the same trip row; no self-join of O and D tables)."""
-    names = polygons.select("admin_id", "admin_name", "rings")
-    o = points_in_polygons(trips, names, "_ox", "_oy", cell_deg).withColumnsRenamed(
+    (two lookups on the same trip row against one indexed layer; no
+    self-join of origin and destination tables)."""
+    cells = indexed_polygons(polygons.select("admin_id", "admin_name", "rings"), cell_deg)
+    o = join_cells(trips, cells, "_ox", "_oy", cell_deg).withColumnsRenamed(
         {"admin_id": "admin_id_o", "admin_name": "admin_name_o"})
-    return points_in_polygons(o, names, "_dx", "_dy", cell_deg).withColumnsRenamed(
+    return join_cells(o, cells, "_dx", "_dy", cell_deg).withColumnsRenamed(
         {"admin_id": "admin_id_d", "admin_name": "admin_name_d"})
 
 

@@ -120,18 +120,27 @@ def cdrs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("site_id").cast("string").alias("last calling cellid"))
 
 
+def _sql_literal(v, dt: T.DataType) -> str:
+    if isinstance(dt, T.ArrayType):
+        return "array(" + ", ".join(_sql_literal(e, dt.elementType) for e in v) + ")"
+    if isinstance(dt, T.StructType):
+        vals = [v[f.name] for f in dt.fields] if isinstance(v, dict) else list(v)
+        return "named_struct(" + ", ".join(f"'{f.name}', {_sql_literal(e, f.dataType)}"
+                                           for e, f in zip(vals, dt.fields)) + ")"
+    if isinstance(dt, T.StringType):
+        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(dt, T.DoubleType):
+        return f"{float(v)!r}D"
+    return str(v)
+
+
 def _literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
-    """A fixed in-plan table (``LocalTableScan``: exact size statistics, no
-    Python-side RDD)."""
-    def lit(v, dt):
-        if isinstance(dt, T.ArrayType):
-            return F.array(*[lit(e, dt.elementType) for e in v]).cast(dt)
-        if isinstance(dt, T.StructType):
-            vals = [v[f.name] for f in dt.fields] if isinstance(v, dict) else list(v)
-            return F.struct(*[lit(e, f.dataType).alias(f.name) for e, f in zip(vals, dt.fields)])
-        return F.lit(v).cast(dt)
-
-    return spark.range(1).select(F.inline(F.array(*[lit(r, schema) for r in rows])))
+    """A fixed in-plan table: an inline ``VALUES`` list, folded by the
+    analyser into a local relation (exact size statistics, no Python RDD)."""
+    values = ", ".join("(" + ", ".join(_sql_literal(v, f.dataType) for v, f in zip(r, schema.fields)) + ")"
+                       for r in rows)
+    cols = ", ".join(f.name for f in schema.fields)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({cols})")
 
 
 def admin_polygons(spark: SparkSession) -> DataFrame:
