@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fieldkit.functions.geo import round6
@@ -63,10 +62,12 @@ def largest_group_ties(spark, sf_dir):
     FROM census c JOIN (SELECT hh_id, CAST(COUNT(*) AS BIGINT) AS hh_size FROM census GROUP BY hh_id) s
       ON c.hh_id = s.hh_id""")
 def attach_group_size(spark, sf_dir):
-    # same result as joining the per-household count back, with one shuffle
-    w = Window.partitionBy("hh_id")
-    return FX.census(spark, sf_dir).select("hh_id", "person", "age",
-                                           F.count(F.lit(1)).over(w).alias("hh_size"))
+    # count per household (map-side combined) joined back on the key: unlike a
+    # count() window, AQE's skew-join can split a household holding a large
+    # share of all rows across tasks
+    c = FX.census(spark, sf_dir)
+    sizes = c.groupBy("hh_id").agg(F.count(F.lit(1)).alias("hh_size"))
+    return c.join(sizes, "hh_id").select("hh_id", "person", "age", "hh_size")
 
 
 @register("filter_under_five", ids=("PR-3",), views=("census_dirty",), sql="""

@@ -172,3 +172,26 @@ def test_haversine_munich_berlin(spark):
     assert round(v, 1) == 504.2
     assert round(haversine_py(48.1372, 11.5756, 52.5186, 13.4083), 1) == 504.2
     assert math.isclose(v, haversine_py(48.1372, 11.5756, 52.5186, 13.4083), rel_tol=1e-12)
+
+
+def test_pipeline_properties_on_test_data(spark):
+    """SURVEY §5 properties on sf0.001: clusters conserve events, stays are
+    ≥ 0 except the sentinel, trips per day = OD clusters − 1, flows balance."""
+    from fieldkit.operators import spatial as SP
+    from fieldkit.sources import fixtures as FX
+    p = FX.pings(spark, "/root/testdata/sf0.001")
+    cl = MB.trip_clusters(p)
+    assert cl.agg(F.sum("visit_freq")).first()[0] == p.count()
+    st = MB.cluster_stay_time(cl)
+    assert st.where("stay_time < 0").count() == 0
+    od_per_day = st.where("stop_or_stay = 'OD'").groupBy("user_id", "day").count()
+    tr = MB.trips(st)
+    per_day = tr.groupBy("user_id", "day").agg(F.count(F.lit(1)).alias("n"))
+    bad = (od_per_day.join(per_day, ["user_id", "day"], "left")
+           .where(F.coalesce("n", F.lit(0)) != F.col("count") - 1).count())
+    assert bad == 0
+    od = SP.od_attributes(tr, FX.admin_polygons(spark))
+    total = od.count()
+    assert SP.od_flows(od).agg(F.sum("count")).first()[0] == total
+    assert SP.od_outflows(od).agg(F.sum("count")).first()[0] == total
+    assert SP.od_inflows(od).agg(F.sum("count")).first()[0] == total
