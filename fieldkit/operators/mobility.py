@@ -8,11 +8,12 @@ the much smaller cluster table with windows and aggregates.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldkit.functions.geo import haversine, round6
-from fieldkit.operators.clustering import home_work_clusters_raw, trip_clusters_raw
+from fieldkit.operators.clustering import has_hot_groups, home_work_clusters_raw, trip_clusters_raw
+from fieldkit.operators.sequence import with_next, with_row_number
 from fieldkit.params import (DISTANCE_THRESHOLD_KM, HOME_HOURS, HOME_WORK_SHARE, LAST_STAY_MIN, MIN_UNIQUE_LOCS,
                              STAY_THRESHOLD_MIN, TRANSIT_HOURS, TRIP_RADIUS_KM, WEEKEND_FROM, WORK_HOURS)
 
@@ -25,6 +26,12 @@ def with_day(pings: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------- clusters
 
+def has_hot_users(pings: DataFrame) -> bool:
+    """Sampled check: does one user (and so possibly one user-day) hold more
+    than two tasks' share of the events?"""
+    return has_hot_groups(pings.select("user_id"), ["user_id"])
+
+
 def trip_clusters(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM, split_hot: bool | None = None) -> DataFrame:
     """Clusters per user-day with centre, visit count, first/last visit and
     hour histogram (WN-3, WN-4, MB-6). Centre kept unrounded in cx/cy."""
@@ -35,43 +42,41 @@ def trip_clusters(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM, split_hot
 
 
 def cluster_stay_time(clusters: DataFrame, stay_threshold: int = STAY_THRESHOLD_MIN,
-                      last_stay: int = LAST_STAY_MIN) -> DataFrame:
+                      last_stay: int = LAST_STAY_MIN, chunked: bool = False) -> DataFrame:
     """Stay = whole minutes from this cluster's first visit to the next one's;
     the day's last cluster gets ``last_stay``. Shorter than
-    ``stay_threshold`` → 'stop', else 'OD' (WN-1, SC-15, SC-27)."""
-    w = Window.partitionBy(*_DAY).orderBy("clust_id")
-    nxt = F.lead("first_visit").over(w)
-    stay = F.coalesce(F.expr("timestampdiff(MINUTE, first_visit, _next)").cast("int"), F.lit(last_stay))
-    return (clusters.withColumn("_next", nxt)
-            .withColumn("stay_time", stay)
+    ``stay_threshold`` → 'stop', else 'OD' (WN-1, SC-15, SC-27).
+    ``chunked``: split hot user-days over tasks (``operators.sequence``)."""
+    nxt = with_next(clusters, _DAY, ["clust_id"], ["first_visit"], "_next_", chunked)
+    stay = F.coalesce(F.expr("timestampdiff(MINUTE, first_visit, _next_first_visit)").cast("int"), F.lit(last_stay))
+    return (nxt.withColumn("stay_time", stay)
             .withColumn("stop_or_stay", F.when(F.col("stay_time") < stay_threshold, "stop").otherwise("OD"))
-            .drop("_next"))
+            .drop("_next_first_visit"))
 
 
-def consecutive_pairs(clusters: DataFrame) -> DataFrame:
+def consecutive_pairs(clusters: DataFrame, chunked: bool = False) -> DataFrame:
     """Overlapping consecutive pairs of a day's clusters (WN-2)."""
-    w = Window.partitionBy(*_DAY).orderBy("clust_id")
-    return (clusters.select(*_DAY, "clust_id", F.lead("clust_id").over(w).alias("next_clust_id"))
-            .where(F.col("next_clust_id").isNotNull()))
+    nxt = with_next(clusters.select(*_DAY, "clust_id"), _DAY, ["clust_id"], ["clust_id"], "next_", chunked)
+    return nxt.where(F.col("next_clust_id").isNotNull())
 
 
-def trips(clusters_with_stay: DataFrame) -> DataFrame:
+def trips(clusters_with_stay: DataFrame, chunked: bool = False) -> DataFrame:
     """Trips between consecutive non-stop clusters of a day (MB-7, MB-11).
 
     start = origin's last visit, end = destination's first visit, distance =
     haversine between the centres; trp_id numbers a user's trips from 1 in
     (day, origin cluster) order.
     """
-    od = clusters_with_stay.where(F.col("stop_or_stay") == "OD")
-    w = Window.partitionBy(*_DAY).orderBy("clust_id")
-    nxt = lambda c: F.lead(c).over(w)
-    pairs = od.select(*_DAY, F.col("clust_id").alias("o_clust"), F.col("cx").alias("ox"), F.col("cy").alias("oy"),
-                      F.col("last_visit").alias("start"),
-                      nxt("clust_id").alias("d_clust"), nxt("cx").alias("dx"), nxt("cy").alias("dy"),
-                      nxt("first_visit").alias("end")).where(F.col("d_clust").isNotNull())
-    wu = Window.partitionBy("user_id").orderBy("day", "o_clust")
-    return pairs.select(
-        "user_id", F.row_number().over(wu).alias("trp_id"), "day", "o_clust", "d_clust",
+    od = clusters_with_stay.where(F.col("stop_or_stay") == "OD").select(
+        *_DAY, "clust_id", "cx", "cy", "first_visit", "last_visit")
+    nxt = with_next(od, _DAY, ["clust_id"], ["clust_id", "cx", "cy", "first_visit"], "d_", chunked)
+    pairs = nxt.where(F.col("d_clust_id").isNotNull()).select(
+        *_DAY, F.col("clust_id").alias("o_clust"), F.col("cx").alias("ox"), F.col("cy").alias("oy"),
+        F.col("last_visit").alias("start"), F.col("d_clust_id").alias("d_clust"), F.col("d_cx").alias("dx"),
+        F.col("d_cy").alias("dy"), F.col("d_first_visit").alias("end"))
+    numbered = with_row_number(pairs, ["user_id"], ["day", "o_clust"], "trp_id", chunked)
+    return numbered.select(
+        "user_id", "trp_id", "day", "o_clust", "d_clust",
         round6("ox").alias("Ox"), round6("oy").alias("Oy"), round6("dx").alias("Dx"), round6("dy").alias("Dy"),
         F.to_date("start").alias("date"), F.hour("start").alias("hr"), "start", "end",
         round6(haversine("oy", "ox", "dy", "dx")).alias("dist"),
@@ -80,7 +85,11 @@ def trips(clusters_with_stay: DataFrame) -> DataFrame:
 
 
 def trips_from_pings(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM, split_hot: bool | None = None) -> DataFrame:
-    return trips(cluster_stay_time(trip_clusters(pings, radius_km, split_hot)))
+    """Clusters → stays → trips. Hot users / user-days (sampled check, or
+    ``split_hot=True``) get the range-split fold and chunked window steps."""
+    if split_hot is None:
+        split_hot = has_hot_users(pings)
+    return trips(cluster_stay_time(trip_clusters(pings, radius_km, split_hot), chunked=split_hot), chunked=split_hot)
 
 
 # ------------------------------------------------------- per-day location stats

@@ -64,3 +64,34 @@ def test_hot_group_detection(spark):
     p = spark.createDataFrame(hot_history(5), SCHEMA).selectExpr("user_id", "to_date(ts) AS day")
     assert has_hot_groups(p, ["user_id", "day"], fraction=1.0, min_sampled=100, n_tasks=16)
     assert not has_hot_groups(p.where("user_id > 2"), ["user_id", "day"], fraction=1.0, min_sampled=100, n_tasks=16)
+
+
+@pytest.mark.parametrize("parts", [4, 13])
+def test_chunked_trips_equal_window_trips(spark, parts):
+    p = spark.createDataFrame(hot_history(21), SCHEMA)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        a = sorted(tuple(r) for r in MB.trips_from_pings(p, split_hot=True).collect())
+        b = sorted(tuple(r) for r in MB.trips_from_pings(p, split_hot=False).collect())
+        cl = MB.trip_clusters(p, split_hot=False)
+        pa = sorted(tuple(r) for r in MB.consecutive_pairs(cl, chunked=True).collect())
+        pb = sorted(tuple(r) for r in MB.consecutive_pairs(cl, chunked=False).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert len(a) > 100 and a == b
+    assert pa == pb
+
+
+def test_sequence_helpers_chunked_equal_plain(spark):
+    import random as _r
+    from fieldkit.operators.sequence import with_next, with_row_number
+    rnd = _r.Random(3)
+    rows = [(1 if rnd.random() < 0.7 else rnd.randint(2, 9), i, rnd.random()) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k long, o long, v double")
+    for chunked in (False, True):
+        got = sorted(tuple(r) for r in with_next(df, ["k"], ["o"], ["o", "v"], "n_", chunked, n_chunks=11).collect())
+        rn = sorted(tuple(r) for r in with_row_number(df, ["k"], ["o"], "rn", chunked, n_chunks=11).collect())
+        if not chunked:
+            base, base_rn = got, rn
+    assert got == base and rn == base_rn

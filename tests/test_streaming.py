@@ -1,5 +1,6 @@
 import os
 import shutil
+import uuid
 
 from fieldkit.streaming.ingest import hourly_site_counts, start_hourly_site_counts
 
@@ -10,9 +11,12 @@ def test_stream_counts_equal_batch(spark, tmp_out):
     src = os.path.join(tmp_out, "in")
     os.makedirs(src)
     shutil.copy(f"{SF_SMALL}/events.parquet", os.path.join(src, "part-0.parquet"))
-    q = start_hourly_site_counts(spark, src, "site_hours_test")
+    # a stream's checkpoint is meant to survive restarts, so each test run
+    # uses its own query name (and thus its own checkpoint folder)
+    name = "site_hours_" + uuid.uuid4().hex[:8]
+    q = start_hourly_site_counts(spark, src, name)
     q.processAllAvailable()
     q.stop()
-    got = sorted(tuple(r) for r in spark.table("site_hours_test").collect())
+    got = sorted(tuple(r) for r in spark.table(name).collect())
     exp = sorted(tuple(r) for r in hourly_site_counts(spark.read.parquet(f"{SF_SMALL}/events.parquet")).collect())
     assert got == exp and len(got) > 0
