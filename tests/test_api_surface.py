@@ -65,3 +65,35 @@ def test_forest_description_and_label_index(spark):
     assert "Tree 0" in forest.toDebugString and forest.getNumTrees == 3
     imp = ML.feature_importances(model, [f"e{i}" for i in range(64)])
     assert len(imp) == 64 and abs(sum(v for _, v in imp) - 1.0) < 1e-9
+
+
+def test_count_by_key_to_driver_after_aggregation(spark):
+    """AG-7: counts per key reach the driver only as the aggregated result."""
+    from fieldkit.operators import aggregates as AG
+    df = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    counts = {r.l_returnflag: r.n for r in AG.group_count(df, ["l_returnflag"]).collect()}
+    assert sum(counts.values()) == df.count() and set(counts) <= {"A", "N", "R"}
+
+
+def test_scraped_table_tabulated(spark):
+    """HT-6/HT-7: header + rows → typed table → participants per country."""
+    from fieldkit.functions import html as H
+    from fieldkit.operators import aggregates as AG
+    html = ("<table><tr><th>Pos</th><th>Name</th><th>Country</th><th>Time</th><th>Club</th><th>Age</th></tr>"
+            + "".join(f"<tr><td>{i}</td><td>Runner {i}</td><td>{c}</td><td>2:1{i}</td><td>X</td><td>3{i}</td></tr>"
+                      for i, c in enumerate(["KE", "ET", "KE", "UG", "KE"], start=1)) + "</table>")
+    df = spark.createDataFrame([(html,)], "html string")
+    rows = df.select(H.table_header("html").alias("h"), F.explode(H.table_rows("html", 5)).alias("r"))
+    table = rows.select(F.map_from_arrays("h", "r").alias("m")).select(
+        F.col("m")["Name"].alias("name"), F.col("m")["Country"].alias("country"),
+        F.col("m")["Age"].try_cast("int").alias("age"))
+    got = [(r.country, r.n) for r in AG.value_counts(table, "country").collect()]
+    assert got == [("KE", 3), ("ET", 1), ("UG", 1)]
+
+
+def test_broadcast_hint_in_plan(spark, capsys):
+    """JN-11: the fixed code book is joined by broadcast."""
+    from fieldkit.plans import catalog
+    catalog.queries()["decode_labels"](spark, SF_SMALL).explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan
