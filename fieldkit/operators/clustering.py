@@ -27,6 +27,21 @@ cloudpickle.register_pickle_by_value(fieldkit)
 TRIP_CLUSTER_SCHEMA = (
     "user_id bigint, day date, clust_id int, visit_freq int, sx double, sy double, "
     "first_visit timestamp_ntz, last_visit timestamp_ntz, hours array<int>")
+# what the fold itself emits: day and times as plain integers (days /
+# microseconds since 1970-01-01, time-zone free) — no per-row date objects
+_FOLD_SCHEMA = (
+    "user_id bigint, d int, clust_id int, visit_freq int, sx double, sy double, "
+    "first_us bigint, last_us bigint, hours array<int>")
+EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def to_micros(ts: str = "ts") -> F.Column:
+    """NTZ timestamp → microseconds since 1970-01-01 (no time zone involved)."""
+    return F.expr(f"timestampdiff(MICROSECOND, {EPOCH_NTZ}, {ts})")
+
+
+def from_micros(col: str) -> F.Column:
+    return F.expr(f"timestampadd(MICROSECOND, {col}, {EPOCH_NTZ})")
 
 HOME_WORK_CLUSTER_SCHEMA = (
     "user_id bigint, clust_id int, visit_freq int, sx double, sy double, "
@@ -49,10 +64,10 @@ def _trip_fold(radius_km: float):
 
         for pdf in batches:
             users = pdf["user_id"].tolist()
-            days = pdf["day"].tolist()
+            days = pdf["d"].tolist()
             xs = pdf["x"].tolist()
             ys = pdf["y"].tolist()
-            ts = pdf["ts"].tolist()
+            ts = pdf["t_us"].tolist()
             hrs = pdf["hr"].tolist()
             for u, d, x, y, t, h in zip(users, days, xs, ys, ts, hrs):
                 if cur is not None and cur[0] == u and cur[1] == d:
@@ -83,7 +98,7 @@ def _trip_fold(radius_km: float):
     return run
 
 
-TRIP_COLUMNS = ["user_id", "day", "clust_id", "visit_freq", "sx", "sy", "first_visit", "last_visit", "hours"]
+TRIP_COLUMNS = ["user_id", "d", "clust_id", "visit_freq", "sx", "sy", "first_us", "last_us", "hours"]
 HOME_WORK_COLUMNS = ["user_id", "clust_id", "visit_freq", "sx", "sy", "home", "work", "transit"]
 
 
@@ -127,7 +142,12 @@ def trip_clusters_raw(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM,
         from fieldkit.operators.split_fold import trip_clusters_split
         n = int(pings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         return trip_clusters_split(pts, radius_km, n)
-    return _sorted_stream(pts, ["user_id", "day"]).mapInPandas(_trip_fold(radius_km), TRIP_CLUSTER_SCHEMA)
+    stream = _sorted_stream(pts, ["user_id", "day"]).select(
+        "user_id", F.unix_date("day").alias("d"), to_micros("ts").alias("t_us"), "x", "y", "hr")
+    out = stream.mapInPandas(_trip_fold(radius_km), _FOLD_SCHEMA)
+    return out.select("user_id", F.date_from_unix_date("d").alias("day"), "clust_id", "visit_freq", "sx", "sy",
+                      from_micros("first_us").alias("first_visit"), from_micros("last_us").alias("last_visit"),
+                      "hours")
 
 
 def _home_work_fold(radius_km: float, home: tuple, work: tuple, transit: tuple, excluded: tuple):

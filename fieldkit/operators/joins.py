@@ -74,7 +74,7 @@ def dense_daily_counts(events: DataFrame, key: str, ts: str = "ts") -> DataFrame
 def lookup_case_insensitive(table: DataFrame, col: str, names: Sequence[str]) -> DataFrame:
     """Rows whose ``col`` equals one of ``names`` ignoring case, all matches
     kept (JN-10). The name list is a parameter of known, small size."""
-    q = table.sparkSession.createDataFrame([(n,) for n in names], "query string")
+    q = table.sparkSession.range(0, 1, 1, 1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("query"))
     return table.join(F.broadcast(q), F.lower(F.col(col)) == F.lower(F.col("query")))
 
 
