@@ -47,15 +47,21 @@ def safe_cast(df: DataFrame, col: str, to: str, name: str | None = None) -> Data
     return df.withColumn(name or col, F.expr(f"try_cast(`{col}` AS {to})"))
 
 
-def summary_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """count / mean / stddev / min / max / exact median per column in one
-    aggregate (PR-18); one row, columns ``<stat>_<col>``."""
+def summary_stats(df: DataFrame, cols: Sequence[str], exact_median: bool = True) -> DataFrame:
+    """count / mean / stddev / min / max / median per column in one
+    aggregate (PR-18); one row, columns ``<stat>_<col>``.
+
+    The exact median keeps one counter per *distinct value* of the column
+    (small for quantities, flags, discounts); for high-cardinality columns
+    pass ``exact_median=False`` to use the bounded-memory ``percentile_approx``
+    sketch, as ``DataFrame.summary`` does."""
     from fieldkit.functions.geo import round6
     aggs = [F.count(F.lit(1)).alias("n")]
     for c in cols:
+        med = F.median(c) if exact_median else F.percentile_approx(c, 0.5, 10000).cast("double")
         aggs += [round6(F.avg(c)).alias(f"mean_{c}"), round6(F.stddev_samp(c)).alias(f"std_{c}"),
                  F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"),
-                 round6(F.median(c)).alias(f"median_{c}")]
+                 round6(med).alias(f"median_{c}")]
     return df.agg(*aggs)
 
 

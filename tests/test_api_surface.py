@@ -20,8 +20,10 @@ def test_schema_table_and_partitions(spark):
 
 
 def test_observe_counts_like_an_accumulator(spark):
+    # own SQL session: the observation listener stays out of the shared one
+    s = spark.newSession()
     obs = Observation("bad")
-    df = spark.createDataFrame([("1",), ("x",), ("3",)], "p string")
+    df = s.createDataFrame([("1",), ("x",), ("3",)], "p string")
     out = df.observe(obs, F.count_if(F.expr("try_cast(p AS INT)").isNull()).alias("bad"))
     assert out.count() == 3 and obs.get["bad"] == 1
 
