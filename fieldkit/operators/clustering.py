@@ -106,11 +106,16 @@ def _frame(rows: list[tuple], cols: list[str]) -> pd.DataFrame:
     return pd.DataFrame.from_records(rows, columns=cols)
 
 
-def has_hot_groups(df: DataFrame, keys: list[str], fraction: float = 0.001, min_sampled: int = 1000,
+def has_hot_groups(df: DataFrame, keys: list[str], fraction: float = 1e-4, min_sampled: int = 1000,
                    n_tasks: int | None = None) -> bool:
     """True when a sample shows one group holding more than two tasks' worth
     of rows (share > 2 / shuffle partitions). One sampled scan, one
-    aggregate, one result row."""
+    aggregate, one result row.
+
+    With the default 0.01 % sample a 100 TB input contributes ~10^8 rows to
+    the check, enough to see any group holding a few percent of the data;
+    inputs under ~10^7 rows are never split (one task handles any of their
+    groups quickly)."""
     n_tasks = n_tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     r = (df.sample(fraction=fraction, seed=7).groupBy(*keys).count()
          .agg(F.max("count").alias("mx"), F.sum("count").alias("n")).first())
