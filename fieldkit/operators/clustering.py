@@ -106,6 +106,9 @@ def _frame(rows: list[tuple], cols: list[str]) -> pd.DataFrame:
     return pd.DataFrame.from_records(rows, columns=cols)
 
 
+_placed = "user_id IS NOT NULL AND ts IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL"
+
+
 def has_hot_groups(df: DataFrame, keys: list[str], fraction: float = 1e-4, min_sampled: int = 1000,
                    n_tasks: int | None = None) -> bool:
     """True when a sample shows one group holding more than two tasks' worth
@@ -137,9 +140,10 @@ def trip_clusters_raw(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM,
     ``split_hot``: None = decide from a sample (``has_hot_groups``); True
     forces the range-split fold of ``split_fold`` (exact, splits a hot
     user-day over many tasks), False the one-task-per-user-day stream.
+    Events without a time or a location cannot be placed and are skipped.
     """
-    pts = pings.select("user_id", F.to_date("ts").alias("day"), "ts", "event_id", "x", "y",
-                       F.hour("ts").alias("hr"))
+    pts = (pings.where(_placed)
+           .select("user_id", F.to_date("ts").alias("day"), "ts", "event_id", "x", "y", F.hour("ts").alias("hr")))
     if split_hot is None:
         split_hot = has_hot_groups(pts, ["user_id", "day"])
     if split_hot:
@@ -208,7 +212,7 @@ def home_work_clusters_raw(pings: DataFrame, radius_km: float = HOME_WORK_RADIUS
     State per task is the current user's cluster list (bounded by geography,
     not by the number of events).
     """
-    pts = pings.select("user_id", "ts", "event_id", "x", "y", F.hour("ts").alias("hr"),
+    pts = pings.where(_placed).select("user_id", "ts", "event_id", "x", "y", F.hour("ts").alias("hr"),
                        F.date_format("ts", "EEEE").alias("dname"))
     fold = _home_work_fold(radius_km, tuple(home_hours), tuple(work_hours), tuple(transit_hours),
                            tuple(excluded_days))

@@ -26,7 +26,7 @@ FOLD_SQL = f"""
 WITH RECURSIVE pts AS (
   SELECT user_id, CAST(ts AS DATE) AS day, ts, event_id, x, y, CAST(hour(ts) AS INTEGER) AS hr,
          row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn
-  FROM pings),
+  FROM pings WHERE user_id IS NOT NULL AND ts IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL),
 fold AS (
   SELECT user_id, day, rn, ts, hr, x, y, 1 AS cid, 1 AS n, x AS sx, y AS sy FROM pts WHERE rn = 1
   UNION ALL
