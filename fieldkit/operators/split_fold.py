@@ -31,18 +31,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldkit.functions.geo import haversine_py
+from fieldkit.operators.clustering import from_micros, to_micros
 from fieldkit.session import cut_lineage
 
-PIECE_SCHEMA = ("kind string, user_id bigint, day date, part int, idx int, n int, sx double, sy double, "
-                "first_visit timestamp_ntz, last_visit timestamp_ntz, hours array<int>, "
+# day and times travel as integers (days / microseconds since 1970-01-01)
+PIECE_SCHEMA = ("kind string, user_id bigint, d int, part int, idx int, n int, sx double, sy double, "
+                "first_us bigint, last_us bigint, hours array<int>, "
                 "tn int, tsx double, tsy double")
-_COLS = ["kind", "user_id", "day", "part", "idx", "n", "sx", "sy", "first_visit", "last_visit", "hours",
+_COLS = ["kind", "user_id", "d", "part", "idx", "n", "sx", "sy", "first_us", "last_us", "hours",
          "tn", "tsx", "tsy"]
 
 
 def _rows(pdf):
-    return zip(pdf["user_id"].tolist(), pdf["day"].tolist(), pdf["part"].tolist(), pdf["x"].tolist(),
-               pdf["y"].tolist(), pdf["ts"].tolist(), pdf["hr"].tolist())
+    return zip(pdf["user_id"].tolist(), pdf["d"].tolist(), pdf["part"].tolist(), pdf["x"].tolist(),
+               pdf["y"].tolist(), pdf["t_us"].tolist(), pdf["hr"].tolist())
 
 
 def _pass_a(radius: float):
@@ -129,7 +131,8 @@ def _pass_b(radius: float, carried: dict):
                 piece[1] += 1
                 piece[2] += x
                 piece[3] += y
-                piece[4] = piece[4] or t
+                if piece[4] is None:
+                    piece[4] = t
                 piece[5] = t
                 piece[6][h] += 1
                 first = False
@@ -151,19 +154,20 @@ def trip_clusters_split(pts: DataFrame, radius_km: float, n_chunks: int) -> Data
     """
     keys = ["user_id", "day", "ts", "event_id"]
     ranged = (pts.repartitionByRange(n_chunks, *keys).sortWithinPartitions(*keys)
-              .withColumn("part", F.spark_partition_id())
+              .select("user_id", F.unix_date("day").alias("d"), to_micros("ts").alias("t_us"), "x", "y", "hr",
+                      F.spark_partition_id().alias("part"))
               .persist(StorageLevel.DISK_ONLY))
     try:
         a = cut_lineage(ranged.mapInPandas(_pass_a(radius_km), PIECE_SCHEMA))
-        runs = a.where("kind = 'S'").select("user_id", "day", "part", "n", "sx", "sy")
-        w = Window.partitionBy("user_id", "day").orderBy("part")
+        runs = a.where("kind = 'S'").select("user_id", "d", "part", "n", "sx", "sy")
+        w = Window.partitionBy("user_id", "d").orderBy("part")
         # runs that continue a user-day from the previous chunk (≤ 1 per
         # chunk, so this small table is bounded by the chunk count) with the
         # previous run's speculative end state
-        cont = (runs.select("user_id", "day", "part", "n", "sx", "sy",
+        cont = (runs.select("user_id", "d", "part", "n", "sx", "sy",
                             *[F.lag(c).over(w).alias("p_" + c) for c in ("part", "n", "sx", "sy")])
                 .where(F.col("p_part").isNotNull()).collect())
-        group_of = {r.part: (r.user_id, r.day) for r in cont}
+        group_of = {r.part: (r.user_id, r.d) for r in cont}
         # a chunk waits on its predecessor's repair only when that chunk is a
         # continuation of the same user-day; otherwise the predecessor run is
         # the start of the user-day and its speculative end is exact
@@ -199,7 +203,7 @@ def _assemble(a: DataFrame, repaired: list[DataFrame]) -> DataFrame:
     for i, df in enumerate(repaired):
         df = df.withColumn("_round", F.lit(i))
         b = df if b is None else b.unionByName(df)
-    key = ["user_id", "day", "part"]
+    key = ["user_id", "d", "part"]
     if b is None:
         b = spark.createDataFrame([], PIECE_SCHEMA).withColumn("_round", F.lit(0))
     last = b.groupBy("part").agg(F.max("_round").alias("_round"))
@@ -222,10 +226,13 @@ def _assemble(a: DataFrame, repaired: list[DataFrame]) -> DataFrame:
             .select(*key, F.when(F.col("sync_f").isNull(), F.col("n_clusters") - 1)
                     .when(F.col("sync_f") >= 0, F.col("n_clusters") - 1 - F.col("sync_f") + F.col("sync_t"))
                     .otherwise(F.col("sync_t")).alias("max_t")))
-    w = Window.partitionBy("user_id", "day").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy("user_id", "d").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumn("base", F.lit(1) + F.coalesce(F.sum("max_t").over(w), F.lit(0)))
     g = pieces.join(runs.select(*key, "base"), key).withColumn("clust_id", (F.col("base") + F.col("t")).cast("int"))
-    return g.groupBy("user_id", "day", "clust_id").agg(
+    merged = g.groupBy("user_id", "d", "clust_id").agg(
         F.sum("n").cast("int").alias("visit_freq"), F.sum("sx").alias("sx"), F.sum("sy").alias("sy"),
-        F.min("first_visit").alias("first_visit"), F.max("last_visit").alias("last_visit"),
+        F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us"),
         F.array(*[F.sum(F.col("hours")[i]).cast("int") for i in range(24)]).alias("hours"))
+    return merged.select("user_id", F.date_from_unix_date("d").alias("day"), "clust_id", "visit_freq", "sx", "sy",
+                         from_micros("first_us").alias("first_visit"), from_micros("last_us").alias("last_visit"),
+                         "hours")
