@@ -11,6 +11,8 @@ one user-day is; output is one row per cluster, far smaller than the input.
 
 from __future__ import annotations
 
+import logging
+
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -203,7 +205,7 @@ def _home_work_fold(radius_km: float, home: tuple, work: tuple, transit: tuple,
 
 def home_work_clusters_raw(pings: DataFrame, radius_km: float = HOME_WORK_RADIUS_KM,
                            home_hours=HOME_HOURS, work_hours=WORK_HOURS, transit_hours=TRANSIT_HOURS,
-                           excluded_days=EXCLUDED_DAYS) -> DataFrame:
+                           excluded_days=EXCLUDED_DAYS, report_hot: bool = True) -> DataFrame:
     """Nearest-leader clustering over each user's whole history (WN-5, MB-12).
 
     An event joins the nearest existing cluster of the user if its centre is
@@ -211,9 +213,19 @@ def home_work_clusters_raw(pings: DataFrame, radius_km: float = HOME_WORK_RADIUS
     Home/work/transit hour counts skip ``excluded_days`` (weekday names).
     State per task is the current user's cluster list (bounded by geography,
     not by the number of events).
+
+    The state (every cluster so far) never re-synchronises with a fresh
+    start, so a user cannot be split exactly the way the trip fold splits a
+    user-day: a user holding a large share of the events is streamed by one
+    task (bounded memory, linear time). Such users are reported in the log
+    (sampled check) rather than capped.
     """
     pts = pings.where(_placed).select("user_id", "ts", "event_id", "x", "y", F.hour("ts").alias("hr"),
                        F.date_format("ts", "EEEE").alias("dname"))
+    if report_hot and has_hot_groups(pts.select("user_id"), ["user_id"]):
+        logging.getLogger(__name__).warning(
+            "home/work clustering: a user holds more than two tasks' share of the events; "
+            "that user's history is folded by a single task (exact, streamed)")
     fold = _home_work_fold(radius_km, tuple(home_hours), tuple(work_hours), tuple(transit_hours),
                            tuple(excluded_days))
     return _sorted_stream(pts, ["user_id"]).mapInPandas(fold, HOME_WORK_CLUSTER_SCHEMA)
