@@ -43,8 +43,10 @@ def to_micros(ts: str = "ts") -> F.Column:
 
 
 def from_micros(col: str) -> F.Column:
+    """Microseconds since 1970-01-01 → NTZ timestamp."""
     return F.expr(f"timestampadd(MICROSECOND, {col}, {EPOCH_NTZ})")
 
+
 HOME_WORK_CLUSTER_SCHEMA = (
     "user_id bigint, clust_id int, visit_freq int, sx double, sy double, "
     "home int, work int, transit int")
