@@ -38,8 +38,12 @@ EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def to_micros(ts: str = "ts") -> F.Column:
-    """NTZ timestamp → microseconds since 1970-01-01 (no time zone involved)."""
-    return F.expr(f"timestampdiff(MICROSECOND, {EPOCH_NTZ}, {ts})")
+    """NTZ timestamp → microseconds since 1970-01-01, from its wall-clock
+    fields only: no session time zone is involved (``timestampdiff`` would
+    pass through the session zone and shift times inside a DST gap)."""
+    return F.expr(f"CAST(unix_date(to_date({ts})) AS BIGINT) * 86400000000"
+                  f" + CAST(hour({ts}) AS BIGINT) * 3600000000 + CAST(minute({ts}) AS BIGINT) * 60000000"
+                  f" + CAST(extract(SECOND FROM {ts}) * 1000000 AS BIGINT)")
 
 
 def from_micros(col: str) -> F.Column:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldkit.functions.geo import haversine, round6
-from fieldkit.operators.clustering import has_hot_groups, home_work_clusters_raw, trip_clusters_raw
+from fieldkit.operators.clustering import has_hot_groups, home_work_clusters_raw, to_micros, trip_clusters_raw
 from fieldkit.operators.sequence import with_next, with_row_number
 from fieldkit.params import (DISTANCE_THRESHOLD_KM, HOME_HOURS, HOME_WORK_SHARE, LAST_STAY_MIN, MIN_UNIQUE_LOCS,
                              STAY_THRESHOLD_MIN, TRANSIT_HOURS, TRIP_RADIUS_KM, WEEKEND_FROM, WORK_HOURS)
@@ -48,7 +48,9 @@ def cluster_stay_time(clusters: DataFrame, stay_threshold: int = STAY_THRESHOLD_
     ``stay_threshold`` → 'stop', else 'OD' (WN-1, SC-15, SC-27).
     ``chunked``: split hot user-days over tasks (``operators.sequence``)."""
     nxt = with_next(clusters, _DAY, ["clust_id"], ["first_visit"], "_next_", chunked)
-    stay = F.coalesce(F.expr("timestampdiff(MINUTE, first_visit, _next_first_visit)").cast("int"), F.lit(last_stay))
+    # whole minutes between wall-clock times (time-zone free, truncated)
+    minutes = ((to_micros("_next_first_visit") - to_micros("first_visit")) / F.lit(60_000_000)).cast("long")
+    stay = F.coalesce(minutes.cast("int"), F.lit(last_stay))
     return (nxt.withColumn("stay_time", stay)
             .withColumn("stop_or_stay", F.when(F.col("stay_time") < stay_threshold, "stop").otherwise("OD"))
             .drop("_next_first_visit"))

@@ -195,3 +195,22 @@ def test_pipeline_properties_on_test_data(spark):
     assert SP.od_flows(od).agg(F.sum("count")).first()[0] == total
     assert SP.od_outflows(od).agg(F.sum("count")).first()[0] == total
     assert SP.od_inflows(od).agg(F.sum("count")).first()[0] == total
+
+
+def test_trips_independent_of_session_time_zone(spark):
+    """Wall-clock (NTZ) events around a DST gap give the same clusters, stays
+    and trips whatever the session time zone."""
+    rows = [(1, dt.datetime(2024, 3, 10, 1, 50), A), (1, dt.datetime(2024, 3, 10, 2, 30), B),
+            (1, dt.datetime(2024, 3, 10, 2, 40), C), (1, dt.datetime(2024, 3, 10, 3, 40), D)]
+    p = pings(spark, rows)
+    base = sorted(tuple(r) for r in MB.cluster_stay_time(MB.trip_clusters(p)).drop("hours").collect())
+    trips = sorted(tuple(r) for r in MB.trips_from_pings(p).collect())
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        ny = sorted(tuple(r) for r in MB.cluster_stay_time(MB.trip_clusters(p)).drop("hours").collect())
+        ny_trips = sorted(tuple(r) for r in MB.trips_from_pings(p).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert ny == base and ny_trips == trips
+    assert [r[-2] for r in base] == [40, 10, 60, 1440]  # stay minutes across the gap
