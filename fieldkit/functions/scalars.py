@@ -19,7 +19,10 @@ def parse_timestamp(text, fmt: str = "dd-MMM-yy HH.mm.ss", tail: int = 0) -> Col
     t = _c(text)
     if tail:
         t = F.substring(t, F.lit(1), F.length(t) - tail)
-    return F.try_to_timestamp(t, F.lit(fmt)).cast("timestamp_ntz")
+    # the value is parsed straight to a wall-clock timestamp (no session
+    # zone, so DST gaps cannot shift it); the try_ parse only screens out
+    # text that does not match, which becomes NULL instead of an ANSI error
+    return F.when(F.try_to_timestamp(t, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(t, F.lit(fmt)))
 
 
 def weekday_category(ts) -> Column:
