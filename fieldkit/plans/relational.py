@@ -99,6 +99,12 @@ def sample_fraction(spark, sf_dir):
     return _t(spark, sf_dir, "lineitem").sample(withReplacement=False, fraction=0.1, seed=42)
 
 
+@register("sample_hash", ids=("PR-12",))
+def sample_hash(spark, sf_dir):
+    # reproducible ~10 % sample: the same rows for any partitioning or rerun
+    return PR.hash_sample(_t(spark, sf_dir, "lineitem"), "l_orderkey", 0.1, seed=42)
+
+
 @register("sample_users", ids=("PR-13",), views=("pings",))
 def sample_users(spark, sf_dir):
     return PR.sample_users(FX.pings(spark, sf_dir), "user_id", k=10, seed=42)

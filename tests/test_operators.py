@@ -164,3 +164,10 @@ def test_summary_and_max_row(spark):
     assert (r.v, r.k) == (5.0, 3)
     s = PR.summary_stats(df, ["v"]).first()
     assert (s.n, s.min_v, s.max_v, s.median_v) == (3, 3.0, 5.0, 5.0)
+
+
+def test_hash_sample_is_layout_independent(spark):
+    df = spark.range(0, 5000).withColumnRenamed("id", "k")
+    a = {r.k for r in PR.hash_sample(df.repartition(1), "k", 0.1).collect()}
+    b = {r.k for r in PR.hash_sample(df.repartition(7), "k", 0.1).collect()}
+    assert a == b and 350 < len(a) < 650
