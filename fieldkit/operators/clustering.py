@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 import fieldkit
 from fieldkit.functions.geo import haversine_py
-from fieldkit.params import EXCLUDED_DAYS, HOME_HOURS, HOME_WORK_RADIUS_KM, TRANSIT_HOURS, TRIP_RADIUS_KM, WORK_HOURS
+from fieldkit.params import (EXCLUDED_DAYS, HOME_HOURS, HOME_WORK_RADIUS_KM, LAST_STAY_MIN, STAY_THRESHOLD_MIN,
+                             TRANSIT_HOURS, TRIP_RADIUS_KM, WORK_HOURS)
 
 # The fold helpers travel with the task (pickled by value), so Python
 # workers need no installed copy of this package.
@@ -62,13 +63,35 @@ def _sorted_stream(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.repartition(*keys).sortWithinPartitions(*keys, "ts", "event_id")
 
 
-def _trip_fold(radius_km: float):
+def _trip_fold(radius_km: float, emit: str = "raw", stay_threshold: int = STAY_THRESHOLD_MIN,
+               last_stay: int = LAST_STAY_MIN):
+    """Per-partition leader fold over a (user, day, time)-sorted stream.
+
+    ``emit``: ``raw`` — one row per cluster; ``stays`` — the same plus the
+    stay minutes (known once the next cluster opens; ``last_stay`` for the
+    day's last one); ``trips`` — one row per pair of consecutive non-stop
+    clusters. State: the open cluster and the day's previous non-stop one.
+    """
     def run(batches):
         cur = None  # [user, day, cid, n, sx, sy, first, last, hours]
+        last_od = None  # [cid, cx, cy, last] of the day's previous non-stop cluster
         out: list[tuple] = []
 
-        def flush():
-            out.append((cur[0], cur[1], cur[2], cur[3], cur[4], cur[5], cur[6], cur[7], list(cur[8])))
+        def close(next_first):
+            nonlocal last_od
+            if emit == "raw":
+                out.append((cur[0], cur[1], cur[2], cur[3], cur[4], cur[5], cur[6], cur[7], list(cur[8])))
+                return
+            stay = last_stay if next_first is None else (next_first - cur[6]) // 60_000_000
+            if emit == "stays":
+                out.append((cur[0], cur[1], cur[2], cur[3], cur[4], cur[5], cur[6], cur[7], list(cur[8]), stay))
+                return
+            if stay < stay_threshold:
+                return  # a stop: left out of the trip chain
+            cx, cy = cur[4] / cur[3], cur[5] / cur[3]
+            if last_od is not None:
+                out.append((cur[0], cur[1], last_od[0], cur[2], last_od[1], last_od[2], cx, cy, last_od[3], cur[6]))
+            last_od = [cur[2], cx, cy, cur[7]]
 
         for pdf in batches:
             users = pdf["user_id"].tolist()
@@ -88,25 +111,38 @@ def _trip_fold(radius_km: float):
                         cur[7] = t
                         cur[8][h] += 1
                         continue
-                    flush()
+                    close(t)  # the next cluster of the day opens at t
                     cid = cur[2] + 1
                 else:
                     if cur is not None:
-                        flush()
+                        close(None)
+                    last_od = None
                     cid = 1
                 hours = [0] * 24
                 hours[h] = 1
                 cur = [u, d, cid, 1, x, y, t, t, hours]
             if out:
-                yield _frame(out, TRIP_COLUMNS)
+                yield _frame(out, _EMIT_COLUMNS[emit])
                 out = []
         if cur is not None:
-            flush()
-            yield _frame(out, TRIP_COLUMNS)
+            close(None)
+            if out:
+                yield _frame(out, _EMIT_COLUMNS[emit])
     return run
 
 
 TRIP_COLUMNS = ["user_id", "d", "clust_id", "visit_freq", "sx", "sy", "first_us", "last_us", "hours"]
+_EMIT_COLUMNS = {
+    "raw": TRIP_COLUMNS,
+    "stays": TRIP_COLUMNS + ["stay_time"],
+    "trips": ["user_id", "d", "o_clust", "d_clust", "ox", "oy", "dx", "dy", "start_us", "end_us"],
+}
+_EMIT_SCHEMA = {
+    "raw": _FOLD_SCHEMA,
+    "stays": _FOLD_SCHEMA + ", stay_time int",
+    "trips": ("user_id bigint, d int, o_clust int, d_clust int, ox double, oy double, dx double, dy double, "
+              "start_us bigint, end_us bigint"),
+}
 HOME_WORK_COLUMNS = ["user_id", "clust_id", "visit_freq", "sx", "sy", "home", "work", "transit"]
 
 
@@ -159,12 +195,28 @@ def trip_clusters_raw(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM,
         from fieldkit.operators.split_fold import trip_clusters_split
         n = int(pings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         return trip_clusters_split(pts, radius_km, n)
+    return trip_fold_stream(pings, radius_km, "raw")
+
+
+def trip_fold_stream(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM, emit: str = "raw",
+                     stay_threshold: int = STAY_THRESHOLD_MIN, last_stay: int = LAST_STAY_MIN) -> DataFrame:
+    """The one-task-per-user-day trip fold (no hot keys): one shuffle, then
+    clusters (``raw``), clusters with stay minutes (``stays``) or trips between
+    consecutive non-stop clusters (``trips``) straight from the sorted stream —
+    no second shuffle of the cluster table for windows."""
+    pts = (pings.where(_placed)
+           .select("user_id", F.to_date("ts").alias("day"), "ts", "event_id", "x", "y", F.hour("ts").alias("hr")))
     stream = _sorted_stream(pts, ["user_id", "day"]).select(
         "user_id", F.unix_date("day").alias("d"), to_micros("ts").alias("t_us"), "x", "y", "hr")
-    out = stream.mapInPandas(_trip_fold(radius_km), _FOLD_SCHEMA)
-    return out.select("user_id", F.date_from_unix_date("d").alias("day"), "clust_id", "visit_freq", "sx", "sy",
+    out = stream.mapInPandas(_trip_fold(radius_km, emit, stay_threshold, last_stay), _EMIT_SCHEMA[emit])
+    day = F.date_from_unix_date("d").alias("day")
+    if emit == "trips":
+        return out.select("user_id", day, "o_clust", "d_clust", "ox", "oy", "dx", "dy",
+                          from_micros("start_us").alias("start"), from_micros("end_us").alias("end"))
+    extra = ["stay_time"] if emit == "stays" else []
+    return out.select("user_id", day, "clust_id", "visit_freq", "sx", "sy",
                       from_micros("first_us").alias("first_visit"), from_micros("last_us").alias("last_visit"),
-                      "hours")
+                      "hours", *extra)
 
 
 def _home_work_fold(radius_km: float, home: tuple, work: tuple, transit: tuple, excluded: tuple):

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldkit.functions.geo import haversine, round6
-from fieldkit.operators.clustering import has_hot_groups, home_work_clusters_raw, to_micros, trip_clusters_raw
+from fieldkit.operators.clustering import (has_hot_groups, home_work_clusters_raw, to_micros, trip_clusters_raw,
+                                           trip_fold_stream)
 from fieldkit.operators.sequence import with_next, with_row_number
 from fieldkit.params import (DISTANCE_THRESHOLD_KM, HOME_HOURS, HOME_WORK_SHARE, LAST_STAY_MIN, MIN_UNIQUE_LOCS,
                              STAY_THRESHOLD_MIN, TRANSIT_HOURS, TRIP_RADIUS_KM, WEEKEND_FROM, WORK_HOURS)
@@ -76,6 +77,12 @@ def trips(clusters_with_stay: DataFrame, chunked: bool = False) -> DataFrame:
         *_DAY, F.col("clust_id").alias("o_clust"), F.col("cx").alias("ox"), F.col("cy").alias("oy"),
         F.col("last_visit").alias("start"), F.col("d_clust_id").alias("d_clust"), F.col("d_cx").alias("dx"),
         F.col("d_cy").alias("dy"), F.col("d_first_visit").alias("end"))
+    return _finish_trips(pairs, chunked)
+
+
+def _finish_trips(pairs: DataFrame, chunked: bool) -> DataFrame:
+    """Number a user's trips and derive the output columns from
+    (user_id, day, o_clust, d_clust, ox, oy, dx, dy, start, end)."""
     numbered = with_row_number(pairs, ["user_id"], ["day", "o_clust"], "trp_id", chunked)
     return numbered.select(
         "user_id", "trp_id", "day", "o_clust", "d_clust",
@@ -87,11 +94,31 @@ def trips(clusters_with_stay: DataFrame, chunked: bool = False) -> DataFrame:
 
 
 def trips_from_pings(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM, split_hot: bool | None = None) -> DataFrame:
-    """Clusters → stays → trips. Hot users / user-days (sampled check, or
-    ``split_hot=True``) get the range-split fold and chunked window steps."""
+    """Clusters → stays → trips.
+
+    Without hot keys the fold itself pairs consecutive non-stop clusters while
+    it streams each user-day (one shuffle of the events, none of the
+    clusters). Hot users / user-days (sampled check, or ``split_hot=True``)
+    get the range-split fold and the chunked window steps instead."""
+    if split_hot is None:
+        split_hot = has_hot_users(pings)
+    if split_hot:
+        return trips(cluster_stay_time(trip_clusters(pings, radius_km, True), chunked=True), chunked=True)
+    return _finish_trips(trip_fold_stream(pings, radius_km, "trips"), chunked=False)
+
+
+def cluster_stays(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM, split_hot: bool | None = None) -> DataFrame:
+    """Clusters with stay minutes and stop/OD label straight from the pings
+    (in-fold without hot keys; fold + chunked windows with them)."""
     if split_hot is None:
         split_hot = has_hot_users(pings)
-    return trips(cluster_stay_time(trip_clusters(pings, radius_km, split_hot), chunked=split_hot), chunked=split_hot)
+    if split_hot:
+        return cluster_stay_time(trip_clusters(pings, radius_km, True), chunked=True)
+    s = trip_fold_stream(pings, radius_km, "stays")
+    return s.select(*_DAY, "clust_id", "visit_freq", "first_visit", "last_visit", "hours",
+                    (F.col("sx") / F.col("visit_freq")).alias("cx"), (F.col("sy") / F.col("visit_freq")).alias("cy"),
+                    "stay_time",
+                    F.when(F.col("stay_time") < STAY_THRESHOLD_MIN, "stop").otherwise("OD").alias("stop_or_stay"))
 
 
 # ------------------------------------------------------- per-day location stats

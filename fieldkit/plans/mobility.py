@@ -98,7 +98,7 @@ def cluster_hour_counts(spark, sf_dir):
 SELECT user_id, day, clust_id, stay_time, CASE WHEN stay_time < 15 THEN 'stop' ELSE 'OD' END AS stop_or_stay
 FROM stays""")
 def cluster_stay_time(spark, sf_dir):
-    c = MB.cluster_stay_time(MB.trip_clusters(_pings(spark, sf_dir)))
+    c = MB.cluster_stays(_pings(spark, sf_dir))
     return c.select("user_id", "day", "clust_id", "stay_time", "stop_or_stay")
 
 

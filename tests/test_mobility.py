@@ -214,3 +214,17 @@ def test_trips_independent_of_session_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert ny == base and ny_trips == trips
     assert [r[-2] for r in base] == [40, 10, 60, 1440]  # stay minutes across the gap
+
+
+@pytest.mark.parametrize("seed", [7, 8])
+def test_in_fold_stays_and_trips_equal_window_steps(spark, seed):
+    """The fold's own stay/trip pairing equals the window-based operators."""
+    p = pings(spark, random_history(seed, users=8, per_user=80))
+    cl = MB.trip_clusters(p, split_hot=False)
+    win_st = sorted(tuple(r) for r in MB.cluster_stay_time(cl).drop("hours").collect())
+    fold_st = sorted(tuple(r) for r in MB.cluster_stays(p, split_hot=False)
+                     .select(*MB.cluster_stay_time(cl).drop("hours").columns).collect())
+    assert fold_st == win_st
+    win = sorted(tuple(r) for r in MB.trips(MB.cluster_stay_time(cl)).collect())
+    fold = sorted(tuple(r) for r in MB.trips_from_pings(p, split_hot=False).collect())
+    assert len(fold) > 50 and fold == win
