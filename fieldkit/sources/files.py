@@ -7,6 +7,7 @@ name* (header on), and malformed values become NULL through ``try_cast``.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,8 +60,10 @@ def combine_csv_folder(spark: SparkSession, folder: str, sep: str = ",", out: st
     """All CSV files of a folder as one table (IO-11). Files whose headers
     differ are aligned by column name (missing columns NULL); optionally
     written back as CSV."""
-    jvm_files = spark.read.option("header", True).option("sep", sep).csv(folder).inputFiles()
-    frames = [spark.read.option("header", True).option("sep", sep).csv(f) for f in sorted(jvm_files)]
+    files = sorted(spark.read.option("header", True).option("sep", sep).csv(folder).inputFiles())
+    groups = _group_by_header(files)
+    # one reader per distinct header (usually one), aligned by column name
+    frames = [spark.read.option("header", True).option("sep", sep).csv(g) for g in groups]
     df = frames[0]
     for f in frames[1:]:
         df = df.unionByName(f, allowMissingColumns=True)
@@ -69,6 +72,20 @@ def combine_csv_folder(spark: SparkSession, folder: str, sep: str = ",", out: st
     return df
 
 
+def _group_by_header(files: list[str]) -> list[list[str]]:
+    """Files grouped by their first line. Only the header line of each file
+    is read (local files); on other file systems every file is its own group
+    (still aligned by name, just one reader each)."""
+    groups: dict[str, list[str]] = {}
+    for f in files:
+        local = f[len("file:"):] if f.startswith("file:") else f
+        if not os.path.isfile(local):
+            return [[x] for x in files]
+        with open(local, encoding="utf-8", errors="replace") as fh:
+            groups.setdefault(fh.readline().rstrip("\r\n"), []).append(f)
+    return list(groups.values())
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     """CSV sink with header, overwrite (IO-13)."""
     df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
@@ -85,7 +102,7 @@ def read_libsvm(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("libsvm").load(path)
 
 
-def polygon_layer(rows: Sequence[tuple[str, str, list]], ) -> list[tuple[str, str, list]]:
+def polygon_layer(rows: Sequence[tuple[str, str, list]]) -> list[tuple[str, str, list]]:
     """Normalise (id, name, rings) rows: every ring closed (IO-16)."""
     out = []
     for pid, name, rings in rows:
