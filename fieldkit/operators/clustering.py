@@ -12,6 +12,7 @@ one user-day is; output is one row per cluster, far smaller than the input.
 from __future__ import annotations
 
 import logging
+import math
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 
 import fieldkit
 from fieldkit.functions.geo import haversine_py
-from fieldkit.params import (EXCLUDED_DAYS, HOME_HOURS, HOME_WORK_RADIUS_KM, LAST_STAY_MIN, STAY_THRESHOLD_MIN,
+from fieldkit.params import (EARTH_RADIUS_KM, EXCLUDED_DAYS, HOME_HOURS, HOME_WORK_RADIUS_KM, LAST_STAY_MIN,
+                             STAY_THRESHOLD_MIN,
                              TRANSIT_HOURS, TRIP_RADIUS_KM, WORK_HOURS)
 
 # The fold helpers travel with the task (pickled by value), so Python
@@ -219,12 +221,62 @@ def trip_fold_stream(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM, emit:
                       "hours", *extra)
 
 
+class _CentreGrid:
+    """Cluster centres bucketed in lat/lon cells of one radius' size.
+
+    ``candidates`` returns every cluster whose centre can lie within the
+    radius of a point (a superset, in creation order), so a nearest search
+    over it gives exactly the answer of a search over all clusters: a
+    cluster outside the radius never changes the decision (it can neither be
+    joined nor prevent a new cluster). Falls back to all clusters near a
+    pole or the date line."""
+
+    def __init__(self, radius_km: float, clusters: list[list]):
+        self.rad = radius_km / EARTH_RADIUS_KM
+        self.cell = math.degrees(self.rad)
+        self.cells: dict[tuple[int, int], list[list]] = {}
+        self.all = clusters
+        for c in clusters:
+            self.add(c)
+
+    def key(self, c: list) -> tuple[int, int]:
+        return (math.floor((c[3] / c[1]) / self.cell), math.floor((c[2] / c[1]) / self.cell))
+
+    def add(self, c: list) -> None:
+        self.cells.setdefault(self.key(c), []).append(c)
+
+    def move(self, c: list, old: tuple[int, int]) -> None:
+        new = self.key(c)
+        if new != old:
+            self.cells[old].remove(c)
+            self.cells.setdefault(new, []).append(c)
+
+    def candidates(self, x: float, y: float) -> list[list]:
+        s, coslat = math.sin(self.rad), math.cos(math.radians(y))
+        if coslat <= 2 * s:
+            return self.all
+        dlat = math.degrees(self.rad) * 1.001 + 1e-9
+        dlon = math.degrees(math.asin(s / coslat)) * 1.001 + 1e-9
+        if x - dlon < -180 or x + dlon > 180:
+            return self.all
+        i0, i1 = math.floor((y - dlat) / self.cell), math.floor((y + dlat) / self.cell)
+        j0, j1 = math.floor((x - dlon) / self.cell), math.floor((x + dlon) / self.cell)
+        if (i1 - i0 + 1) * (j1 - j0 + 1) > 64:
+            return self.all
+        found = [c for i in range(i0, i1 + 1) for j in range(j0, j1 + 1) for c in self.cells.get((i, j), ())]
+        return sorted(found, key=lambda c: c[0])
+
+
+GRID_FROM = 32  # clusters per user from which the nearest search uses the grid
+
+
 def _home_work_fold(radius_km: float, home: tuple, work: tuple, transit: tuple, excluded: tuple):
     home, work, transit, excluded = set(home), set(work), set(transit), set(excluded)
 
     def run(batches):
         user = None
         clusters: list[list] = []  # [cid, n, sx, sy, home, work, transit]
+        grid = None
 
         def flush():
             return [(user, c[0], c[1], c[2], c[3], c[4], c[5], c[6]) for c in clusters]
@@ -236,20 +288,28 @@ def _home_work_fold(radius_km: float, home: tuple, work: tuple, transit: tuple,
                 if u != user:
                     if user is not None:
                         out.extend(flush())
-                    user, clusters = u, []
+                    user, clusters, grid = u, [], None
+                if grid is None and len(clusters) >= GRID_FROM:
+                    grid = _CentreGrid(radius_km, clusters)
                 best, best_d = None, 1000.0
-                for c in clusters:  # nearest centre; the first minimum wins ties
+                for c in (clusters if grid is None else grid.candidates(x, y)):
+                    # nearest centre; the first minimum (earliest cluster) wins ties
                     dist = haversine_py(c[3] / c[1], c[2] / c[1], y, x)
                     if dist < best_d:
                         best, best_d = c, dist
                 if best is not None and best_d <= radius_km:
+                    old = grid.key(best) if grid is not None else None
                     best[1] += 1
                     best[2] += x
                     best[3] += y
+                    if grid is not None:
+                        grid.move(best, old)
                     c = best
                 else:
                     c = [len(clusters) + 1, 1, x, y, 0, 0, 0]
                     clusters.append(c)
+                    if grid is not None:
+                        grid.add(c)
                 if dname not in excluded:  # visit_freq still counts excluded days
                     c[4] += h in home
                     c[5] += h in work

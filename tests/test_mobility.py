@@ -142,6 +142,28 @@ def test_home_work_fold_matches_plain_python(spark):
         assert [g[1:] for g in sorted(got[u])] == py_home_work_fold(ev)
 
 
+def test_home_work_fold_grid_index_is_exact(spark):
+    """Users with hundreds of clusters (grid-indexed nearest search), one near
+    the date line and one near a pole (fallback paths) equal the plain fold."""
+    rnd = random.Random(17)
+    rows = []
+    for u, (x0, y0, span) in enumerate([(33.0, -14.0, 1.5), (179.4, 10.0, 1.0), (20.0, 88.5, 0.8)]):
+        for _ in range(900 if u == 0 else 300):
+            t = dt.datetime(2024, 1, rnd.randint(1, 28), rnd.randint(0, 23), rnd.randint(0, 59), rnd.randint(0, 59))
+            x = x0 + rnd.random() * span if u != 1 else min(179.999, x0 + rnd.random() * span)
+            rows.append((u, t, (x, y0 + rnd.random() * span)))
+    p = pings(spark, rows)
+    got = {}
+    for r in MB.home_work_clusters(p).collect():
+        got.setdefault(r.user_id, []).append((r.clust_id, r.visit_freq, r.x, r.y))
+    users = {}
+    for i, (u, t, (x, y)) in enumerate(rows):
+        users.setdefault(u, []).append((t, i, x, y))
+    assert len(got[0]) > 100  # the grid path is exercised
+    for u, ev in users.items():
+        assert [g[1:] for g in sorted(got[u])] == py_home_work_fold(ev)
+
+
 def test_home_work_counts_skip_excluded_days(spark):
     # 2024-01-06 is a Saturday: counted in visit_freq, not in home/work
     p = pings(spark, [(1, dt.datetime(2024, 1, 5, 22), A), (1, dt.datetime(2024, 1, 6, 22), A),
