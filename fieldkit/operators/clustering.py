@@ -84,6 +84,9 @@ def _trip_fold(radius_km: float, emit: str = "raw", stay_threshold: int = STAY_T
             if emit == "raw":
                 out.append((cur[0], cur[1], cur[2], cur[3], cur[4], cur[5], cur[6], cur[7], list(cur[8])))
                 return
+            if emit == "clusters":  # raw without the hour histogram
+                out.append((cur[0], cur[1], cur[2], cur[3], cur[4], cur[5], cur[6], cur[7]))
+                return
             stay = last_stay if next_first is None else (next_first - cur[6]) // 60_000_000
             if emit == "stays":
                 out.append((cur[0], cur[1], cur[2], cur[3], cur[4], cur[5], cur[6], cur[7], list(cur[8]), stay))
@@ -136,11 +139,13 @@ def _trip_fold(radius_km: float, emit: str = "raw", stay_threshold: int = STAY_T
 TRIP_COLUMNS = ["user_id", "d", "clust_id", "visit_freq", "sx", "sy", "first_us", "last_us", "hours"]
 _EMIT_COLUMNS = {
     "raw": TRIP_COLUMNS,
+    "clusters": TRIP_COLUMNS[:-1],
     "stays": TRIP_COLUMNS + ["stay_time"],
     "trips": ["user_id", "d", "o_clust", "d_clust", "ox", "oy", "dx", "dy", "start_us", "end_us"],
 }
 _EMIT_SCHEMA = {
     "raw": _FOLD_SCHEMA,
+    "clusters": _FOLD_SCHEMA.replace(", hours array<int>", ""),
     "stays": _FOLD_SCHEMA + ", stay_time int",
     "trips": ("user_id bigint, d int, o_clust int, d_clust int, ox double, oy double, dx double, dy double, "
               "start_us bigint, end_us bigint"),
@@ -174,7 +179,7 @@ def has_hot_groups(df: DataFrame, keys: list[str], fraction: float = 1e-4, min_s
 
 
 def trip_clusters_raw(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM,
-                      split_hot: bool | None = None) -> DataFrame:
+                      split_hot: bool | None = None, hours: bool = True) -> DataFrame:
     """Sequential leader clustering per (user, day) (WN-4, MB-6).
 
     Events are visited by time (ties by event id); an event joins the most
@@ -197,7 +202,7 @@ def trip_clusters_raw(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM,
         from fieldkit.operators.split_fold import trip_clusters_split
         n = int(pings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         return trip_clusters_split(pts, radius_km, n)
-    return trip_fold_stream(pings, radius_km, "raw")
+    return trip_fold_stream(pings, radius_km, "raw" if hours else "clusters")
 
 
 def trip_fold_stream(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM, emit: str = "raw",
@@ -215,10 +220,10 @@ def trip_fold_stream(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM, emit:
     if emit == "trips":
         return out.select("user_id", day, "o_clust", "d_clust", "ox", "oy", "dx", "dy",
                           from_micros("start_us").alias("start"), from_micros("end_us").alias("end"))
-    extra = ["stay_time"] if emit == "stays" else []
+    extra = (["hours"] if emit != "clusters" else []) + (["stay_time"] if emit == "stays" else [])
     return out.select("user_id", day, "clust_id", "visit_freq", "sx", "sy",
                       from_micros("first_us").alias("first_visit"), from_micros("last_us").alias("last_visit"),
-                      "hours", *extra)
+                      *extra)
 
 
 class _CentreGrid:

@@ -33,11 +33,13 @@ def has_hot_users(pings: DataFrame) -> bool:
     return has_hot_groups(pings.select("user_id"), ["user_id"])
 
 
-def trip_clusters(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM, split_hot: bool | None = None) -> DataFrame:
+def trip_clusters(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM, split_hot: bool | None = None,
+                  hours: bool = True) -> DataFrame:
     """Clusters per user-day with centre, visit count, first/last visit and
-    hour histogram (WN-3, WN-4, MB-6). Centre kept unrounded in cx/cy."""
-    raw = trip_clusters_raw(pings, radius_km, split_hot)
-    return raw.select(*_DAY, "clust_id", "visit_freq", "first_visit", "last_visit", "hours",
+    (``hours=True``) the 24-slot hour histogram (WN-3, WN-4, MB-6). Centre
+    kept unrounded in cx/cy."""
+    raw = trip_clusters_raw(pings, radius_km, split_hot, hours)
+    return raw.select(*_DAY, "clust_id", "visit_freq", "first_visit", "last_visit", *(["hours"] if hours else []),
                       (F.col("sx") / F.col("visit_freq")).alias("cx"),
                       (F.col("sy") / F.col("visit_freq")).alias("cy"))
 

@@ -80,7 +80,7 @@ def _trips_sel(t):
 @register("trip_clusters", ids=("WN-3", "WN-4", "MB-6"), views=("pings",), sql=FOLD_SQL + f"""
 SELECT user_id, day, clust_id, visit_freq, {r6('cx')} AS x, {r6('cy')} AS y, first_visit, last_visit FROM clusters""")
 def trip_clusters(spark, sf_dir):
-    c = MB.trip_clusters(_pings(spark, sf_dir))
+    c = MB.trip_clusters(_pings(spark, sf_dir), hours=False)
     return c.select("user_id", "day", "clust_id", "visit_freq", round6("cx").alias("x"), round6("cy").alias("y"),
                     "first_visit", "last_visit")
 
