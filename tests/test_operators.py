@@ -129,6 +129,24 @@ def test_point_in_polygon_shapes(spark):
     assert got == {1: "SQ", 4: "CC", 6: "HO", 7: "MU"}
 
 
+def test_broadcast_check_falls_back_to_shuffle_join(spark, capsys, monkeypatch):
+    """Above the limit the polygon side is not hinted; the join result is the same."""
+    from fieldkit.sources import fixtures as FX
+    pts = FX.pings(spark, "/root/testdata/sf0.001").select("event_id", "x", "y")
+    polys = FX.admin_polygons(spark)
+    small = sorted(tuple(r) for r in SP.points_in_polygons(pts, polys).select("event_id", "admin_id").collect())
+    monkeypatch.setattr(SP, "BROADCAST_MAX_VERTICES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = SP.points_in_polygons(pts, polys)
+        joined.explain()
+        big = sorted(tuple(r) for r in joined.select("event_id", "admin_id").collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" not in capsys.readouterr().out
+    assert big == small and len(small) > 0
+
+
 def test_html_table_cells_keep_commas(spark):
     html = ("<table><tr><th>Name</th><th>Country</th><th>A</th><th>B</th><th>C</th><th>D</th></tr>"
             "<tr><td> Smith, John </td><td>KE</td><td>1</td><td>2</td><td>3</td><td>4</td></tr>"
