@@ -141,16 +141,21 @@ def farthest_distance(pings: DataFrame) -> DataFrame:
     """
     # collect_set deduplicates map-side (partial aggregation), one shuffle
     locs = with_day(pings).groupBy(*_DAY).agg(F.collect_set(F.struct("x", "y")).alias("locs"))
-    pair_max = F.expr("""
-        aggregate(locs, CAST(0.0 AS DOUBLE), (m, a) ->
-          aggregate(locs, m, (m2, b) -> greatest(m2,
-            CAST(6371.0 AS DOUBLE) * (2.0D * atan2(
-              sqrt(sin(radians(b.y - a.y) / 2) * sin(radians(b.y - a.y) / 2)
-                   + cos(radians(a.y)) * cos(radians(b.y)) * sin(radians(b.x - a.x) / 2) * sin(radians(b.x - a.x) / 2)),
-              sqrt(1.0D - (sin(radians(b.y - a.y) / 2) * sin(radians(b.y - a.y) / 2)
-                   + cos(radians(a.y)) * cos(radians(b.y)) * sin(radians(b.x - a.x) / 2) * sin(radians(b.x - a.x) / 2))))))))
+    # the haversine distance grows with its term a = sin²(Δφ/2) + cos φ1 cos φ2 sin²(Δλ/2),
+    # and a is symmetric in the two points: scan each unordered pair once for
+    # the largest a, then turn that one value into kilometres
+    max_a = F.expr("""
+        aggregate(sequence(1, size(locs)), CAST(0.0 AS DOUBLE), (m, i) ->
+          aggregate(sequence(i, size(locs)), m, (m2, j) -> greatest(m2,
+            sin(radians(element_at(locs, j).y - element_at(locs, i).y) / 2)
+              * sin(radians(element_at(locs, j).y - element_at(locs, i).y) / 2)
+            + cos(radians(element_at(locs, i).y)) * cos(radians(element_at(locs, j).y))
+              * sin(radians(element_at(locs, j).x - element_at(locs, i).x) / 2)
+              * sin(radians(element_at(locs, j).x - element_at(locs, i).x) / 2))))
     """)
-    return locs.select(*_DAY, F.size("locs").cast("bigint").alias("n_locs"), pair_max.alias("max_dist"))
+    pair_max = F.lit(6371.0) * (F.lit(2.0) * F.atan2(F.sqrt("max_a"), F.sqrt(F.lit(1.0) - F.col("max_a"))))
+    return (locs.select(*_DAY, F.size("locs").cast("bigint").alias("n_locs"), max_a.alias("max_a"))
+            .select(*_DAY, "n_locs", pair_max.alias("max_dist")))
 
 
 def travel_days(pings: DataFrame, min_unique_locs: int = MIN_UNIQUE_LOCS,
