@@ -265,6 +265,20 @@ def lookup_case_insensitive(spark, sf_dir):
     return out.select("n_nationkey", "n_name", "query")
 
 
+@register("pandas_api_mean", ids=("IO-12", "PR-23"), sql=f"""
+    SELECT l_returnflag, {r6('avg(l_quantity)')} AS mean_qty, CAST(count(*) AS BIGINT) AS n
+    FROM lineitem GROUP BY l_returnflag""")
+def pandas_api_mean(spark, sf_dir):
+    # pandas-style code on the pandas API over Spark: the group-by runs as a
+    # Spark aggregate; the 'distributed' default index avoids a sequence job
+    import pyspark.pandas as ps
+    with ps.option_context("compute.default_index_type", "distributed"):
+        psdf = _t(spark, sf_dir, "lineitem").pandas_api()
+        g = psdf.groupby("l_returnflag").agg(mean_qty=("l_quantity", "mean"), n=("l_quantity", "count"))
+        out = g.reset_index().to_spark()
+    return out.select("l_returnflag", round6("mean_qty").alias("mean_qty"), F.col("n").cast("bigint").alias("n"))
+
+
 @register("attach_mean_price", ids=("AG-2", "JN-1"), sql=f"""
     SELECT o_orderpriority, {r6('avg(o_totalprice)')} AS mean_price, CAST(count(*) AS BIGINT) AS n
     FROM orders GROUP BY o_orderpriority""")
