@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fieldkit.llm import mixing, packing, quality, simhash
+from fieldkit.llm import embed_dedup, html_text, line_dedup, mixing, packing, quality, secrets, simhash, toxicity
 from fieldkit.llm.common import read_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,13 @@ def op1_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read_documents(spark, sf_dir))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the later copies of repeated line runs, and the spans taken out."""
+    done = line_dedup.dedup_lines(read_documents(spark, sf_dir))
+    span = F.transform("removed", lambda s: F.concat_ws(":", s["from"], s["to"]))
+    return done.select("doc_id", "n_lines", F.concat_ws(",", span).alias("removed"), "text")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 4096 tokens."""
     return packing.pack(read_documents(spark, sf_dir))
@@ -32,6 +40,26 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read_documents(spark, sf_dir))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "labels"))
+
+
+def op8_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every embedding."""
+    return embed_dedup.near_duplicates(read_documents(spark, sf_dir, "embeddings"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secrets.secrets(read_documents(spark, sf_dir))
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of every page."""
+    return html_text.page_text(read_documents(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
