@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldkit.llm import embed_dedup, html_text, line_dedup, mixing, packing, quality, secrets, simhash, toxicity
+from fieldkit.llm import embed_dedup, html_text, line_dedup, lm, mixing, packing, quality, secrets, simhash, toxicity
 from fieldkit.llm.common import read_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read_documents(spark, sf_dir)).drop("text_key", "host")
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word-count and context-mixing scores of every document."""
+    return lm.lm_scores(read_documents(spark, sf_dir))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often the mix takes every document."""
     return mixing.mix_sources(read_documents(spark, sf_dir))
