@@ -74,7 +74,7 @@ def table_keys(x: np.ndarray, dim_at: dict, k: int, tables: int, seed: int, widt
         dim_at[dim] = projections(dim, k, tables, seed, width)
     a, b = dim_at[dim]
     steps = np.floor((x @ a + b) / width).astype(np.int64).view(np.uint64).reshape(len(x), tables, k)
-    key = np.full((len(x), tables), dim, np.uint64)
+    key = np.full((len(x), tables), dim, np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     for c in range(k):
         key = (key ^ steps[:, :, c]) * np.uint64(0x9E3779B97F4A7C15)
         key ^= key >> np.uint64(29)

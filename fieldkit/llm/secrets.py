@@ -29,7 +29,7 @@ TOKEN = r"[A-Za-z0-9+/_=-]+"
 MIN_TOKEN = 16           # shortest token that the models judge
 MIN_RATIO = 10.0         # nats by which a random string must be likelier
 MIN_RATE = 0.5           # ... and nats per character
-SMOOTH = 0.5             # added to each pair's count
+SMOOTH = 5.0             # weight of the back-off, in pairs
 SAMPLE_DOCS = 2000       # documents that the ordinary model is trained on, at most
 SEED = 13
 
@@ -84,14 +84,16 @@ def _pairs(tokens: DataFrame) -> DataFrame:
 
 
 def _log_model(rows: list) -> list[list[float]]:
-    """Log probabilities of the second character given the first."""
+    """Log probabilities of the second character given the first, backed off to those of any character."""
     k = len(ALPHABET)
-    table = [[SMOOTH] * k for _ in range(k)]
+    table = [[0.0] * k for _ in range(k)]
     at = {c: i for i, c in enumerate(ALPHABET)}
     for r in rows:
         if r["a"] in at and r["b"] in at:
             table[at[r["a"]]][at[r["b"]]] += r["n"]
-    return [[math.log(v / sum(row)) for v in row] for row in table]
+    total = [1.0 + sum(row[i] for row in table) for i in range(k)]
+    usual = [n / sum(total) for n in total]
+    return [[math.log((v + SMOOTH * u) / (sum(row) + SMOOTH)) for v, u in zip(row, usual, strict=True)] for row in table]
 
 
 def train(found: DataFrame) -> list[float]:
