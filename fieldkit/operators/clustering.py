@@ -1,43 +1,41 @@
 """Order-dependent location clustering (WN-4, WN-5).
 
 Both folds are sequential by definition: each event's cluster depends on the
-clusters built from all earlier events of the same user(-day). Spark does the
-heavy lifting — one hash shuffle of a narrow projection on the group key and a
-sort inside each partition — and a small per-row helper walks the sorted
-stream with ``mapInPandas``. The helper keeps only the open cluster state
-(never the group's events), so memory per task is bounded no matter how large
-one user-day is; output is one row per cluster, far smaller than the input.
+clusters built from all earlier events of the same user(-day). Spark
+partitions a narrow projection by the group key and sorts it; a function over
+Arrow batches walks the sorted stream. It works on arrays: events of many
+short days step together, a long day is searched in blocks for the next event
+beyond the radius. Only the open cluster is carried from batch to batch, so
+memory is bounded however long a day is.
+
+Coordinates travel as integers of 1e-8 degree (about 1 mm). Their sums are
+exact, so a cluster's centre is the same whichever way a day is cut.
 """
 
 from __future__ import annotations
 
-import logging
 import math
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 import fieldkit
-from fieldkit.functions.geo import haversine_py
+from fieldkit.functions.geo import distance_km
 from fieldkit.params import (EARTH_RADIUS_KM, EXCLUDED_DAYS, HOME_HOURS, HOME_WORK_RADIUS_KM, LAST_STAY_MIN,
-                             STAY_THRESHOLD_MIN,
-                             TRANSIT_HOURS, TRIP_RADIUS_KM, WORK_HOURS)
+                             STAY_THRESHOLD_MIN, TRANSIT_HOURS, TRIP_RADIUS_KM, WORK_HOURS)
 
 # The fold helpers travel with the task (pickled by value), so Python
 # workers need no installed copy of this package.
 cloudpickle.register_pickle_by_value(fieldkit)
 
-TRIP_CLUSTER_SCHEMA = (
-    "user_id bigint, day date, clust_id int, visit_freq int, sx double, sy double, "
-    "first_visit timestamp_ntz, last_visit timestamp_ntz, hours array<int>")
-# what the fold itself emits: day and times as plain integers (days /
-# microseconds since 1970-01-01, time-zone free) — no per-row date objects
-_FOLD_SCHEMA = (
-    "user_id bigint, d int, clust_id int, visit_freq int, sx double, sy double, "
-    "first_us bigint, last_us bigint, hours array<int>")
+UNIT = 1e8   # integers per degree
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+PLACED = "user_id IS NOT NULL AND ts IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL"
+TOGETHER = 64   # days of up to so many events step together; longer ones are searched in blocks
 
 
 def to_micros(ts: str = "ts") -> F.Column:
@@ -54,177 +52,272 @@ def from_micros(col: str) -> F.Column:
     return F.expr(f"timestampadd(MICROSECOND, {col}, {EPOCH_NTZ})")
 
 
-HOME_WORK_CLUSTER_SCHEMA = (
-    "user_id bigint, clust_id int, visit_freq int, sx double, sy double, "
-    "home int, work int, transit int")
-
-
-def _sorted_stream(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Hash-partition on ``keys`` and sort each partition by keys, time, id —
-    a total order, so re-running a lost task gives the same stream."""
-    return df.repartition(*keys).sortWithinPartitions(*keys, "ts", "event_id")
-
-
-def _trip_fold(radius_km: float, emit: str = "raw", stay_threshold: int = STAY_THRESHOLD_MIN,
-               last_stay: int = LAST_STAY_MIN):
-    """Per-partition leader fold over a (user, day, time)-sorted stream.
-
-    ``emit``: ``raw`` — one row per cluster; ``stays`` — the same plus the
-    stay minutes (known once the next cluster opens; ``last_stay`` for the
-    day's last one); ``trips`` — one row per pair of consecutive non-stop
-    clusters. State: the open cluster and the day's previous non-stop one.
-    """
-    def run(batches):
-        cur = None  # [user, day, cid, n, sx, sy, first, last, hours]
-        last_od = None  # [cid, cx, cy, last] of the day's previous non-stop cluster
-        out: list[tuple] = []
-
-        def close(next_first):
-            nonlocal last_od
-            if emit == "raw":
-                out.append((cur[0], cur[1], cur[2], cur[3], cur[4], cur[5], cur[6], cur[7], list(cur[8])))
-                return
-            if emit == "clusters":  # raw without the hour histogram
-                out.append((cur[0], cur[1], cur[2], cur[3], cur[4], cur[5], cur[6], cur[7]))
-                return
-            stay = last_stay if next_first is None else (next_first - cur[6]) // 60_000_000
-            if emit == "stays":
-                out.append((cur[0], cur[1], cur[2], cur[3], cur[4], cur[5], cur[6], cur[7], list(cur[8]), stay))
-                return
-            if stay < stay_threshold:
-                return  # a stop: left out of the trip chain
-            cx, cy = cur[4] / cur[3], cur[5] / cur[3]
-            if last_od is not None:
-                out.append((cur[0], cur[1], last_od[0], cur[2], last_od[1], last_od[2], cx, cy, last_od[3], cur[6]))
-            last_od = [cur[2], cx, cy, cur[7]]
-
-        for pdf in batches:
-            users = pdf["user_id"].tolist()
-            days = pdf["d"].tolist()
-            xs = pdf["x"].tolist()
-            ys = pdf["y"].tolist()
-            ts = pdf["t_us"].tolist()
-            hrs = pdf["hr"].tolist()
-            for u, d, x, y, t, h in zip(users, days, xs, ys, ts, hrs):
-                if cur is not None and cur[0] == u and cur[1] == d:
-                    n = cur[3]
-                    # leader rule: compare with the most recent cluster's centre
-                    if haversine_py(cur[5] / n, cur[4] / n, y, x) <= radius_km:
-                        cur[3] = n + 1
-                        cur[4] += x
-                        cur[5] += y
-                        cur[7] = t
-                        cur[8][h] += 1
-                        continue
-                    close(t)  # the next cluster of the day opens at t
-                    cid = cur[2] + 1
-                else:
-                    if cur is not None:
-                        close(None)
-                    last_od = None
-                    cid = 1
-                hours = [0] * 24
-                hours[h] = 1
-                cur = [u, d, cid, 1, x, y, t, t, hours]
-            if out:
-                yield _frame(out, _EMIT_COLUMNS[emit])
-                out = []
-        if cur is not None:
-            close(None)
-            if out:
-                yield _frame(out, _EMIT_COLUMNS[emit])
-    return run
-
-
-TRIP_COLUMNS = ["user_id", "d", "clust_id", "visit_freq", "sx", "sy", "first_us", "last_us", "hours"]
-_EMIT_COLUMNS = {
-    "raw": TRIP_COLUMNS,
-    "clusters": TRIP_COLUMNS[:-1],
-    "stays": TRIP_COLUMNS + ["stay_time"],
-    "trips": ["user_id", "d", "o_clust", "d_clust", "ox", "oy", "dx", "dy", "start_us", "end_us"],
-}
-_EMIT_SCHEMA = {
-    "raw": _FOLD_SCHEMA,
-    "clusters": _FOLD_SCHEMA.replace(", hours array<int>", ""),
-    "stays": _FOLD_SCHEMA + ", stay_time int",
-    "trips": ("user_id bigint, d int, o_clust int, d_clust int, ox double, oy double, dx double, dy double, "
-              "start_us bigint, end_us bigint"),
-}
-HOME_WORK_COLUMNS = ["user_id", "clust_id", "visit_freq", "sx", "sy", "home", "work", "transit"]
-
-
-def _frame(rows: list[tuple], cols: list[str]) -> pd.DataFrame:
-    return pd.DataFrame.from_records(rows, columns=cols)
-
-
-_placed = "user_id IS NOT NULL AND ts IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL"
+def placed_events(pings: DataFrame) -> DataFrame:
+    """Events with a user, a time and a place, as integers: user_id, d, t_us, event_id, xi, yi, hr."""
+    at = lambda c: F.round(F.col(c) * F.lit(UNIT)).cast("bigint")
+    return pings.where(PLACED).select("user_id", F.unix_date(F.to_date("ts")).alias("d"), to_micros("ts").alias("t_us"),
+                                      "event_id", at("x").alias("xi"), at("y").alias("yi"), F.hour("ts").alias("hr"))
+
+
+# ------------------------------------------------------------------ the leader rule on arrays
+
+class Open:
+    """The open cluster: members, sum of x, sum of y."""
+
+    __slots__ = ("n", "sx", "sy")
+
+    def __init__(self, n: int = 0, sx: int = 0, sy: int = 0):
+        self.n, self.sx, self.sy = n, sx, sy
+
+
+def _search(x: np.ndarray, y: np.ndarray, at: int, end: int, state: Open, radius: float, opens: np.ndarray) -> None:
+    """Mark the events in [at, end) that open a cluster; ``state`` is the cluster open before, and after."""
+    size = 16
+    while at < end:
+        if not state.n:
+            opens[at] = True
+            state.n, state.sx, state.sy = 1, int(x[at]), int(y[at])
+            at += 1
+            continue
+        stop = min(end, at + size)
+        xs, ys = x[at:stop], y[at:stop]
+        # the centre before each event, were all events before it to join
+        members = state.n + np.arange(stop - at)
+        cx = (state.sx + np.cumsum(xs) - xs) / members
+        cy = (state.sy + np.cumsum(ys) - ys) / members
+        beyond = distance_km(cy / UNIT, cx / UNIT, ys / UNIT, xs / UNIT) > radius
+        k = int(np.argmax(beyond))
+        if beyond[k]:
+            opens[at + k] = True
+            state.n, state.sx, state.sy = 1, int(xs[k]), int(ys[k])
+            at += k + 1
+            size = 16
+        else:
+            state.n, state.sx, state.sy = state.n + stop - at, state.sx + int(xs.sum()), state.sy + int(ys.sum())
+            at = stop
+            size = min(2 * size, 65536)
+
+
+def open_flags(x: np.ndarray, y: np.ndarray, starts: np.ndarray, radius: float, state: Open) -> np.ndarray:
+    """Which events open a cluster. ``starts`` marks the first event of each group; events before the first
+    mark go on with ``state``, which becomes the last group's open cluster."""
+    opens = starts.copy()
+    begin = np.flatnonzero(starts)
+    head = int(begin[0]) if begin.size else len(x)
+    _search(x, y, 0, head, state, radius, opens)
+    if not begin.size:
+        return opens
+    size = np.diff(np.append(begin, len(x)))
+    for k in np.flatnonzero(size > TOGETHER):
+        own = Open(1, int(x[begin[k]]), int(y[begin[k]]))
+        _search(x, y, int(begin[k]) + 1, int(begin[k] + size[k]), own, radius, opens)
+        if k == begin.size - 1:
+            state.n, state.sx, state.sy = own.n, own.sx, own.sy
+    short = np.flatnonzero(size <= TOGETHER)
+    short = short[np.argsort(-size[short], kind="stable")]
+    at, left = begin[short], size[short]
+    n, sx, sy = np.ones(short.size, np.int64), x[at].copy(), y[at].copy()
+    for step in range(1, int(left[0]) if short.size else 0):
+        live = int(np.searchsorted(-left, -step, side="left"))   # groups with an event at this step
+        here = at[:live] + step
+        xs, ys = x[here], y[here]
+        m = n[:live]
+        beyond = distance_km(sy[:live] / m / UNIT, sx[:live] / m / UNIT, ys / UNIT, xs / UNIT) > radius
+        opens[here] = beyond
+        n[:live] = np.where(beyond, 1, m + 1)
+        sx[:live] = np.where(beyond, xs, sx[:live] + xs)
+        sy[:live] = np.where(beyond, ys, sy[:live] + ys)
+    last = np.flatnonzero(short == begin.size - 1)
+    if last.size:
+        k = int(last[0])
+        state.n, state.sx, state.sy = int(n[k]), int(sx[k]), int(sy[k])
+    return opens
+
+
+_SUMS = ("visit_freq", "sx", "sy")
+
+
+def fold_clusters(batches: Iterator[pd.DataFrame], keys: list[str], radius: float) -> Iterator[pd.DataFrame]:
+    """Clusters of a stream sorted by ``keys`` and time: keys, clust_id (from 1), visit_freq, sx, sy, first_us,
+    last_us and a 24-slot hour histogram as columns h0..h23. A group's last cluster comes with the batch after."""
+    state, held = Open(), None
+    for pdf in batches:
+        m = len(pdf)
+        if not m:
+            continue
+        cols = [pdf[k].to_numpy() for k in keys]
+        starts = np.zeros(m, bool)
+        for c in cols:
+            starts[1:] |= c[1:] != c[:-1]
+        starts[0] = held is None or any(held[k].iloc[0] != c[0] for k, c in zip(keys, cols, strict=True))
+        x, y = pdf["xi"].to_numpy(np.int64), pdf["yi"].to_numpy(np.int64)
+        opens = open_flags(x, y, starts, radius, state)
+        rows = np.flatnonzero(opens) if opens[0] else np.concatenate([[0], np.flatnonzero(opens)])
+        number = np.cumsum(opens) if opens[0] else 1 + np.cumsum(opens)
+        t = pdf["t_us"].to_numpy(np.int64)
+        hours = np.bincount((number - 1) * 24 + pdf["hr"].to_numpy(), minlength=24 * rows.size).reshape(-1, 24)
+        out = pd.DataFrame({k: c[rows] for k, c in zip(keys, cols, strict=True)})
+        # numbers within the group: clusters since its start
+        first = np.flatnonzero(starts[rows])
+        index = np.arange(rows.size)
+        base = np.zeros(rows.size, np.int64)
+        if first.size:
+            base[first] = np.diff(np.concatenate([[0], first]))
+            base = np.cumsum(base)
+        out["clust_id"] = index - base + 1
+        if held is not None and not starts[0]:
+            upto = first[0] if first.size else rows.size
+            out.iloc[:upto, out.columns.get_loc("clust_id")] += int(held["clust_id"].iloc[0]) - (not opens[0])
+        out["visit_freq"] = np.diff(np.append(rows, m))
+        out["sx"], out["sy"] = np.add.reduceat(x, rows), np.add.reduceat(y, rows)
+        out["first_us"], out["last_us"] = t[rows], t[np.append(rows[1:], m) - 1]
+        for h in range(24):
+            out[f"h{h}"] = hours[:, h]
+        if held is not None:
+            if opens[0]:
+                yield held
+            else:   # the first row goes on with the held cluster
+                for c in ("visit_freq", "sx", "sy", *[f"h{h}" for h in range(24)]):
+                    out.iloc[0, out.columns.get_loc(c)] += int(held[c].iloc[0])
+                out.iloc[0, out.columns.get_loc("first_us")] = int(held["first_us"].iloc[0])
+        if len(out) > 1:
+            yield out.iloc[:-1]
+        held = out.iloc[-1:]
+    if held is not None:
+        yield held
+
+
+def _with_stays(frames: Iterator[pd.DataFrame], last_stay: int) -> Iterator[pd.DataFrame]:
+    """Clusters with ``stay_time``: whole minutes to the next cluster of the user-day, ``last_stay`` for its last."""
+    held = None
+    for f in frames:
+        f = f if held is None else pd.concat([held, f], ignore_index=True)
+        held = f.iloc[-1:]
+        if len(f) > 1:
+            yield _stay(f, last_stay).iloc[:-1]
+    if held is not None:
+        yield _stay(held, last_stay)
+
+
+def _stay(f: pd.DataFrame, last_stay: int) -> pd.DataFrame:
+    same = (f["user_id"].eq(f["user_id"].shift(-1)) & f["d"].eq(f["d"].shift(-1))).to_numpy()
+    gap = (f["first_us"].shift(-1, fill_value=0).to_numpy() - f["first_us"].to_numpy()) // 60_000_000
+    return f.assign(stay_time=np.where(same, gap, last_stay).astype(np.int32))
+
+
+def _trips(frames: Iterator[pd.DataFrame], threshold: int) -> Iterator[pd.DataFrame]:
+    """Pairs of consecutive clusters of a user-day that are not stops, numbered per user."""
+    held, user, count = None, None, 0
+    for f in frames:
+        f = f[f["stay_time"] >= threshold]
+        f = f if held is None else pd.concat([held, f], ignore_index=True)
+        if not len(f):
+            continue
+        held = f.iloc[-1:]
+        a, b = f.iloc[:-1], f.iloc[1:]
+        same = (a["user_id"].to_numpy() == b["user_id"].to_numpy()) & (a["d"].to_numpy() == b["d"].to_numpy())
+        a, b = a[same], b[same]
+        if not len(a):
+            continue
+        users = a["user_id"].to_numpy()
+        nth = a.groupby("user_id", sort=False).cumcount().to_numpy() + 1
+        nth = nth + np.where(users == user, count, 0)
+        user, count = users[-1], int(nth[-1])
+        o, e = a["visit_freq"].to_numpy(), b["visit_freq"].to_numpy()
+        yield pd.DataFrame({
+            "user_id": users, "d": a["d"].to_numpy(), "trp_id": nth, "o_clust": a["clust_id"].to_numpy(),
+            "d_clust": b["clust_id"].to_numpy(), "ox": a["sx"].to_numpy() / o / UNIT, "oy": a["sy"].to_numpy() / o / UNIT,
+            "dx": b["sx"].to_numpy() / e / UNIT, "dy": b["sy"].to_numpy() / e / UNIT,
+            "start_us": a["last_us"].to_numpy(), "end_us": b["first_us"].to_numpy()})
+
+
+_CLUSTER = "user_id bigint, d int, clust_id int, visit_freq int, sx bigint, sy bigint, first_us bigint, last_us bigint"
+_HOURS = "hours array<int>"
+_TRIP = ("user_id bigint, d int, trp_id int, o_clust int, d_clust int, ox double, oy double, dx double, dy double, "
+         "start_us bigint, end_us bigint")
+
+
+def packed_hours(f: pd.DataFrame) -> pd.DataFrame:
+    """h0..h23 as one list column."""
+    names = [f"h{h}" for h in range(24)]
+    return f.drop(columns=names).assign(hours=list(f[names].to_numpy(np.int32)))
 
 
 def has_hot_groups(df: DataFrame, keys: list[str], fraction: float = 1e-4, min_sampled: int = 1000,
                    n_tasks: int | None = None) -> bool:
-    """True when a sample shows one group holding more than two tasks' worth
-    of rows (share > 2 / shuffle partitions). One sampled scan, one
-    aggregate, one result row.
-
-    With the default 0.01 % sample a 100 TB input contributes ~10^8 rows to
-    the check, enough to see any group holding a few percent of the data;
-    inputs under ~10^7 rows are never split (one task handles any of their
-    groups quickly)."""
+    """True when a sample of the key columns shows one group holding more than two tasks' worth of rows.
+
+    It chooses the plan only: both folds give the same rows to the bit. With
+    the default 0.01 % sample a 100 TB input contributes ~10^8 keys to the check, enough to
+    see any group holding a few percent of the data; inputs under ~10^7 rows
+    are never split (one task handles any of their groups quickly)."""
     n_tasks = n_tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = (df.sample(fraction=fraction, seed=7).groupBy(*keys).count()
+    r = (df.select(*keys).sample(fraction=fraction, seed=7).groupBy(*keys).count()
          .agg(F.max("count").alias("mx"), F.sum("count").alias("n")).first())
     if not r or not r.n or r.n < min_sampled:
         return False
     return r.mx / r.n > 2.0 / n_tasks
 
 
-def trip_clusters_raw(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM,
-                      split_hot: bool | None = None, hours: bool = True) -> DataFrame:
+def with_times(clusters: DataFrame, *extra: str) -> DataFrame:
+    """Integer day and times as date and timestamps; the centre in degrees."""
+    centre = lambda c: F.col(c) / F.col("visit_freq") / F.lit(UNIT)
+    return clusters.select("user_id", F.date_from_unix_date("d").alias("day"), "clust_id", "visit_freq",
+                           from_micros("first_us").alias("first_visit"), from_micros("last_us").alias("last_visit"),
+                           *extra, centre("sx").alias("cx"), centre("sy").alias("cy"))
+
+
+def trip_clusters_raw(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM, split_hot: bool | None = None,
+                      hours: bool = True) -> DataFrame:
     """Sequential leader clustering per (user, day) (WN-4, MB-6).
 
     Events are visited by time (ties by event id); an event joins the most
     recently opened cluster if that cluster's current centre (mean of its
     members) is within ``radius_km``, else it opens the next cluster.
-    Returns one row per cluster with the running sums, visit count, first and
-    last visit and a 24-slot hour histogram.
-
     ``split_hot``: None = decide from a sample (``has_hot_groups``); True
-    forces the range-split fold of ``split_fold`` (exact, splits a hot
-    user-day over many tasks), False the one-task-per-user-day stream.
-    Events without a time or a location cannot be placed and are skipped.
+    forces the range-split fold of ``split_fold`` (a hot user-day over many
+    tasks), False the one-task-per-user stream. Events without a user, a time
+    or a location cannot be placed and are skipped.
     """
-    pts = (pings.where(_placed)
-           .select("user_id", F.to_date("ts").alias("day"), "ts", "event_id", "x", "y", F.hour("ts").alias("hr")))
     if split_hot is None:
-        split_hot = has_hot_groups(pts, ["user_id", "day"])
+        split_hot = has_hot_groups(pings.where(PLACED), ["user_id"])
     if split_hot:
-        # a user-day too big for one task: exact range-split fold
         from fieldkit.operators.split_fold import trip_clusters_split
         n = int(pings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return trip_clusters_split(pts, radius_km, n)
+        out = trip_clusters_split(placed_events(pings), radius_km, n)
+        return with_times(out, *(["hours"] if hours else []))
     return trip_fold_stream(pings, radius_km, "raw" if hours else "clusters")
 
 
 def trip_fold_stream(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM, emit: str = "raw",
                      stay_threshold: int = STAY_THRESHOLD_MIN, last_stay: int = LAST_STAY_MIN) -> DataFrame:
-    """The one-task-per-user-day trip fold (no hot keys): one shuffle, then
-    clusters (``raw``), clusters with stay minutes (``stays``) or trips between
-    consecutive non-stop clusters (``trips``) straight from the sorted stream —
-    no second shuffle of the cluster table for windows."""
-    pts = (pings.where(_placed)
-           .select("user_id", F.to_date("ts").alias("day"), "ts", "event_id", "x", "y", F.hour("ts").alias("hr")))
-    stream = _sorted_stream(pts, ["user_id", "day"]).select(
-        "user_id", F.unix_date("day").alias("d"), to_micros("ts").alias("t_us"), "x", "y", "hr")
-    out = stream.mapInPandas(_trip_fold(radius_km, emit, stay_threshold, last_stay), _EMIT_SCHEMA[emit])
-    day = F.date_from_unix_date("d").alias("day")
+    """The one-task-per-user fold: one shuffle, then clusters (``raw`` with the
+    hour histogram, ``clusters`` without), clusters with stay minutes
+    (``stays``) or numbered trips (``trips``) straight from the sorted stream —
+    no second shuffle and no window."""
+    stream = (placed_events(pings).repartition("user_id").sortWithinPartitions("user_id", "d", "t_us", "event_id")
+              .select("user_id", "d", "t_us", "xi", "yi", "hr"))
+
+    def run(batches):
+        frames = fold_clusters(batches, ["user_id", "d"], radius_km)
+        if emit in ("stays", "trips"):
+            frames = _with_stays(frames, last_stay)
+        if emit == "trips":
+            yield from _trips(frames, stay_threshold)
+            return
+        for f in frames:
+            yield f.drop(columns=[f"h{h}" for h in range(24)]) if emit == "clusters" else packed_hours(f)
+
     if emit == "trips":
-        return out.select("user_id", day, "o_clust", "d_clust", "ox", "oy", "dx", "dy",
-                          from_micros("start_us").alias("start"), from_micros("end_us").alias("end"))
-    extra = (["hours"] if emit != "clusters" else []) + (["stay_time"] if emit == "stays" else [])
-    return out.select("user_id", day, "clust_id", "visit_freq", "sx", "sy",
-                      from_micros("first_us").alias("first_visit"), from_micros("last_us").alias("last_visit"),
-                      *extra)
+        out = stream.mapInPandas(run, _TRIP)
+        return out.select("user_id", F.date_from_unix_date("d").alias("day"), "trp_id", "o_clust", "d_clust", "ox", "oy",
+                          "dx", "dy", from_micros("start_us").alias("start"), from_micros("end_us").alias("end"))
+    extra = ([] if emit == "clusters" else ["hours"]) + (["stay_time"] if emit == "stays" else [])
+    schema = ", ".join([_CLUSTER, *(["stay_time int"] if emit == "stays" else []), *([_HOURS] if emit != "clusters" else [])])
+    return with_times(stream.mapInPandas(run, schema), *extra)
+
 
+# ------------------------------------------------------------------ nearest leader over a user's whole history
 
 class _CentreGrid:
     """Cluster centres bucketed in lat/lon cells of one radius' size.
@@ -233,123 +326,168 @@ class _CentreGrid:
     radius of a point (a superset, in creation order), so a nearest search
     over it gives exactly the answer of a search over all clusters: a
     cluster outside the radius never changes the decision (it can neither be
-    joined nor prevent a new cluster). Falls back to all clusters near a
-    pole or the date line."""
+    joined nor prevent a new cluster). Near a pole or the date line, where a
+    circle is no small box, these are all clusters."""
 
-    def __init__(self, radius_km: float, clusters: list[list]):
+    def __init__(self, radius_km: float):
         self.rad = radius_km / EARTH_RADIUS_KM
         self.cell = math.degrees(self.rad)
         self.cells: dict[tuple[int, int], list[list]] = {}
-        self.all = clusters
-        for c in clusters:
-            self.add(c)
+        self.all: list[list] = []
 
     def key(self, c: list) -> tuple[int, int]:
-        return (math.floor((c[3] / c[1]) / self.cell), math.floor((c[2] / c[1]) / self.cell))
+        return (math.floor(c[3] / c[1] / UNIT / self.cell), math.floor(c[2] / c[1] / UNIT / self.cell))
 
     def add(self, c: list) -> None:
+        self.all.append(c)
         self.cells.setdefault(self.key(c), []).append(c)
 
-    def move(self, c: list, old: tuple[int, int]) -> None:
+    def join(self, c: list, x: int, y: int) -> None:
+        old = self.key(c)
+        c[1] += 1
+        c[2] += x
+        c[3] += y
         new = self.key(c)
         if new != old:
             self.cells[old].remove(c)
             self.cells.setdefault(new, []).append(c)
 
-    def candidates(self, x: float, y: float) -> list[list]:
-        s, coslat = math.sin(self.rad), math.cos(math.radians(y))
+    def candidates(self, lon: float, lat: float) -> list[list]:
+        s, coslat = math.sin(min(self.rad, math.pi / 2)), math.cos(math.radians(lat))
         if coslat <= 2 * s:
             return self.all
         dlat = math.degrees(self.rad) * 1.001 + 1e-9
         dlon = math.degrees(math.asin(s / coslat)) * 1.001 + 1e-9
-        if x - dlon < -180 or x + dlon > 180:
+        if lon - dlon < -180 or lon + dlon > 180:
             return self.all
-        i0, i1 = math.floor((y - dlat) / self.cell), math.floor((y + dlat) / self.cell)
-        j0, j1 = math.floor((x - dlon) / self.cell), math.floor((x + dlon) / self.cell)
-        if (i1 - i0 + 1) * (j1 - j0 + 1) > 64:
-            return self.all
-        found = [c for i in range(i0, i1 + 1) for j in range(j0, j1 + 1) for c in self.cells.get((i, j), ())]
+        rows = range(math.floor((lat - dlat) / self.cell), math.floor((lat + dlat) / self.cell) + 1)
+        cols = range(math.floor((lon - dlon) / self.cell), math.floor((lon + dlon) / self.cell) + 1)
+        found = [c for i in rows for j in cols for c in self.cells.get((i, j), ())]
         return sorted(found, key=lambda c: c[0])
 
 
-GRID_FROM = 32  # clusters per user from which the nearest search uses the grid
+HOME_WORK_COLUMNS = ["user_id", "grp", "nth", "visit_freq", "sx", "sy", "home", "work", "transit", "first_us", "first_id"]
+_HOME_WORK = ("user_id bigint, grp bigint, nth int, visit_freq int, sx bigint, sy bigint, home int, work int, "
+              "transit int, first_us bigint, first_id bigint")
 
 
 def _home_work_fold(radius_km: float, home: tuple, work: tuple, transit: tuple, excluded: tuple):
     home, work, transit, excluded = set(home), set(work), set(transit), set(excluded)
 
     def run(batches):
-        user = None
-        clusters: list[list] = []  # [cid, n, sx, sy, home, work, transit]
-        grid = None
+        owner, grid = None, None
 
-        def flush():
-            return [(user, c[0], c[1], c[2], c[3], c[4], c[5], c[6]) for c in clusters]
+        def flush() -> pd.DataFrame:
+            rows = [(*owner, *c) for c in grid.all]
+            return pd.DataFrame.from_records(rows, columns=HOME_WORK_COLUMNS)
 
         for pdf in batches:
-            out: list[tuple] = []
-            for u, x, y, h, dname in zip(pdf["user_id"].tolist(), pdf["x"].tolist(), pdf["y"].tolist(),
-                                         pdf["hr"].tolist(), pdf["dname"].tolist()):
-                if u != user:
-                    if user is not None:
-                        out.extend(flush())
-                    user, clusters, grid = u, [], None
-                if grid is None and len(clusters) >= GRID_FROM:
-                    grid = _CentreGrid(radius_km, clusters)
-                best, best_d = None, 1000.0
-                for c in (clusters if grid is None else grid.candidates(x, y)):
-                    # nearest centre; the first minimum (earliest cluster) wins ties
-                    dist = haversine_py(c[3] / c[1], c[2] / c[1], y, x)
-                    if dist < best_d:
-                        best, best_d = c, dist
-                if best is not None and best_d <= radius_km:
-                    old = grid.key(best) if grid is not None else None
-                    best[1] += 1
-                    best[2] += x
-                    best[3] += y
-                    if grid is not None:
-                        grid.move(best, old)
-                    c = best
-                else:
-                    c = [len(clusters) + 1, 1, x, y, 0, 0, 0]
-                    clusters.append(c)
-                    if grid is not None:
-                        grid.add(c)
+            done = []
+            for u, g, x, y, h, dname, t, e in zip(*[pdf[c].tolist() for c in (
+                    "user_id", "grp", "xi", "yi", "hr", "dname", "t_us", "event_id")], strict=True):
+                if (u, g) != owner:
+                    if owner is not None:
+                        done.append(flush())
+                    owner, grid = (u, g), _CentreGrid(radius_km)
+                c = None
+                near = grid.candidates(x / UNIT, y / UNIT)
+                if near:
+                    centres = np.array([(o[3] / o[1] / UNIT, o[2] / o[1] / UNIT) for o in near])
+                    # compared to the millimetre, so that ties do not hang on the last bit of a sine
+                    d = np.floor(distance_km(centres[:, 0], centres[:, 1], y / UNIT, x / UNIT) * 1e6 + 0.5)
+                    k = int(np.argmin(d))   # the first minimum: the earliest cluster wins ties
+                    if d[k] <= radius_km * 1e6:
+                        c = near[k]
+                        grid.join(c, x, y)
+                if c is None:
+                    c = [len(grid.all) + 1, 1, x, y, 0, 0, 0, t, e]
+                    grid.add(c)
                 if dname not in excluded:  # visit_freq still counts excluded days
                     c[4] += h in home
                     c[5] += h in work
                     c[6] += h in transit
-            if out:
-                yield _frame(out, HOME_WORK_COLUMNS)
-        if user is not None:
-            yield _frame(flush(), HOME_WORK_COLUMNS)
+            if done:
+                yield pd.concat(done)
+        if owner is not None:
+            yield flush()
     return run
 
 
+def _merged_boxes(cells: np.ndarray, margin: float) -> np.ndarray:
+    """A group per cell (x, y in cell units): boxes of groups, widened by ``margin``, do not overlap.
+
+    Cells are swept by x; groups whose boxes meet are merged and their boxes joined until nothing changes.
+    """
+    group = np.arange(len(cells))
+    boxes = {k: [c[0] - margin, c[0] + 1 + margin, c[1] - margin, c[1] + 1 + margin] for k, c in enumerate(cells.tolist())}
+    changed = True
+    while changed:
+        changed = False
+        order = sorted(boxes, key=lambda k: boxes[k][0])
+        live: list[int] = []
+        for k in order:
+            b = boxes[k]
+            live = [o for o in live if o in boxes and boxes[o][1] > b[0]]
+            for o in list(live):
+                a = boxes[o]
+                if a[2] < b[3] and b[2] < a[3] and a[1] > b[0] and b[1] > a[0]:
+                    boxes[k] = b = [min(a[0], b[0]), max(a[1], b[1]), min(a[2], b[2]), max(a[3], b[3])]
+                    group[group == o] = k
+                    del boxes[o]
+                    live.remove(o)
+                    changed = True
+            live.append(k)
+    return group
+
+
+def place_groups(events: DataFrame, radius_km: float) -> DataFrame:
+    """``events`` with ``grp``: events of a user in different groups can never share a cluster.
+
+    A cluster's centre lies in the box of its members, and an event joins
+    within the radius, so events whose boxes stay apart when widened by the radius do
+    not affect each other. Boxes start as occupied cells, eight radii wide, and are merged while they
+    overlap. Grouped are the distinct cells of a user, not the events.
+    """
+    lat_cell = 8 * math.degrees(radius_km / EARTH_RADIUS_KM)
+
+    def groups(pdf: pd.DataFrame) -> pd.DataFrame:
+        # degrees of longitude shrink towards the poles: the margin covers the user's highest latitude
+        top = min(90.0, (np.abs(pdf["cy"].to_numpy()).max() + 1) * lat_cell + lat_cell)
+        coslat = max(math.cos(math.radians(top)), 1e-6)
+        wide = 1.001 / 8 / coslat
+        cells = pdf[["cx", "cy"]].to_numpy()
+        edge = np.abs(cells[:, 0]).max() + 1 + wide >= 180 / lat_cell or coslat < 0.05
+        g = np.zeros(len(cells), np.int64) if edge else _merged_boxes(cells, wide)
+        return pdf.assign(grp=g)
+
+    cell = lambda c: F.floor(F.col(c) / F.lit(UNIT * lat_cell)).cast("bigint")
+    own = events.withColumn("cx", cell("xi")).withColumn("cy", cell("yi"))
+    named = (own.select("user_id", "cx", "cy").distinct().groupBy("user_id")
+             .applyInPandas(groups, "user_id bigint, cx bigint, cy bigint, grp bigint"))
+    return own.join(named, ["user_id", "cx", "cy"]).drop("cx", "cy")
+
+
 def home_work_clusters_raw(pings: DataFrame, radius_km: float = HOME_WORK_RADIUS_KM,
                            home_hours=HOME_HOURS, work_hours=WORK_HOURS, transit_hours=TRANSIT_HOURS,
-                           excluded_days=EXCLUDED_DAYS, report_hot: bool = True) -> DataFrame:
+                           excluded_days=EXCLUDED_DAYS) -> DataFrame:
     """Nearest-leader clustering over each user's whole history (WN-5, MB-12).
 
     An event joins the nearest existing cluster of the user if its centre is
     within ``radius_km`` (ties: the earliest cluster), else opens a new one.
     Home/work/transit hour counts skip ``excluded_days`` (weekday names).
-    State per task is the current user's cluster list (bounded by geography,
-    not by the number of events).
-
-    The state (every cluster so far) never re-synchronises with a fresh
-    start, so a user cannot be split exactly the way the trip fold splits a
-    user-day: a user holding a large share of the events is streamed by one
-    task (bounded memory, linear time). Such users are reported in the log
-    (sampled check) rather than capped.
+
+    A user is split by place (``place_groups``) and each group is folded on its
+    own; clusters are then numbered by their first events, which is the order
+    in which the undivided history opens them. What one dense place costs: its
+    events are one task's stream, in linear time and bounded memory.
     """
-    pts = pings.where(_placed).select("user_id", "ts", "event_id", "x", "y", F.hour("ts").alias("hr"),
-                       F.date_format("ts", "EEEE").alias("dname"))
-    if report_hot and has_hot_groups(pts.select("user_id"), ["user_id"]):
-        logging.getLogger(__name__).warning(
-            "home/work clustering: a user holds more than two tasks' share of the events; "
-            "that user's history is folded by a single task (exact, streamed)")
+    dname = F.date_format(F.date_from_unix_date("d"), "EEEE").alias("dname")
+    pts = place_groups(placed_events(pings), radius_km).select("*", dname)
     fold = _home_work_fold(radius_km, tuple(home_hours), tuple(work_hours), tuple(transit_hours),
                            tuple(excluded_days))
-    return _sorted_stream(pts, ["user_id"]).mapInPandas(fold, HOME_WORK_CLUSTER_SCHEMA)
-
+    stream = pts.repartition("user_id", "grp").sortWithinPartitions("user_id", "grp", "t_us", "event_id")
+    clusters = stream.mapInPandas(fold, _HOME_WORK)
+    order = Window.partitionBy("user_id").orderBy("first_us", "first_id")   # a row per cluster of the user
+    return clusters.select("user_id", F.row_number().over(order).alias("clust_id"), "visit_freq",
+                           (F.col("sx") / F.lit(UNIT)).alias("sx"), (F.col("sy") / F.lit(UNIT)).alias("sy"),
+                           "home", "work", "transit")

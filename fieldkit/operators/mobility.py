@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldkit.functions.geo import haversine, round6
-from fieldkit.operators.clustering import (has_hot_groups, home_work_clusters_raw, to_micros, trip_clusters_raw,
+from fieldkit.operators.clustering import (PLACED, has_hot_groups, home_work_clusters_raw, to_micros, trip_clusters_raw,
                                            trip_fold_stream)
 from fieldkit.operators.sequence import with_next, with_row_number
 from fieldkit.params import (DISTANCE_THRESHOLD_KM, HOME_HOURS, HOME_WORK_SHARE, LAST_STAY_MIN, MIN_UNIQUE_LOCS,
@@ -30,7 +30,7 @@ def with_day(pings: DataFrame) -> DataFrame:
 def has_hot_users(pings: DataFrame) -> bool:
     """Sampled check: does one user (and so possibly one user-day) hold more
     than two tasks' share of the events?"""
-    return has_hot_groups(pings.select("user_id"), ["user_id"])
+    return has_hot_groups(pings.where(PLACED), ["user_id"])
 
 
 def trip_clusters(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM, split_hot: bool | None = None,
@@ -38,10 +38,7 @@ def trip_clusters(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM, split_hot
     """Clusters per user-day with centre, visit count, first/last visit and
     (``hours=True``) the 24-slot hour histogram (WN-3, WN-4, MB-6). Centre
     kept unrounded in cx/cy."""
-    raw = trip_clusters_raw(pings, radius_km, split_hot, hours)
-    return raw.select(*_DAY, "clust_id", "visit_freq", "first_visit", "last_visit", *(["hours"] if hours else []),
-                      (F.col("sx") / F.col("visit_freq")).alias("cx"),
-                      (F.col("sy") / F.col("visit_freq")).alias("cy"))
+    return trip_clusters_raw(pings, radius_km, split_hot, hours)
 
 
 def cluster_stay_time(clusters: DataFrame, stay_threshold: int = STAY_THRESHOLD_MIN,
@@ -79,13 +76,11 @@ def trips(clusters_with_stay: DataFrame, chunked: bool = False) -> DataFrame:
         *_DAY, F.col("clust_id").alias("o_clust"), F.col("cx").alias("ox"), F.col("cy").alias("oy"),
         F.col("last_visit").alias("start"), F.col("d_clust_id").alias("d_clust"), F.col("d_cx").alias("dx"),
         F.col("d_cy").alias("dy"), F.col("d_first_visit").alias("end"))
-    return _finish_trips(pairs, chunked)
+    return _finish_trips(with_row_number(pairs, ["user_id"], ["day", "o_clust"], "trp_id", chunked))
 
 
-def _finish_trips(pairs: DataFrame, chunked: bool) -> DataFrame:
-    """Number a user's trips and derive the output columns from
-    (user_id, day, o_clust, d_clust, ox, oy, dx, dy, start, end)."""
-    numbered = with_row_number(pairs, ["user_id"], ["day", "o_clust"], "trp_id", chunked)
+def _finish_trips(numbered: DataFrame) -> DataFrame:
+    """The output columns of (user_id, trp_id, day, o_clust, d_clust, ox, oy, dx, dy, start, end)."""
     return numbered.select(
         "user_id", "trp_id", "day", "o_clust", "d_clust",
         round6("ox").alias("Ox"), round6("oy").alias("Oy"), round6("dx").alias("Dx"), round6("dy").alias("Dy"),
@@ -98,15 +93,15 @@ def _finish_trips(pairs: DataFrame, chunked: bool) -> DataFrame:
 def trips_from_pings(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM, split_hot: bool | None = None) -> DataFrame:
     """Clusters → stays → trips.
 
-    Without hot keys the fold itself pairs consecutive non-stop clusters while
-    it streams each user-day (one shuffle of the events, none of the
-    clusters). Hot users / user-days (sampled check, or ``split_hot=True``)
-    get the range-split fold and the chunked window steps instead."""
+    Without hot keys the fold itself pairs consecutive non-stop clusters and
+    numbers them while it streams each user (one shuffle of the events, none
+    of the clusters). Hot users (sampled check, or ``split_hot=True``) get the
+    range-split fold and the chunked window steps instead; the rows are equal."""
     if split_hot is None:
         split_hot = has_hot_users(pings)
     if split_hot:
         return trips(cluster_stay_time(trip_clusters(pings, radius_km, True), chunked=True), chunked=True)
-    return _finish_trips(trip_fold_stream(pings, radius_km, "trips"), chunked=False)
+    return _finish_trips(trip_fold_stream(pings, radius_km, "trips"))
 
 
 def cluster_stays(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM, split_hot: bool | None = None) -> DataFrame:
@@ -116,11 +111,8 @@ def cluster_stays(pings: DataFrame, radius_km: float = TRIP_RADIUS_KM, split_hot
         split_hot = has_hot_users(pings)
     if split_hot:
         return cluster_stay_time(trip_clusters(pings, radius_km, True), chunked=True)
-    s = trip_fold_stream(pings, radius_km, "stays")
-    return s.select(*_DAY, "clust_id", "visit_freq", "first_visit", "last_visit", "hours",
-                    (F.col("sx") / F.col("visit_freq")).alias("cx"), (F.col("sy") / F.col("visit_freq")).alias("cy"),
-                    "stay_time",
-                    F.when(F.col("stay_time") < STAY_THRESHOLD_MIN, "stop").otherwise("OD").alias("stop_or_stay"))
+    return trip_fold_stream(pings, radius_km, "stays").withColumn(
+        "stop_or_stay", F.when(F.col("stay_time") < STAY_THRESHOLD_MIN, "stop").otherwise("OD"))
 
 
 # ------------------------------------------------------- per-day location stats
@@ -223,6 +215,11 @@ def hour_flags(pings: DataFrame, home=HOME_HOURS, work=WORK_HOURS, transit=TRANS
         "*", _in("hr", home).alias("is_home"), _in("hr", work).alias("is_work"), _in("hr", transit).alias("is_transit"))
 
 
+def hour_counts(pings: DataFrame, keys) -> DataFrame:
+    """Events per key and hour of the day (AG-12)."""
+    return pings.groupBy(*keys, F.hour("ts").alias("hr")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def home_work_counts(pings: DataFrame, keys, **hours) -> DataFrame:
     """Events in home / work / transit hours per key; the hour lists may
     overlap and an hour counts in each (AG-15)."""
@@ -257,13 +254,17 @@ def site_shares(pings: DataFrame, **hours) -> DataFrame:
             .withColumn("categ", categorize()))
 
 
-def assign_home_work(labelled: DataFrame, key: str, total: str = "total") -> DataFrame:
+def assign_home_work(labelled: DataFrame, key: str, total: str = "total", coords: tuple[str, ...] = ()) -> DataFrame:
     """Per user: the most visited location labelled 'home' and the most
     visited labelled 'work'; if only one is found it serves as both (MB-13).
-    Ties on the visit total go to the smaller key."""
-    pick = lambda lab: F.min(F.when(F.col("categ") == lab, F.struct((-F.col(total)).alias("t"), F.col(key).alias("k"))))
+    Ties on the visit total go to the smaller key. ``coords`` are columns of
+    the location that are returned as ``home_<c>`` and ``work_<c>``."""
+    place = F.struct((-F.col(total)).alias("t"), F.col(key).alias("k"), *[F.col(c) for c in coords])
+    pick = lambda lab: F.min(F.when(F.col("categ") == lab, place))
     r = labelled.groupBy("user_id").agg(pick("home").alias("h"), pick("work").alias("w"))
-    return r.select("user_id", F.coalesce("h.k", "w.k").alias("home"), F.coalesce("w.k", "h.k").alias("work"))
+    return r.select("user_id", F.coalesce("h.k", "w.k").alias("home"), F.coalesce("w.k", "h.k").alias("work"),
+                    *[F.coalesce(f"h.{c}", f"w.{c}").alias(f"home_{c}") for c in coords],
+                    *[F.coalesce(f"w.{c}", f"h.{c}").alias(f"work_{c}") for c in coords])
 
 
 def home_work_by_share(pings: DataFrame, **hours) -> DataFrame:
@@ -298,14 +299,14 @@ def weekday_category(ts_col: str = "ts") -> F.Column:
 def consistent_users(pings: DataFrame, threshold: int) -> DataFrame:
     """Users with at least ``threshold`` events on every reference day of the
     data set (AG-18). A missing day counts 0, so the dense minimum is 0 unless
-    the user was seen on all days — no users × days spine is built."""
+    the user was seen on all days — no users × days spine is built. Events
+    without a time belong to no day; a user with no others is not listed."""
     spark = pings.sparkSession
+    per_day = (pings.where(F.col("ts").isNotNull()).groupBy("user_id", F.to_date("ts").alias("day"))
+               .agg(F.count(F.lit(1)).alias("n")))
     return spark.sql("""
-        WITH d AS (SELECT user_id, to_date(ts) AS day, count(*) AS n FROM {p} GROUP BY user_id, to_date(ts)),
-             u AS (SELECT user_id, count(*) AS n_days, min(n) AS min_seen FROM d GROUP BY user_id)
-        SELECT user_id,
-               CASE WHEN n_days < (SELECT datediff(max(to_date(ts)), min(to_date(ts))) + 1 FROM {p})
-                    THEN 0 ELSE min_seen END AS min_events,
-               (CASE WHEN n_days < (SELECT datediff(max(to_date(ts)), min(to_date(ts))) + 1 FROM {p})
-                     THEN 0 ELSE min_seen END) >= {t} AS consistent
-        FROM u""".replace("{t}", str(int(threshold))), p=pings)
+        WITH u AS (SELECT user_id, count(*) AS n_days, min(n) AS min_seen FROM {d} GROUP BY user_id),
+             r AS (SELECT datediff(max(day), min(day)) + 1 AS all_days FROM {d}),
+             m AS (SELECT user_id, CASE WHEN n_days < (SELECT all_days FROM r) THEN 0 ELSE min_seen END AS min_events FROM u)
+        SELECT user_id, min_events, min_events >= {t} AS consistent
+        FROM m""".replace("{t}", str(int(threshold))), d=per_day)

@@ -1,238 +1,164 @@
 """Trip clustering (WN-4) for hot user-days: a range-split, exact fold.
 
-The leader fold is sequential inside a user-day, so the plain plan (hash
-partition + sorted stream, ``clustering.trip_clusters_raw``) gives each
-user-day to one task. When one user-day holds a large share of all rows,
-this module splits it:
+The leader fold is sequential inside a user-day, so the plain plan
+(``clustering.trip_fold_stream``) gives each user to one task. When one user
+holds a large share of all rows, this module splits the days:
 
-1. ``repartitionByRange`` on (user, day, ts, event_id) cuts the global order
-   into contiguous chunks — a hot user-day spans several chunks (tasks).
+1. ``repartitionByRange`` on (user, day, time, event) cuts the global order
+   into contiguous chunks, kept in the shared checkpoint folder; a hot
+   user-day spans several chunks (tasks).
 2. Pass A folds every chunk *speculatively*, each user-day run starting
-   fresh at the chunk start, and emits cluster pieces plus one summary row
-   per run.
+   fresh at the chunk start.
 3. A run that continues a user-day from the previous chunk (at most one per
-   chunk, so at most #chunks of them) is re-folded in pass B from the true
-   carried-in cluster, in lock-step with the speculative fold, until both
-   open a new cluster on the same event; from there on the speculative
-   pieces are exact. If a chunk never re-synchronises, its true end state
-   is carried into the next chunk and pass B repeats for that chunk only.
+   chunk) is folded again in pass B from the true carried-in cluster, next to
+   the fresh fold, until both open a cluster on the same event; from there on
+   the speculative pieces are exact. A chunk that never gets there hands its
+   true end to the next, and pass B runs again for that one. So there are at
+   most as many rounds as the longest hot user-day has chunks; two in all
+   but days spent in one place.
 4. Pieces get their user-day cluster number from a running sum over the
-   (small) run summaries and are merged by one aggregate.
+   run summaries and are merged by one aggregate.
 
-The per-chunk state tables have one row per chunk (a proven bound); the
-heavy input is materialised once (disk) and read by both passes.
+Sums are integers (``clustering.UNIT``), so pieces of a cluster add up to the
+sums of the undivided fold, to the bit. What passes through the driver is the
+open cluster of each run that crosses a chunk boundary: a row per chunk at most.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldkit.functions.geo import haversine_py
-from fieldkit.operators.clustering import from_micros, to_micros
+from fieldkit.operators.clustering import Open, fold_clusters, open_flags, packed_hours
 from fieldkit.session import cut_lineage
 
-# day and times travel as integers (days / microseconds since 1970-01-01)
-PIECE_SCHEMA = ("kind string, user_id bigint, d int, part int, idx int, n int, sx double, sy double, "
-                "first_us bigint, last_us bigint, hours array<int>, "
-                "tn int, tsx double, tsy double")
-_COLS = ["kind", "user_id", "d", "part", "idx", "n", "sx", "sy", "first_us", "last_us", "hours",
-         "tn", "tsx", "tsy"]
-
-
-def _rows(pdf):
-    return zip(pdf["user_id"].tolist(), pdf["d"].tolist(), pdf["part"].tolist(), pdf["x"].tolist(),
-               pdf["y"].tolist(), pdf["t_us"].tolist(), pdf["hr"].tolist())
+_PIECE = ("user_id bigint, d int, part int, idx int, visit_freq int, sx bigint, sy bigint, first_us bigint, "
+          "last_us bigint, hours array<int>")
+_KEYS = ["user_id", "d", "part"]
 
 
 def _pass_a(radius: float):
-    """Speculative fold of every run of every chunk; pieces + run summaries."""
-    def run(batches):
-        key, cur, out = None, None, []
-
-        def close_run():
-            out.append(("P", key[0], key[1], key[2], cur[0], cur[1], cur[2], cur[3], cur[4], cur[5], list(cur[6]),
-                        None, None, None))
-            # run summary: clusters in the run, open cluster's state
-            out.append(("S", key[0], key[1], key[2], cur[0] + 1, cur[1], cur[2], cur[3], None, None, None,
-                        None, None, None))
-
-        for pdf in batches:
-            for u, d, p, x, y, t, h in _rows(pdf):
-                if key == (u, d, p):
-                    if haversine_py(cur[3] / cur[1], cur[2] / cur[1], y, x) <= radius:
-                        cur[1] += 1
-                        cur[2] += x
-                        cur[3] += y
-                        cur[5] = t
-                        cur[6][h] += 1
-                        continue
-                    out.append(("P", u, d, p, cur[0], cur[1], cur[2], cur[3], cur[4], cur[5], list(cur[6]),
-                                None, None, None))
-                    idx = cur[0] + 1
-                else:
-                    if key is not None:
-                        close_run()
-                    key, idx = (u, d, p), 0
-                hours = [0] * 24
-                hours[h] = 1
-                cur = [idx, 1, x, y, t, t, hours]
-            if out:
-                yield pd.DataFrame.from_records(out, columns=_COLS)
-                out = []
-        if key is not None:
-            close_run()
-            yield pd.DataFrame.from_records(out, columns=_COLS)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in fold_clusters(batches, _KEYS, radius):
+            yield packed_hours(f.assign(idx=f["clust_id"] - 1).drop(columns="clust_id"))
     return run
 
 
-def _pass_b(radius: float, carried: dict):
-    """Re-fold the first run of each listed chunk from its carried cluster
-    (T) next to the fresh fold (F) until both open a cluster on one event."""
-    def run(batches):
-        out = []
-        key = None
-        done = False
+def _pass_b(radius: float, carried: dict[int, tuple[int, int, int]]):
+    """Pieces of the first run of a listed chunk up to where the true and the fresh fold meet, and one row with
+    visit_freq NULL: idx (the fresh fold's cluster there, -1 if they never meet), first_us (the true fold's)
+    and the true open cluster at the end as last_us, sx, sy."""
+    def row(key, **cols) -> pd.DataFrame:
+        base = dict(zip(_KEYS, key, strict=True)) | {"idx": -1, "visit_freq": None, "sx": None, "sy": None,
+                                                     "first_us": None, "last_us": None, "hours": None}
+        return pd.DataFrame([base | cols]).astype({c: "Int64" for c in ("visit_freq", "sx", "sy", "first_us", "last_us")})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, done = None, False
+        true, fresh = Open(), Open()
+        opened_true = opened_fresh = 0
         for pdf in batches:
-            if done:
-                continue  # drain: the rest of the chunk is exact already
-            for u, d, p, x, y, t, h in _rows(pdf):
-                if key is None:
-                    key = (u, d, p)
-                    cn, csx, csy = carried[p]
-                    # T: open cluster = carried sums + this chunk's piece
-                    t_idx, tn, tsx, tsy = 0, cn, csx, csy
-                    piece = [0, 0, 0.0, 0.0, None, None, [0] * 24]
-                    f_idx, fn, fsx, fsy = -1, 0, 0.0, 0.0
-                    first = True
-                elif (u, d, p) != key:
+            if done or not len(pdf):
+                continue   # the rest of the chunk is exact already
+            own = [pdf[k].to_numpy() for k in _KEYS]
+            if key is None:
+                key = tuple(int(c[0]) for c in own)
+                true = Open(*carried[key[2]])
+            mine = (own[0] == key[0]) & (own[1] == key[1])
+            m = int(mine.argmin()) if not mine.all() else len(pdf)
+            if m:
+                x, y = pdf["xi"].to_numpy(np.int64)[:m], pdf["yi"].to_numpy(np.int64)[:m]
+                none = np.zeros(m, bool)
+                t = open_flags(x, y, none, radius, true)
+                f = open_flags(x, y, none, radius, fresh)
+                meet = np.flatnonzero(t & f)
+                upto = int(meet[0]) if meet.size else m
+                number = opened_true + np.cumsum(t)
+                if upto:
+                    yield _pieces(key, pdf.iloc[:upto], x[:upto], y[:upto], number[:upto])
+                if meet.size:
+                    yield row(key, idx=opened_fresh + int(np.cumsum(f)[upto]) - 1, first_us=int(number[upto]))
                     done = True
-                    break
-                t_new = haversine_py(tsy / tn, tsx / tn, y, x) > radius
-                f_new = first or haversine_py(fsy / fn, fsx / fn, y, x) > radius
-                if f_new:
-                    f_idx, fn, fsx, fsy = f_idx + 1, 1, x, y
-                else:
-                    fn, fsx, fsy = fn + 1, fsx + x, fsy + y
-                if t_new:
-                    if piece[1] or t_idx:
-                        out.append(("P", u, d, p) + tuple(piece[:6]) + (list(piece[6]), None, None, None))
-                    t_idx += 1
-                    if f_new:  # synchronised: F is exact from cluster f_idx on
-                        out.append(("S", u, d, p, f_idx, t_idx, None, None, None, None, None, None, None, None))
-                        done = True
-                        break
-                    tn, tsx, tsy = 1, x, y
-                    piece = [t_idx, 0, 0.0, 0.0, t, t, [0] * 24]
-                else:
-                    tn, tsx, tsy = tn + 1, tsx + x, tsy + y
-                piece[1] += 1
-                piece[2] += x
-                piece[3] += y
-                if piece[4] is None:
-                    piece[4] = t
-                piece[5] = t
-                piece[6][h] += 1
-                first = False
-        if key is not None and not (out and out[-1][0] == "S"):
-            # no synchronisation in this chunk: all of it is T's; report T's end
-            out.append(("P", key[0], key[1], key[2]) + tuple(piece[:6]) + (list(piece[6]), None, None, None))
-            out.append(("S", key[0], key[1], key[2], -1, t_idx, None, None, None, None, None, tn, tsx, tsy))
-        if out:
-            yield pd.DataFrame.from_records(out, columns=_COLS)
+                    continue
+                opened_true, opened_fresh = int(number[-1]), opened_fresh + int(f.sum())
+            if m < len(pdf):
+                done = True
+                yield row(key, first_us=opened_true, last_us=true.n, sx=true.sx, sy=true.sy)
+        if key is not None and not done:
+            yield row(key, first_us=opened_true, last_us=true.n, sx=true.sx, sy=true.sy)
     return run
 
 
-def trip_clusters_split(pts: DataFrame, radius_km: float, n_chunks: int) -> DataFrame:
-    """Exact WN-4 clusters with hot user-days split over ``n_chunks`` tasks.
-
-    ``pts``: (user_id, day, ts, event_id, x, y, hr). Returns the same rows as
-    ``clustering.trip_clusters_raw``: user_id, day, clust_id, visit_freq, sx,
-    sy, first_visit, last_visit, hours.
-    """
-    keys = ["user_id", "day", "ts", "event_id"]
-    ranged = (pts.repartitionByRange(n_chunks, *keys).sortWithinPartitions(*keys)
-              .select("user_id", F.unix_date("day").alias("d"), to_micros("ts").alias("t_us"), "x", "y", "hr",
-                      F.spark_partition_id().alias("part"))
-              .persist(StorageLevel.DISK_ONLY))
-    try:
-        a = cut_lineage(ranged.mapInPandas(_pass_a(radius_km), PIECE_SCHEMA))
-        runs = a.where("kind = 'S'").select("user_id", "d", "part", "n", "sx", "sy")
-        w = Window.partitionBy("user_id", "d").orderBy("part")
-        # runs that continue a user-day from the previous chunk (≤ 1 per
-        # chunk, so this small table is bounded by the chunk count) with the
-        # previous run's speculative end state
-        cont = (runs.select("user_id", "d", "part", "n", "sx", "sy",
-                            *[F.lag(c).over(w).alias("p_" + c) for c in ("part", "n", "sx", "sy")])
-                .where(F.col("p_part").isNotNull()).collect())
-        group_of = {r.part: (r.user_id, r.d) for r in cont}
-        # a chunk waits on its predecessor's repair only when that chunk is a
-        # continuation of the same user-day; otherwise the predecessor run is
-        # the start of the user-day and its speculative end is exact
-        prev_of = {r.part: r.p_part for r in cont
-                   if r.p_part in {c.part for c in cont} and group_of.get(r.p_part) == group_of[r.part]}
-        base_carry = {r.part: (r.p_n, r.p_sx, r.p_sy) for r in cont}
-        spec_self = {r.part: (r.n, r.sx, r.sy) for r in cont}
-        repaired, used, cur_end = [], {}, {}
-        todo = dict(base_carry)
-        while todo:
-            b = cut_lineage(ranged.where(F.col("part").isin(list(todo)))
-                            .mapInPandas(_pass_b(radius_km, todo), PIECE_SCHEMA))
-            repaired.append(b)
-            used.update(todo)
-            unsynced = {r.part: (r.tn, r.tsx, r.tsy) for r in b.where("kind = 'S' AND idx < 0").collect()}
-            for p in todo:
-                cur_end[p] = unsynced.get(p, spec_self[p])
-            # re-run a chunk whenever its predecessor's true end changed
-            todo = {}
-            for p in base_carry:
-                want = cur_end[prev_of[p]] if p in prev_of else base_carry[p]
-                if want != used[p]:
-                    todo[p] = want
-        return _assemble(a, repaired)
-    finally:
-        ranged.unpersist()
+def _pieces(key: tuple, pdf: pd.DataFrame, x: np.ndarray, y: np.ndarray, number: np.ndarray) -> pd.DataFrame:
+    rows = np.flatnonzero(np.diff(np.concatenate([[-1], number])))
+    t = pdf["t_us"].to_numpy(np.int64)
+    place = np.cumsum(np.isin(np.arange(len(x)), rows)) - 1
+    hours = np.bincount(place * 24 + pdf["hr"].to_numpy(), minlength=24 * rows.size).reshape(-1, 24)
+    out = pd.DataFrame({"idx": number[rows], "visit_freq": np.diff(np.append(rows, len(x))), "sx": np.add.reduceat(x, rows),
+                        "sy": np.add.reduceat(y, rows), "first_us": t[rows], "last_us": t[np.append(rows[1:], len(x)) - 1],
+                        "hours": list(hours.astype(np.int32))})
+    for k, v in zip(_KEYS, key, strict=True):
+        out[k] = v
+    return out
+
+
+def trip_clusters_split(events: DataFrame, radius_km: float, n_chunks: int) -> DataFrame:
+    """Clusters of ``clustering.placed_events`` with hot user-days split over ``n_chunks`` tasks:
+    user_id, d, clust_id, visit_freq, sx, sy, first_us, last_us, hours."""
+    spark = events.sparkSession
+    keys = ["user_id", "d", "t_us", "event_id"]
+    ranged = cut_lineage(events.repartitionByRange(n_chunks, *keys).sortWithinPartitions(*keys)
+                         .select("user_id", "d", "t_us", "xi", "yi", "hr", F.spark_partition_id().alias("part")))
+    a = cut_lineage(ranged.mapInPandas(_pass_a(radius_km), _PIECE))
+    runs = a.groupBy(*_KEYS).agg(F.max_by(F.struct("visit_freq", "sx", "sy"), "idx").alias("end"))
+    w = Window.partitionBy("user_id", "d").orderBy("part")   # a row per chunk of a user-day
+    cont = (runs.select(*_KEYS, "end", F.lag("part").over(w).alias("before"), F.lag("end").over(w).alias("carry"))
+            .where("before IS NOT NULL").collect())
+    ends = {r.part: tuple(r.end) for r in cont}          # speculative, then true
+    group = {r.part: (r.user_id, r.d) for r in cont}
+    before = {r.part: r.before for r in cont if group.get(r.before) == (r.user_id, r.d)}
+    carry = {r.part: tuple(r.carry) for r in cont}
+    used: dict[int, tuple] = {}
+    repaired: list[DataFrame] = []
+    todo = dict(carry)
+    while todo:
+        parts = spark.createDataFrame([(p,) for p in todo], "part int")
+        b = cut_lineage(ranged.join(F.broadcast(parts), "part", "left_semi")
+                        .select("user_id", "d", "t_us", "xi", "yi", "hr", "part").mapInPandas(_pass_b(radius_km, todo), _PIECE))
+        repaired.append(b)
+        used |= todo
+        for r in b.where("visit_freq IS NULL AND idx < 0").collect():
+            ends[r.part] = (r.last_us, r.sx, r.sy)
+        # again for chunks whose predecessor's true end is another than assumed
+        want = {p: ends[before[p]] if p in before else carry[p] for p in carry}
+        todo = {p: c for p, c in want.items() if c != used[p]}
+    return _assemble(a, repaired)
 
 
 def _assemble(a: DataFrame, repaired: list[DataFrame]) -> DataFrame:
-    spark = a.sparkSession
-    # latest pass-B result per chunk wins
-    b = None
+    b = a.limit(0).withColumn("_round", F.lit(0))
     for i, df in enumerate(repaired):
-        df = df.withColumn("_round", F.lit(i))
-        b = df if b is None else b.unionByName(df)
-    key = ["user_id", "d", "part"]
-    if b is None:
-        b = spark.createDataFrame([], PIECE_SCHEMA).withColumn("_round", F.lit(0))
-    last = b.groupBy("part").agg(F.max("_round").alias("_round"))
-    b = b.join(last, ["part", "_round"])
-    b_sum = b.where("kind = 'S'").select(*key, F.col("idx").alias("sync_f"), F.col("n").alias("sync_t"))
-    a_pieces = a.where("kind = 'P'").alias("p")
-    a_runs = a.where("kind = 'S'").select(*key, F.col("idx").alias("n_clusters"))
-    # speculative pieces: keep all of a fresh run; of a repaired run only the
-    # part after synchronisation, renumbered into T's numbering
-    synced_tail = (F.col("sync_f") >= 0) & (F.col("idx") >= F.col("sync_f"))
-    a_keep = (a_pieces.join(b_sum, key, "left")
-              .where(F.col("sync_f").isNull() | synced_tail)
-              .withColumn("t", F.when(F.col("sync_f").isNull(), F.col("idx"))
-                          .otherwise(F.col("idx") - F.col("sync_f") + F.col("sync_t")))
-              .drop("sync_f", "sync_t"))
-    b_keep = b.where("kind = 'P'").withColumn("t", F.col("idx")).drop("_round")
-    pieces = a_keep.unionByName(b_keep)
-    # highest T index per run → clusters it adds; base = 1 + running sum
-    runs = (a_runs.join(b_sum, key, "left")
-            .select(*key, F.when(F.col("sync_f").isNull(), F.col("n_clusters") - 1)
-                    .when(F.col("sync_f") >= 0, F.col("n_clusters") - 1 - F.col("sync_f") + F.col("sync_t"))
-                    .otherwise(F.col("sync_t")).alias("max_t")))
+        b = b.unionByName(df.withColumn("_round", F.lit(i)))
+    last = b.groupBy("part").agg(F.max("_round").alias("_round"))   # the latest result of a chunk counts
+    b = b.join(last, ["part", "_round"]).drop("_round")
+    meet = b.where("visit_freq IS NULL").select(*_KEYS, F.col("idx").alias("f"), F.col("first_us").cast("int").alias("t"))
+    # speculative pieces: all of a fresh run; of a repaired one those from the meeting on, in the true numbering
+    kept = (a.join(meet, _KEYS, "left").where("f IS NULL OR (f >= 0 AND idx >= f)")
+            .withColumn("idx", F.when(F.col("f").isNull(), F.col("idx")).otherwise(F.col("idx") - F.col("f") + F.col("t")))
+            .drop("f", "t"))
+    pieces = kept.unionByName(b.where("visit_freq IS NOT NULL"))
+    # clusters that a run adds to its user-day: its highest index
+    top = a.groupBy(*_KEYS).agg(F.max("idx").alias("top")).join(meet, _KEYS, "left").select(
+        *_KEYS, F.when(F.col("f").isNull(), F.col("top")).when(F.col("f") >= 0, F.col("top") - F.col("f") + F.col("t"))
+        .otherwise(F.col("t")).alias("top"))
     w = Window.partitionBy("user_id", "d").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("base", F.lit(1) + F.coalesce(F.sum("max_t").over(w), F.lit(0)))
-    g = pieces.join(runs.select(*key, "base"), key).withColumn("clust_id", (F.col("base") + F.col("t")).cast("int"))
-    merged = g.groupBy("user_id", "d", "clust_id").agg(
-        F.sum("n").cast("int").alias("visit_freq"), F.sum("sx").alias("sx"), F.sum("sy").alias("sy"),
+    base = top.select(*_KEYS, (F.lit(1) + F.coalesce(F.sum("top").over(w), F.lit(0))).alias("base"))
+    numbered = pieces.join(base, _KEYS).withColumn("clust_id", (F.col("base") + F.col("idx")).cast("int"))
+    return numbered.groupBy("user_id", "d", "clust_id").agg(
+        F.sum("visit_freq").cast("int").alias("visit_freq"), F.sum("sx").alias("sx"), F.sum("sy").alias("sy"),
         F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us"),
         F.array(*[F.sum(F.col("hours")[i]).cast("int") for i in range(24)]).alias("hours"))
-    return merged.select("user_id", F.date_from_unix_date("d").alias("day"), "clust_id", "visit_freq", "sx", "sy",
-                         from_micros("first_us").alias("first_visit"), from_micros("last_us").alias("last_visit"),
-                         "hours")

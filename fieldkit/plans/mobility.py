@@ -21,10 +21,12 @@ HOME, WORK, TRANSIT = _hours_list(HOME_HOURS), _hours_list(WORK_HOURS), _hours_l
 
 # ------------------------------------------------------------------ oracle CTEs
 # The trip fold as a recursive CTE: one step per event of a user-day.
-_FOLD_DIST = hav_sql("f.sy / f.n", "f.sx / f.n", "p.y", "p.x")
+# Coordinates are integers of 1e-8 degree, whose sums are exact.
+_FOLD_DIST = hav_sql("f.sy / f.n / 1e8", "f.sx / f.n / 1e8", "p.y / 1e8", "p.x / 1e8")
 FOLD_SQL = f"""
 WITH RECURSIVE pts AS (
-  SELECT user_id, CAST(ts AS DATE) AS day, ts, event_id, x, y, CAST(hour(ts) AS INTEGER) AS hr,
+  SELECT user_id, CAST(ts AS DATE) AS day, ts, event_id, CAST(round(x * 1e8) AS BIGINT) AS x,
+         CAST(round(y * 1e8) AS BIGINT) AS y, CAST(hour(ts) AS INTEGER) AS hr,
          row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn
   FROM pings WHERE user_id IS NOT NULL AND ts IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL),
 fold AS (
@@ -38,7 +40,7 @@ fold AS (
   FROM fold f JOIN pts p ON p.user_id = f.user_id AND p.day = f.day AND p.rn = f.rn + 1),
 clusters AS (
   SELECT user_id, day, CAST(cid AS INTEGER) AS clust_id, CAST(count(*) AS INTEGER) AS visit_freq,
-         arg_max(sx / n, rn) AS cx, arg_max(sy / n, rn) AS cy, min(ts) AS first_visit, max(ts) AS last_visit
+         arg_max(sx / n / 1e8, rn) AS cx, arg_max(sy / n / 1e8, rn) AS cy, min(ts) AS first_visit, max(ts) AS last_visit
   FROM fold GROUP BY user_id, day, cid),
 stays AS (
   SELECT *, coalesce(CAST((epoch_us(lead(first_visit) OVER w) - epoch_us(first_visit)) // 60000000 AS INTEGER),
@@ -231,8 +233,13 @@ _HR = "CAST(hour(ts) AS INTEGER)"
 @register("hourly_by_location", ids=("AG-12", "SC-11"), views=("pings",), sql=f"""
 SELECT site_id, {_HR} AS hr, CAST(count(*) AS BIGINT) AS n FROM pings GROUP BY site_id, {_HR}""")
 def hourly_by_location(spark, sf_dir):
-    return (_pings(spark, sf_dir).groupBy("site_id", F.hour("ts").alias("hr"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    return MB.hour_counts(_pings(spark, sf_dir), ["site_id"])
+
+
+@register("hourly_by_user_location", ids=("AG-12",), views=("pings",), sql=f"""
+SELECT user_id, site_id, {_HR} AS hr, CAST(count(*) AS BIGINT) AS n FROM pings GROUP BY user_id, site_id, {_HR}""")
+def hourly_by_user_location(spark, sf_dir):
+    return MB.hour_counts(_pings(spark, sf_dir), ["user_id", "site_id"])
 
 
 def _profile_sql(extra_key: str = "", extra_expr: str = "") -> str:
@@ -326,16 +333,54 @@ def home_work_by_share(spark, sf_dir):
     return MB.home_work_by_share(_pings(spark, sf_dir))
 
 
-@register("home_work_clusters", ids=("WN-5", "MB-12"), views=("pings",))
+# The nearest-leader fold as a recursive CTE: the state is the list of a user's clusters.
+_NEAR = f"floor({hav_sql('c.sy / c.n / 1e8', 'c.sx / c.n / 1e8', 'y / 1e8', 'x / 1e8')} * 1e6 + 0.5)"
+WHOLE_SQL = f"""
+WITH RECURSIVE pts AS (
+  SELECT user_id, CAST(round(x * 1e8) AS BIGINT) AS x, CAST(round(y * 1e8) AS BIGINT) AS y,
+         CAST(dayname(ts) NOT IN ('Saturday', 'Sunday') AND hour(ts) IN ({HOME}) AS INTEGER) AS h,
+         CAST(dayname(ts) NOT IN ('Saturday', 'Sunday') AND hour(ts) IN ({WORK}) AS INTEGER) AS w,
+         CAST(dayname(ts) NOT IN ('Saturday', 'Sunday') AND hour(ts) IN ({TRANSIT}) AS INTEGER) AS t,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+  FROM pings WHERE user_id IS NOT NULL AND ts IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL),
+st AS (
+  SELECT user_id, rn, [{{'id': 1, 'n': 1, 'sx': x, 'sy': y, 'h': h, 'w': w, 't': t}}] AS cl FROM pts WHERE rn = 1
+  UNION ALL
+  SELECT user_id, rn, CASE WHEN list_min(ds) <= 2e6
+    THEN list_transform(cl, lambda c: CASE WHEN c.id = list_position(ds, list_min(ds))
+           THEN {{'id': c.id, 'n': c.n + 1, 'sx': c.sx + x, 'sy': c.sy + y, 'h': c.h + h, 'w': c.w + w, 't': c.t + t}}
+           ELSE c END)
+    ELSE list_append(cl, {{'id': CAST(len(cl) + 1 AS INTEGER), 'n': 1, 'sx': x, 'sy': y, 'h': h, 'w': w, 't': t}}) END
+  FROM (SELECT p.user_id, p.rn, p.x, p.y, p.h, p.w, p.t, s.cl, list_transform(s.cl, lambda c: {_NEAR}) AS ds
+        FROM st s JOIN pts p ON p.user_id = s.user_id AND p.rn = s.rn + 1)),
+whole AS (
+  SELECT user_id, c.id AS clust_id, c.n AS visit_freq, {r6('(c.sx / 1e8) / c.n')} AS x, {r6('(c.sy / 1e8) / c.n')} AS y,
+         c.h AS home, c.w AS work, c.t AS transit,
+         CASE WHEN greatest(c.h, c.w, c.t) / CAST(c.n AS DOUBLE) >= 0.6 THEN
+           CASE WHEN c.h = greatest(c.h, c.w, c.t) THEN 'home' WHEN c.w = greatest(c.h, c.w, c.t) THEN 'work'
+                ELSE 'trst' END ELSE 'ND' END AS categ
+  FROM (SELECT user_id, unnest(cl) AS c FROM (SELECT user_id, arg_max(cl, rn) AS cl FROM st GROUP BY user_id)))
+"""
+
+
+@register("home_work_clusters", ids=("WN-5", "MB-12"), views=("pings",), sql=WHOLE_SQL + "SELECT * FROM whole")
 def home_work_clusters(spark, sf_dir):
     return MB.home_work_clusters(_pings(spark, sf_dir)).select(
         "user_id", "clust_id", "visit_freq", "x", "y", "home", "work", "transit", "categ")
 
 
-@register("home_work_assignment", ids=("MB-13",), views=("pings",))
+@register("home_work_assignment", ids=("MB-13",), views=("pings",), sql=WHOLE_SQL.rstrip() + """,
+p AS (SELECT user_id,
+        arg_min(clust_id, (-visit_freq, clust_id)) FILTER (WHERE categ = 'home') AS h,
+        arg_min(clust_id, (-visit_freq, clust_id)) FILTER (WHERE categ = 'work') AS w
+      FROM whole GROUP BY user_id),
+a AS (SELECT user_id, coalesce(h, w) AS home, coalesce(w, h) AS work FROM p)
+SELECT a.user_id, a.home, a.work, ch.x AS home_x, ch.y AS home_y, cw.x AS work_x, cw.y AS work_y
+FROM a LEFT JOIN whole ch ON ch.user_id = a.user_id AND ch.clust_id = a.home
+       LEFT JOIN whole cw ON cw.user_id = a.user_id AND cw.clust_id = a.work""")
 def home_work_assignment(spark, sf_dir):
     c = MB.home_work_clusters(_pings(spark, sf_dir))
-    return MB.assign_home_work(c, "clust_id", total="visit_freq")
+    return MB.assign_home_work(c, "clust_id", total="visit_freq", coords=("x", "y"))
 
 
 @register("consistent_users", ids=("AG-18", "JN-7"), views=("pings",), sql="""

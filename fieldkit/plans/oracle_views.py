@@ -99,11 +99,10 @@ def with_views(sql: str, *names: str) -> str:
 
 
 def hav_sql(lat1: str, lon1: str, lat2: str, lon2: str, radius: float = 6371.0) -> str:
-    """Haversine km as DuckDB text, same operation order as the Spark column."""
-    dlat, dlon = f"radians(({lat2}) - ({lat1}))", f"radians(({lon2}) - ({lon1}))"
-    a = (f"(sin({dlat} / 2) * sin({dlat} / 2) + cos(radians({lat1})) * cos(radians({lat2}))"
-         f" * sin({dlon} / 2) * sin({dlon} / 2))")
-    return f"(CAST({radius!r} AS DOUBLE) * (2 * atan2(sqrt({a}), sqrt(1 - {a}))))"
+    """Great-circle km as DuckDB text: the haversine of the central angle, held at 1."""
+    half = lambda a, b: f"pow(sin(radians(({b}) - ({a})) / 2), 2)"
+    h = f"{half(lat1, lat2)} + cos(radians({lat1})) * cos(radians({lat2})) * {half(lon1, lon2)}"
+    return f"(CAST({2 * radius!r} AS DOUBLE) * asin(sqrt(least(1.0, {h}))))"
 
 
 def r6(expr: str) -> str:

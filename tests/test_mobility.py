@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from fieldkit.functions.geo import haversine_py
+from fieldkit.functions.geo import distance_km
 from fieldkit.operators import mobility as MB
 
 SCHEMA = "event_id long, user_id long, ts timestamp_ntz, site_id long, x double, y double"
@@ -34,7 +34,7 @@ def test_stay_time_and_single_trip(spark):
     assert [(t.o_clust, t.d_clust, t.trp_id) for t in trips] == [(2, 3, 1)]
     t = trips[0]
     assert t.start == T(8, 10) and t.end == T(9) and t.hr == 8
-    assert t.dist == pytest.approx(haversine_py(B[1], B[0], C[1], C[0]), abs=1e-6)
+    assert t.dist == pytest.approx(distance_km(B[1], B[0], C[1], C[0]), abs=1e-6)
 
 
 def test_two_adjacent_stops_are_both_dropped(spark):
@@ -74,7 +74,7 @@ def py_trip_fold(events, radius=1.0):
     for t, _, x, y in sorted(events):
         if clusters:
             c = clusters[-1]
-            if haversine_py(c["sy"] / c["n"], c["sx"] / c["n"], y, x) <= radius:
+            if distance_km(c["sy"] / c["n"], c["sx"] / c["n"], y, x) <= radius:
                 c["n"] += 1
                 c["sx"] += x
                 c["sy"] += y
@@ -86,18 +86,20 @@ def py_trip_fold(events, radius=1.0):
 def py_home_work_fold(events, radius=2.0):
     clusters = []
     for t, _, x, y in sorted(events):
-        best, best_d = None, 1000.0
+        x, y = round(x * 1e8), round(y * 1e8)
+        best, best_d = None, math.inf
         for c in clusters:
-            d = haversine_py(c["sy"] / c["n"], c["sx"] / c["n"], y, x)
+            d = math.floor(float(distance_km(c["sy"] / c["n"] / 1e8, c["sx"] / c["n"] / 1e8, y / 1e8, x / 1e8)) * 1e6 + 0.5)
             if d < best_d:
                 best, best_d = c, d
-        if best is not None and best_d <= radius:
+        if best is not None and best_d <= radius * 1e6:
             best["n"] += 1
             best["sx"] += x
             best["sy"] += y
         else:
             clusters.append({"n": 1, "sx": x, "sy": y})
-    return [(c["n"], round(c["sx"] / c["n"], 6), round(c["sy"] / c["n"], 6)) for c in clusters]
+    half_up = lambda v: math.floor(v * 1e6 + 0.5) / 1e6
+    return [(c["n"], half_up(c["sx"] / 1e8 / c["n"]), half_up(c["sy"] / 1e8 / c["n"])) for c in clusters]
 
 
 def random_history(seed, users=6, per_user=60):
@@ -192,8 +194,8 @@ def test_haversine_munich_berlin(spark):
     from fieldkit.functions.geo import haversine
     v = spark.range(1).select(haversine(F.lit(48.1372), F.lit(11.5756), F.lit(52.5186), F.lit(13.4083))).first()[0]
     assert round(v, 1) == 504.2
-    assert round(haversine_py(48.1372, 11.5756, 52.5186, 13.4083), 1) == 504.2
-    assert math.isclose(v, haversine_py(48.1372, 11.5756, 52.5186, 13.4083), rel_tol=1e-12)
+    assert round(distance_km(48.1372, 11.5756, 52.5186, 13.4083), 1) == 504.2
+    assert math.isclose(v, distance_km(48.1372, 11.5756, 52.5186, 13.4083), rel_tol=1e-12)
 
 
 def test_pipeline_properties_on_test_data(spark):
@@ -219,6 +221,46 @@ def test_pipeline_properties_on_test_data(spark):
     assert SP.od_inflows(od).agg(F.sum("count")).first()[0] == total
 
 
+def test_haversine_at_antipodes(spark):
+    """Nearly opposite points: half the circumference, neither NaN nor an error, in columns and arrays."""
+    from fieldkit.functions.geo import haversine
+    rnd = random.Random(4)
+    pts = [(rnd.uniform(-89, 89), rnd.uniform(-180, 180)) for _ in range(3000)]
+    rows = [(a, b, -a, b - 180 if b > 0 else b + 180) for a, b in pts]
+    half = math.pi * 6371.0
+    got = spark.createDataFrame(rows, "a double, b double, c double, d double").select(haversine("a", "b", "c", "d")).collect()
+    assert all(abs(r[0] - half) < 1e-3 for r in got)
+    cols = list(zip(*rows))
+    assert all(abs(v - half) < 1e-3 for v in distance_km(*cols))
+
+
+def test_consistent_users_ignore_events_without_a_time(spark):
+    rows = [(1, T(h, 0, d), A) for d in (1, 3) for h in range(6)] + [(1, None, A)] * 6 + [(2, T(h, 0, d), A) for d in (1, 2, 3) for h in range(6)]
+    got = {r.user_id: (r.min_events, r.consistent) for r in MB.consistent_users(pings(spark, rows), 5).collect()}
+    assert got == {1: (0, False), 2: (6, True)}
+
+
+def test_home_work_radius_beyond_a_thousand_km(spark):
+    p = pings(spark, [(1, T(8), (0.0, 0.0)), (1, T(9), (12.0, 0.0)), (1, T(10), (60.0, 0.0))])
+    got = sorted((r.clust_id, r.visit_freq) for r in MB.home_work_clusters(p, radius_km=1500.0).collect())
+    assert got == [(1, 2), (2, 1)]
+
+
+def test_home_work_hot_user_is_split_by_place(spark):
+    """A user over several far-apart places: as many groups as places, and the plain fold's clusters."""
+    from fieldkit.operators.clustering import place_groups, placed_events
+    rnd = random.Random(9)
+    rows = []
+    for i in range(1500):
+        cx, cy = rnd.choice([(10.0, 50.0), (14.0, 50.0), (33.0, -14.0), (34.5, -15.0)])
+        rows.append((1, dt.datetime(2024, 1, rnd.randint(1, 28), rnd.randint(0, 23), rnd.randint(0, 59)),
+                     (cx + rnd.uniform(-0.2, 0.2), cy + rnd.uniform(-0.2, 0.2))))
+    p = pings(spark, rows)
+    assert place_groups(placed_events(p), 2.0).select("grp").distinct().count() >= 4
+    got = sorted((r.clust_id, r.visit_freq, r.x, r.y) for r in MB.home_work_clusters(p).collect())
+    assert [g[1:] for g in got] == py_home_work_fold([(t, i, x, y) for i, (_, t, (x, y)) in enumerate(rows)])
+
+
 def test_trips_independent_of_session_time_zone(spark):
     """Wall-clock (NTZ) events around a DST gap give the same clusters, stays
     and trips whatever the session time zone."""
