@@ -15,7 +15,7 @@ from fieldkit.functions.geo import haversine, round6
 from fieldkit.operators.clustering import (PLACED, has_hot_groups, home_work_clusters_raw, to_micros, trip_clusters_raw,
                                            trip_fold_stream)
 from fieldkit.operators.sequence import with_next, with_row_number
-from fieldkit.params import (DISTANCE_THRESHOLD_KM, HOME_HOURS, HOME_WORK_SHARE, LAST_STAY_MIN, MIN_UNIQUE_LOCS,
+from fieldkit.params import (DISTANCE_THRESHOLD_KM, EARTH_RADIUS_KM, HOME_HOURS, HOME_WORK_SHARE, LAST_STAY_MIN, MIN_UNIQUE_LOCS,
                              STAY_THRESHOLD_MIN, TRANSIT_HOURS, TRIP_RADIUS_KM, WEEKEND_FROM, WORK_HOURS)
 
 _DAY = ["user_id", "day"]
@@ -122,32 +122,57 @@ def unique_locations(pings: DataFrame) -> DataFrame:
     return with_day(pings).select(*_DAY, "x", "y").distinct()
 
 
+GRID = 16   # a user-day's box is cut into GRID x GRID cells
+
+
 def farthest_distance(pings: DataFrame) -> DataFrame:
     """Per user-day: number of unique locations and the largest distance
     between two of them (0 for a single location) (MB-3).
 
-    Locations are deduplicated first (partial aggregation before the
-    shuffle), so a day's set is bounded by the number of distinct sites, not
-    by its event count; the pair maximum is a nested ``aggregate`` inside one
-    expression — no pair rows are produced.
+    A day's locations are summed up by cells of its bounding box: their bounds
+    and one location each, at most GRID x GRID rows. The farthest of those locations
+    bounds the answer from below, the corners of two cells bound a pair from
+    above; only locations in pairs of cells that can still beat the bound
+    are compared, as rows of a join. No row or task holds a day's locations.
     """
-    # collect_set deduplicates map-side (partial aggregation), one shuffle
-    locs = with_day(pings).groupBy(*_DAY).agg(F.collect_set(F.struct("x", "y")).alias("locs"))
-    # the haversine distance grows with its term a = sin²(Δφ/2) + cos φ1 cos φ2 sin²(Δλ/2),
-    # and a is symmetric in the two points: scan each unordered pair once for
-    # the largest a, then turn that one value into kilometres
-    max_a = F.expr("""
-        aggregate(sequence(1, size(locs)), CAST(0.0 AS DOUBLE), (m, i) ->
-          aggregate(sequence(i, size(locs)), m, (m2, j) -> greatest(m2,
-            sin(radians(element_at(locs, j).y - element_at(locs, i).y) / 2)
-              * sin(radians(element_at(locs, j).y - element_at(locs, i).y) / 2)
-            + cos(radians(element_at(locs, i).y)) * cos(radians(element_at(locs, j).y))
-              * sin(radians(element_at(locs, j).x - element_at(locs, i).x) / 2)
-              * sin(radians(element_at(locs, j).x - element_at(locs, i).x) / 2))))
-    """)
-    pair_max = F.lit(6371.0) * (F.lit(2.0) * F.atan2(F.sqrt("max_a"), F.sqrt(F.lit(1.0) - F.col("max_a"))))
-    return (locs.select(*_DAY, F.size("locs").cast("bigint").alias("n_locs"), max_a.alias("max_a"))
-            .select(*_DAY, "n_locs", pair_max.alias("max_dist")))
+    p = pings.where("x IS NOT NULL AND y IS NOT NULL")
+    locs = unique_locations(p).where("user_id IS NOT NULL AND day IS NOT NULL")
+    box = with_day(p).groupBy(*_DAY).agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"),
+                                         F.max("y").alias("y1"))
+    step = lambda v: F.when(F.col(f"{v}1") > F.col(f"{v}0"), F.least(F.lit(GRID - 1), F.floor(
+        (F.col(v) - F.col(f"{v}0")) / (F.col(f"{v}1") - F.col(f"{v}0")) * GRID)).cast("int")).otherwise(F.lit(0))
+    celled = locs.join(box, _DAY).select(*_DAY, "x", "y", (step("x") * GRID + step("y")).alias("cell"))
+    cells = celled.groupBy(*_DAY, "cell").agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"),
+        F.max("y").alias("y1"), F.min(F.struct("x", "y")).alias("one"))
+    days = cells.groupBy(*_DAY).agg(F.sum("n").alias("n_locs"), F.collect_list(   # GRID * GRID cells at most
+        F.struct("cell", "n", "x0", "x1", "y0", "y1", F.col("one.x").alias("x"), F.col("one.y").alias("y"))).alias("c"))
+    pair = "aggregate(sequence(1, size(c)), {zero}, (s, i) -> aggregate(sequence(i, size(c)), s, (t, j) -> {step}))"
+    hav = ("pow(sin(radians({y2} - {y1}) / 2), 2) + cos(radians({y1})) * cos(radians({y2}))"
+           " * pow(sin(radians({x2} - {x1}) / 2), 2)")
+    known = hav.format(y1="c[i - 1].y", y2="c[j - 1].y", x1="c[i - 1].x", x2="c[j - 1].x")
+    # from above: the widest angles between two cells and, for the cosines, their latitudes nearest to the equator
+    wide = lambda v: f"greatest(abs(c[i - 1].{v}1 - c[j - 1].{v}0), abs(c[j - 1].{v}1 - c[i - 1].{v}0))"
+    cosine = lambda k: f"cos(radians(if(c[{k} - 1].y0 <= 0 AND c[{k} - 1].y1 >= 0, 0D, least(abs(c[{k} - 1].y0), abs(c[{k} - 1].y1)))))"
+    most = (f"pow(sin(radians(least({wide('y')}, 180D)) / 2), 2)"
+            f" + {cosine('i')} * {cosine('j')} * pow(sin(radians(least({wide('x')}, 180D)) / 2), 2)")
+    bounded = days.withColumn("low", F.expr(pair.format(zero="CAST(0 AS DOUBLE)", step=f"greatest(t, {known})")))
+    open_pairs = pair.format(
+        zero="CAST(array() AS array<struct<a: int, b: int>>)",
+        step=f"if(c[i - 1].n * c[j - 1].n > 1 AND ({most}) > low, concat(t, array(named_struct('a', c[i - 1].cell, 'b', c[j - 1].cell))), t)")
+    # the bound enters as a lambda's argument, so it is worked out once a row and not once a pair
+    once = f"element_at(transform(array(low), low -> {open_pairs}), 1)"
+    found = bounded.select(*_DAY, "n_locs", "low", F.expr(once).alias("pairs"))
+    todo = found.select(*_DAY, F.explode("pairs").alias("p")).select(*_DAY, "p.a", "p.b")
+    one = celled.select(*_DAY, F.col("cell").alias("a"), F.col("x").alias("xa"), F.col("y").alias("ya"))
+    other = celled.select(*_DAY, F.col("cell").alias("b"), F.col("x").alias("xb"), F.col("y").alias("yb"))
+    exact = (todo.join(one, [*_DAY, "a"]).join(other, [*_DAY, "b"])
+             .withColumn("h", F.expr(hav.format(y1="ya", y2="yb", x1="xa", x2="xb")))
+             .groupBy(*_DAY).agg(F.max("h").alias("h")))
+    best = F.least(F.lit(1.0), F.greatest("low", F.coalesce("h", F.lit(0.0))))
+    return found.drop("pairs").join(exact, _DAY, "left").select(
+        *_DAY, F.col("n_locs").cast("bigint").alias("n_locs"),
+        (F.asin(F.sqrt(best)) * F.lit(2 * EARTH_RADIUS_KM)).alias("max_dist"))
 
 
 def travel_days(pings: DataFrame, min_unique_locs: int = MIN_UNIQUE_LOCS,

@@ -221,6 +221,26 @@ def test_pipeline_properties_on_test_data(spark):
     assert SP.od_inflows(od).agg(F.sum("count")).first()[0] == total
 
 
+def test_farthest_pair_of_many_points(spark):
+    """Clustered, collinear and random days, and one of 100,000 points, against all pairs of the hull's candidates."""
+    import numpy as np
+    rng = np.random.default_rng(8)
+    big = np.column_stack([rng.normal(30, 2, 100_000), rng.normal(-10, 1.5, 100_000)])
+    days = {1: rng.uniform(-0.01, 0.01, (300, 2)) + [33.7, -14.0], 2: np.column_stack([np.linspace(10, 12, 200), np.full(200, 50.0)]),
+            3: np.vstack([rng.normal(0, .01, (150, 2)), rng.normal(0, .01, (150, 2)) + [5, 5]]), 4: np.array([[1.0, 2.0]]),
+            5: rng.uniform([-180, -85], [180, 85], (300, 2)), 6: big}
+    rows = [(i, u, T(0), 0, float(x), float(y)) for u, pts in days.items() for i, (x, y) in enumerate(pts)]
+    got = {r.user_id: (r.n_locs, r.max_dist) for r in MB.farthest_distance(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for u, pts in days.items():
+        far = pts
+        if len(pts) > 1000:   # the farthest pair are points extreme in some direction
+            turn = np.radians(np.arange(0, 360, 0.25))
+            far = pts[np.unique(np.argmax((pts - pts.mean(axis=0)) @ np.array([np.cos(turn), np.sin(turn)]), axis=0))]
+        want = max(float(distance_km(far[:, 1], far[:, 0], y, x).max()) for x, y in far)
+        assert got[u][0] == len(np.unique(pts, axis=0))
+        assert got[u][1] >= want - 1e-6 and (len(pts) > 1000 or abs(got[u][1] - want) < 1e-6)
+
+
 def test_haversine_at_antipodes(spark):
     """Nearly opposite points: half the circumference, neither NaN nor an error, in columns and arrays."""
     from fieldkit.functions.geo import haversine
