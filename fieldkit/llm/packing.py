@@ -12,6 +12,7 @@ numbered within their length by Spark and look up their place.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -28,7 +29,11 @@ from fieldkit.llm.common import save, text_bytes, words_of
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 1_000_000   # words a Python worker keeps the ids of; then it starts anew
+CACHE_WORDS = 1_500_000   # words a Python worker keeps the ids of, about; then it starts anew
+
+
+# letters, and bytes beyond ASCII, between ASCII punctuation other than the apostrophe (which may begin a contraction)
+AROUND = re.compile(rb"([!-&(-/:-@\[-`{-~]*)([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 class Ids:
@@ -44,44 +49,75 @@ class Ids:
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
         self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _encode(self, words: list[bytes]) -> None:
+        """Ids of words one by one."""
+        for k in range(0, len(words), 20_000):
+            part = words[k:k + 20_000]
+            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+            for w, e in zip(part, found, strict=True):
+                self.known[w] = np.array(e.ids, "<u4").tobytes()
+
+    def _encode_letters(self, words: list[bytes]) -> None:
+        """Ids of words of letters: many as one text, parted after the ids that end a word."""
+        for k in range(0, len(words), 2_000):
+            part = words[k:k + 2_000]
+            text = b" ".join(part).decode()
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if ends.size != len(part):
+                self._encode(part)
+                continue
+            raw, first = ids.tobytes(), 0
+            for w, end in zip(part, (4 * ends).tolist(), strict=True):
+                self.known[w] = raw[first:end]
+                first = end
 
     def _learn(self, words: list[bytes]) -> None:
-        """Ids of new words; a word of letters before full stops or commas is made of the two."""
+        """Ids of new words; punctuation around letters is split off, as the tokenizer does."""
         known = self.known
-        stems: dict[bytes, None] = {}
+        letters: dict[bytes, None] = {}
+        others: dict[bytes, None] = {}
+        made = []
         for w in words:
-            stem = w.rstrip(b".,")
-            if stem and len(stem) < len(w) and 97 <= stem[-1] <= 122:
-                for part in (stem, w[len(stem):]):
-                    if part not in known:
-                        stems[part] = None
-            elif w not in known:
-                stems[w] = None
-        new = list(stems)
-        for k in range(0, len(new), 20_000):
-            part = new[k:k + 20_000]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for w, e in zip(part, found, strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        for w in words:
-            if w not in known:
-                stem = w.rstrip(b".,")
-                known[w] = known[stem] + known[w[len(stem):]]
+            m = AROUND.fullmatch(w)
+            if m is None or b"<|" in w or not m[2].decode().isalpha():
+                others[w] = None
+                continue
+            if m[2] not in known:
+                letters[m[2]] = None
+            if len(m[2]) < len(w):
+                made.append((w, m[1], m[2], m[3]))
+                for part in (m[1], m[3]):
+                    if part and part not in known:
+                        others[part] = None
+        self._encode_letters(list(letters))
+        self._encode(list(others))
+        known[b""] = b""
+        for w, before, stem, after in made:
+            known[w] = known[before] + known[stem] + known[after]
 
     def of(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of each text."""
         texts = [t if b"<|" in t else t.lower() for t in texts]
         for k in range(0, len(texts), 500):
             part = [words_of(t) for t in texts[k:k + 500]]
-            new = {w for words in part for w in words}.difference(self.known)
-            if len(self.known) + len(new) > self.limit:
+            if len(self.known) > self.limit:
                 self.known = {}
-                new = {w for words in part for w in words}
+            find = self.known.get
+            found = [list(map(find, words)) for words in part]
+            new = {w for words, ids in zip(part, found, strict=True) if None in ids
+                   for w, i in zip(words, ids, strict=True) if i is None}
             if new:
                 self._learn(list(new))
-            find = self.known.__getitem__
-            for words in part:
-                yield b"".join(map(find, words))
+            known = self.known
+            for words, ids in zip(part, found, strict=True):
+                if None in ids:
+                    ids = [known[w] if i is None else i for w, i in zip(words, ids, strict=True)]
+                yield b"".join(ids)
 
 
 _IDS: dict[str, Ids] = {}   # per Python worker, by tokenizer file
