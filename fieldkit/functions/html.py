@@ -1,88 +1,209 @@
-"""HTML extraction as native regex expressions over an ``html`` column (HT-*).
+"""HTML extraction over an ``html`` column (HT-*).
 
-Fixed values: the entity table decoded by :func:`decode_entities` —
-&lt; → <, &gt; → >, &quot; → ", &#39; → ', &apos; → ', &nbsp; → space,
-&copy; → ©, &middot; → ·, and &amp; → & last (so '&amp;lt;' stays '&lt;').
+A small tokeniser walks the markup (any quoting, comments, raw script and
+style text), so nested elements, single quotes and all character references
+are read as a browser reads them. The functions are Arrow-batched columns.
 """
 
 from __future__ import annotations
 
+import html as _html
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fieldkit.functions.text import WS_CLASS
-
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
-
-TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
-SCRIPT_RE = r"(?is)<script[^>]*>.*?</script>"
-STYLE_RE = r"(?is)<style[^>]*>.*?</style>"
-COMMENT_RE = r"(?s)<!--.*?-->"
-TAG_RE = r"<[^>]*>"
-LINK_RE = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
-ROW_RE = r"(?is)<tr[^>]*>(.*?)</tr>"
-CELL_RE = r"(?is)<td[^>]*>(.*?)</td>"
-HEAD_RE = r"(?is)<th[^>]*>(.*?)</th>"
+_MARKUP = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
+    r"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
+_ATTRIBUTE = re.compile(r"(?P<name>[^\s=/\"'>]+)(?:\s*=\s*(?:\"(?P<dq>[^\"]*)\"|'(?P<sq>[^']*)'|(?P<bare>[^\s\"'>]+)))?")
+_RAW_TEXT = ("script", "style")
+_NO_END = frozenset("area base br col embed hr img input link meta source track wbr".split())
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """("text", "", content), ("start", tag, attributes) and ("end", tag, "") in page order; comments are left out."""
+    at = 0
+    while True:
+        m = _MARKUP.search(page, at)
+        if m is None:
+            if at < len(page):
+                yield "text", "", page[at:]
+            return
+        if m.start() > at:
+            yield "text", "", page[at:m.start()]
+        at = m.end()
+        if m["tag"] is None:
+            continue
+        tag = m["tag"].lower()
+        yield ("end", tag, "") if m["end"] else ("start", tag, m["attrs"])
+        if tag in _RAW_TEXT and not m["end"]:
+            stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+            at = stop.end() if stop else len(page)
+            yield "end", tag, ""
+
+
+def attribute(source: str, name: str) -> str | None:
+    for m in _ATTRIBUTE.finditer(source):
+        if m["name"].lower() == name:
+            value = next((v for v in (m["dq"], m["sq"], m["bare"]) if v is not None), "")
+            return _html.unescape(value)
+    return None
+
+
+def _clean(parts: list[str]) -> str:
+    """Text pieces between tags: one space apart, references decoded, white space collapsed."""
+    return " ".join(re.split(r"[ \t\n\r\f\xa0]+", _html.unescape(" ".join(parts)).strip(" \t\n\r\f\xa0")))
+
+
+def _title(page: str) -> str | None:
+    inside, parts = False, []
+    for kind, tag, text in tokens(page):
+        if tag == "title":
+            if kind == "end" and inside:
+                return _clean(parts)
+            inside = kind == "start"
+        elif inside:
+            parts.append(text)
+    return None
+
+
+def _text(page: str) -> str:
+    return _clean([t for kind, _, t in tokens(page) if kind == "text"])
+
+
+def _links(page: str) -> list[dict]:
+    found, href, parts = [], None, []
+
+    def close() -> None:
+        if href is not None:
+            found.append({"href": href, "anchor": _clean(parts)})
+
+    for kind, tag, rest in tokens(page):
+        if tag == "a":
+            close()
+            href, parts = (attribute(rest, "href") if kind == "start" else None), []
+        elif kind == "text" and href is not None:
+            parts.append(rest)
+    close()
+    return found
+
+
+def _nested_links(page: str, outer: str) -> list[str]:
+    """Targets of the links inside ``outer`` elements."""
+    depth, found = 0, []
+    for kind, tag, rest in tokens(page):
+        if tag == outer:
+            depth = max(0, depth + (1 if kind == "start" else -1))
+        elif depth and tag == "a" and kind == "start":
+            href = attribute(rest, "href")
+            if href is not None:
+                found.append(href)
+    return found
+
+
+def _elements(page: str, name: str, css_class: str) -> list[str]:
+    """Texts of ``name`` elements that carry the class, nested ones included in the outer and listed on their own."""
+    found: list[tuple[int, list[str]]] = []   # (place, parts) of open and closed matches
+    open_: list[int | None] = []              # per open element of that name: its match, if any
+    for kind, tag, rest in tokens(page):
+        if kind == "text":
+            for k in open_:
+                if k is not None:
+                    found[k][1].append(rest)
+        elif tag == name and kind == "start":
+            if css_class in (attribute(rest, "class") or "").split():
+                found.append((len(found), []))
+                open_.append(len(found) - 1)
+            else:
+                open_.append(None)
+            if tag in _NO_END:
+                open_.pop()
+        elif tag == name and open_:
+            open_.pop()
+    return [_clean(parts) for _, parts in found]
+
+
+def _cells(page: str, cell: str) -> list[list[str]]:
+    """Per table row, the texts of its ``cell`` elements; a new cell or row closes the one before."""
+    rows: list[list[str]] = []
+    row: list[str] | None = None
+    parts: list[str] | None = None
+
+    def close_cell() -> None:
+        nonlocal parts
+        if parts is not None and row is not None:
+            row.append(_clean(parts))
+        parts = None
+
+    for kind, tag, rest in tokens(page):
+        if kind == "text":
+            if parts is not None:
+                parts.append(rest)
+        elif tag in ("td", "th", "tr", "table"):
+            close_cell()
+            if tag == "tr" or tag == "table":
+                if row is not None:
+                    rows.append(row)
+                row = [] if (tag, kind) == ("tr", "start") else None
+            elif kind == "start" and tag == cell:
+                row = [] if row is None else row
+                parts = []
+    close_cell()
+    if row is not None:
+        rows.append(row)
+    return rows
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def decode_entities(s) -> Column:
-    out = _c(s)
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
-
-
-def strip_tags(s) -> Column:
-    return F.regexp_replace(_c(s), TAG_RE, " ")
-
-
-def clean_text(s) -> Column:
-    """Tags → space, entities decoded, whitespace collapsed, trimmed."""
-    return F.trim(F.regexp_replace(decode_entities(strip_tags(s)), WS_CLASS, " "))
+def _column(fn, kind: str, html) -> Column:
+    @F.pandas_udf(kind)
+    def run(pages: pd.Series) -> pd.Series:
+        return pd.Series([None if p is None else fn(p) for p in pages], dtype=object)
+    return run(_c(html))
 
 
 def title(html) -> Column:
     """Page title text (HT-1); NULL when the page has none."""
-    t = F.regexp_extract(_c(html), TITLE_RE, 1)
-    return F.when(_c(html).rlike(TITLE_RE), clean_text(t))
+    return _column(_title, "string", html)
 
 
 def visible_text(html) -> Column:
-    """Text a reader sees (HT-2): drop script, style and comments first (a
-    script may contain '</p>'), then tags; decode and collapse whitespace."""
-    h = _c(html)
-    for rx in (SCRIPT_RE, STYLE_RE, COMMENT_RE):
-        h = F.regexp_replace(h, rx, " ")
-    return clean_text(h)
+    """All text of the page but scripts, styles and comments (HT-2)."""
+    return _column(_text, "string", html)
 
 
 def links(html) -> Column:
     """array<struct<href, anchor>> of all ``<a href>`` elements (HT-3)."""
-    h = _c(html)
-    hrefs = F.regexp_extract_all(h, F.lit(LINK_RE), 1)
-    texts = F.regexp_extract_all(h, F.lit(LINK_RE), 2)
-    return F.arrays_zip(hrefs.alias("href"), texts.alias("anchor"))
+    return _column(_links, "array<struct<href: string, anchor: string>>", html)
+
+
+def nested_links(html, outer: str) -> Column:
+    """array<string>: targets of the links inside ``<outer>`` elements."""
+    return _column(lambda p: _nested_links(p, outer), "array<string>", html)
 
 
 def element_text(html, tag: str, css_class: str) -> Column:
-    """Texts of non-nested ``<tag class="css_class">`` elements (HT-4)."""
-    rx = rf'(?is)<{tag}\b[^>]*class="[^"]*\b{css_class}\b[^"]*"[^>]*>(.*?)</{tag}>'
-    return F.transform(F.regexp_extract_all(_c(html), F.lit(rx), 1), clean_text)
+    """Texts of ``<tag>`` elements whose class list holds ``css_class`` (HT-4)."""
+    return _column(lambda p: _elements(p, tag, css_class), "array<string>", html)
 
 
 def table_rows(html, min_cells: int = 0) -> Column:
     """Rows of ``<td>`` cells, each cell cleaned on its own (so a comma inside a
     cell never splits it); rows with more than ``min_cells`` cells (HT-5)."""
-    rows = F.regexp_extract_all(_c(html), F.lit(ROW_RE), 1)
-    cells = F.transform(rows, lambda r: F.transform(F.regexp_extract_all(r, F.lit(CELL_RE), 1), clean_text))
-    return F.filter(cells, lambda c: F.size(c) > min_cells)
+    return _column(lambda p: [r for r in _cells(p, "td") if len(r) > min_cells], "array<array<string>>", html)
 
 
 def table_header(html) -> Column:
     """Header cell texts (HT-6)."""
-    return F.transform(F.regexp_extract_all(_c(html), F.lit(HEAD_RE), 1), clean_text)
+    return _column(lambda p: [c for r in _cells(p, "th") for c in r], "array<string>", html)
+
+
+def clean_text(s) -> Column:
+    """Tags to spaces, references decoded, white space collapsed, trimmed."""
+    return visible_text(s)

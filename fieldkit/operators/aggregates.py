@@ -4,7 +4,7 @@ shuffle and never collected into one task."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,3 +84,18 @@ def pivot_dense(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequ
     names = list(names) if names else [str(v) for v in values]
     return df.groupBy(*keys).agg(*[F.count_if(F.col(pivot_col) == F.lit(v)).alias(n)
                                    for v, n in zip(values, names)])
+
+
+def pivot_values(df: DataFrame, keys: Sequence[str], pivot_col: str, value: str, how: Callable[[Column], Column],
+                 values: Sequence) -> DataFrame:
+    """Long → wide table of a column's values, aggregated per cell by ``how`` (``F.sum``, ``F.max``, ...),
+    missing cells NULL (AG-19). One conditional aggregate, like ``pivot_dense``."""
+    return df.groupBy(*keys).agg(*[how(F.when(F.col(pivot_col) == F.lit(v), F.col(value))).alias(str(v)) for v in values])
+
+
+def pivot_keys(df: DataFrame, col: str, most: int = 1000) -> list:
+    """The distinct values of a dimension column, in order: the columns of a pivot. More than ``most`` is an error."""
+    found = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{col} has more than {most} values; a pivot needs a column for each")
+    return sorted(found)

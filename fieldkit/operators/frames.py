@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldkit.session import cut_lineage
+
 
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a frame over the cluster when its scan is narrower than
@@ -47,45 +49,89 @@ def safe_cast(df: DataFrame, col: str, to: str, name: str | None = None) -> Data
     return df.withColumn(name or col, F.expr(f"try_cast(`{col}` AS {to})"))
 
 
-def summary_stats(df: DataFrame, cols: Sequence[str], exact_median: bool = True) -> DataFrame:
-    """count / mean / stddev / min / max / median per column in one
-    aggregate (PR-18); one row, columns ``<stat>_<col>``.
-
-    The exact median keeps one counter per *distinct value* of the column
-    (small for quantities, flags, discounts); for high-cardinality columns
-    pass ``exact_median=False`` to use the bounded-memory ``percentile_approx``
-    sketch, as ``DataFrame.summary`` does."""
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
+    """One row, columns ``q0``, ``q1``, ...: exact quantiles of ``col``, linearly interpolated, NULLs ignored.
+
+    Values are counted first (combined on the map side), the counts sorted by
+    range; running sums need one number per range partition and a window
+    inside each, so neither a task nor the driver holds the column.
+    """
+    counts = (df.where(F.col(f"`{col}`").isNotNull()).groupBy(F.col(f"`{col}`").cast("double").alias("v"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    ranged = cut_lineage(counts.repartitionByRange("v").withColumn("part", F.spark_partition_id()))
+    per_part = ranged.groupBy("part").agg(F.sum("n").alias("m"))
+    ahead = per_part.withColumn("ahead", F.coalesce(F.sum("m").over(
+        Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))   # a row per partition
+    inside = F.sum("n").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    upto = ranged.join(ahead.select("part", "ahead"), "part").withColumn("upto", F.col("ahead") + inside)
+    total = ranged.agg(F.sum("n").alias("total"))
+    at = upto.crossJoin(F.broadcast(total))   # one row
+    aggs = []
+    for k, p in enumerate(probs):
+        rank = (F.col("total") - 1) * F.lit(float(p))
+        low, high = F.floor(rank) + 1, F.ceil(rank) + 1
+        aggs += [F.min(F.when(F.col("upto") >= low, F.col("v"))).alias(f"l{k}"),
+                 F.min(F.when(F.col("upto") >= high, F.col("v"))).alias(f"h{k}"), F.max(rank - F.floor(rank)).alias(f"f{k}")]
+    r = at.agg(*aggs)
+    return r.select(*[(F.col(f"l{k}") + (F.col(f"h{k}") - F.col(f"l{k}")) * F.col(f"f{k}")).alias(f"q{k}")
+                      for k in range(len(probs))])
+
+
+def summary_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """A row per column: values that are not NULL, mean, standard deviation, minimum, quartiles, maximum (PR-18).
+
+    Minimum and maximum are text, so that text columns have a place; mean,
+    deviation and (exact) quartiles are NULL for them."""
     from fieldkit.functions.geo import round6
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for c in cols:
-        med = F.median(c) if exact_median else F.percentile_approx(c, 0.5, 10000).cast("double")
-        aggs += [round6(F.avg(c)).alias(f"mean_{c}"), round6(F.stddev_samp(c)).alias(f"std_{c}"),
-                 F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"),
-                 round6(med).alias(f"median_{c}")]
-    return df.agg(*aggs)
+    kinds = dict(df.dtypes)
+    numeric = [c for c in cols if kinds[c] not in ("string", "boolean", "date", "timestamp", "timestamp_ntz", "binary")]
+    none = F.lit(None).cast("double")
+    one = df.agg(*[a for k, c in enumerate(cols) for a in (
+        F.count(f"`{c}`").alias(f"n{k}"), F.min(f"`{c}`").cast("string").alias(f"lo{k}"),
+        F.max(f"`{c}`").cast("string").alias(f"hi{k}"),
+        (round6(F.avg(f"`{c}`")) if c in numeric else none).alias(f"mean{k}"),
+        (round6(F.stddev_samp(f"`{c}`")) if c in numeric else none).alias(f"std{k}"))])
+    rows = one.select(F.explode(F.array(*[F.struct(
+        F.lit(c).alias("column"), F.col(f"n{k}").alias("count"), F.col(f"mean{k}").alias("mean"), F.col(f"std{k}").alias("std"),
+        F.col(f"lo{k}").alias("min"), F.col(f"hi{k}").alias("max")) for k, c in enumerate(cols)])).alias("s")).select("s.*")
+    quart = None
+    for c in numeric:
+        q = exact_quantiles(df, c, (0.25, 0.5, 0.75)).select(
+            F.lit(c).alias("column"), *[round6(f"q{k}").alias(f"p{p}") for k, p in enumerate((25, 50, 75))])
+        quart = q if quart is None else quart.unionByName(q)
+    if quart is None:
+        return rows.select("*", *[none.alias(f"p{p}") for p in (25, 50, 75)])
+    return rows.join(quart, "column", "left")
+
+
+def key_fraction(key: str, seed: int = 42) -> Column:
+    """A number in [0, 1) from the MD5 of the key and a seed: the same in any engine and for any partitioning."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
-    """Reproducible Bernoulli-style sample: keep rows whose seeded key hash
-    falls below ``fraction`` (same rows for any partitioning) (PR-12)."""
-    return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) < int(fraction * 1_000_000))
+    """Reproducible Bernoulli-style sample: rows whose key falls below ``fraction`` (PR-12)."""
+    return df.where(key_fraction(key, seed) < F.lit(float(fraction)))
 
 
 def sample_users(df: DataFrame, user: str, k: int, seed: int = 42) -> DataFrame:
-    """All rows of ``k`` distinct users drawn by a seeded hash (PR-13).
-
-    The draw is a top-k over distinct users (bounded by ``k``), so the
-    semi-join side has a proven size and is broadcast."""
-    users = (df.select(user).distinct()
-             .withColumn("_h", F.xxhash64(F.col(user), F.lit(seed)))
-             .orderBy("_h", user).limit(k).select(user))
-    return df.join(F.broadcast(users), user, "left_semi")
-
-
-def random_split(df: DataFrame, weights: Sequence[float], seed: int = 42) -> DataFrame:
-    """``randomSplit`` with the part index kept as a column (PR-14)."""
-    parts = df.randomSplit(list(weights), seed)
-    return reduce(DataFrame.unionByName, [p.withColumn("split", F.lit(i)) for i, p in enumerate(parts)])
+    """All rows of ``k`` distinct users, those with the smallest key fraction (PR-13).
+
+    The list of users has ``k`` rows; the join is left to the planner, which
+    broadcasts it while it is small."""
+    users = (df.select(user).distinct().withColumn("_h", key_fraction(user, seed)).orderBy("_h", user).limit(k).select(user))
+    return df.join(users, user, "left_semi")
+
+
+def random_split(df: DataFrame, key: str, weights: Sequence[float], seed: int = 42) -> DataFrame:
+    """Each row with the part it falls into, ``split`` 0, 1, ... (PR-14). Parts are ranges of the key's fraction, so a
+    row is in exactly one, whatever the partitioning."""
+    total, upto, split = float(sum(weights)), 0.0, F.lit(0)
+    for w in list(weights)[:-1]:
+        upto += w / total
+        split = split + (key_fraction(key, seed) >= F.lit(upto)).cast("int")
+    return df.withColumn("split", split)
 
 
 def union_all_by_name(frames: Sequence[DataFrame]) -> DataFrame:

@@ -10,22 +10,14 @@ from pyspark.sql import functions as F
 from fieldkit.operators.frames import remove_spaces_in_colnames, union_all_by_name
 
 
-# Row limit under which a dimension side is broadcast after an explicit count.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, weight: Column | None = None) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_bytes: int, row_bytes: Column) -> DataFrame:
     """Broadcast hint only after checking the side's size.
 
-    The check runs on the (dimension) side alone: its row count, or the sum
-    of ``weight`` per row (e.g. vertices carried by a polygon row). Above
-    ``max_rows`` the frame is returned unhinted and the planner falls back
-    to a shuffle join."""
-    if weight is None:
-        n = df.limit(max_rows + 1).count()
-    else:
-        n = df.agg(F.sum(weight)).first()[0] or 0
-    return F.broadcast(df) if n <= max_rows else df
+    The check sums ``row_bytes``, an estimate per row, over the (dimension)
+    side alone. Above ``max_bytes`` the frame is returned unhinted and the
+    planner falls back to a shuffle join; the rows are the same."""
+    size = df.agg(F.sum(row_bytes)).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def enrich_with_site(events: DataFrame, site_tables: Sequence[DataFrame], event_key: str,
@@ -55,20 +47,32 @@ def match_coverage(events: DataFrame, sites: DataFrame, event_key: str, site_key
         F.coalesce(F.sum(F.when(F.col("in_sites").isNotNull(), F.col("n_ev"))), F.lit(0)).alias("n_matched_events"))
 
 
-def dense_daily_counts(events: DataFrame, key: str, ts: str = "ts") -> DataFrame:
+MAX_SPINE_DAYS = 36_600
+
+
+def dense_daily_counts(events: DataFrame, key: str, ts: str = "ts", first_day: str | None = None,
+                       last_day: str | None = None, max_days: int = MAX_SPINE_DAYS) -> DataFrame:
     """Events per key and reference day, 0 on days without events (JN-7).
 
-    Reference days = every day from the data set's first to last day. Each
-    key row explodes its own spine from the two scalar bounds (no users ×
-    days cross join), then a left join brings the counts."""
+    Reference days run from the data set's first to last day, or between the
+    days given (``'2024-01-31'``). Keys and bounds come from the counted
+    table, so events are read once; each key row explodes its own spine (no users × days
+    cross join). Events without a time belong to no day. A spine of more than
+    ``max_days`` (one stray date is enough) is an error.
+    """
     spark = events.sparkSession
+    counted = (events.where(F.col(ts).isNotNull()).groupBy(key, F.to_date(ts).alias("day"))
+               .agg(F.count(F.lit(1)).alias("n")))
+    lo = f"DATE'{first_day}'" if first_day else "(SELECT min(day) FROM {c})"
+    hi = f"DATE'{last_day}'" if last_day else "(SELECT max(day) FROM {c})"
     return spark.sql(f"""
-        WITH c AS (SELECT `{key}`, to_date(`{ts}`) AS day, count(*) AS n FROM {{e}} GROUP BY 1, 2),
-             k AS (SELECT DISTINCT `{key}` FROM {{e}}),
-             s AS (SELECT `{key}`, explode(sequence((SELECT min(to_date(`{ts}`)) FROM {{e}}),
-                                                    (SELECT max(to_date(`{ts}`)) FROM {{e}}),
-                                                    INTERVAL 1 DAY)) AS day FROM k)
-        SELECT s.`{key}`, s.day, coalesce(c.n, 0) AS n FROM s LEFT JOIN c USING (`{key}`, day)""", e=events)
+        WITH r AS (SELECT {lo} AS d0, {hi} AS d1),
+             b AS (SELECT d0, if(datediff(d1, d0) < {int(max_days)}, d1,
+                                 raise_error(concat('days from ', d0, ' to ', d1, ': more than {int(max_days)}'))) AS d1 FROM r),
+             s AS (SELECT `{key}`, explode(sequence((SELECT d0 FROM b), (SELECT d1 FROM b), INTERVAL 1 DAY)) AS day
+                   FROM (SELECT DISTINCT `{key}` FROM {{c}}))
+        SELECT s.`{key}`, s.day, coalesce(c.n, 0) AS n FROM s LEFT JOIN {{c}} c ON c.`{key}` <=> s.`{key}` AND c.day = s.day""",
+                     c=counted)
 
 
 def lookup_case_insensitive(table: DataFrame, col: str, names: Sequence[str]) -> DataFrame:
@@ -76,8 +80,3 @@ def lookup_case_insensitive(table: DataFrame, col: str, names: Sequence[str]) ->
     kept (JN-10). The name list is a parameter of known, small size."""
     q = table.sparkSession.range(0, 1, 1, 1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("query"))
     return table.join(F.broadcast(q), F.lower(F.col(col)) == F.lower(F.col("query")))
-
-
-def semi_join(df: DataFrame, keys_df: DataFrame, on: Sequence[str] | Column) -> DataFrame:
-    """Rows of ``df`` with a match in ``keys_df`` (JN-8)."""
-    return df.join(keys_df, on, "left_semi")

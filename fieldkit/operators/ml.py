@@ -15,7 +15,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldkit.params import RF_MAX_BINS, RF_MAX_DEPTH, RF_NUM_TREES, RF_SEED, SPLIT_WEIGHTS
+from fieldkit.operators.frames import hash_sample, random_split
+from fieldkit.params import RF_MAX_BINS, RF_MAX_DEPTH, RF_NUM_TREES, RF_SEED, SAMPLE_FRACTION, SPLIT_WEIGHTS
 
 
 def array_features(df: DataFrame, col: str, out: str = "features") -> DataFrame:
@@ -38,9 +39,15 @@ def random_forest(label: str = "label", features: str = "features", num_trees: i
                                   maxBins=max_bins, impurity="gini", featureSubsetStrategy="auto", seed=seed)
 
 
-def train_test(df: DataFrame, weights=SPLIT_WEIGHTS, seed: int = RF_SEED) -> tuple[DataFrame, DataFrame]:
-    train, test = df.randomSplit(list(weights), seed)
-    return train, test
+def train_test(df: DataFrame, key: str, weights=SPLIT_WEIGHTS, seed: int = RF_SEED) -> tuple[DataFrame, DataFrame]:
+    """Train and test rows by the key's hash: no row is in both or in neither, however the jobs are laid out."""
+    parts = random_split(df, key, weights, seed)
+    return parts.where("split = 0").drop("split"), parts.where("split = 1").drop("split")
+
+
+def prepared(df: DataFrame, key: str, fraction: float = SAMPLE_FRACTION, seed: int = RF_SEED) -> DataFrame:
+    """First stages of a training job: rows with a NULL dropped, then a reproducible sample (ML-8)."""
+    return hash_sample(df.na.drop(how="any"), key, fraction, seed + 1)
 
 
 def fit_forest(train: DataFrame, feature_cols: Sequence[str] | None = None, label: str = "label",
@@ -78,3 +85,12 @@ def feature_importances(model: PipelineModel, names: Sequence[str]) -> list[tupl
     """Forest feature importances paired with names (ML-6)."""
     imp = model.stages[-1].featureImportances.toArray().tolist()
     return list(zip(names, imp))
+
+
+def save_model(model: PipelineModel, path: str) -> None:
+    """Write a fitted pipeline, replacing what is there (IO-15)."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)

@@ -4,23 +4,33 @@ Polygons: ``(admin_id, admin_name, rings array<array<struct<x,y>>>)``, each
 ring closed (first point = last point); holes and multi-part areas are just
 more rings (even-odd rule across all rings of the area).
 
-The join is an equi-join on grid cells — each polygon is listed under every
-cell its bounding box touches, each point under its own cell — followed by
-the exact even-odd test as a native array expression. No cross join: a point
-only meets polygons whose box shares its cell. Points on an edge are not
-*within* (same as a ``within`` predicate).
+The join is an equi-join on cells of a quadtree over each polygon: cells that
+no edge crosses are kept whole, as coarse as they come, and only if they lie
+inside; cells that an edge crosses are divided down to the finest level, where
+they carry the edges that decide for their points. So the index grows with the
+outline and not with the area. A point looks up its cell at every level that the
+index has; there is no cross join. Points on an edge are not *within* (same
+as a ``within`` predicate).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldkit.operators.joins import broadcast_if_small
+from fieldkit.session import cut_lineage
 
-DEFAULT_CELL_DEG = 0.01
-# edges (summed over cell rows) under which the polygon side is broadcast
-BROADCAST_MAX_VERTICES = 4_000_000
+DEFAULT_CELL_DEG = 0.01   # side of a cell of level 0; level k: 2^k times that
+LEVELS = 16
+# estimated bytes under which the index is broadcast: a cell with its keys, and each of its edges
+BROADCAST_MAX_BYTES = 256 << 20
+CELL_BYTES, EDGE_BYTES = 120, 48
 
 # Point-in-polygon test over a cell's edge list e = (x1, y1, x2, y2), point (px, py):
 # on an edge → not within; else within iff the ray to +x crosses an odd
@@ -30,49 +40,110 @@ _ON_EDGE = ("exists(cell_edges, e -> (e.x2 - e.x1) * (py - e.y1) - (e.y2 - e.y1)
             "AND py BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2))")
 _CROSSINGS = ("size(filter(cell_edges, e -> ((e.y1 > py) <> (e.y2 > py)) "
               "AND px < (e.x2 - e.x1) * (py - e.y1) / (e.y2 - e.y1) + e.x1))")
-WITHIN_SQL = f"NOT {_ON_EDGE} AND {_CROSSINGS} % 2 = 1"
-
-_EDGES_SQL = """flatten(transform(rings, ring -> transform(sequence(1, size(ring) - 1), i ->
-    named_struct('x1', element_at(ring, i).x, 'y1', element_at(ring, i).y,
-                 'x2', element_at(ring, i + 1).x, 'y2', element_at(ring, i + 1).y))))"""
+# cells without edges lie inside as a whole
+WITHIN_SQL = f"cell_edges IS NULL OR (NOT {_ON_EDGE} AND {_CROSSINGS} % 2 = 1)"
+
+
+def _edges(rings: list) -> np.ndarray:
+    """(n, 4) array of the edges x1, y1, x2, y2 of all rings."""
+    parts = []
+    for ring in rings:
+        p = np.array([(q["x"], q["y"]) for q in ring], np.float64).reshape(-1, 2)
+        if len(p) > 1:
+            parts.append(np.hstack([p[:-1], p[1:]]))
+    return np.concatenate(parts) if parts else np.zeros((0, 4))
+
+
+def _touching(e: np.ndarray, x0: float, y0: float, x1: float, y1: float) -> np.ndarray:
+    """Which edges meet the closed box (a hair wider): bounds overlap and its corners lie on both sides of the line."""
+    eps = 1e-9 * max(x1 - x0, abs(x0), abs(y0), 1e-9)
+    x0, y0, x1, y1 = x0 - eps, y0 - eps, x1 + eps, y1 + eps
+    near = ((np.minimum(e[:, 0], e[:, 2]) <= x1) & (np.maximum(e[:, 0], e[:, 2]) >= x0)
+            & (np.minimum(e[:, 1], e[:, 3]) <= y1) & (np.maximum(e[:, 1], e[:, 3]) >= y0))
+    dx, dy = e[:, 2] - e[:, 0], e[:, 3] - e[:, 1]
+    side = [dx * (y - e[:, 1]) - dy * (x - e[:, 0]) for x in (x0, x1) for y in (y0, y1)]
+    return near & (np.minimum.reduce(side) <= 0) & (np.maximum.reduce(side) >= 0)
+
+
+def _inside(e: np.ndarray, x: float, y: float) -> bool:
+    up = (e[:, 1] > y) != (e[:, 3] > y)
+    e = e[up]
+    return bool(np.count_nonzero(x < (e[:, 2] - e[:, 0]) * (y - e[:, 1]) / (e[:, 3] - e[:, 1]) + e[:, 0]) % 2)
+
+
+def quadtree(rings: list, g: float) -> Iterator[tuple[int, int, int, np.ndarray | None]]:
+    """(level, gx, gy, edges) of a polygon's cells; edges None: inside as a whole."""
+    e = _edges(rings)
+    if not len(e):
+        return
+    lo, hi = e.reshape(-1, 2).min(axis=0), e.reshape(-1, 2).max(axis=0)
+    top = min(LEVELS - 1, max(0, int(np.ceil(np.log2(max((hi - lo).max() / g, 1))))))
+    side = g * 2**top
+    todo = [(top, i, j, np.arange(len(e))) for i in range(int(np.floor(lo[0] / side)), int(np.floor(hi[0] / side)) + 1)
+            for j in range(int(np.floor(lo[1] / side)), int(np.floor(hi[1] / side)) + 1)]
+    while todo:
+        level, i, j, own = todo.pop()
+        side = g * 2**level
+        x0, y0 = i * side, j * side
+        own = own[_touching(e[own], x0, y0, x0 + side, y0 + side)]
+        if not own.size:
+            if _inside(e, x0 + side / 2, y0 + side / 2):
+                yield level, i, j, None
+        elif level:
+            todo += [(level - 1, 2 * i + a, 2 * j + b, own) for a in (0, 1) for b in (0, 1)]
+        else:
+            eps = g * 1e-9   # the cell's row, from its left side on: all that a ray to +x can meet
+            row = ((np.maximum(e[:, 1], e[:, 3]) >= y0 - eps) & (np.minimum(e[:, 1], e[:, 3]) <= y0 + g + eps)
+                   & (np.maximum(e[:, 0], e[:, 2]) >= x0 - eps))
+            yield 0, i, j, e[row]
 
 
 def polygon_cells(polygons: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
-    """Polygons listed under each grid cell their bounding box touches, each
-    with only the edges that matter for points of that cell: edges in the
-    cell's row (y-range overlap) reaching the cell's left side or beyond —
-    the only ones a ray from such a point towards +x can meet or lie on."""
+    """Each polygon's quadtree cells: its columns but ``rings``, level, gx, gy, cell_edges (NULL: inside)."""
     g = float(cell_deg)
-    eps = g * 1e-9  # widen the strip by a hair: may add, never drop, an edge
-    box = (polygons.withColumn("edges", F.expr(_EDGES_SQL))
-           .withColumn("gx0", F.floor(F.array_min(F.transform("edges", lambda e: F.least(e.x1, e.x2))) / g))
-           .withColumn("gx1", F.floor(F.array_max(F.transform("edges", lambda e: F.greatest(e.x1, e.x2))) / g))
-           .withColumn("gy0", F.floor(F.array_min(F.transform("edges", lambda e: F.least(e.y1, e.y2))) / g))
-           .withColumn("gy1", F.floor(F.array_max(F.transform("edges", lambda e: F.greatest(e.y1, e.y2))) / g)))
-    cells = (box.withColumn("gx", F.explode(F.sequence("gx0", "gx1")))
-             .withColumn("gy", F.explode(F.sequence("gy0", "gy1"))))
-    strip = F.filter("edges", lambda e: (F.greatest(e.y1, e.y2) >= F.col("gy") * g - eps)
-                     & (F.least(e.y1, e.y2) <= (F.col("gy") + 1) * g + eps)
-                     & (F.greatest(e.x1, e.x2) >= F.col("gx") * g - eps))
-    return (cells.withColumn("cell_edges", strip)
-            .drop("gx0", "gx1", "gy0", "gy1", "edges", "rings"))
+    keep = [f for f in polygons.schema.fields if f.name != "rings"]
+    names = [f.name for f in keep]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for row in pdf.to_dict("records"):
+                out = []
+                for level, i, j, edges in quadtree(row["rings"], g):
+                    listed = None if edges is None else [dict(zip(("x1", "y1", "x2", "y2"), v, strict=True)) for v in edges.tolist()]
+                    out.append((*[row[n] for n in names], level, i, j, listed))
+                    if len(out) == 5000:
+                        yield pd.DataFrame(out, columns=[*names, "level", "gx", "gy", "cell_edges"])
+                        out = []
+                if out:
+                    yield pd.DataFrame(out, columns=[*names, "level", "gx", "gy", "cell_edges"])
+
+    edge = T.ArrayType(T.StructType([T.StructField(n, T.DoubleType()) for n in ("x1", "y1", "x2", "y2")]))
+    schema = T.StructType([*keep, T.StructField("level", T.IntegerType()), T.StructField("gx", T.LongType()),
+                           T.StructField("gy", T.LongType()), T.StructField("cell_edges", edge)])
+    return polygons.where(F.col("rings").isNotNull()).mapInPandas(run, schema)
 
 
 def indexed_polygons(polygons: DataFrame, cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
-    """The polygon layer as grid cells with their edge lists, broadcast only
-    when the edges it carries stay under ``BROADCAST_MAX_VERTICES`` (checked
-    by one aggregate over this small side); otherwise left to a shuffle join."""
-    cells = polygon_cells(polygons, cell_deg)
-    return broadcast_if_small(cells, BROADCAST_MAX_VERTICES, F.size("cell_edges") + 1)
+    """The polygon layer as cells, kept as a table, broadcast only while its estimated bytes stay under
+    ``BROADCAST_MAX_BYTES``; otherwise left to a shuffle join."""
+    cells = cut_lineage(polygon_cells(polygons, cell_deg))
+    return broadcast_if_small(cells, BROADCAST_MAX_BYTES,
+                              F.lit(CELL_BYTES) + EDGE_BYTES * F.coalesce(F.size("cell_edges"), F.lit(0)))
 
 
 def join_cells(points: DataFrame, cells: DataFrame, x: str = "x", y: str = "y",
                cell_deg: float = DEFAULT_CELL_DEG) -> DataFrame:
-    """Points × indexed polygons: equi-join on the grid cell, then the exact test."""
-    g = F.lit(float(cell_deg))
-    p = points.select("*", F.col(x).alias("px"), F.col(y).alias("py"),
-                      F.floor(F.col(x) / g).alias("gx"), F.floor(F.col(y) / g).alias("gy"))
-    return p.join(cells, ["gx", "gy"]).where(F.expr(WITHIN_SQL)).drop("gx", "gy", "px", "py", "cell_edges")
+    """Points × indexed polygons: equi-join on the cells of the index' levels, then the exact test."""
+    g = float(cell_deg)
+    levels = sorted(r["level"] for r in cells.select("level").distinct().collect())   # LEVELS at most
+    at = [F.struct(F.lit(k).alias("level"), F.floor(F.col(x) / F.lit(g * 2**k)).alias("gx"),
+                   F.floor(F.col(y) / F.lit(g * 2**k)).alias("gy")) for k in levels]
+    if not at:
+        at = [F.struct(F.lit(0).alias("level"), F.lit(0).cast("bigint").alias("gx"), F.lit(0).cast("bigint").alias("gy"))]
+    p = points.select("*", F.col(x).alias("px"), F.col(y).alias("py"), F.explode(F.array(*at)).alias("__at"))
+    p = p.select("*", "__at.level", "__at.gx", "__at.gy").drop("__at")
+    return (p.join(cells, ["level", "gx", "gy"]).where(F.expr(WITHIN_SQL))
+            .drop("level", "gx", "gy", "px", "py", "cell_edges"))
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, x: str = "x", y: str = "y",

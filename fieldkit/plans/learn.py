@@ -19,7 +19,7 @@ def _points(spark, sf_dir):
 
 
 def _predictions(spark, sf_dir):
-    train, test = ML.train_test(_points(spark, sf_dir))
+    train, test = ML.train_test(_points(spark, sf_dir), "vec_id")
     model = ML.fit_forest(train)
     return model.transform(test)
 
@@ -54,7 +54,7 @@ def rf_quality_predictions(spark, sf_dir):
         F.size(F.split("text", "\n")).cast("double").alias("n_lines"))
     lab = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     data = StringIndexer(inputCol="lang", outputCol="lang_idx", handleInvalid="keep").fit(docs).transform(docs)
-    data = data.join(lab, "doc_id").na.drop(how="any")
-    train, test = ML.train_test(data)
+    data = ML.prepared(data.join(lab, "doc_id"), "doc_id")
+    train, test = ML.train_test(data, "doc_id")
     model = ML.fit_forest(train, feature_cols=["n_chars", "n_lines", "lang_idx"])
     return model.transform(test).select("doc_id", "label", "prediction")

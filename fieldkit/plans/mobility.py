@@ -199,6 +199,23 @@ def points_in_polygons(spark, sf_dir):
     return SP.points_in_polygons(pts, FX.admin_polygons(spark)).select("event_id", "admin_id")
 
 
+# the shapes as unions of the 3 x 3 boxes (row, column): independent of rings and rays
+_SHAPES_SQL = " UNION ALL ".join(
+    f"SELECT event_id, '{k}' AS admin_id FROM b WHERE (r, c) IN ({', '.join(map(str, v))})" for k, v in {
+        "L": [(0, 0), (0, 1), (1, 0), (2, 0)], "P": [(0, 0), (2, 2)],
+        "O": [(r, c) for r in range(3) for c in range(3) if (r, c) != (1, 1)]}.items())
+
+
+@register("points_in_shapes", ids=("JN-5",), views=("pings", "admin_polygons"), sql=f"""
+WITH b AS (SELECT p.event_id, CAST(substr(a.admin_id, 2, 1) AS INTEGER) AS r, CAST(substr(a.admin_id, 3, 1) AS INTEGER) AS c
+           FROM pings p JOIN admin_polygons a ON p.x > a.xmin AND p.x < a.xmax AND p.y > a.ymin AND p.y < a.ymax)
+{_SHAPES_SQL}""")
+def points_in_shapes(spark, sf_dir):
+    """Sites in a concave area, an area with a hole and one of two parts."""
+    pts = _pings(spark, sf_dir).select("event_id", "x", "y")
+    return SP.points_in_polygons(pts, FX.shaped_polygons(spark)).select("event_id", "admin_id")
+
+
 @register("od_attributes", ids=("JN-4",), views=("pings", "admin_polygons"), sql=_OD_SQL + """
 SELECT user_id, trp_id, admin_id_o, admin_name_o, admin_id_d, admin_name_d FROM od_t""")
 def od_attributes(spark, sf_dir):

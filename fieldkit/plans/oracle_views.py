@@ -46,11 +46,11 @@ VIEWS: dict[str, str] = {
         FROM (SELECT event_id, user_id, ts, event_type, (event_id * 37 + user_id) % 100 AS site_id FROM events)""",
     "sites_2g": """
         SELECT CAST(site_id AS VARCHAR) AS "Cell ID", x AS Longitude, y AS Latitude
-        FROM (SELECT DISTINCT site_id, x, y FROM pings) WHERE site_id % 2 = 0 AND site_id < 95""",
+        FROM (SELECT DISTINCT site_id, x, y FROM pings) WHERE site_id % 2 = 0""",
     "sites_3g": """
         SELECT CAST(site_id AS VARCHAR) AS "Cell ID", y AS Latitude, x AS Longitude,
                'S' || CAST(site_id AS VARCHAR) AS "Site Name"
-        FROM (SELECT DISTINCT site_id, x, y FROM pings) WHERE site_id % 2 = 1 AND site_id < 95""",
+        FROM (SELECT DISTINCT site_id, x, y FROM pings) WHERE site_id % 2 = 1""",
     "admin_polygons": _polygons_values(),
     "codebook": "SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{l}')" for c, l in RETURNFLAG_LABELS)
                 + ") AS t(code, label)",
@@ -66,8 +66,8 @@ VIEWS: dict[str, str] = {
                   ELSE '' END || '}]}' AS json
         FROM events""",
     "scores": """
-        SELECT vec_id, CAST(g.i - 1 AS INTEGER) AS cls, CAST(embedding[g.i] AS DOUBLE) AS score, label
-        FROM embeddings, (SELECT range AS i FROM range(1, 11)) g""",
+        SELECT vec_id, CAST(g.i - 1 AS INTEGER) AS cls, CAST(g.embedding[g.i] AS DOUBLE) AS score, label
+        FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) g""",
     "corpus": "SELECT doc_id, text FROM documents",
 }
 

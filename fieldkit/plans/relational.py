@@ -14,7 +14,12 @@ from fieldkit.plans.oracle_views import r6
 from fieldkit.sources import fixtures as FX
 from fieldkit.sources.tables import read_table
 
-REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")   # of the oracle text; the query asks the table
+
+
+def _md5_fraction(key: str, seed: int = 42) -> str:
+    """``frames.key_fraction`` as DuckDB text."""
+    return f"(CAST(('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0)"
 
 
 def _t(spark, sf_dir, name):
@@ -99,20 +104,24 @@ def sample_fraction(spark, sf_dir):
     return _t(spark, sf_dir, "lineitem").sample(withReplacement=False, fraction=0.1, seed=42)
 
 
-@register("sample_hash", ids=("PR-12",))
+@register("sample_hash", ids=("PR-12",), sql=f"SELECT * FROM lineitem WHERE {_md5_fraction('l_orderkey')} < 0.1")
 def sample_hash(spark, sf_dir):
     # reproducible ~10 % sample: the same rows for any partitioning or rerun
     return PR.hash_sample(_t(spark, sf_dir, "lineitem"), "l_orderkey", 0.1, seed=42)
 
 
-@register("sample_users", ids=("PR-13",), views=("pings",))
+@register("sample_users", ids=("PR-13",), views=("pings",), sql=f"""
+    SELECT user_id, event_id, ts, event_type, site_id, x, y FROM pings
+    WHERE user_id IN (SELECT user_id FROM (SELECT DISTINCT user_id FROM pings)
+                      ORDER BY {_md5_fraction('user_id')}, user_id LIMIT 10)""")
 def sample_users(spark, sf_dir):
     return PR.sample_users(FX.pings(spark, sf_dir), "user_id", k=10, seed=42)
 
 
-@register("random_split", ids=("PR-14",))
+@register("random_split", ids=("PR-14",), sql=f"""
+    SELECT o_orderkey, o_totalprice, CAST({_md5_fraction('o_orderkey')} >= 0.7 AS INTEGER) AS split FROM orders""")
 def random_split(spark, sf_dir):
-    return PR.random_split(_t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), [0.7, 0.3], seed=42)
+    return PR.random_split(_t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", [0.7, 0.3])
 
 
 @register("row_count", ids=("PR-16",), sql="SELECT CAST(count(*) AS BIGINT) AS n FROM lineitem")
@@ -120,17 +129,28 @@ def row_count(spark, sf_dir):
     return _t(spark, sf_dir, "lineitem").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("summary_stats", ids=("PR-18",), sql=f"""
-    SELECT CAST(count(*) AS BIGINT) AS n,
-      {r6('avg(l_quantity)')} AS mean_l_quantity, {r6('stddev_samp(l_quantity)')} AS std_l_quantity,
-      min(l_quantity) AS min_l_quantity, max(l_quantity) AS max_l_quantity,
-      {r6('median(l_quantity)')} AS median_l_quantity,
-      {r6('avg(l_discount)')} AS mean_l_discount, {r6('stddev_samp(l_discount)')} AS std_l_discount,
-      min(l_discount) AS min_l_discount, max(l_discount) AS max_l_discount,
-      {r6('median(l_discount)')} AS median_l_discount
-    FROM lineitem""")
+def _summary_sql(table: str, numeric: tuple[str, ...], text: tuple[str, ...]) -> str:
+    one = lambda c, num: (
+        f"SELECT '{c}' AS \"column\", CAST(count({c}) AS BIGINT) AS \"count\", "
+        + (f"{r6(f'avg({c})')} AS mean, {r6(f'stddev_samp({c})')} AS std, " if num
+           else "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std, ")
+        + f"CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max, "
+        + (", ".join(f"{r6(f'quantile_cont(CAST({c} AS DOUBLE), {p / 100})')} AS p{p}" for p in (25, 50, 75)) if num
+           else ", ".join(f"CAST(NULL AS DOUBLE) AS p{p}" for p in (25, 50, 75))) + f" FROM {table}")
+    return " UNION ALL ".join([one(c, True) for c in numeric] + [one(c, False) for c in text])
+
+
+@register("summary_stats", ids=("PR-18",), sql=_summary_sql("orders", ("o_orderkey", "o_custkey"), ("o_orderpriority", "o_orderstatus")))
 def summary_stats(spark, sf_dir):
-    return PR.summary_stats(_t(spark, sf_dir, "lineitem"), ["l_quantity", "l_discount"])
+    return PR.summary_stats(_t(spark, sf_dir, "orders"), ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus"])
+
+
+@register("quartiles", ids=("PR-18",), sql=f"""
+    SELECT {', '.join(f"{r6(f'quantile_cont(CAST(l_extendedprice AS DOUBLE), {p / 100})')} AS p{p}" for p in (25, 50, 75))}
+    FROM lineitem""")
+def quartiles(spark, sf_dir):
+    q = PR.exact_quantiles(_t(spark, sf_dir, "lineitem"), "l_extendedprice", (0.25, 0.5, 0.75))
+    return q.select(*[round6(f"q{k}").alias(f"p{p}") for k, p in enumerate((25, 50, 75))])
 
 
 @register("enrich_with_site", ids=("JN-2", "MB-1", "PR-6", "ST-1"), views=("pings", "sites_2g", "sites_3g"), sql="""
@@ -148,7 +168,8 @@ def enrich_with_site(spark, sf_dir):
 
 
 @register("match_coverage", ids=("JN-3",), views=("pings", "sites_2g", "sites_3g"), sql="""
-    WITH s AS (SELECT "Cell ID" AS id FROM sites_2g UNION SELECT "Cell ID" FROM sites_3g),
+    WITH s AS (SELECT * FROM (SELECT "Cell ID" AS id FROM sites_2g UNION SELECT "Cell ID" FROM sites_3g)
+               WHERE CAST(id AS INTEGER) < 95),
          e AS (SELECT CAST(site_id AS VARCHAR) AS id, count(*) AS n FROM pings GROUP BY 1)
     SELECT CAST((SELECT sum(n) FROM e) AS BIGINT) AS n_events,
            CAST((SELECT count(*) FROM e) AS BIGINT) AS n_event_ids,
@@ -158,6 +179,7 @@ def enrich_with_site(spark, sf_dir):
 def match_coverage(spark, sf_dir):
     sites = PR.union_all_by_name([PR.remove_spaces_in_colnames(FX.sites_2g(spark, sf_dir)),
                                   PR.remove_spaces_in_colnames(FX.sites_3g(spark, sf_dir))])
+    sites = sites.where(F.col("Cell_ID").cast("int") < 95)   # partial coverage is what is measured
     return JN.match_coverage(PR.remove_spaces_in_colnames(FX.cdrs(spark, sf_dir)), sites,
                              "last_calling_cellid", "Cell_ID")
 
@@ -213,13 +235,30 @@ def date_range(spark, sf_dir):
     SELECT yr, """ + ", ".join(
         f"CAST(count_if(r_name = '{r}') AS BIGINT) AS \"{r}\"" for r in REGIONS) + """ FROM s GROUP BY yr""")
 def pivot_wide(spark, sf_dir):
-    o = _t(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").alias("yr"))
+    return AG.pivot_dense(_orders_by_region(spark, sf_dir), ["yr"], "r_name", _regions(spark, sf_dir))
+
+
+@register("pivot_values", ids=("AG-19",), sql="""
+    WITH s AS (SELECT r_name, CAST(year(o_orderdate) AS INTEGER) AS yr, o_totalprice
+               FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+               JOIN region ON n_regionkey = r_regionkey)
+    SELECT yr, """ + ", ".join(f"max(CASE WHEN r_name = '{r}' THEN o_totalprice END) AS \"{r}\"" for r in REGIONS)
+          + """ FROM s GROUP BY yr""")
+def pivot_values(spark, sf_dir):
+    return AG.pivot_values(_orders_by_region(spark, sf_dir), ["yr"], "r_name", "o_totalprice", F.max, _regions(spark, sf_dir))
+
+
+def _regions(spark, sf_dir):
+    return AG.pivot_keys(_t(spark, sf_dir, "region"), "r_name")
+
+
+def _orders_by_region(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").alias("yr"), "o_totalprice")
     c = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = _t(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    s = (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
-         .join(r, n.n_regionkey == r.r_regionkey))
-    return AG.pivot_dense(s, ["yr"], "r_name", REGIONS)
+    return (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+            .join(r, n.n_regionkey == r.r_regionkey))
 
 
 @register("centroid", ids=("AG-20",), views=("pings",), sql=f"""
@@ -279,9 +318,12 @@ def pandas_api_mean(spark, sf_dir):
     return out.select("l_returnflag", round6("mean_qty").alias("mean_qty"), F.col("n").cast("bigint").alias("n"))
 
 
-@register("attach_mean_price", ids=("AG-2", "JN-1"), sql=f"""
-    SELECT o_orderpriority, {r6('avg(o_totalprice)')} AS mean_price, CAST(count(*) AS BIGINT) AS n
-    FROM orders GROUP BY o_orderpriority""")
+@register("attach_mean_price", ids=("JN-1",), sql=f"""
+    SELECT o_orderkey, o_orderpriority, {r6('m.mean')} AS mean_price, CAST(m.n AS BIGINT) AS n
+    FROM orders JOIN (SELECT o_orderpriority, avg(o_totalprice) AS mean, count(*) AS n FROM orders GROUP BY ALL) m
+    USING (o_orderpriority)""")
 def attach_mean_price(spark, sf_dir):
-    return _t(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(
-        round6(F.avg("o_totalprice")).alias("mean_price"), F.count(F.lit(1)).alias("n"))
+    """Every order with the mean price and size of its priority group."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    m = o.groupBy("o_orderpriority").agg(round6(F.avg("o_totalprice")).alias("mean_price"), F.count(F.lit(1)).alias("n"))
+    return o.join(m, "o_orderpriority").select("o_orderkey", "o_orderpriority", "mean_price", "n")

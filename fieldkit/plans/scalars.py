@@ -134,13 +134,14 @@ def array_map(spark, sf_dir):
 
 
 @register("array_zip_map", ids=("SC-23",), sql="""
-    SELECT vec_id, list_transform(range(1, 9), lambda i: CAST(floor((CAST(embedding[i] AS DOUBLE)
-        + CAST(embedding[i + 8] AS DOUBLE) + CAST(embedding[i + 16] AS DOUBLE)) * 1000) AS BIGINT)) AS zipped
+    SELECT vec_id, list_transform(range(1, len(embedding) + 1), lambda i: CAST(floor((CAST(embedding[i] AS DOUBLE)
+        + CAST(embedding[len(embedding) + 1 - i] AS DOUBLE) + CAST(embedding[i] AS DOUBLE) * 2) * 1000) AS BIGINT)) AS zipped
     FROM embeddings""")
 def array_zip_map(spark, sf_dir):
+    # the whole vector, its mirror image and its double, in lock-step
     e = F.col("embedding")
-    z = S.zip_map3(F.slice(e, 1, 8), F.slice(e, 9, 8), F.slice(e, 17, 8),
-                   lambda a, b, c: F.floor((a.cast("double") + b.cast("double") + c.cast("double")) * 1000))
+    z = S.zip_map3(e, F.reverse(e), F.transform(e, lambda v: v.cast("double") * 2),
+                   lambda a, b, c: F.floor((a.cast("double") + b.cast("double") + c) * 1000))
     return _t(spark, sf_dir, "embeddings").select("vec_id", z.alias("zipped"))
 
 
@@ -179,10 +180,8 @@ def array_sort_by_key(spark, sf_dir):
            CAST(json_extract_string(w.json, '$.city.id') AS BIGINT) AS city_id
     FROM events e JOIN weather w USING (event_id)""")
 def json_extract(spark, sf_dir):
-    e = _t(spark, sf_dir, "events").select("event_id", "props")
-    w = FX.weather(spark, sf_dir)
-    # weather is derived row-by-row from events: same key, one row each
-    return e.join(w, "event_id").select(
+    ev = _t(spark, sf_dir, "events")
+    return ev.select("event_id", "props", FX.weather_json().alias("json")).select(
         "event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"),
         F.get_json_object("json", "$.list[0].main.temp_min").cast("bigint").alias("first_temp_min"),
         F.get_json_object("json", "$.city.id").cast("bigint").alias("city_id"))

@@ -48,11 +48,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (local tests) is a fresh
-    scratch folder created.
+    The cluster names it. Where it is unset a scratch folder is made for a
+    local master only (tests); on a cluster that would be one machine's disk,
+    so it is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not (master.startswith("local[") and master.endswith("]")):
+            raise ValueError(f"spark.checkpoint.dir is not set; on {master} it must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="fieldkit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -7,7 +7,6 @@ name* (header on), and malformed values become NULL through ``try_cast``.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,15 +24,23 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], sep: str = ",", hea
     return r.csv(path if isinstance(path, str) else list(path))
 
 
-def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ",") -> DataFrame:
+def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ",",
+                   bad_rows: str | None = "_corrupt_record") -> DataFrame:
     """Delimited text with declared column types (IO-4).
 
     The header names the columns, so the declared fields are picked *by name*
     (a positional schema silently mislabels files whose column order
-    differs); values that do not parse become NULL."""
+    differs). Values that do not parse become NULL, and ``bad_rows`` holds
+    the row's fields as they stand in the file (NULL for good rows; ``None``: no such column)."""
     st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     raw = read_csv(spark, path, sep=sep)
-    return raw.select([F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in st.fields])
+    typed = [F.col(f"`{f.name}`").try_cast(f.dataType) for f in st.fields]
+    bad = F.lit(False)
+    for f, c in zip(st.fields, typed):
+        bad = bad | (c.isNull() & F.col(f"`{f.name}`").isNotNull())
+    whole = F.concat_ws(sep, *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in raw.columns])
+    return raw.select(*[c.alias(f.name) for f, c in zip(st.fields, typed)],
+                      *([F.when(bad, whole).alias(bad_rows)] if bad_rows else []))
 
 
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -41,13 +48,9 @@ def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def rows_to_frame(spark: SparkSession, rows, schema: T.StructType | str | Sequence[str]) -> DataFrame:
-    """In-memory rows (tuples, lists, ``Row``s, pandas) → table (IO-6)."""
-    return spark.createDataFrame(rows, schema)
-
-
-def read_json(spark: SparkSession, path: str, schema: T.StructType | str, multiline: bool = True) -> DataFrame:
-    """JSON documents with a declared nested schema (IO-7)."""
+def read_json(spark: SparkSession, path: str, schema: T.StructType | str, multiline: bool = False) -> DataFrame:
+    """JSON documents with a declared nested schema (IO-7): one per line, so that files can be split, or
+    with ``multiline`` one per file."""
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
 
 
@@ -59,11 +62,11 @@ def flatten_struct(df: DataFrame, col: str, fields: Sequence[str], prefix: str =
 def combine_csv_folder(spark: SparkSession, folder: str, sep: str = ",", out: str | None = None) -> DataFrame:
     """All CSV files of a folder as one table (IO-11). Files whose headers
     differ are aligned by column name (missing columns NULL); optionally
-    written back as CSV."""
-    files = sorted(spark.read.option("header", True).option("sep", sep).csv(folder).inputFiles())
-    groups = _group_by_header(files)
-    # one reader per distinct header (usually one), aligned by column name
-    frames = [spark.read.option("header", True).option("sep", sep).csv(g) for g in groups]
+    written back as CSV.
+
+    Headers are read on the executors, on any file system; there is one
+    reader per distinct header (usually one)."""
+    frames = [spark.read.option("header", True).option("sep", sep).csv(g) for g in _files_by_header(spark, folder)]
     df = frames[0]
     for f in frames[1:]:
         df = df.unionByName(f, allowMissingColumns=True)
@@ -72,18 +75,14 @@ def combine_csv_folder(spark: SparkSession, folder: str, sep: str = ",", out: st
     return df
 
 
-def _group_by_header(files: list[str]) -> list[list[str]]:
-    """Files grouped by their first line. Only the header line of each file
-    is read (local files); on other file systems every file is its own group
-    (still aligned by name, just one reader each)."""
-    groups: dict[str, list[str]] = {}
-    for f in files:
-        local = f[len("file:"):] if f.startswith("file:") else f
-        if not os.path.isfile(local):
-            return [[x] for x in files]
-        with open(local, encoding="utf-8", errors="replace") as fh:
-            groups.setdefault(fh.readline().rstrip("\r\n"), []).append(f)
-    return list(groups.values())
+def _files_by_header(spark: SparkSession, folder: str) -> list[list[str]]:
+    """Files of the folder grouped by their first line (a row per file reaches the driver, for the readers)."""
+    lines = spark.read.text(folder).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value",
+        F.monotonically_increasing_id().alias("at"))
+    headers = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    groups = headers.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    return [r.files for r in groups]
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
@@ -102,22 +101,16 @@ def read_libsvm(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("libsvm").load(path)
 
 
-def polygon_layer(rows: Sequence[tuple[str, str, list]]) -> list[tuple[str, str, list]]:
-    """Normalise (id, name, rings) rows: every ring closed (IO-16)."""
-    out = []
-    for pid, name, rings in rows:
-        closed = [list(r) + ([r[0]] if tuple(r[0]) != tuple(r[-1]) else []) for r in rings]
-        out.append((pid, name, closed))
-    return out
-
-
-def read_polygons_json(spark: SparkSession, path: str) -> DataFrame:
+def read_polygons_json(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """GeoJSON-like polygon table → (admin_id, admin_name, rings) (IO-16 re-aimed).
 
     Expected record: ``{"id":…, "name":…, "coordinates": [[[x, y], …], …]}``
     (Polygon rings; a MultiPolygon is listed as all its rings)."""
     schema = "id string, name string, coordinates array<array<array<double>>>"
-    raw = spark.read.schema(schema).option("multiLine", True).json(path)
+    raw = spark.read.schema(schema).option("multiLine", multiline).json(path)
+    point = lambda p: F.struct(F.element_at(p, 1).alias("x"), F.element_at(p, 2).alias("y"))
+    # rings that do not end where they begin are closed
     rings = F.transform("coordinates", lambda ring: F.transform(
-        ring, lambda p: F.struct(F.element_at(p, 1).alias("x"), F.element_at(p, 2).alias("y"))))
+        F.when(F.element_at(ring, 1) == F.element_at(ring, -1), ring).otherwise(F.concat(ring, F.array(F.element_at(ring, 1)))),
+        point))
     return raw.select(F.col("id").alias("admin_id"), F.col("name").alias("admin_name"), rings.alias("rings"))

@@ -96,15 +96,15 @@ def _sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sites_2g(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Even sites below 95, file-style column names with spaces."""
-    return (_sites(spark, sf_dir).where("site_id % 2 = 0 AND site_id < 95")
+    """Even sites, file-style column names with spaces."""
+    return (_sites(spark, sf_dir).where("site_id % 2 = 0")
             .select(F.col("site_id").cast("string").alias("Cell ID"),
                     F.col("x").alias("Longitude"), F.col("y").alias("Latitude")))
 
 
 def sites_3g(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Odd sites below 95; other column order plus an extra column."""
-    return (_sites(spark, sf_dir).where("site_id % 2 = 1 AND site_id < 95")
+    """Odd sites; other column order plus an extra column."""
+    return (_sites(spark, sf_dir).where("site_id % 2 = 1")
             .select(F.col("site_id").cast("string").alias("Cell ID"),
                     F.col("y").alias("Latitude"), F.col("x").alias("Longitude"),
                     F.concat(F.lit("S"), F.col("site_id").cast("string")).alias("Site Name")))
@@ -155,36 +155,75 @@ def admin_polygons(spark: SparkSession) -> DataFrame:
     return _literal_table(spark, rows, POLYGON_SCHEMA)
 
 
+def shaped_polygons(spark: SparkSession) -> DataFrame:
+    """A layer of three shapes over the site grid: an L (concave), a frame (a hole) and two parts of one area.
+    Their edges lie on the lines of ``admin_polygons``, so that boxes put together describe them."""
+    x, y = ADMIN_X_EDGES, ADMIN_Y_EDGES
+    pt = lambda i, j: {"x": x[i], "y": y[j]}
+    box = lambda a, b, c, d: [pt(a, c), pt(b, c), pt(b, d), pt(a, d), pt(a, c)]
+    rows = [("L", "concave", [[pt(0, 0), pt(2, 0), pt(2, 1), pt(1, 1), pt(1, 3), pt(0, 3), pt(0, 0)]]),
+            ("O", "hole", [box(0, 3, 0, 3), box(1, 2, 1, 2)]),
+            ("P", "parts", [box(0, 1, 0, 1), box(2, 3, 2, 3)])]
+    return _literal_table(spark, rows, POLYGON_SCHEMA)
+
+
 def codebook(spark: SparkSession) -> DataFrame:
     schema = T.StructType([T.StructField("code", T.StringType()), T.StructField("label", T.StringType())])
     return _literal_table(spark, list(RETURNFLAG_LABELS), schema)
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forecast-style nested JSON per event: a two-element ``list``; the
-    optional ``rain`` field only on error events' second element."""
-    ev = read_table(spark, sf_dir, "events")
+    """Forecast-style nested JSON per event."""
+    return read_table(spark, sf_dir, "events").select("event_id", weather_json().alias("json"))
+
+
+def weather_json() -> F.Column:
+    """A forecast of an ``events`` row: a two-element ``list``; the optional
+    ``rain`` field only on error events' second element."""
     k = F.get_json_object("props", "$.k").cast("bigint").cast("string")
     k1 = (F.get_json_object("props", "$.k").cast("bigint") + 1).cast("string")
     hum = (F.col("user_id") % 100).cast("string")
     rain = F.when(F.col("event_type") == "error",
                   F.concat(F.lit(',"rain":{"3h":'), k, F.lit("}"))).otherwise(F.lit(""))
-    doc = F.concat(
+    return F.concat(
         F.lit('{"city":{"id":'), F.col("user_id").cast("string"), F.lit('},"list":[{"dt":'),
         F.col("event_id").cast("string"), F.lit(',"main":{"temp_min":'), k, F.lit(',"humidity":'), hum,
         F.lit('}},{"dt":'), (F.col("event_id") + 1).cast("string"), F.lit(',"main":{"temp_min":'), k1,
         F.lit(',"humidity":'), hum, F.lit("}"), rain, F.lit("}]}"))
-    return ev.select("event_id", doc.alias("json"))
 
 
-def scores(spark: SparkSession, sf_dir: str, n_classes: int = 10) -> DataFrame:
-    """Per (vec_id, class) score: embedding position ``class`` (ranking input)."""
+def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per (vec_id, class) score: every position of the embedding is a class (ranking input)."""
     emb = read_table(spark, sf_dir, "embeddings")
-    return (emb.select("vec_id", "label",
-                       F.posexplode(F.slice("embedding", 1, n_classes)).alias("cls", "score"))
+    return (emb.select("vec_id", "label", F.posexplode("embedding").alias("cls", "score"))
             .select("vec_id", F.col("cls").cast("int").alias("cls"),
                     F.col("score").cast("double").alias("score"), "label"))
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def _escaped(c) -> F.Column:
+    out = c
+    for ch, ref in (("&", "&amp;"), ("<", "&lt;"), (">", "&#62;")):
+        out = F.replace(out, F.lit(ch), F.lit(ref))
+    return out
+
+
+def link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page per document whose only link, single-quoted, has the document's first line as its text."""
+    line = _escaped(F.substring_index("text", "\n", 1))
+    return read_table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat(F.lit("<p>no link <a>nor here</a><a class=x href='/d?a=1&amp;id="), F.col("doc_id").cast("string"),
+                           F.lit("'><b>"), line, F.lit("</b></a>")).alias("html"))
+
+
+def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page per customer with an HTML table of the customer's orders (tags in mixed case, cells left open)."""
+    o = read_table(spark, sf_dir, "orders")
+    row = F.concat(F.lit("<TR><td>"), F.col("o_orderkey").cast("string"), F.lit("<td align='right'> "),
+                   F.col("o_orderstatus"), F.lit(" </td>\n<td>"), _escaped(F.col("o_orderpriority")), F.lit(", <i>x</i></td></tr>"))
+    return o.groupBy("o_custkey").agg(F.concat(
+        F.lit("<table><tr><th>order<th>status</th><th class=\"w\">priority</th></tr>"),
+        F.array_join(F.array_sort(F.collect_list(row)), ""), F.lit("</table><p>end")).alias("html"))

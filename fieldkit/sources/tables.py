@@ -21,9 +21,3 @@ def table_path(sf_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan; Catalyst prunes columns and pushes filters into it."""
     return spark.read.parquet(table_path(sf_dir, name))
-
-
-def register_tables(spark: SparkSession, sf_dir: str) -> None:
-    """Expose every table as a temp view of the same name (SQL surface, SQ-1)."""
-    for name in TABLES:
-        read_table(spark, sf_dir, name).createOrReplaceTempView(name)

@@ -31,8 +31,9 @@ def test_typed_csv_by_name(spark, tmp_out):
     p = os.path.join(tmp_out, "a.csv")
     _write(p, "b,a,extra\n2,x,9\nnot-a-number,y,9\n")
     df = IO.read_csv_typed(spark, p, "a string, b int")
-    assert df.columns == ["a", "b"]
-    assert sorted(tuple(r) for r in df.collect()) == [("x", 2), ("y", None)]
+    assert df.columns == ["a", "b", "_corrupt_record"]
+    assert sorted(tuple(r) for r in df.collect()) == [("x", 2, None), ("y", None, "not-a-number,y,9")]
+    assert IO.read_csv_typed(spark, p, "a string, b int", bad_rows=None).columns == ["a", "b"]
 
 
 def test_text_json_and_folder(spark, tmp_out):
@@ -59,21 +60,20 @@ def test_labeled_points_and_polygons(spark, tmp_out):
     pts = IO.parse_labeled_points(lines).collect()
     assert pts[0].label == 1.0 and pts[0].features.toArray().tolist() == [0.5, 2.0]
     g = os.path.join(tmp_out, "poly.json")
-    _write(g, json.dumps([{"id": "P", "name": "p", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 0]]]}]))
-    poly = IO.read_polygons_json(spark, g).first()
-    assert poly.admin_id == "P" and poly.rings[0][1].x == 1.0
+    _write(g, json.dumps([{"id": "P", "name": "p", "coordinates": [[[0, 0], [1, 0], [1, 1]]]}]))
+    poly = IO.read_polygons_json(spark, g, multiline=True).first()
+    assert poly.admin_id == "P" and poly.rings[0][1].x == 1.0 and poly.rings[0][3].x == 0.0
 
 
 def test_forest_save_load_same_predictions(spark, tmp_out):
     emb = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
-    pts = ML.array_features(emb, "embedding").select(F.col("label").cast("double").alias("label"), "features")
-    train, test = ML.train_test(pts)
+    pts = ML.array_features(emb, "embedding").select("vec_id", F.col("label").cast("double").alias("label"), "features")
+    train, test = ML.train_test(pts, "vec_id")
     model = ML.fit_forest(train)
     p1 = model.transform(test).select("prediction").collect()
     path = os.path.join(tmp_out, "rf")
-    model.write().overwrite().save(path)
-    from pyspark.ml import PipelineModel
-    p2 = PipelineModel.load(path).transform(test).select("prediction").collect()
+    ML.save_model(model, path)
+    p2 = ML.load_model(path).transform(test).select("prediction").collect()
     assert p1 == p2
     err = ML.test_error(model.transform(test)).first()
     assert 0.0 <= err.test_error <= 1.0 and err.n_test == test.count()
@@ -93,3 +93,14 @@ def test_driver_contract(spark):
     assert set(sql) <= set(q) and len(q) >= 100
     df = E.entry(spark)
     assert df.count() >= 0 and "trp_id" in df.columns
+
+
+def test_checkpoint_folder_is_required_off_local_masters():
+    import types
+
+    import pytest
+    from fieldkit.session import ensure_checkpoint_dir
+    fake = types.SimpleNamespace(conf=types.SimpleNamespace(get=lambda k, d=None: None),
+                                 sparkContext=types.SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(fake)

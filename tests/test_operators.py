@@ -13,23 +13,21 @@ from fieldkit.operators import frames as PR
 from fieldkit.operators import spatial as SP
 from fieldkit.operators import text as OT
 
-SENTENCES = [
-    "hadoop is fast", "hive is sql on hadoop", "spark is fast", "spark is in memory",
-    "spark is the future", "spark is cool"]
+TIDES = ["low tide at dawn", "high tide at noon", "tide tables at the pier", "no boats at noon"]
 
 
-def test_mean_by_key_names(spark):
-    df = spark.createDataFrame([("Brooke", 20), ("Denny", 31), ("Jules", 30), ("TD", 35), ("Brooke", 25)],
-                               "name string, age int")
-    got = {r.name: r.mean for r in AG.mean_by_key(df, "name", "age", "mean").collect()}
-    assert got == {"Brooke": 22.5, "Denny": 31.0, "Jules": 30.0, "TD": 35.0}
+def test_mean_by_key(spark):
+    df = spark.createDataFrame([("pier", 4), ("quay", 7), ("pier", 5), ("dock", 12), ("pier", 9), ("quay", None)],
+                               "berth string, boats int")
+    got = {r.berth: r.mean for r in AG.mean_by_key(df, "berth", "boats", "mean").collect()}
+    assert got == {"pier": 6.0, "quay": 7.0, "dock": 12.0}
 
 
-def test_word_count_sentences(spark):
-    df = spark.createDataFrame([(s,) for s in SENTENCES], "text string")
+def test_word_count_lines(spark):
+    df = spark.createDataFrame([(s,) for s in TIDES], "text string")
     got = {r.word: r.n for r in OT.word_count(df, TXT.split_space("text")).collect()}
-    assert (got["is"], got["spark"], got["hadoop"], got["fast"]) == (6, 4, 2, 2)
-    assert got["cool"] == 1
+    assert got == {"low": 1, "tide": 3, "at": 4, "dawn": 1, "high": 1, "noon": 2, "tables": 1, "the": 1, "pier": 1,
+                   "no": 1, "boats": 1}
 
 
 def test_split_space_vs_whitespace(spark):
@@ -135,7 +133,7 @@ def test_broadcast_check_falls_back_to_shuffle_join(spark, capsys, monkeypatch):
     pts = FX.pings(spark, "/root/testdata/sf0.001").select("event_id", "x", "y")
     polys = FX.admin_polygons(spark)
     small = sorted(tuple(r) for r in SP.points_in_polygons(pts, polys).select("event_id", "admin_id").collect())
-    monkeypatch.setattr(SP, "BROADCAST_MAX_VERTICES", 0)
+    monkeypatch.setattr(SP, "BROADCAST_MAX_BYTES", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         joined = SP.points_in_polygons(pts, polys)
@@ -147,6 +145,30 @@ def test_broadcast_check_falls_back_to_shuffle_join(spark, capsys, monkeypatch):
     assert big == small and len(small) > 0
 
 
+def test_polygon_index_grows_with_the_outline(spark):
+    """A triangle over a 10 degree box takes thousands of cells, and random points agree with the plain rule."""
+    import numpy as np
+    tri = [[(30.0, -20.0), (40.0, -20.0), (30.0, -10.0), (30.0, -20.0)]]
+    polys = _poly(spark, [("T", "triangle", tri)])
+    n = SP.polygon_cells(polys).count()
+    assert 1000 < n < 20000
+    rng = np.random.default_rng(1)
+    pts = rng.uniform([29, -21], [41, -9], (3000, 2))
+    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(pts)], "id long, x double, y double")
+    got = {r.id for r in SP.points_in_polygons(df, polys).collect()}
+    assert got == {i for i, (x, y) in enumerate(pts) if x > 30 and y > -20 and (x - 30) + (y + 20) < 10}
+
+
+def test_links_nesting_and_references(spark):
+    page = ("<a href='u1'>one</a><A HREF=u2 class=x>tw<b>o</b></A><a href=\"/q?a=1&amp;b=2\">&eacute;&#8217;</a><a>no</a>"
+            "<div class=ad>yes<div>in</div>tail</div><div class='ad-slot'>not me</div>")
+    df = spark.createDataFrame([(page,), (None,), ("<p>open <a href=x>end",)], "html string")
+    r = df.select(H.links("html").alias("l"), H.element_text("html", "div", "ad").alias("d")).collect()
+    assert [(x.href, x.anchor) for x in r[0].l] == [("u1", "one"), ("u2", "tw o"), ("/q?a=1&b=2", "é’")]
+    assert r[0].d == ["yes in tail"]
+    assert r[1].l is None and [(x.href, x.anchor) for x in r[2].l] == [("x", "end")]
+
+
 def test_html_table_cells_keep_commas(spark):
     html = ("<table><tr><th>Name</th><th>Country</th><th>A</th><th>B</th><th>C</th><th>D</th></tr>"
             "<tr><td> Smith, John </td><td>KE</td><td>1</td><td>2</td><td>3</td><td>4</td></tr>"
@@ -177,11 +199,49 @@ def test_sample_users_exact_k(spark):
 
 
 def test_summary_and_max_row(spark):
-    df = spark.createDataFrame([(1, 3.0), (2, 5.0), (3, 5.0)], "k long, v double")
+    df = spark.createDataFrame([(1, 3.0, "b"), (2, 5.0, "a"), (3, 5.0, None), (4, None, "c")], "k long, v double, t string")
     r = AG.max_row(df, "v", ["k"]).first()
     assert (r.v, r.k) == (5.0, 3)
-    s = PR.summary_stats(df, ["v"]).first()
-    assert (s.n, s.min_v, s.max_v, s.median_v) == (3, 3.0, 5.0, 5.0)
+    s = {r.column: r for r in PR.summary_stats(df, ["v", "t"]).collect()}
+    assert (s["v"]["count"], s["v"]["min"], s["v"].p25, s["v"].p50, s["v"].p75) == (3, "3.0", 4.0, 5.0, 5.0)
+    assert (s["t"]["count"], s["t"]["min"], s["t"]["max"], s["t"].mean, s["t"].p50) == (3, "a", "c", None, None)
+
+
+def test_exact_quantiles_of_many_values(spark):
+    import numpy as np
+    v = np.random.default_rng(2).normal(size=5001).round(2)
+    df = spark.createDataFrame([(float(x),) for x in v] + [(None,)], "v double").repartition(7)
+    probs = (0.0, 0.1, 0.25, 0.5, 0.99, 1.0)
+    r = PR.exact_quantiles(df, "v", probs).first()
+    assert np.allclose(list(r), np.quantile(v, probs), atol=1e-12)
+
+
+def test_split_parts_are_disjoint_and_stable(spark):
+    df = spark.range(0, 4000).withColumnRenamed("id", "k")
+    a = {r.k: r.split for r in PR.random_split(df.repartition(3), "k", [0.5, 0.3, 0.2]).collect()}
+    b = {r.k: r.split for r in PR.random_split(df.repartition(11), "k", [0.5, 0.3, 0.2]).collect()}
+    n = [sum(v == i for v in a.values()) for i in range(3)]
+    assert a == b and len(a) == 4000 and abs(n[0] - 2000) < 150 and abs(n[2] - 800) < 120
+
+
+def test_dense_days_bounds(spark):
+    import pytest
+    from fieldkit.operators import joins as JN
+    d = lambda n: dt.datetime(2024, 1, n, 8)
+    ev = spark.createDataFrame([(1, d(2)), (1, d(4)), (2, d(3)), (2, None)], "u long, ts timestamp_ntz")
+    got = sorted((r.u, r.day.day, r.n) for r in JN.dense_daily_counts(ev, "u").collect())
+    assert got == [(1, 2, 1), (1, 3, 0), (1, 4, 1), (2, 2, 0), (2, 3, 1), (2, 4, 0)]
+    assert JN.dense_daily_counts(ev, "u", first_day="2024-01-01", last_day="2024-01-10").count() == 20
+    with pytest.raises(Exception, match="more than 2"):
+        JN.dense_daily_counts(ev, "u", max_days=2).collect()
+
+
+def test_pivot_keys_bound(spark):
+    import pytest
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("a",)], "c string")
+    assert AG.pivot_keys(df, "c") == ["a", "b"]
+    with pytest.raises(ValueError):
+        AG.pivot_keys(df, "c", most=1)
 
 
 def test_hash_sample_is_layout_independent(spark):
