@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldkit.llm import embed_dedup, html_text, line_dedup, lm, mixing, packing, quality, secrets, simhash, toxicity
+from fieldkit.llm import embed_dedup, html_text, line_dedup, lm, mixing, oracles, packing, quality, secrets, simhash, toxicity
 from fieldkit.llm.common import read_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,8 +69,6 @@ def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
-SQL: dict[str, str] = {}
-
-
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    return {"op2_line_dedup": oracles.LINE_DEDUP, "op4_quality_rules": oracles.QUALITY,
+            "op8_embedding_neardup": oracles.EMBEDDINGS}
