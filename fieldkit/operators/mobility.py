@@ -17,6 +17,7 @@ from fieldkit.operators.clustering import (PLACED, has_hot_groups, home_work_clu
 from fieldkit.operators.sequence import with_next, with_row_number
 from fieldkit.params import (DISTANCE_THRESHOLD_KM, EARTH_RADIUS_KM, HOME_HOURS, HOME_WORK_SHARE, LAST_STAY_MIN, MIN_UNIQUE_LOCS,
                              STAY_THRESHOLD_MIN, TRANSIT_HOURS, TRIP_RADIUS_KM, WEEKEND_FROM, WORK_HOURS)
+from fieldkit.session import cut_lineage
 
 _DAY = ["user_id", "day"]
 
@@ -122,10 +123,15 @@ def unique_locations(pings: DataFrame) -> DataFrame:
     return with_day(pings).select(*_DAY, "x", "y").distinct()
 
 
+def placed_locations(pings: DataFrame) -> DataFrame:
+    """Distinct (x, y) per user-day, of events with a user, a time and a place."""
+    return unique_locations(pings.where(PLACED))
+
+
 GRID = 16   # a user-day's box is cut into GRID x GRID cells
 
 
-def farthest_distance(pings: DataFrame) -> DataFrame:
+def farthest_distance(pings: DataFrame, locs: DataFrame | None = None) -> DataFrame:
     """Per user-day: number of unique locations and the largest distance
     between two of them (0 for a single location) (MB-3).
 
@@ -135,9 +141,8 @@ def farthest_distance(pings: DataFrame) -> DataFrame:
     above; only locations in pairs of cells that can still beat the bound
     are compared, as rows of a join. No row or task holds a day's locations.
     """
-    p = pings.where("x IS NOT NULL AND y IS NOT NULL")
-    locs = unique_locations(p).where("user_id IS NOT NULL AND day IS NOT NULL")
-    box = with_day(p).groupBy(*_DAY).agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"),
+    locs = placed_locations(pings) if locs is None else locs
+    box = locs.groupBy(*_DAY).agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"),
                                          F.max("y").alias("y1"))
     step = lambda v: F.when(F.col(f"{v}1") > F.col(f"{v}0"), F.least(F.lit(GRID - 1), F.floor(
         (F.col(v) - F.col(f"{v}0")) / (F.col(f"{v}1") - F.col(f"{v}0")) * GRID)).cast("int")).otherwise(F.lit(0))
@@ -190,13 +195,13 @@ def trip_day_events(pings: DataFrame, **kw) -> DataFrame:
 
 # ------------------------------------------------------------- user summary
 
-def user_day_stats(pings: DataFrame, trips_df: DataFrame | None = None) -> DataFrame:
+def user_day_stats(pings: DataFrame, trips_df: DataFrame | None = None, locs: DataFrame | None = None) -> DataFrame:
     """One row per user-day: unique locations, trips, farthest distance
     (counted only on days with trips, else 0), mean trip distance."""
     trips_df = trips_df if trips_df is not None else trips_from_pings(pings)
     per_day_trips = trips_df.groupBy(*_DAY).agg(F.count(F.lit(1)).alias("n_trips"),
                                                  F.avg("dist").alias("mean_dist"))
-    fd = farthest_distance(pings)
+    fd = farthest_distance(pings, locs)
     return (fd.join(per_day_trips, _DAY, "left")
             .select(*_DAY, "n_locs", F.coalesce("n_trips", F.lit(0)).alias("n_trips"), "mean_dist",
                     F.when(F.col("n_trips").isNotNull(), F.col("max_dist")).otherwise(F.lit(0.0)).alias("far")))
@@ -204,15 +209,19 @@ def user_day_stats(pings: DataFrame, trips_df: DataFrame | None = None) -> DataF
 
 def user_mobility_summary(pings: DataFrame, trips_df: DataFrame | None = None) -> DataFrame:
     """Per user: usage days, days with trips, unique locations in total and
-    mean/median per day, mean/median farthest distance (MB-8)."""
-    days = user_day_stats(pings, trips_df).groupBy("user_id").agg(
+    mean/median per day, mean/median farthest distance (MB-8).
+
+    The distinct locations of user-days are worked out once and kept as a
+    table: day figures and totals both come from it."""
+    locs = cut_lineage(placed_locations(pings))
+    days = user_day_stats(pings, trips_df, locs).groupBy("user_id").agg(
         F.count(F.lit(1)).alias("usage_days"),
         F.count_if(F.col("n_trips") > 0).alias("days_with_trips"),
         round6(F.avg("n_locs")).alias("mean_locs_per_day"),
         round6(F.median("n_locs")).alias("median_locs_per_day"),
         round6(F.avg("far")).alias("mean_farthest"),
         round6(F.median("far")).alias("median_farthest"))
-    total = pings.select("user_id", "x", "y").distinct().groupBy("user_id").agg(
+    total = locs.select("user_id", "x", "y").distinct().groupBy("user_id").agg(
         F.count(F.lit(1)).alias("total_unique_locs"))
     return days.join(total, "user_id")
 

@@ -26,7 +26,7 @@ class Entry:
 
 _REGISTRY: dict[str, Entry] = {}
 
-PLAN_MODULES = ("census", "relational", "text", "scalars", "html", "mobility", "learn")
+PLAN_MODULES = ("census", "relational", "text", "scalars", "html", "mobility", "learn", "files")
 
 
 def register(name: str, sql: str | None = None, views: tuple[str, ...] = (),
