@@ -29,7 +29,8 @@ TOKEN = r"[A-Za-z0-9+/_=-]+"
 MIN_TOKEN = 16           # shortest token that the models judge
 MIN_RATIO = 10.0         # nats by which a random string must be likelier
 MIN_RATE = 0.5           # ... and nats per character
-SMOOTH = 5.0             # weight of the back-off, in pairs
+SMOOTH = 5.0             # weight of the back-off in the ordinary model, in pairs
+SMOOTH_RANDOM = 200.0    # ... in the random one: neighbours in random strings hardly depend on each other
 SAMPLE_DOCS = 2000       # documents that the ordinary model is trained on, at most
 SEED = 13
 
@@ -83,7 +84,7 @@ def _pairs(tokens: DataFrame) -> DataFrame:
             .groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.count("*").alias("n")))
 
 
-def _log_model(rows: list) -> list[list[float]]:
+def _log_model(rows: list, smooth: float) -> list[list[float]]:
     """Log probabilities of the second character given the first, backed off to those of any character."""
     k = len(ALPHABET)
     table = [[0.0] * k for _ in range(k)]
@@ -93,7 +94,7 @@ def _log_model(rows: list) -> list[list[float]]:
             table[at[r["a"]]][at[r["b"]]] += r["n"]
     total = [1.0 + sum(row[i] for row in table) for i in range(k)]
     usual = [n / sum(total) for n in total]
-    return [[math.log((v + SMOOTH * u) / (sum(row) + SMOOTH)) for v, u in zip(row, usual, strict=True)] for row in table]
+    return [[math.log((v + smooth * u) / (sum(row) + smooth)) for v, u in zip(row, usual, strict=True)] for row in table]
 
 
 def train(found: DataFrame) -> list[float]:
@@ -107,9 +108,11 @@ def train(found: DataFrame) -> list[float]:
     secret = (labelled.select(F.explode(F.concat(F.transform(cut("assign"), value), cut("access"), cut("hex"))).alias("token"))
               .where(F.col("token").rlike("[0-9]") & F.col("token").rlike("[A-Za-z]")))
     plain = (found.where("ordinary").where(F.size("assign") + F.size("access") + F.size("hex") == 0)
-             .select(F.explode(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))).alias("token")))
-    random = _log_model(_pairs(secret).collect())       # a row per pair of characters
-    usual = _log_model(_pairs(plain).where(F.col("a").isin(*ALPHABET) & F.col("b").isin(*ALPHABET)).collect())
+             .select(F.explode(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))).alias("token"))
+             # tokens that the models are to judge teach neither of them
+             .where(~((F.length("token") >= MIN_TOKEN) & F.col("token").rlike("[0-9]") & F.col("token").rlike("[A-Za-z]"))))
+    random = _log_model(_pairs(secret).collect(), SMOOTH_RANDOM)       # a row per pair of characters
+    usual = _log_model(_pairs(plain).where(F.col("a").isin(*ALPHABET) & F.col("b").isin(*ALPHABET)).collect(), SMOOTH)
     return [x - y for a, b in zip(random, usual, strict=True) for x, y in zip(a, b, strict=True)]
 
 
