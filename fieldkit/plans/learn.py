@@ -58,3 +58,20 @@ def rf_quality_predictions(spark, sf_dir):
     train, test = ML.train_test(data, "doc_id")
     model = ML.fit_forest(train, feature_cols=["n_chars", "n_lines", "lang_idx"])
     return model.transform(test).select("doc_id", "label", "prediction")
+
+
+@register("model_round_trip", ids=("IO-15", "ML-4"), sql="""
+    SELECT CAST(count(*) AS BIGINT) AS n_test, CAST(0 AS BIGINT) AS n_different FROM embeddings
+    WHERE CAST(('0x' || substr(md5('42:' || CAST(vec_id AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.7""")
+def model_round_trip(spark, sf_dir):
+    """A forest written to the shared folder and read back scores the test rows as before."""
+    import uuid
+
+    from fieldkit.session import ensure_checkpoint_dir
+    train, test = ML.train_test(_points(spark, sf_dir), "vec_id")
+    model = ML.fit_forest(train)
+    at = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    ML.save_model(model, at)
+    first = model.transform(test).select("vec_id", F.col("prediction").alias("a"))
+    again = ML.load_model(at).transform(test).select("vec_id", F.col("prediction").alias("b"))
+    return first.join(again, "vec_id").agg(F.count(F.lit(1)).alias("n_test"), F.count_if(F.col("a") != F.col("b")).alias("n_different"))

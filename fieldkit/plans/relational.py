@@ -327,3 +327,20 @@ def attach_mean_price(spark, sf_dir):
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
     m = o.groupBy("o_orderpriority").agg(round6(F.avg("o_totalprice")).alias("mean_price"), F.count(F.lit(1)).alias("n"))
     return o.join(m, "o_orderpriority").select("o_orderkey", "o_orderpriority", "mean_price", "n")
+
+
+@register("schema_columns", ids=("PR-17",), sql="""
+    SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS pos, column_name AS name,
+           CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
+                WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS type, true AS nullable
+    FROM (DESCRIBE SELECT * FROM orders)""")
+def schema_columns(spark, sf_dir):
+    return PR.schema_table(_t(spark, sf_dir, "orders"))
+
+
+@register("partition_rows", ids=("PR-19",), sql="""
+    SELECT CAST(count(*) AS BIGINT) AS n_rows FROM lineitem""")
+def partition_rows(spark, sf_dir):
+    """Rows per partition, counted on the executors, add up to the table."""
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey").repartition(8, "l_orderkey")
+    return PR.partition_sizes(li).agg(F.sum("n").alias("n_rows"))
