@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-    r"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
-_ATTRIBUTE = re.compile(r"(?P<name>[^\s=/\"'>]+)(?:\s*=\s*(?:\"(?P<dq>[^\"]*)\"|'(?P<sq>[^']*)'|(?P<bare>[^\s\"'>]+)))?")
+    r"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*)(?:>|\Z)", re.S)
+_ATTRIBUTE = re.compile(r"(?P<name>[^\s=/>]+)(?:\s*=\s*(?:\"(?P<dq>[^\"]*)\"|'(?P<sq>[^']*)'|(?P<bare>[^\s\"'>]+)))?")
 _RAW_TEXT = ("script", "style")
 _NO_END = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
