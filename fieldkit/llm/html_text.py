@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -43,14 +44,16 @@ CLOSES = {
 CLOSE_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer "
                     "form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul li dd dt".split())
 HEAD_ONLY = frozenset("head title base link meta style script noscript template".split())
+TABLE_ENDS = frozenset("table tr tbody thead tfoot td th body html".split())   # end tags that reach out of a cell
 P_BARRIERS = frozenset("td th table caption button object body html".split())
 MAX_COLUMN = 60    # a column is padded to so many characters at most
 MAX_SPAN = 1000
 
 TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:-->|--!>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"([^\s/>=\"'][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
+    # a quote counts only where a value may begin; elsewhere it is part of a name
+    r"|<(/?)([A-Za-z][^\s/>]*)((?:=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))|[^>])*)(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 SPACE = re.compile(r"[ \t\n\f\r]+")
 
@@ -75,22 +78,33 @@ def tree(page: str) -> Element:
     """The page's elements under one root; text is kept as strings among the children."""
     root = Element("#root", {})
     stack = [root]
+    opened: Counter = Counter()   # tags on the stack, so that a search without a hit costs nothing
     at, end = 0, len(page)
 
+    def push(e: Element) -> None:
+        stack[-1].children.append(e)
+        stack.append(e)
+        opened[e.tag] += 1
+
+    def cut(k: int) -> None:
+        for e in stack[k:]:
+            opened[e.tag] -= 1
+        del stack[k:]
+
     def put(text: str) -> None:
         if text:
             if stack[-1].tag == "head" and not text.isspace():
-                stack.pop()
+                cut(len(stack) - 1)
             stack[-1].children.append(text)
 
     def close(tags, barriers) -> None:
-        for k in range(len(stack) - 1, 0, -1):
+        k = len(stack) - 1
+        while k and any(opened[t] for t in tags):
             if stack[k].tag in tags:
-                del stack[k:]
-                # an outer one of the list may be open too (a cell, then its row)
-                return close(tags, barriers)
-            if stack[k].tag in barriers:
+                cut(k)   # an outer one of the list may be open too (a cell, then its row)
+            elif stack[k].tag in barriers:
                 return
+            k -= 1
 
     while at < end:
         m = TOKEN.search(page, at)
@@ -109,38 +123,38 @@ def tree(page: str) -> Element:
         if m[1]:
             if tag == "br":
                 stack[-1].children.append(Element("br", {}))
-            elif tag == "p" and not any(e.tag == "p" for e in stack):
+            elif tag == "p" and not opened["p"]:
                 stack[-1].children.append(Element("p", {}))
-            else:
+            elif opened[tag]:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k].tag == tag:
-                        del stack[k:]
+                        cut(k)
                         break
-                    if stack[k].tag in ("td", "th", "table") and tag not in ("table", "tr", "tbody", "thead", "tfoot", "td", "th", "body", "html"):
+                    if stack[k].tag in ("td", "th", "table") and tag not in TABLE_ENDS:
                         break
             continue
         if stack[-1].tag == "head" and tag not in HEAD_ONLY:
-            stack.pop()
+            cut(len(stack) - 1)
         if tag in CLOSE_P:
             close(("p",), P_BARRIERS)
         if tag in CLOSES:
             close(*CLOSES[tag])
         if tag in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
-            stack.append(row := Element("tr", {}))
-            stack[-2].children.append(row)
+            push(Element("tr", {}))
         element = Element(tag, attributes(m[3]))
-        stack[-1].children.append(element)
         if tag in VOID:
+            stack[-1].children.append(element)
             continue
         if tag in RAW:
+            stack[-1].children.append(element)
             stop = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at) if tag != "plaintext" else None
             text = page[at:stop.start() if stop else end]
             element.children.append(html.unescape(text) if tag in RAW_ENTITIES else text)
             at = stop.end() if stop else end
             continue
+        push(element)
         if m[3].endswith("/") and tag in ("svg", "path", "math"):
-            continue
-        stack.append(element)
+            cut(len(stack) - 1)
     return root
 
 
