@@ -3,8 +3,9 @@
 Targets are filled from the whole table's words by weight, none above a
 multiple of its source's size. A source is taken in whole passes and a last
 part of a pass: its documents lie in 2^12 blocks by a keyed hash, a random
-permutation, and the part is the shortest run of blocks, and of documents in
-the block at its end, that reaches the target.
+permutation, and the part is the longest run of blocks, and of documents in
+the block at its end, that stays within the target; one more document, the one
+whose size comes closest to the words still missing, rounds it off.
 
 Output shards get their quotas of blocks through a splitting tree: at each
 node the blocks of all sources bound for it are split between its two halves by a
@@ -72,7 +73,8 @@ class Mix:
     sizes: list[int]
     targets: list[float]
     passes: list[int]
-    cuts: list[int]          # as the signed 64-bit key; documents with a key below it get one more copy
+    cuts: list[int]          # documents with a (signed 64-bit) key below it get one more copy,
+    last: list[int | None]   # and so do those with this key
     deal: np.ndarray         # [source][pass] -> bounds of the shards in dealt block order
 
 
@@ -107,7 +109,7 @@ def plan(rows: DataFrame, weights=WEIGHTS, most: float = MAX_PASSES, shards: int
     targets = fill(sizes, w, sum(sizes), most)
     passes = [int(t // s) if s else 0 for t, s in zip(targets, sizes, strict=True)]
     parts = [max(0.0, t - p * s) for t, p, s in zip(targets, passes, sizes, strict=True)]
-    cuts = _cuts(rows, blocks, names, parts)
+    cuts, last = _cuts(rows, blocks, names, parts)
     units = np.zeros((len(names), int(most) + 1), np.int64)
     n = 1 << BLOCK_BITS
     for s, p in enumerate(passes):
@@ -118,18 +120,19 @@ def plan(rows: DataFrame, weights=WEIGHTS, most: float = MAX_PASSES, shards: int
     flat = units.reshape(-1)
     quotas = split_quotas(flat, shards, rng) if flat.sum() else np.zeros((shards, flat.size), np.int64)
     deal = np.cumsum(quotas, axis=0).T.reshape(len(names), int(most) + 1, shards)
-    return Mix(names, sizes, targets, passes, cuts, deal)
+    return Mix(names, sizes, targets, passes, cuts, last, deal)
 
 
-def _cuts(rows: DataFrame, blocks: DataFrame, names: list, parts: list[float]) -> list[int]:
-    """Per source the key below which documents hold about ``part`` words.
+def _cuts(rows: DataFrame, blocks: DataFrame, names: list, parts: list[float]) -> tuple[list[int], list[int | None]]:
+    """Per source the key below which documents hold at most ``part`` words, and the key of the one that is added.
 
     First the block where the running sum over blocks (2^BLOCK_BITS rows at most) passes
-    the part, then the documents of that one block.
+    the part, then the documents of that one block, then the closest size among those left.
+    A row per source comes to the driver each time.
     """
     low = -(2**63)
     if not names:
-        return []
+        return [], []
     spark = rows.sparkSession
     want = spark.createDataFrame([(s, float(p)) for s, p in zip(names, parts, strict=True)], "s string, part double")
     run = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -140,14 +143,22 @@ def _cuts(rows: DataFrame, blocks: DataFrame, names: list, parts: list[float]) -
               .join(edge.alias("e"), F.col("r.source").eqNullSafe(F.col("e.s")) & (F.col("r.block") == F.col("e.block")))
               .groupBy("s", "before", "part", "key").agg(F.sum("size").alias("size")))
     upto = F.sum("size").over(Window.partitionBy("s").orderBy("key").rowsBetween(Window.unboundedPreceding, 0))
-    near = (inside.withColumn("sum", F.col("before") + upto)
-            .withColumn("off", F.col("sum") - F.col("part"))
-            # a document is in if more of it lies within the part than beyond
-            .where(F.col("off") <= F.col("size") / 2).groupBy("s").agg(F.max("key").alias("key")))
-    first = edge.select("s", "block").collect()
-    cuts = {r["s"]: (int(r["block"]) - (1 << (BLOCK_BITS - 1))) << (64 - BLOCK_BITS) for r in first}
-    cuts |= {r["s"]: int(r["key"]) + 1 for r in near.collect()}
-    return [cuts.get(s, low) for s in names]
+    within = (inside.withColumn("sum", F.col("before") + upto).where("sum <= part")
+              .groupBy("s").agg(F.max(F.struct("key", "sum")).alias("m")))
+    cuts, missing = {}, dict(zip(names, parts, strict=True))
+    for r in edge.collect():
+        cuts[r["s"]] = (int(r["block"]) - (1 << (BLOCK_BITS - 1))) << (64 - BLOCK_BITS)
+        missing[r["s"]] = r["part"] - r["before"]
+    for r in within.collect():
+        cuts[r["s"]] = int(r["m"]["key"]) + 1
+        missing[r["s"]] = parts[names.index(r["s"])] - r["m"]["sum"]
+    gaps = spark.createDataFrame([(s, cuts[s], float(missing[s])) for s in names if s in cuts and missing[s] >= 1],
+                                 "s string, cut bigint, gap double")
+    rest = rows.join(F.broadcast(gaps), F.col("source").eqNullSafe(F.col("s"))).where("key >= cut AND size > 0")
+    off = F.abs(F.col("size") - F.col("gap"))
+    close = rest.where(off < F.col("gap")).groupBy("s").agg(F.min(F.struct(off.alias("off"), "key")).alias("m")).collect()
+    last = {r["s"]: int(r["m"]["key"]) for r in close}
+    return [cuts.get(s, low) for s in names], [last.get(s) for s in names]
 
 
 def mixed(rows: DataFrame, mix: Mix, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
@@ -157,11 +168,12 @@ def mixed(rows: DataFrame, mix: Mix, shards: int = SHARDS, seed: int = SEED) ->
     """
     spark = rows.sparkSession
     table = spark.createDataFrame(
-        [(s, z, t, p, c, [[int(x) for x in q] for q in d]) for s, z, t, p, c, d in
-         zip(mix.sources, mix.sizes, mix.targets, mix.passes, mix.cuts, mix.deal.tolist(), strict=True)],
-        "__s string, source_size bigint, target double, __passes int, __cut bigint, __deal array<array<bigint>>")
+        [(s, z, t, p, c, e, [[int(x) for x in q] for q in d]) for s, z, t, p, c, e, d in
+         zip(mix.sources, mix.sizes, mix.targets, mix.passes, mix.cuts, mix.last, mix.deal.tolist(), strict=True)],
+        "__s string, source_size bigint, target double, __passes int, __cut bigint, __last bigint, __deal array<array<bigint>>")
     out = rows.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("__s")))
-    copies = F.col("__passes") + (F.col("key") < F.col("__cut")).cast("int")
+    more = (F.col("key") < F.col("__cut")) | F.coalesce(F.col("key") == F.col("__last"), F.lit(False))
+    copies = F.col("__passes") + more.cast("int")
     block = _block(F.col("key"))
     n = 1 << BLOCK_BITS
 
@@ -171,13 +183,14 @@ def mixed(rows: DataFrame, mix: Mix, shards: int = SHARDS, seed: int = SEED) ->
         whole = F.pmod(block * odd + k, F.lit(n))
         dealt = F.when(k < F.col("__passes"), whole).otherwise(block.cast("bigint"))
         bounds = F.element_at("__deal", (k + 1).cast("int"))
-        return F.size(F.filter(bounds, lambda b: b <= dealt))
+        # the document that rounds a source off may lie beyond the blocks dealt: it goes to the last shard
+        return F.least(F.size(F.filter(bounds, lambda b: b <= dealt)), F.lit(shards - 1))
 
     places = F.when(F.col("__copies") > 0,
                     F.transform(F.sequence(F.lit(0), F.col("__copies") - 1), place)).otherwise(F.array().cast("array<int>"))
     return (out.withColumn("__copies", copies).withColumn("shards", places)
             .withColumn("copies", F.col("__copies")).withColumn("taken", F.col("size") * F.col("__copies"))
-            .drop("__s", "__passes", "__cut", "__deal", "__copies"))
+            .drop("__s", "__passes", "__cut", "__last", "__deal", "__copies"))
 
 
 def mix_sources(docs: DataFrame, weights=WEIGHTS, most: float = MAX_PASSES, shards: int = SHARDS,
