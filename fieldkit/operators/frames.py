@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -64,17 +65,13 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFram
         Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))   # a row per partition
     inside = F.sum("n").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
     upto = ranged.join(ahead.select("part", "ahead"), "part").withColumn("upto", F.col("ahead") + inside)
-    total = ranged.agg(F.sum("n").alias("total"))
-    at = upto.crossJoin(F.broadcast(total))   # one row
-    aggs = []
-    for k, p in enumerate(probs):
-        rank = (F.col("total") - 1) * F.lit(float(p))
-        low, high = F.floor(rank) + 1, F.ceil(rank) + 1
-        aggs += [F.min(F.when(F.col("upto") >= low, F.col("v"))).alias(f"l{k}"),
-                 F.min(F.when(F.col("upto") >= high, F.col("v"))).alias(f"h{k}"), F.max(rank - F.floor(rank)).alias(f"f{k}")]
-    r = at.agg(*aggs)
-    return r.select(*[(F.col(f"l{k}") + (F.col(f"h{k}") - F.col(f"l{k}")) * F.col(f"f{k}")).alias(f"q{k}")
-                      for k in range(len(probs))])
+    total = ranged.agg(F.sum("n")).first()[0] or 0
+    ranks = [(total - 1) * float(p) for p in probs]
+    value_at = lambda place: F.min(F.when(F.col("upto") >= F.lit(place), F.col("v")))
+    r = upto.agg(*[c for k, rank in enumerate(ranks) for c in (
+        value_at(math.floor(rank) + 1).alias(f"l{k}"), value_at(math.ceil(rank) + 1).alias(f"h{k}"))])
+    return r.select(*[(F.col(f"l{k}") + (F.col(f"h{k}") - F.col(f"l{k}")) * F.lit(rank - math.floor(rank))).alias(f"q{k}")
+                      for k, rank in enumerate(ranks)])
 
 
 def summary_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
