@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +17,12 @@ from fieldkit.session import ensure_checkpoint_dir
 WORD_BREAKS = b" \t\n\x0b\x0c\r"  # words are runs of any other byte
 
 
+def worker_cache(name: str) -> dict:
+    """A dict that lives as long as the Python process. Module globals may not: functions can be shipped to
+    the executors by value, and then each task has globals of its own."""
+    return sys.modules.setdefault("fieldkit_worker_cache", ModuleType("fieldkit_worker_cache")).__dict__.setdefault(name, {})
+
+
 def words_of(text: bytes) -> list[bytes]:
     """Runs of bytes other than U+0020 and U+0009-U+000D (what bytes.split() takes as white space)."""
     return text.split()
@@ -28,7 +36,7 @@ def save(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -58,14 +66,17 @@ def word_counts(col: pa.Array) -> np.ndarray:
     at = np.frombuffer(col.buffers()[1], np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64)
     data = np.frombuffer(col.buffers()[2] or b"", np.uint8)[at[0]:at[-1]]
     at = at - at[0]
-    word = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    word = data != 32
+    word &= (data < 9) | (data > 13)
     first = word.copy()
     first[1:] &= ~word[:-1]
-    starts = at[:-1][at[:-1] < at[1:]]
+    some = at[:-1] < at[1:]
+    starts = at[:-1][some]
     first[starts] = word[starts]  # a word never spans two elements
-    upto = np.zeros(data.size + 1, np.int64)
-    np.cumsum(first, out=upto[1:])
-    return upto[at[1:]] - upto[at[:-1]]
+    counts = np.zeros(len(col), np.int64)
+    if starts.size:
+        counts[some] = np.add.reduceat(first.view(np.int8), starts, dtype=np.int64)
+    return counts
 
 
 def bucket_of(doc_id: str, modulus: int):

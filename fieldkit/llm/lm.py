@@ -3,7 +3,7 @@
 A text is scored as its lower-cased words, each closed by a space, and an end
 mark. A byte is coded as the turns on its path in a Huffman tree of the
 corpus, so frequent bytes take few binary decisions. Several predictors know,
-for a hashed context (the last byte, two, three, the word so far) and a node
+for a hashed context (the last two bytes, three, the word so far) and a node
 of the tree, how often the training corpus turned right there.
 
 Mixing has two layers, all in log odds. In the first, the predictors are
@@ -14,55 +14,60 @@ online, after every ``STEP`` words, by a gradient step on the errors made. The
 bits so coded add up to the score.
 
 Words and contexts are counted over all training documents, by Spark; context
-tables have a fixed size. Only the weights of the first layer (64
+tables have a fixed size. Only the weights of the first layer (48
 numbers) are fitted to a bounded sample: ``SAMPLE_WORDS`` distinct words, in
 hash order, each left out of the counts that predict it. Word counts grow
-with the corpus and are never gathered: every block of documents meets the
-counts of its own words in a cogroup.
+with the corpus and are never gathered: each block of documents lists its
+words in buckets by hash, a bucket of all blocks is summed up as a group, and every
+block meets the counts of its own words in a cogroup. Words travel as lists, so
+Spark moves a row per block and bucket.
 """
 
 from __future__ import annotations
 
 import heapq
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldkit.llm.common import bucket_of, save, words_of
+from fieldkit.llm.common import bucket_of, save, worker_cache, words_of
 
 FOLDS = 10
-SLOT_BITS = (16, 18, 20, 22)  # hashed contexts: 1 byte, 2 bytes, 3 bytes, word so far; each with a node
+SLOT_BITS = (18, 20, 22)      # hashed contexts: 2 bytes, 3 bytes, word so far; each with a node
 GATES = 8                     # of each first-layer mixer
 MIXERS = 2
 STEP = 64                     # words between refinements of a document's weights
 RATE = 0.0003
-SAMPLE_WORDS = 50_000
+SAMPLE_WORDS = 10_000
 ROUNDS = 40
+COUNTED_WORDS = 1_500_000     # distinct words whose contexts a task counts
 BLOCK_BYTES = 32 << 20        # documents are scored in blocks of about so much text
 BATCH_BYTES = 1 << 20
 ADD = 0.1                     # added to each word count
 END = b"\0"
 _KNUTH = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x100000001B3
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2^64."""
     size = 1 << max(16, int(n).bit_length())
-    if size not in _POWERS:
+    known = worker_cache("powers")
+    if size not in known:
         up = np.full(size, _BASE, np.uint64)
         down = np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)
         up[0] = down[0] = 1
-        _POWERS.clear()
-        _POWERS[size] = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    return _POWERS[size]
+        known.clear()
+        known[size] = np.multiply.accumulate(up), np.multiply.accumulate(down)
+    return known[size]
 
 
 def closed(words: list[bytes]) -> list[bytes]:
@@ -91,11 +96,10 @@ def symbols_of(tokens: list[bytes]) -> Symbols:
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:raw.size], out=upto[1:])
     start = here - place
     so_far = (upto[here] - upto[start]) * down[start]
-    one = raw[here - 1].astype(np.uint64)
-    two = one | raw[here - 2].astype(np.uint64) << np.uint64(8)
+    two = raw[here - 1].astype(np.uint64) | raw[here - 2].astype(np.uint64) << np.uint64(8)
     three = two | raw[here - 3].astype(np.uint64) << np.uint64(16)
     contexts = []
-    for value in (one, two, three, so_far):
+    for value in (two, three, so_far):
         mixed = (value + np.uint64(1)) * _KNUTH
         contexts.append(mixed ^ mixed >> np.uint64(32))
     return Symbols(raw[here], word, place, contexts)
@@ -141,18 +145,22 @@ class Bits:
 
 
 def bits_of(paths: tuple[np.ndarray, ...], s: Symbols) -> Bits:
-    length, first, nodes, turns = paths[:4]
+    length, first, nodes, turns = paths
     size = length[s.data]
-    rep = np.repeat(np.arange(s.data.size), size)
-    path = np.arange(rep.size) - np.repeat(np.cumsum(size) - size, size) + first[s.data][rep]
+    path = np.arange(size.sum()) + np.repeat(first[s.data] - (np.cumsum(size) - size), size)
     node = nodes[path].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    at = [(((c[rep] ^ node) * _KNUTH) >> np.uint64(64 - bits)).astype(np.int64)
-          for c, bits in zip(s.contexts, SLOT_BITS, strict=True)]
-    return Bits(s.word[rep], turns[path], at, np.minimum(s.place, GATES - 1)[rep])
+    at = []
+    for c, bits in zip(s.contexts, SLOT_BITS, strict=True):
+        slot = np.repeat(c, size)
+        slot ^= node
+        slot *= _KNUTH
+        slot >>= np.uint64(64 - bits)
+        at.append(slot.view(np.int64))
+    return Bits(np.repeat(s.word, size), turns[path], at, np.repeat(np.minimum(s.place, GATES - 1).astype(np.int8), size))
 
 
 def odds(ones: np.ndarray, seen: np.ndarray) -> np.ndarray:
-    return np.log(ones + 0.4) - np.log(seen - ones + 0.4)
+    return np.log((ones + np.float32(0.4)) / (seen - ones + np.float32(0.4)))
 
 
 def sureness(seen: np.ndarray) -> np.ndarray:
@@ -171,14 +179,14 @@ def build(paths: tuple[np.ndarray, ...], slot: np.ndarray, seen: np.ndarray, one
     parts = []
     sample = bits_of(paths, symbols_of(closed(words))) if words else None
     for k, bits in enumerate(SLOT_BITS):
-        n, r = np.zeros(1 << bits), np.zeros(1 << bits)
+        n, r = np.zeros(1 << bits, np.float32), np.zeros(1 << bits, np.float32)
         own = which == k
         n[slot[own] - SLOT_FROM[k]], r[slot[own] - SLOT_FROM[k]] = seen[own], ones[own]
         if sample:
             at = sample.at[k]
             # what one occurrence of the word itself added is taken back
             parts.append(odds(np.maximum(r[at] - sample.right, 0), np.maximum(n[at] - 1, 0)))
-        model.tables.append(odds(r, n).astype(np.float32))
+        model.tables.append(odds(r, n))
     model.sure = sureness(n)
     if sample:
         gates = (sample.place, sureness(n[sample.at[-1]] - 1))
@@ -205,66 +213,83 @@ def _fit(model: Model, x: np.ndarray, right: np.ndarray, gates: tuple, weight: n
                 model.weights[m, g] += 0.1 * grad / np.sqrt(square + 1e-12)
 
 
-def mixed_words(model: Model, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(log odds of the turns taken, per mixer; bounds of each token's decisions)."""
-    found, sizes = [], []
+def mixed_words(model: Model, tokens: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+    """(per mixer the log odds of the turns taken, bounds of each token's decisions)."""
+    paths = (model.length, model.first, model.nodes, model.turns)
+    data = np.frombuffer(b"".join(tokens), np.uint8)
+    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)))
+    bound = np.concatenate([[0], np.concatenate([[0], np.cumsum(model.length[data])])[ends]])
+    out = [np.empty(bound[-1], np.float32) for _ in range(MIXERS)]
     weights = model.weights.astype(np.float32)
     for k in range(0, len(tokens), 5_000):
-        part = tokens[k:k + 5_000]
-        b = bits_of((model.length, model.first, model.nodes, model.turns), symbols_of(part))
-        x = np.stack([table[at] for table, at in zip(model.tables, b.at, strict=True)], axis=1)
-        x[~b.right] *= -1
+        b = bits_of(paths, symbols_of(tokens[k:k + 5_000]))
+        rows = slice(bound[k], bound[min(k + 5_000, len(tokens))])
+        sign = np.where(b.right, np.float32(1), np.float32(-1))
         gates = (b.place, model.sure[b.at[-1]])
-        found.append(np.stack([np.einsum("ij,ij->i", x, weights[m][g]) for m, g in enumerate(gates)], axis=1))
-        sizes.append(np.bincount(b.word, minlength=len(part)))
-    bound = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
-    return np.concatenate(found), bound
+        for c, (table, at) in enumerate(zip(model.tables, b.at, strict=True)):
+            x = table.take(at, mode="clip")
+            x *= sign
+            for m, g in enumerate(gates):
+                part = weights[m, :, c][g]
+                part *= x
+                if c:
+                    out[m][rows] += part
+                else:
+                    out[m][rows] = part
+    return out, bound
 
 
-def refine(z: np.ndarray, bound: np.ndarray, docs: list[np.ndarray]) -> np.ndarray:
+def refine(z: list[np.ndarray], bound: np.ndarray, docs: list[np.ndarray]) -> np.ndarray:
     """Natural log probability of each document (an array of token numbers, at least one)."""
     size = np.fromiter(map(len, docs), np.int64, len(docs))
     order = np.argsort(-size, kind="stable")
     size = size[order]
-    first, last = np.ascontiguousarray(z[:, 0]), np.ascontiguousarray(z[:, 1])
+    first, last = z
+    bound = bound.astype(np.int32)
     w = np.full((2, len(docs)), 0.5, np.float32)
     logp = np.zeros(len(docs))
     for at in range(0, int(size[0]), STEP):
         live = int(np.searchsorted(-size, -at, side="left"))     # documents with words left
         tokens = np.concatenate([docs[k][at:at + STEP] for k in order[:live]])
         n = bound[tokens + 1] - bound[tokens]
-        upto = np.cumsum(n)
-        bit = np.arange(upto[-1]) + np.repeat(bound[tokens] - (upto - n), n)
+        upto = np.cumsum(n, dtype=np.int32)
+        bit = np.arange(upto[-1], dtype=np.int32)
+        bit += np.repeat(bound[tokens] - (upto - n), n)
         words = np.minimum(size[:live] - at, STEP)
         starts = np.concatenate([[0], upto])[np.cumsum(words) - words]
         span = np.diff(np.append(starts, upto[-1]))
-        a, b = first[bit], last[bit]
-        x = np.repeat(w[0, :live], span) * a + np.repeat(w[1, :live], span) * b
-        e = np.exp(-np.clip(x, -20, 20))
-        logp[:live] -= np.add.reduceat(np.log1p(e), starts, dtype=np.float64)
-        e /= 1 + e
-        w[0, :live] += RATE * np.add.reduceat(e * a, starts)
-        w[1, :live] += RATE * np.add.reduceat(e * b, starts)
+        a, b = first.take(bit, mode="clip"), last.take(bit, mode="clip")
+        e = np.repeat(-w[0, :live], span)
+        e *= a
+        more = np.repeat(w[1, :live], span)
+        more *= b
+        e -= more
+        np.exp(e, out=e)           # odds of the turns not taken
+        miss = e + np.float32(1)
+        logp[:live] -= np.add.reduceat(np.log(miss), starts, dtype=np.float64)
+        np.divide(e, miss, out=miss)
+        a *= miss
+        b *= miss
+        w[0, :live] += RATE * np.add.reduceat(a, starts)
+        w[1, :live] += RATE * np.add.reduceat(b, starts)
     back = np.empty(len(docs))
     back[order] = logp
     return back
 
 
-def in_bytes(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of items that add up to about ``most``."""
-    first = held = 0
-    for k, n in enumerate(sizes):
-        held += n
-        if held >= most:
-            yield first, k + 1
-            first, held = k + 1, 0
-    if first < len(sizes):
-        yield first, len(sizes)
+def in_bytes(texts: pa.ChunkedArray, most: int) -> Iterator[list[bytes]]:
+    """The texts in lists of about ``most`` bytes."""
+    size = pc.binary_length(texts).to_numpy()
+    turn = np.flatnonzero(np.diff(np.cumsum(size) // most, prepend=0))
+    bounds = [0, *(turn + 1).tolist(), len(texts)]
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        if a < b:
+            yield texts.slice(a, b - a).to_pylist()
 
 
-def counted(docs: DataFrame) -> DataFrame:
-    """One pass over the documents: rows with a text (a document and its block) and rows with a word (a word of
-    a block and its count in the block's training documents; the empty word is the end)."""
+def counted(docs: DataFrame, buckets: int) -> DataFrame:
+    """One pass over the documents: rows with a text (a document and its block) and rows with ``words`` (those of a
+    block that fall into ``bucket``, and their counts in its training documents; the empty word is the end)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     held = F.coalesce(bucket_of("doc_id", FOLDS) == 0, F.lit(False)).alias("held_out")
     base = docs.select("doc_id", held, F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
@@ -275,17 +300,22 @@ def counted(docs: DataFrame) -> DataFrame:
         size, ids = 0, None
 
         def rows(length: int, **cols) -> pa.RecordBatch:
-            out = {"block": pa.array(np.full(length, block, np.int64)), "word": pa.nulls(length, pa.binary()),
-                   "n": pa.nulls(length, pa.int64()), "doc_id": pa.nulls(length, ids),
-                   "held_out": pa.nulls(length, pa.bool_()), "text": pa.nulls(length, pa.binary())} | cols
+            out = {"block": pa.array(np.full(length, block, np.int64)), "bucket": pa.nulls(length, pa.int32()),
+                   "words": pa.nulls(length, pa.list_(pa.binary())), "counts": pa.nulls(length, pa.list_(pa.int64())),
+                   "doc_id": pa.nulls(length, ids), "held_out": pa.nulls(length, pa.bool_()),
+                   "text": pa.nulls(length, pa.binary())} | cols
             return pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
 
-        def vocabulary() -> Iterator[pa.RecordBatch]:
-            items = list(words.items())
-            for k in range(0, len(items), 50_000):
-                part = items[k:k + 50_000]
-                yield rows(len(part), word=pa.array([w for w, _ in part], pa.binary()),
-                           n=pa.array([c for _, c in part], pa.int64()))
+        def vocabulary() -> pa.RecordBatch:
+            own = list(words)
+            at = np.fromiter(map(zlib.crc32, own), np.int64, len(own)) % buckets
+            order = np.argsort(at, kind="stable")
+            some, first = np.unique(at[order], return_index=True)
+            bounds = pa.array(np.append(first, len(own)).astype(np.int32))
+            n = np.fromiter(words.values(), np.int64, len(own))[order]
+            return rows(some.size, bucket=pa.array(some.astype(np.int32)),
+                        words=pa.ListArray.from_arrays(bounds, pa.array(own, pa.binary()).take(pa.array(order))),
+                        counts=pa.ListArray.from_arrays(bounds, pa.array(n)))
 
         for b in batches:
             ids = b.column("doc_id").type
@@ -307,78 +337,113 @@ def counted(docs: DataFrame) -> DataFrame:
                     yield rows(cut.num_rows, **{c: cut.column(c) for c in ("doc_id", "held_out", "text")})
                     first = k + 1
                 if full:
-                    yield from vocabulary()
+                    yield vocabulary()
                     block, size, words = block + 1, 0, Counter()
         if words:
-            yield from vocabulary()
+            yield vocabulary()
+
+    return save(base.mapInArrow(run, "block bigint, bucket int, words array<binary>, counts array<bigint>, "
+                                     f"doc_id {kind}, held_out boolean, text binary"), "counted")
+
+
+def summed(rows: DataFrame) -> DataFrame:
+    """(block, words, counts): the words of each block with their counts over all blocks; and, with a null block,
+    every word once."""
+    def run(t: pa.Table) -> pa.Table:
+        words, counts = t.column("words").combine_chunks(), t.column("counts").combine_chunks()
+        coded = words.flatten().dictionary_encode()
+        at = coded.indices.to_numpy()
+        total = np.bincount(at, weights=counts.flatten().to_numpy(), minlength=len(coded.dictionary)).astype(np.int64)
+        sizes = words.value_lengths().to_numpy()
+        bounds = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        whole = pa.array([0, len(total)], pa.int32())
+        return pa.table({
+            "block": pa.chunked_array([*t.column("block").chunks, pa.nulls(1, pa.int64())]),
+            "words": pa.chunked_array([pa.ListArray.from_arrays(bounds, words.flatten()),
+                                       pa.ListArray.from_arrays(whole, coded.dictionary)]),
+            "counts": pa.chunked_array([pa.ListArray.from_arrays(bounds, pa.array(total[at])),
+                                        pa.ListArray.from_arrays(whole, pa.array(total))])})
+
+    return save(rows.where("bucket IS NOT NULL").select("block", "bucket", "words", "counts").groupBy("bucket")
+                .applyInArrow(run, "block bigint, words array<binary>, counts array<bigint>"), "vocabulary")
+
 
-    return save(base.mapInArrow(run, f"block bigint, word binary, n bigint, doc_id {kind}, held_out boolean, text binary"),
-                "counted")
+def _learned(batch: pa.RecordBatch, most: int) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """The training words of a batch of word lists, as coded, with their counts, about ``most`` at a time."""
+    words, counts = batch.column("words").flatten(), batch.column("counts").flatten().to_numpy()
+    for k in range(0, len(words), most):
+        c = counts[k:k + most]
+        some = np.flatnonzero(c > 0)
+        if some.size:
+            yield closed(words.slice(k, most).take(pa.array(some)).to_pylist()), c[some]
 
 
-def context_counts(totals: DataFrame, paths: tuple[np.ndarray, ...]) -> DataFrame:
-    """(slot, seen, ones): how often the training words ``totals(word, c)`` come to each slot, and turn right there."""
+def context_counts(totals: DataFrame, paths: tuple[np.ndarray, ...], distinct: int) -> DataFrame:
+    """(slot, seen, ones): how often the training words come to each slot, and turn right there."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [np.zeros(1 << bits) for bits in SLOT_BITS]
-        ones = [np.zeros(1 << bits) for bits in SLOT_BITS]
+        seen = [np.zeros(1 << bits, np.int64) for bits in SLOT_BITS]
+        ones = [np.zeros(1 << bits, np.int64) for bits in SLOT_BITS]
         for batch in batches:
-            words = closed(batch.column("word").to_pylist())
-            counts = batch.column("c").to_numpy().astype(np.float64)
-            b = bits_of(paths, symbols_of(words))
-            c = counts[b.word]
-            for k, at in enumerate(b.at):
-                np.add.at(seen[k], at, c)
-                np.add.at(ones[k], at[b.right], c[b.right])
+            for words, counts in _learned(batch, 10_000):
+                b = bits_of(paths, symbols_of(words))
+                c = counts[b.word]
+                for k, at in enumerate(b.at):
+                    np.add.at(seen[k], at, c)
+                    np.add.at(ones[k], at[b.right], c[b.right])
         for k, table in enumerate(seen):
             at = np.flatnonzero(table)
             yield pa.RecordBatch.from_arrays(
-                [pa.array((at + SLOT_FROM[k]).astype(np.int32)), pa.array(table[at].astype(np.int64)),
-                 pa.array(ones[k][at].astype(np.int64))], names=["slot", "seen", "ones"])
-    return (totals.where("c > 0").mapInArrow(run, "slot int, seen bigint, ones bigint")
+                [pa.array((at + SLOT_FROM[k]).astype(np.int32)), pa.array(table[at]), pa.array(ones[k][at])],
+                names=["slot", "seen", "ones"])
+    # each task gives its whole tables, so there are few: one per COUNTED_WORDS
+    few = totals.select("words", "counts").coalesce(max(1, -(-distinct // COUNTED_WORDS)))
+    return (few.mapInArrow(run, "slot int, seen bigint, ones bigint")
             .groupBy("slot").agg(F.sum("seen").cast("float").alias("seen"), F.sum("ones").cast("float").alias("ones")))
 
 
-def byte_counts(totals: DataFrame) -> np.ndarray:
-    """How often each byte comes in the training words (a row per byte reaches the driver)."""
+def byte_counts(totals: DataFrame) -> tuple[np.ndarray, int, int]:
+    """How often each byte comes in the training words; all training tokens; distinct ones (258 rows reach the driver)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(256)
+        table = np.zeros(258)
         for batch in batches:
-            words = closed(batch.column("word").to_pylist())
-            data = np.frombuffer(b"".join(words), np.uint8)
-            size = np.fromiter(map(len, words), np.int64, len(words))
-            table += np.bincount(data, weights=np.repeat(batch.column("c").to_numpy().astype(np.float64), size), minlength=256)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(table)], names=["b", "n"])
-    found = totals.where("c > 0").mapInArrow(run, "b bigint, n double").groupBy("b").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(256)
+            for words, counts in _learned(batch, 100_000):
+                size = np.fromiter(map(len, words), np.int64, len(words))
+                data = np.frombuffer(b"".join(words), np.uint8)
+                table[:256] += np.bincount(data, weights=np.repeat(counts, size), minlength=256)
+                table[256] += counts.sum()
+                table[257] += len(words)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(258)), pa.array(table)], names=["b", "n"])
+    found = (totals.select("words", "counts").mapInArrow(run, "b bigint, n double")
+             .groupBy("b").agg(F.sum("n").alias("n")).collect())
+    out = np.zeros(258)
     for r in found:
         out[r["b"]] = r["n"]
-    return out
+    return out[:256], int(out[256]), int(out[257])
 
 
-def train(totals: DataFrame) -> Model:
+def train(totals: DataFrame, bytes_seen: np.ndarray, distinct: int) -> Model:
     """The model of the training words. What reaches the driver is bounded by the context tables and the sample."""
-    paths = huffman(byte_counts(totals))
-    slots = context_counts(totals, paths).toPandas()
-    some = totals.where("c > 0").orderBy(F.xxhash64("word"), "word").limit(SAMPLE_WORDS).toPandas()
-    return build(paths, slots["slot"].to_numpy(), slots["seen"].to_numpy(), slots["ones"].to_numpy(),
-                 [bytes(w) for w in some["word"]], some["c"].to_numpy(np.float64))
+    paths = huffman(bytes_seen)
+    one = totals.select(F.explode(F.arrays_zip("words", "counts")).alias("w")).select("w.words", "w.counts").where("counts > 0")
+    some = one.orderBy(F.xxhash64("words"), "words").limit(SAMPLE_WORDS).toArrow()
+    slots = context_counts(totals, paths, distinct).toArrow()
+    return build(paths, *[slots.column(c).to_numpy() for c in ("slot", "seen", "ones")],
+                 some.column("words").to_pylist(), some.column("counts").to_numpy().astype(np.float64))
 
 
-def score_block(texts: list[bytes], words: list[bytes], counts: np.ndarray, model: Model, n: int, v: int) -> tuple:
+def score_block(texts: pa.ChunkedArray, words: list[bytes], counts: np.ndarray, model: Model, n: int, v: int) -> tuple:
     """(tokens, known tokens, base score, score, bytes) of each text of a block, given the counts of all its words."""
     number = dict(zip(words, range(len(words)), strict=True))
-    end = number[b""]
     z, bound = mixed_words(model, closed(words))
     log_count = np.log10(counts + ADD)
     known = (counts > 0).astype(np.int64)
     find = number.__getitem__
     tokens, base, score, hits, nbytes = [], [], [], [], []
-    for a, b in in_bytes([len(t) for t in texts], BATCH_BYTES):
+    for part in in_bytes(texts, BATCH_BYTES):
         docs = []
-        for t in texts[a:b]:
+        for t in part:
             own = words_of(t.lower())
-            ids = np.fromiter(map(find, own), np.int64, len(own) + 0)
-            docs.append(np.append(ids, end))
+            docs.append(np.fromiter(map(find, [*own, b""]), np.int64, len(own) + 1))
             nbytes.append(sum(map(len, own)) + len(own) + 1)
         for ids in docs:
             tokens.append(ids.size)
@@ -400,25 +465,27 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     rows; without training documents all predictors are even; other columns
     are ignored.
     """
-    rows = counted(docs)
-    totals = save(rows.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("c")), "words")
-    size = totals.agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
-    n, v = int(size["n"] or 0), int(size["v"] or 0)
-    model = docs.sparkSession.sparkContext.broadcast(train(totals))   # fixed size, see SLOT_BITS
+    spark = docs.sparkSession
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = counted(docs, buckets)
+    vocabulary = summed(rows)
+    totals = vocabulary.where("block IS NULL")
+    bytes_seen, n, v = byte_counts(totals)
+    model = spark.sparkContext.broadcast(train(totals, bytes_seen, v))   # fixed size, see SLOT_BITS
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def score(own: pa.Table, vocabulary: pa.Table) -> pa.Table:
-        tokens, known, base, logp, nbytes = score_block(
-            own.column("text").to_pylist(), vocabulary.column("word").to_pylist(),
-            vocabulary.column("c").to_numpy().astype(np.float64), model.value, n, v)
+    def score(own: pa.Table, known: pa.Table) -> pa.Table:
+        words, counts = (pa.concat_arrays([c.flatten() for c in known.column(name).chunks]) for name in ("words", "counts"))
+        tokens, hits, base, logp, nbytes = score_block(
+            own.column("text"), words.to_pylist(), counts.to_numpy().astype(np.float64), model.value, n, v)
         return pa.table({
             "doc_id": own.column("doc_id"), "held_out": own.column("held_out"), "n_tokens": pa.array(tokens),
-            "n_known": pa.array(known), "train_tokens": pa.array(np.full(len(tokens), n, np.int64)),
+            "n_known": pa.array(hits), "train_tokens": pa.array(np.full(len(tokens), n, np.int64)),
             "base_score": pa.array(base), "score": pa.array(logp / np.log(10)), "n_bytes": pa.array(nbytes),
             "bits_per_byte": pa.array(-logp / np.log(2) / nbytes)})
 
-    words = rows.where("word IS NOT NULL").select(F.col("block").alias("of_block"), "word").join(totals, "word")
+    words = vocabulary.where("block IS NOT NULL").select(F.col("block").alias("of_block"), "words", "counts")
     return (rows.where("text IS NOT NULL").select("block", "doc_id", "held_out", "text").groupBy("block")
-            .cogroup(words.select("of_block", "word", "c").groupBy("of_block"))
+            .cogroup(words.groupBy("of_block"))
             .applyInArrow(score, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, "
                                  "train_tokens bigint, base_score double, score double, n_bytes bigint, bits_per_byte double"))

@@ -251,6 +251,18 @@ def test_mix_meets_targets(docs, rows):
     assert copies == Counter({r["doc_id"]: r["copies"] for r in got if r["copies"]})
 
 
+def test_mix_comes_close_where_sizes_vary(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, " ".join(["w"] * int(n)), f"s{i % 5}") for i, n in enumerate(rng.geometric(0.01, 3000))]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r["doc_id"] % 5] += r["taken"]
+        target[r["doc_id"] % 5] = r["target"]
+        assert all(0 <= s < mixing.SHARDS for s in r["shards"])
+    assert all(abs(taken[k] - target[k]) <= 5 for k in target)
+
+
 def test_mix_odd_rows(odd, none):
     assert mixing.mix_sources(odd).count() == odd.count()
     assert mixing.mix_rows(odd).columns == odd.columns
@@ -283,7 +295,7 @@ def test_lm_is_a_distribution_over_next_words(spark):
     model.tables = [rng.normal(0, 2, 1 << b).astype(np.float32) for b in lm.SLOT_BITS]
     firsts = [bytes([b]) for b in range(256)]
     z, bound = lm.mixed_words(model, firsts)
-    p = [np.prod(1 / (1 + np.exp(-z[a:b, 0].astype(float)))) for a, b in zip(bound[:-1], bound[1:], strict=True)]
+    p = [np.prod(1 / (1 + np.exp(-z[0][a:b].astype(float)))) for a, b in zip(bound[:-1], bound[1:], strict=True)]
     assert sum(p) == pytest.approx(1, abs=1e-4)
 
 
@@ -361,6 +373,7 @@ def test_secret_odd_rows(odd, none):
     ("&eacute;&#8217;&lt;&nosuch;", "é’<&nosuch;"),
     ("broken <div <p>x", "broken\nx"),
     ("1 < 2 and 3 > 2", "1 < 2 and 3 > 2"),
+    ("<a title='it's' href=x>y</a> <b class=\"a>b\">z</b>", "y z"),
     ("", ""),
 ])
 def test_html_rendering(page, text):
