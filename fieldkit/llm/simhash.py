@@ -191,8 +191,8 @@ def link_stars(nodes: DataFrame, max_bits: int = MAX_BITS, sample: int = SAMPLE,
                cell: int = CELL) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``nodes(fp)`` that span every component within ``max_bits``."""
     total = nodes.count()
-    picked = nodes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample).toPandas()["fp"]
-    points = np.asarray(picked, np.int64).view(np.uint64)
+    picked = nodes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample).toArrow().column("fp")
+    points = picked.to_numpy().astype(np.int64).view(np.uint64)
     trees, n = [], 0
     for mask, radius in segment_rules(max_bits):
         tree, n = grow(points, total, mask, radius, n, leaf)
