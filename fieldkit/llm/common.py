@@ -9,11 +9,16 @@ from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import fieldkit
 from fieldkit.session import ensure_checkpoint_dir
 
+# functions travel with the task (by value), so executors need no installed copy of this package
+cloudpickle.register_pickle_by_value(fieldkit)
+
 WORD_BREAKS = b" \t\n\x0b\x0c\r"  # words are runs of any other byte
 
 
