@@ -24,12 +24,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from fieldkit.llm.common import save, text_bytes, words_of
+from fieldkit.llm.common import save, text_bytes, worker_cache, words_of
 
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 1_500_000   # words a Python worker keeps the ids of, about; then it starts anew
+CACHE_WORDS = 900_000   # words a task keeps the ids of, about; then it starts anew
 
 
 # letters, and bytes beyond ASCII, between ASCII punctuation other than the apostrophe (which may begin a contraction)
@@ -45,8 +45,11 @@ class Ids:
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        # words of a-z need neither normalising nor splitting: the merges alone give their ids
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.limit = limit
         self.known: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
@@ -63,10 +66,12 @@ class Ids:
 
     def _encode_letters(self, words: list[bytes]) -> None:
         """Ids of words of letters: many as one text, parted after the ids that end a word."""
-        for k in range(0, len(words), 2_000):
-            part = words[k:k + 2_000]
+        plain = [w for w in words if w.isascii()]
+        other = [w for w in words if not w.isascii()]
+        for tokenizer, part in [(t, own[k:k + 2_000]) for t, own in ((self.plain, plain), (self.tokenizer, other))
+                                for k in range(0, len(own), 2_000)]:
             text = b" ".join(part).decode()
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.ends[ids]) + 1
             if ends.size != len(part):
                 self._encode(part)
@@ -109,20 +114,18 @@ class Ids:
                 self.known = {}
             find = self.known.get
             found = [list(map(find, words)) for words in part]
-            new = {w for words, ids in zip(part, found, strict=True) if None in ids
+            whole = list(map(all, found))   # not None, nor empty: much cheaper to test than equality with None
+            new = {w for words, ids, ok in zip(part, found, whole, strict=True) if not ok
                    for w, i in zip(words, ids, strict=True) if i is None}
             if new:
                 self._learn(list(new))
             known = self.known
-            for words, ids in zip(part, found, strict=True):
-                if None in ids:
+            for words, ids, ok in zip(part, found, whole, strict=True):
+                if not ok:
                     ids = [known[w] if i is None else i for w, i in zip(words, ids, strict=True)]
                 yield b"".join(ids)
 
 
-_IDS: dict[str, Ids] = {}   # per Python worker, by tokenizer file
-
-
 def tokenizer_path(path: str | None) -> str:
     if path:
         return path
@@ -136,9 +139,11 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, w
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where = tokenizer_path(path)
-        if where not in _IDS:
-            _IDS[where] = Ids(where)
-        ids = _IDS[where]
+        known = worker_cache("token ids")
+        if where not in known:
+            known[where] = Ids(where)
+        ids = known[where]
+        ids.known = {}   # a task's own words: bounded by its part, and a small table stays in the CPU's caches
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         end = np.array([END_ID], "<u4").tobytes()
