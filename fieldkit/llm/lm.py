@@ -3,7 +3,7 @@
 A text is scored as its lower-cased words, each closed by a space, and an end
 mark. A byte is coded as the turns on its path in a Huffman tree of the
 corpus, so frequent bytes take few binary decisions. Several predictors know,
-for a hashed context (the last two bytes, three, the word so far) and a node
+for a context (the last two bytes, three, the word so far) and a node
 of the tree, how often the training corpus turned right there.
 
 Mixing has two layers, all in log odds. In the first, the predictors are
@@ -13,14 +13,22 @@ second combines the two by weights of the document's own: they are refined
 online, after every ``STEP`` words, by a gradient step on the errors made. The
 bits so coded add up to the score.
 
-Words and contexts are counted over all training documents, by Spark; context
-tables have a fixed size. Only the weights of the first layer (48
-numbers) are fitted to a bounded sample: ``SAMPLE_WORDS`` distinct words, in
-hash order, each left out of the counts that predict it. Word counts grow
-with the corpus and are never gathered: each block of documents lists its
-words in buckets by hash, a bucket of all blocks is summed up as a group, and every
-block meets the counts of its own words in a cogroup. Words travel as lists, so
-Spark moves a row per block and bucket.
+Words and contexts are counted over all training documents, by Spark, and no
+two contexts share a count. Contexts of the last bytes are finite in number:
+their tables are broadcast, with slots for twice the contexts counted. Words
+so far grow with the corpus and are never gathered. Each block of documents lists
+its words in buckets by their first three bytes, so that a bucket of all blocks,
+summed up as a group, holds every word that goes on from a longer beginning,
+and counts it exactly; up to three bytes, the word so far is a context of last
+bytes. Every block meets the counts of its own words in a cogroup, with a
+word's *chain*: how many training words still agree with it after each
+decision, as far as other words do. Words travel as lists, so Spark moves a row per block
+and bucket.
+
+The weights of the first layer are fitted to all training words, each left
+out of the counts that predict it: equal decisions are added up to one row with
+its number, and Newton's method needs a few passes, of which each
+gate gives a gradient and a Hessian.
 """
 
 from __future__ import annotations
@@ -38,17 +46,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldkit.llm.common import bucket_of, save, worker_cache, words_of
+from fieldkit.llm.common import bucket_of, in_batches, save, worker_cache, words_of
 
 FOLDS = 10
-SLOT_BITS = (18, 20, 22)      # hashed contexts: 2 bytes, 3 bytes, word so far; each with a node
+SLOT_BITS = (18, 20)          # fewest slots of a table: last 2 bytes, 3 bytes; each with a node
+WIDEST = 3                    # bytes; longer beginnings of words are counted by group
 GATES = 8                     # of each first-layer mixer
 MIXERS = 2
 STEP = 64                     # words between refinements of a document's weights
 RATE = 0.0003
-SAMPLE_WORDS = 10_000
-ROUNDS = 40
-COUNTED_WORDS = 1_500_000     # distinct words whose contexts a task counts
+PASSES = 12                   # over the decisions, at most, to fit the weights
+ENOUGH = 1e-5                 # share of the loss that a pass must still gain
+GATHERED = 2_000_000          # decisions that a task adds up at a time
 BLOCK_BYTES = 32 << 20        # documents are scored in blocks of about so much text
 BATCH_BYTES = 1 << 20
 ADD = 0.1                     # added to each word count
@@ -81,7 +90,8 @@ class Symbols:
     data: np.ndarray
     word: np.ndarray      # which word
     place: np.ndarray     # place in the word
-    contexts: list        # hash of each context
+    last: np.ndarray      # the last three bytes
+    so_far: np.ndarray    # hash of the word so far
 
 
 def symbols_of(tokens: list[bytes]) -> Symbols:
@@ -98,11 +108,8 @@ def symbols_of(tokens: list[bytes]) -> Symbols:
     so_far = (upto[here] - upto[start]) * down[start]
     two = raw[here - 1].astype(np.uint64) | raw[here - 2].astype(np.uint64) << np.uint64(8)
     three = two | raw[here - 3].astype(np.uint64) << np.uint64(16)
-    contexts = []
-    for value in (two, three, so_far):
-        mixed = (value + np.uint64(1)) * _KNUTH
-        contexts.append(mixed ^ mixed >> np.uint64(32))
-    return Symbols(raw[here], word, place, contexts)
+    mixed = (so_far + np.uint64(1)) * _KNUTH
+    return Symbols(raw[here], word, place, three, mixed ^ mixed >> np.uint64(32))
 
 
 def huffman(counts: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -130,8 +137,9 @@ class Model:
     first: np.ndarray      # where its path starts
     nodes: np.ndarray      # nodes of all paths
     turns: np.ndarray      # 1: right
-    tables: list           # per context: log odds of a right turn by slot
-    sure: np.ndarray       # gate of the word so far, by slot
+    keys: list             # per context of last bytes: which stands in a slot
+    tables: list           # ... and the log odds of a right turn
+    sure: np.ndarray       # gate of the widest context, by slot
     weights: np.ndarray    # (MIXERS, GATES, contexts)
 
 
@@ -140,23 +148,53 @@ class Bits:
     """The binary decisions of closed words."""
     word: np.ndarray      # which word
     right: np.ndarray
-    at: list              # per context: slot in its table
+    key: np.ndarray       # the last three bytes and the node
+    so_far: np.ndarray    # hash of the word so far and the node
     place: np.ndarray     # gate of the first mixer
 
 
-def bits_of(paths: tuple[np.ndarray, ...], s: Symbols) -> Bits:
+def bits_of(paths: tuple[np.ndarray, ...], s: Symbols, so_far: bool = False) -> Bits:
     length, first, nodes, turns = paths
     size = length[s.data]
     path = np.arange(size.sum()) + np.repeat(first[s.data] - (np.cumsum(size) - size), size)
-    node = nodes[path].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    at = []
-    for c, bits in zip(s.contexts, SLOT_BITS, strict=True):
-        slot = np.repeat(c, size)
-        slot ^= node
-        slot *= _KNUTH
-        slot >>= np.uint64(64 - bits)
-        at.append(slot.view(np.int64))
-    return Bits(np.repeat(s.word, size), turns[path], at, np.repeat(np.minimum(s.place, GATES - 1).astype(np.int8), size))
+    node = nodes[path].astype(np.uint64)
+    key = np.repeat(s.last << np.uint64(8), size)
+    key |= node
+    own = np.repeat(s.so_far, size) ^ node * np.uint64(0xD6E8FEB86659FD93) if so_far else None
+    return Bits(np.repeat(s.word, size), turns[path], key, own,
+                np.repeat(np.minimum(s.place, GATES - 1).astype(np.int8), size))
+
+
+def narrowed(key: np.ndarray) -> list[np.ndarray]:
+    """The contexts of ``SLOT_BITS`` in the last three bytes with a node."""
+    return [key & np.uint64((1 << 8 * (k + 1)) - 1) for k in range(WIDEST + 1 - len(SLOT_BITS), WIDEST + 1)]
+
+
+def placed(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """An open table of 2^bits slots with the distinct keys, and the slot of each."""
+    table = np.zeros(1 << bits, np.uint64)
+    h = (key + np.uint64(1)) * _KNUTH          # one to one, and never 0
+    at = (h >> np.uint64(64 - bits)).astype(np.int64)
+    left = np.arange(h.size)
+    while left.size:
+        free = left[table[at[left]] == 0]
+        table[at[free]] = h[free]
+        left = left[table[at[left]] != h[left]]
+        at[left] = (at[left] + 1) & (table.size - 1)
+    return table, at
+
+
+def find(table: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """The slot of each key; of one that is not there, an empty slot."""
+    h = (key + np.uint64(1)) * _KNUTH
+    at = (h >> np.uint64(65 - table.size.bit_length())).view(np.int64)
+    got = table.take(at)
+    left = np.flatnonzero((got != h) & (got != 0))
+    while left.size:
+        at[left] = (at[left] + 1) & (table.size - 1)
+        got = table[at[left]]
+        left = left[(got != h[left]) & (got != 0)]
+    return at
 
 
 def odds(ones: np.ndarray, seen: np.ndarray) -> np.ndarray:
@@ -168,68 +206,69 @@ def sureness(seen: np.ndarray) -> np.ndarray:
     return np.minimum(np.ceil(np.log2(np.maximum(seen, 0) + 1) / 3), GATES - 1).astype(np.int8)
 
 
-SLOT_FROM = np.cumsum([0] + [1 << bits for bits in SLOT_BITS])   # slots of all contexts are numbered through
-
-
-def build(paths: tuple[np.ndarray, ...], slot: np.ndarray, seen: np.ndarray, ones: np.ndarray, words: list[bytes],
-          counts: np.ndarray) -> Model:
-    """The model of context counts, its weights fitted to ``words``."""
-    which = np.searchsorted(SLOT_FROM, slot, side="right").astype(np.int8) - 1
-    model = Model(*paths, [], None, np.full((MIXERS, GATES, len(SLOT_BITS)), 0.3))
-    parts = []
-    sample = bits_of(paths, symbols_of(closed(words))) if words else None
-    for k, bits in enumerate(SLOT_BITS):
-        n, r = np.zeros(1 << bits, np.float32), np.zeros(1 << bits, np.float32)
-        own = which == k
-        n[slot[own] - SLOT_FROM[k]], r[slot[own] - SLOT_FROM[k]] = seen[own], ones[own]
-        if sample:
-            at = sample.at[k]
-            # what one occurrence of the word itself added is taken back
-            parts.append(odds(np.maximum(r[at] - sample.right, 0), np.maximum(n[at] - 1, 0)))
-        model.tables.append(odds(r, n))
-    model.sure = sureness(n)
-    if sample:
-        gates = (sample.place, sureness(n[sample.at[-1]] - 1))
-        _fit(model, np.stack(parts, axis=1), sample.right, gates, np.minimum(counts, 1000.0)[sample.word])
-    return model
-
-
-def _fit(model: Model, x: np.ndarray, right: np.ndarray, gates: tuple, weight: np.ndarray) -> None:
-    """First-layer weights by Adagrad on all decisions of the sample, gate by gate."""
-    x = np.where(right[:, None], x, -x)
-    for m in range(MIXERS):
-        order = np.argsort(gates[m], kind="stable")
-        bound = np.searchsorted(gates[m][order], np.arange(GATES + 1))
-        for g in range(GATES):
-            rows = order[bound[g]:bound[g + 1]]
-            if not rows.size:
-                continue
-            z, w = x[rows], weight[rows] / weight[rows].sum()
-            square = np.zeros(z.shape[1])
-            for _ in range(ROUNDS):
-                miss = w / (1 + np.exp(np.clip(z @ model.weights[m, g], -30, 30)))
-                grad = miss @ z
-                square += grad * grad
-                model.weights[m, g] += 0.1 * grad / np.sqrt(square + 1e-12)
-
-
-def mixed_words(model: Model, tokens: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
-    """(per mixer the log odds of the turns taken, bounds of each token's decisions)."""
+def tables_of(key: np.ndarray, seen: np.ndarray, ones: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per context of last bytes its open table, and per slot how often it was seen, and turned right."""
+    out = []
+    for own, least in zip(narrowed(key.astype(np.uint64)), SLOT_BITS, strict=True):
+        some, which = np.unique(own, return_inverse=True)
+        table, at = placed(some, max(least, (2 * some.size).bit_length()))
+        n, r = np.zeros(table.size, np.float32), np.zeros(table.size, np.float32)
+        n[at] = np.bincount(which, weights=seen, minlength=some.size)
+        r[at] = np.bincount(which, weights=ones, minlength=some.size)
+        out.append((table, n, r))
+    return out
+
+
+def build(paths: tuple[np.ndarray, ...], key: np.ndarray, seen: np.ndarray, ones: np.ndarray, tables: list,
+          weights: np.ndarray) -> Model:
+    """The model of context counts, or of their ``tables`` if there; even weights if none are given."""
+    tables = tables or tables_of(key, seen, ones)
+    even = np.full((MIXERS, GATES, len(SLOT_BITS) + 1), 0.3)
+    return Model(*paths, [t for t, _, _ in tables], [odds(r, n) for _, n, r in tables], sureness(tables[-1][1]),
+                 weights if weights.size else even)
+
+
+def unrolled(bits: np.ndarray, counts: np.ndarray, sizes: np.ndarray, chain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(seen, same) at each decision of words with ``bits`` of them beyond WIDEST bytes: the training words that
+    come there, and those that turn as this one does."""
+    left = np.repeat(counts, bits + 1)
+    first = np.cumsum(bits + 1) - (bits + 1)
+    left[np.arange(chain.size) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)] = chain
+    return np.delete(left, first + bits), np.delete(left, first)
+
+
+def mixed_words(model: Model, tokens: list[bytes], counts: np.ndarray | None = None, sizes: np.ndarray | None = None,
+                chain: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """(per mixer the log odds of the turns taken, bounds of each token's decisions); without counts and chains, words
+    are unknown beyond WIDEST bytes."""
     paths = (model.length, model.first, model.nodes, model.turns)
+    if counts is None:
+        counts, sizes, chain = np.zeros(len(tokens)), np.zeros(len(tokens), np.int64), np.zeros(0)
     data = np.frombuffer(b"".join(tokens), np.uint8)
     ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)))
     bound = np.concatenate([[0], np.concatenate([[0], np.cumsum(model.length[data])])[ends]])
+    links = np.concatenate([[0], np.cumsum(sizes)])
     out = [np.empty(bound[-1], np.float32) for _ in range(MIXERS)]
     weights = model.weights.astype(np.float32)
     for k in range(0, len(tokens), 5_000):
-        b = bits_of(paths, symbols_of(tokens[k:k + 5_000]))
-        rows = slice(bound[k], bound[min(k + 5_000, len(tokens))])
+        end = min(k + 5_000, len(tokens))
+        b = bits_of(paths, symbols_of(tokens[k:end]))
+        rows = slice(bound[k], bound[end])
         sign = np.where(b.right, np.float32(1), np.float32(-1))
-        gates = (b.place, model.sure[b.at[-1]])
-        for c, (table, at) in enumerate(zip(model.tables, b.at, strict=True)):
-            x = table.take(at, mode="clip")
-            x *= sign
-            for m, g in enumerate(gates):
+        deep = np.flatnonzero(b.place >= WIDEST)
+        seen, same = unrolled(np.bincount(b.word[deep], minlength=end - k), counts[k:end], sizes[k:end],
+                              chain[links[k]:links[end]])
+        xs = []
+        for table, keys, key in zip(model.tables, model.keys, narrowed(b.key), strict=True):
+            at = find(keys, key)
+            xs.append(table.take(at, mode="clip"))
+            xs[-1] *= sign
+        so_far = xs[-1].copy()
+        so_far[deep] = odds(same, seen)
+        sure = model.sure.take(at)
+        sure[deep] = sureness(seen)
+        for c, x in enumerate([*xs, so_far]):
+            for m, g in enumerate((b.place, sure)):
                 part = weights[m, :, c][g]
                 part *= x
                 if c:
@@ -308,7 +347,7 @@ def counted(docs: DataFrame, buckets: int) -> DataFrame:
 
         def vocabulary() -> pa.RecordBatch:
             own = list(words)
-            at = np.fromiter(map(zlib.crc32, own), np.int64, len(own)) % buckets
+            at = np.fromiter((zlib.crc32(w[:WIDEST].replace(END, b"\1")) for w in own), np.int64, len(own)) % buckets
             order = np.argsort(at, kind="stable")
             some, first = np.unique(at[order], return_index=True)
             bounds = pa.array(np.append(first, len(own)).astype(np.int32))
@@ -346,26 +385,73 @@ def counted(docs: DataFrame, buckets: int) -> DataFrame:
                                      f"doc_id {kind}, held_out boolean, text binary"), "counted")
 
 
-def summed(rows: DataFrame) -> DataFrame:
-    """(block, words, counts): the words of each block with their counts over all blocks; and, with a null block,
-    every word once."""
+def chains(paths: tuple[np.ndarray, ...], tokens: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(sizes, chain, turn, seen, same) of closed words, all that share their first WIDEST bytes with one of them.
+
+    A word's chain: the training words that agree with it after WIDEST bytes and after each further decision, as
+    long as they are more than its own. The decisions made by training words, once each: ``turn`` holds the last
+    bytes, node, place and turn; ``seen`` is -1 within the first WIDEST bytes, where other groups add to ``same``.
+    """
+    b = bits_of(paths, symbols_of(tokens), so_far=True)
+    turn = (b.key << np.uint64(4)).view(np.int64) | b.place.astype(np.int64) << 1 | b.right
+    deep = np.flatnonzero(b.place >= WIDEST)
+    word, right = b.word[deep], b.right[deep]
+    at = pa.array(b.so_far[deep]).dictionary_encode().indices.to_numpy()
+    size = int(at.max()) + 1 if at.size else 0
+    each = np.bincount(2 * at + right, weights=counts[word], minlength=2 * size).astype(np.int64)
+    same, seen = each[2 * at + right], (each[::2] + each[1::2])[at]
+    bits = np.bincount(word, minlength=len(tokens))
+    first = np.cumsum(bits) - bits
+    left = np.empty(deep.size + len(tokens), np.int64)
+    left[np.arange(deep.size) + word + 1] = same
+    left[first + np.arange(len(tokens))] = counts
+    some = np.flatnonzero(bits)
+    left[first[some] + some] = seen[first[some]]
+    owner = np.repeat(np.arange(len(tokens)), bits + 1)
+    more = left > counts[owner]
+    once = np.unique(2 * at + right, return_index=True)[1]
+    once = once[same[once] > 0]
+    near = np.flatnonzero(b.place < WIDEST)
+    kinds, which = np.unique(turn[near], return_inverse=True)
+    n = np.bincount(which, weights=counts[b.word[near]], minlength=kinds.size).astype(np.int64)
+    kinds, n = kinds[n > 0], n[n > 0]
+    return (np.bincount(owner[more], minlength=len(tokens)), left[more], np.concatenate([turn[deep][once], kinds]),
+            np.concatenate([seen[once], np.full(kinds.size, -1)]), np.concatenate([same[once], n]))
+
+
+def summed(rows: DataFrame, paths: tuple[np.ndarray, ...]) -> DataFrame:
+    """(block, words, counts, sizes, chain): the words of each block with their counts over all blocks and their
+    chains; and, with a null block, every word's count once and the decisions (turn, seen, same)."""
     def run(t: pa.Table) -> pa.Table:
-        words, counts = t.column("words").combine_chunks(), t.column("counts").combine_chunks()
+        words = t.column("words").combine_chunks()
         coded = words.flatten().dictionary_encode()
         at = coded.indices.to_numpy()
-        total = np.bincount(at, weights=counts.flatten().to_numpy(), minlength=len(coded.dictionary)).astype(np.int64)
-        sizes = words.value_lengths().to_numpy()
-        bounds = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-        whole = pa.array([0, len(total)], pa.int32())
+        total = np.bincount(at, weights=t.column("counts").combine_chunks().flatten().to_numpy(),
+                            minlength=len(coded.dictionary)).astype(np.int64)
+        size, chain, *decisions = chains(paths, closed(coded.dictionary.to_pylist()), total)
+        bounds = np.concatenate([[0], np.cumsum(words.value_lengths().to_numpy())])
+        links = np.concatenate([[0], np.cumsum(size[at])])
+        copy = np.arange(links[-1]) + np.repeat((np.cumsum(size) - size)[at] - links[:-1], size[at])
+        blocks = len(t)
+
+        def lists(of_blocks, ends, once) -> pa.Array:
+            """A list for each block, and ``once`` in the last row."""
+            ends = np.append(ends, ends[-1] + len(once))
+            return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.concat_arrays([of_blocks, once]))
+
+        none = pa.array([], pa.int64())
+        nothing = np.zeros(blocks + 1, np.int64)
         return pa.table({
-            "block": pa.chunked_array([*t.column("block").chunks, pa.nulls(1, pa.int64())]),
-            "words": pa.chunked_array([pa.ListArray.from_arrays(bounds, words.flatten()),
-                                       pa.ListArray.from_arrays(whole, coded.dictionary)]),
-            "counts": pa.chunked_array([pa.ListArray.from_arrays(bounds, pa.array(total[at])),
-                                        pa.ListArray.from_arrays(whole, pa.array(total))])})
+            "block": pa.chunked_array([pa.concat_arrays([*t.column("block").chunks, pa.nulls(1, pa.int64())])]),
+            "words": lists(words.flatten(), bounds, pa.array([], pa.binary())),
+            "counts": lists(pa.array(total[at]), bounds, pa.array(total)),
+            "sizes": lists(pa.array(size[at].astype(np.int32)), bounds, pa.array([], pa.int32())),
+            "chain": lists(pa.array(chain[copy]), links[bounds], none),
+            **{name: lists(none, nothing, pa.array(v)) for name, v in zip(("turn", "seen", "same"), decisions, strict=True)}})
 
-    return save(rows.where("bucket IS NOT NULL").select("block", "bucket", "words", "counts").groupBy("bucket")
-                .applyInArrow(run, "block bigint, words array<binary>, counts array<bigint>"), "vocabulary")
+    longs = ", ".join(f"{name} array<bigint>" for name in ("chain", "turn", "seen", "same"))
+    return save(rows.select("block", "bucket", "words", "counts").groupBy("bucket").applyInArrow(
+        run, f"block bigint, words array<binary>, counts array<bigint>, sizes array<int>, {longs}"), "vocabulary")
 
 
 def _learned(batch: pa.RecordBatch, most: int) -> Iterator[tuple[list[bytes], np.ndarray]]:
@@ -378,63 +464,131 @@ def _learned(batch: pa.RecordBatch, most: int) -> Iterator[tuple[list[bytes], np
             yield closed(words.slice(k, most).take(pa.array(some)).to_pylist()), c[some]
 
 
-def context_counts(totals: DataFrame, paths: tuple[np.ndarray, ...], distinct: int) -> DataFrame:
-    """(slot, seen, ones): how often the training words come to each slot, and turn right there."""
+def decisions(totals: DataFrame) -> DataFrame:
+    """(turn, seen, same, n): the decisions of the training words, equal ones as one row with their number."""
+    names = ["turn", "seen", "same"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [np.zeros(1 << bits, np.int64) for bits in SLOT_BITS]
-        ones = [np.zeros(1 << bits, np.int64) for bits in SLOT_BITS]
-        for batch in batches:
-            for words, counts in _learned(batch, 10_000):
-                b = bits_of(paths, symbols_of(words))
-                c = counts[b.word]
-                for k, at in enumerate(b.at):
-                    np.add.at(seen[k], at, c)
-                    np.add.at(ones[k], at[b.right], c[b.right])
-        for k, table in enumerate(seen):
-            at = np.flatnonzero(table)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((at + SLOT_FROM[k]).astype(np.int32)), pa.array(table[at]), pa.array(ones[k][at])],
-                names=["slot", "seen", "ones"])
-    # each task gives its whole tables, so there are few: one per COUNTED_WORDS
-    few = totals.select("words", "counts").coalesce(max(1, -(-distinct // COUNTED_WORDS)))
-    return (few.mapInArrow(run, "slot int, seen bigint, ones bigint")
-            .groupBy("slot").agg(F.sum("seen").cast("float").alias("seen"), F.sum("ones").cast("float").alias("ones")))
-
-
-def byte_counts(totals: DataFrame) -> tuple[np.ndarray, int, int]:
-    """How often each byte comes in the training words; all training tokens; distinct ones (258 rows reach the driver)."""
+        held, size = [], 0
+
+        def added() -> pa.RecordBatch:
+            out = pa.concat_tables(held).group_by(names).aggregate([("turn", "count")])
+            return out.rename_columns([*names, "n"]).combine_chunks().to_batches()[0]
+
+        for b in batches:
+            held.append(pa.table([b.column(c).flatten() for c in names], names=names))
+            size += len(held[-1])
+            if size > GATHERED:
+                yield added()
+                held, size = [], 0
+        if size:
+            yield added()
+
+    return save(totals.select(*names).mapInArrow(run, "turn bigint, seen bigint, same bigint, n bigint")
+                .groupBy(*names).agg(F.sum("n").alias("n")), "decisions")
+
+
+def byte_counts(rows: DataFrame) -> tuple[np.ndarray, int]:
+    """How often each byte comes in the training words; all training tokens (257 rows reach the driver)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(258)
+        table = np.zeros(257)
         for batch in batches:
             for words, counts in _learned(batch, 100_000):
                 size = np.fromiter(map(len, words), np.int64, len(words))
                 data = np.frombuffer(b"".join(words), np.uint8)
                 table[:256] += np.bincount(data, weights=np.repeat(counts, size), minlength=256)
                 table[256] += counts.sum()
-                table[257] += len(words)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(258)), pa.array(table)], names=["b", "n"])
-    found = (totals.select("words", "counts").mapInArrow(run, "b bigint, n double")
-             .groupBy("b").agg(F.sum("n").alias("n")).collect())
-    out = np.zeros(258)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(257)), pa.array(table)], names=["b", "n"])
+    found = rows.select("words", "counts").mapInArrow(run, "b bigint, n double").groupBy("b").agg(F.sum("n").alias("n")).collect()
+    out = np.zeros(257)
     for r in found:
         out[r["b"]] = r["n"]
-    return out[:256], int(out[256]), int(out[257])
-
-
-def train(totals: DataFrame, bytes_seen: np.ndarray, distinct: int) -> Model:
-    """The model of the training words. What reaches the driver is bounded by the context tables and the sample."""
-    paths = huffman(bytes_seen)
-    one = totals.select(F.explode(F.arrays_zip("words", "counts")).alias("w")).select("w.words", "w.counts").where("counts > 0")
-    some = one.orderBy(F.xxhash64("words"), "words").limit(SAMPLE_WORDS).toArrow()
-    slots = context_counts(totals, paths, distinct).toArrow()
-    return build(paths, *[slots.column(c).to_numpy() for c in ("slot", "seen", "ones")],
-                 some.column("words").to_pylist(), some.column("counts").to_numpy().astype(np.float64))
-
-
-def score_block(texts: pa.ChunkedArray, words: list[bytes], counts: np.ndarray, model: Model, n: int, v: int) -> tuple:
-    """(tokens, known tokens, base score, score, bytes) of each text of a block, given the counts of all its words."""
+    return out[:256], int(out[256])
+
+
+def slopes(made: pa.Table, tables: list, weights: np.ndarray) -> np.ndarray:
+    """Per mixer and gate the loss of decisions, its gradient and its Hessian, one after another; of each decision
+    one occurrence is taken back from the counts."""
+    turn, seen, same, n = (made.column(c).to_numpy() for c in ("turn", "seen", "same", "n"))
+    right = (turn & 1).astype(bool)
+    place = (turn >> 1 & 7).astype(np.int8)
+    x = []
+    for (keys, often, ones), key in zip(tables, narrowed((turn >> 4).view(np.uint64)), strict=True):
+        at = find(keys, key)
+        s = often[at].astype(np.float64)
+        x.append(odds(np.maximum(np.where(right, ones[at], s - ones[at]) - 1, 0), np.maximum(s - 1, 0)))
+    x.append(np.where(seen < 0, x[-1], odds(np.maximum(same - 1, 0), np.maximum(seen - 1, 0))))
+    sure = sureness(np.where(seen < 0, s, seen) - 1)
+    weight = (same * n).astype(np.float64)
+    c = len(x)
+    out = np.zeros((MIXERS, GATES, 1 + c + c * c))
+    for m, g in enumerate((place, sure)):
+        z = sum(weights[m, :, k][g] * x[k] for k in range(c))
+        miss = 1 / (1 + np.exp(np.clip(z, -30, 30)))
+        add = lambda v: np.bincount(g, weights=v, minlength=GATES)  # noqa: B023, E731
+        out[m, :, 0] = add(weight * np.logaddexp(0, -z))
+        for i in range(c):
+            out[m, :, 1 + i] = add(weight * miss * x[i])
+            for j in range(i + 1):
+                both = add(weight * miss * (1 - miss) * x[i] * x[j])
+                out[m, :, 1 + c + i * c + j] = out[m, :, 1 + c + j * c + i] = both
+    return out
+
+
+def fitted(made: DataFrame, tables: list) -> np.ndarray:
+    """First-layer weights by Newton's method on all decisions; a step that loses is halved. Sums reach the driver."""
+    spark = made.sparkSession
+    shared = spark.sparkContext.broadcast(tables)
+    c = len(tables) + 1
+    weights = np.full((MIXERS, GATES, c), 0.3)
+    best = weights.copy()
+    least = np.full((MIXERS, GATES), np.inf)
+    step = np.zeros_like(weights)
+    for _ in range(PASSES):
+        now = weights.copy()
+
+        def run(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
+            out = np.zeros((MIXERS, GATES, 1 + c + c * c))
+            for t in in_batches(batches, 200_000):
+                out += slopes(t, shared.value, now)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(out.size)), pa.array(out.ravel())], names=["k", "v"])
+
+        sums = np.zeros((MIXERS, GATES, 1 + c + c * c))
+        for r in made.mapInArrow(run, "k bigint, v double").groupBy("k").agg(F.sum("v").alias("v")).collect():
+            sums.flat[r["k"]] = r["v"]
+        before = least.sum()
+        for m in range(MIXERS):
+            for g in range(GATES):
+                loss, grad, hess = sums[m, g, 0], sums[m, g, 1:1 + c], sums[m, g, 1 + c:].reshape(c, c)
+                if loss <= least[m, g]:
+                    least[m, g], best[m, g] = loss, now[m, g]
+                    step[m, g] = np.linalg.solve(hess + (1e-6 * np.trace(hess) + 1e-9) * np.eye(c), grad)
+                else:
+                    step[m, g] /= 2
+                weights[m, g] = best[m, g] + step[m, g]
+        if before - least.sum() <= ENOUGH * least.sum():   # nothing is gained any more
+            break
+    shared.destroy()
+    return best
+
+
+def train(totals: DataFrame, paths: tuple[np.ndarray, ...]) -> Model:
+    """The model of the training words. The contexts of last bytes reach the driver."""
+    made = decisions(totals)
+    often = F.col("same") * F.col("n")
+    found = (made.groupBy(F.shiftright("turn", 4).alias("key"))
+             .agg(F.sum(often).cast("double").alias("seen"),
+                  F.sum(F.when(F.col("turn").bitwiseAND(1) == 1, often).otherwise(0)).cast("double").alias("ones")).toArrow())
+    tables = tables_of(*[found.column(c).to_numpy() for c in ("key", "seen", "ones")])
+    none = np.zeros(0)
+    return build(paths, none, none, none, tables, fitted(made, tables))
+
+
+def score_block(texts: pa.ChunkedArray, words: list[bytes], counts: np.ndarray, sizes: np.ndarray, chain: np.ndarray,
+                model: Model, n: int, v: int) -> tuple:
+    """(tokens, known tokens, base score, score, bytes) of each text of a block, given all its words' counts and chains."""
     number = dict(zip(words, range(len(words)), strict=True))
-    z, bound = mixed_words(model, closed(words))
+    z, bound = mixed_words(model, closed(words), counts, sizes, chain)
     log_count = np.log10(counts + ADD)
     known = (counts > 0).astype(np.int64)
     find = number.__getitem__
@@ -468,23 +622,29 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = counted(docs, buckets)
-    vocabulary = summed(rows)
+    listed = rows.where("bucket IS NOT NULL")
+    bytes_seen, n = byte_counts(listed)
+    paths = huffman(bytes_seen)
+    vocabulary = summed(listed, paths)
     totals = vocabulary.where("block IS NULL")
-    bytes_seen, n, v = byte_counts(totals)
-    model = spark.sparkContext.broadcast(train(totals, bytes_seen, v))   # fixed size, see SLOT_BITS
+    v = totals.select(F.sum(F.size(F.filter("counts", lambda k: k > 0)))).first()[0] or 0
+    model = spark.sparkContext.broadcast(train(totals, paths))   # contexts of last bytes only
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def score(own: pa.Table, known: pa.Table) -> pa.Table:
-        words, counts = (pa.concat_arrays([c.flatten() for c in known.column(name).chunks]) for name in ("words", "counts"))
+        words, *figures = (pa.concat_arrays([c.flatten() for c in known.column(name).chunks])
+                           for name in ("words", "counts", "sizes", "chain"))
+        counts, sizes, chain = (f.to_numpy() for f in figures)
         tokens, hits, base, logp, nbytes = score_block(
-            own.column("text"), words.to_pylist(), counts.to_numpy().astype(np.float64), model.value, n, v)
+            own.column("text"), words.to_pylist(), counts.astype(np.float64), sizes.astype(np.int64), chain,
+            model.value, n, v)
         return pa.table({
             "doc_id": own.column("doc_id"), "held_out": own.column("held_out"), "n_tokens": pa.array(tokens),
             "n_known": pa.array(hits), "train_tokens": pa.array(np.full(len(tokens), n, np.int64)),
             "base_score": pa.array(base), "score": pa.array(logp / np.log(10)), "n_bytes": pa.array(nbytes),
             "bits_per_byte": pa.array(-logp / np.log(2) / nbytes)})
 
-    words = vocabulary.where("block IS NOT NULL").select(F.col("block").alias("of_block"), "words", "counts")
+    words = vocabulary.where("block IS NOT NULL").select(F.col("block").alias("of_block"), "words", "counts", "sizes", "chain")
     return (rows.where("text IS NOT NULL").select("block", "doc_id", "held_out", "text").groupBy("block")
             .cogroup(words.groupBy("of_block"))
             .applyInArrow(score, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, "

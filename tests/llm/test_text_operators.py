@@ -309,6 +309,45 @@ def test_lm_prefers_what_it_learned(spark):
     assert held and max(held) < 0.8 < 1.5 < min(got[1000 + i]["bits_per_byte"] for i in range(3))
 
 
+def test_lm_counts_of_long_contexts_are_exact():
+    """Beginnings of words keep counts of their own, however many there are; so do contexts of last bytes."""
+    rng = np.random.default_rng(5)
+    words = sorted({bytes(rng.integers(97, 105, rng.integers(1, 9)).astype(np.uint8)) for _ in range(3000)}) + [b""]
+    counts = rng.integers(0, 4, len(words))
+    tokens = lm.closed(words)
+    paths = lm.huffman(np.bincount(np.frombuffer(b"".join(tokens), np.uint8), minlength=256))
+    sizes, chain, *made = lm.chains(paths, tokens, counts)
+    begins, at_node = Counter(), Counter()
+    for t, c in zip(tokens, counts.tolist(), strict=True):
+        for k in range(len(t) + 1):
+            begins[t[:k]] += c
+        b = lm.bits_of(paths, lm.symbols_of([t]))
+        for key in b.key.tolist():
+            at_node[key] += c
+    links = np.concatenate([[0], np.cumsum(sizes)])
+    for k, t in enumerate(tokens):
+        b = lm.bits_of(paths, lm.symbols_of([t]))
+        n = np.array([np.count_nonzero(b.place >= 3)])
+        seen, same = lm.unrolled(n, counts[k:k + 1], sizes[k:k + 1], chain[links[k]:links[k + 1]])
+        at = 0
+        for place in range(3, len(t)):
+            length = paths[0][t[place]]
+            assert seen[at] == begins[t[:place]] and same[at + length - 1] == begins[t[:place + 1]]
+            at += length
+        assert at == n[0]
+    key = np.array(list(at_node), np.int64)
+    table, often, _ = lm.tables_of(key, np.array(list(at_node.values()), float), np.zeros(key.size))[-1]
+    assert often[lm.find(table, key.view(np.uint64))].tolist() == list(at_node.values())
+
+
+def test_lm_table_grows_with_its_contexts():
+    key = np.arange(3_000_000)
+    table, often, _ = lm.tables_of(key, key % 1000 + 1.0, np.zeros(key.size))[-1]
+    assert table.size >= 2 * key.size
+    assert (often[lm.find(table, key.view(np.uint64))] == key % 1000 + 1).all()
+    assert (often[lm.find(table, key.view(np.uint64) + np.uint64(key.size))] == 0).all()
+
+
 def test_lm_odd_rows(odd, none):
     assert lm.lm_scores(odd).count() == odd.count()
     assert lm.lm_scores(none).collect() == []
