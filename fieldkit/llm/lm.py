@@ -3,7 +3,7 @@
 A text is scored as its lower-cased words, each closed by a space, and an end
 mark. A byte is coded as the turns on its path in a Huffman tree of the
 corpus, so frequent bytes take few binary decisions. Several predictors know,
-for a context (the last two bytes, three, the word so far) and a node
+for a context (the last byte, two, three, the word so far) and a node
 of the tree, how often the training corpus turned right there.
 
 Mixing has two layers, all in log odds. In the first, the predictors are
@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from fieldkit.llm.common import bucket_of, in_batches, save, worker_cache, words_of
 
 FOLDS = 10
-SLOT_BITS = (18, 20)          # fewest slots of a table: last 2 bytes, 3 bytes; each with a node
+SLOT_BITS = (16, 18, 20)      # fewest slots of a table: last byte, 2 bytes, 3 bytes; each with a node
 WIDEST = 3                    # bytes; longer beginnings of words are counted by group
 GATES = 8                     # of each first-layer mixer
 MIXERS = 2
@@ -419,39 +419,47 @@ def chains(paths: tuple[np.ndarray, ...], tokens: list[bytes], counts: np.ndarra
             np.concatenate([seen[once], np.full(kinds.size, -1)]), np.concatenate([same[once], n]))
 
 
+def packed(**columns: pa.Array) -> bytes:
+    """Columns of equal length as one compressed value, so that Spark moves and holds them as they are."""
+    batch = pa.record_batch(columns)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(value: bytes) -> pa.Table:
+    return pa.ipc.open_stream(value).read_all()
+
+
 def summed(rows: DataFrame, paths: tuple[np.ndarray, ...]) -> DataFrame:
-    """(block, words, counts, sizes, chain): the words of each block with their counts over all blocks and their
-    chains; and, with a null block, every word's count once and the decisions (turn, seen, same)."""
+    """(block, words): the words of each block with their counts over all blocks and their chains, packed; and, with
+    a null block, the number of training words and their decisions (turn, seen, same), packed."""
     def run(t: pa.Table) -> pa.Table:
         words = t.column("words").combine_chunks()
         coded = words.flatten().dictionary_encode()
         at = coded.indices.to_numpy()
         total = np.bincount(at, weights=t.column("counts").combine_chunks().flatten().to_numpy(),
                             minlength=len(coded.dictionary)).astype(np.int64)
-        size, chain, *decisions = chains(paths, closed(coded.dictionary.to_pylist()), total)
+        size, chain, *made = chains(paths, closed(coded.dictionary.to_pylist()), total)
+        links = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(chain))
         bounds = np.concatenate([[0], np.cumsum(words.value_lengths().to_numpy())])
-        links = np.concatenate([[0], np.cumsum(size[at])])
-        copy = np.arange(links[-1]) + np.repeat((np.cumsum(size) - size)[at] - links[:-1], size[at])
-        blocks = len(t)
-
-        def lists(of_blocks, ends, once) -> pa.Array:
-            """A list for each block, and ``once`` in the last row."""
-            ends = np.append(ends, ends[-1] + len(once))
-            return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.concat_arrays([of_blocks, once]))
-
-        none = pa.array([], pa.int64())
-        nothing = np.zeros(blocks + 1, np.int64)
+        lists = []
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            own = pa.array(at[a:b])
+            lists.append(packed(words=coded.dictionary.take(own), counts=pa.array(total[at[a:b]]), chain=links.take(own)))
+        made = packed(**{name: pa.array(v) for name, v in zip(_MADE, made, strict=True)})
         return pa.table({
-            "block": pa.chunked_array([pa.concat_arrays([*t.column("block").chunks, pa.nulls(1, pa.int64())])]),
-            "words": lists(words.flatten(), bounds, pa.array([], pa.binary())),
-            "counts": lists(pa.array(total[at]), bounds, pa.array(total)),
-            "sizes": lists(pa.array(size[at].astype(np.int32)), bounds, pa.array([], pa.int32())),
-            "chain": lists(pa.array(chain[copy]), links[bounds], none),
-            **{name: lists(none, nothing, pa.array(v)) for name, v in zip(("turn", "seen", "same"), decisions, strict=True)}})
-
-    longs = ", ".join(f"{name} array<bigint>" for name in ("chain", "turn", "seen", "same"))
+            "block": pa.chunked_array([*t.column("block").chunks, pa.nulls(1, pa.int64())]),
+            "words": pa.array([*lists, None], pa.binary()),
+            "known": pa.array([None] * len(lists) + [np.count_nonzero(total)], pa.int64()),
+            "made": pa.array([None] * len(lists) + [made], pa.binary())})
+
     return save(rows.select("block", "bucket", "words", "counts").groupBy("bucket").applyInArrow(
-        run, f"block bigint, words array<binary>, counts array<bigint>, sizes array<int>, {longs}"), "vocabulary")
+        run, "block bigint, words binary, known bigint, made binary"), "vocabulary")
+
+
+_MADE = ["turn", "seen", "same"]
 
 
 def _learned(batch: pa.RecordBatch, most: int) -> Iterator[tuple[list[bytes], np.ndarray]]:
@@ -466,26 +474,25 @@ def _learned(batch: pa.RecordBatch, most: int) -> Iterator[tuple[list[bytes], np
 
 def decisions(totals: DataFrame) -> DataFrame:
     """(turn, seen, same, n): the decisions of the training words, equal ones as one row with their number."""
-    names = ["turn", "seen", "same"]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def added() -> pa.RecordBatch:
-            out = pa.concat_tables(held).group_by(names).aggregate([("turn", "count")])
-            return out.rename_columns([*names, "n"]).combine_chunks().to_batches()[0]
+            out = pa.concat_tables(held).group_by(_MADE).aggregate([("turn", "count")])
+            return out.rename_columns([*_MADE, "n"]).combine_chunks().to_batches()[0]
 
         for b in batches:
-            held.append(pa.table([b.column(c).flatten() for c in names], names=names))
-            size += len(held[-1])
-            if size > GATHERED:
-                yield added()
-                held, size = [], 0
+            for value in b.column("made"):
+                held.append(unpacked(value.as_py()))
+                size += len(held[-1])
+                if size > GATHERED:
+                    yield added()
+                    held, size = [], 0
         if size:
             yield added()
 
-    return save(totals.select(*names).mapInArrow(run, "turn bigint, seen bigint, same bigint, n bigint")
-                .groupBy(*names).agg(F.sum("n").alias("n")), "decisions")
+    return save(totals.select("made").mapInArrow(run, "turn bigint, seen bigint, same bigint, n bigint")
+                .groupBy(*_MADE).agg(F.sum("n").alias("n")), "decisions")
 
 
 def byte_counts(rows: DataFrame) -> tuple[np.ndarray, int]:
@@ -517,7 +524,7 @@ def slopes(made: pa.Table, tables: list, weights: np.ndarray) -> np.ndarray:
         at = find(keys, key)
         s = often[at].astype(np.float64)
         x.append(odds(np.maximum(np.where(right, ones[at], s - ones[at]) - 1, 0), np.maximum(s - 1, 0)))
-    x.append(np.where(seen < 0, x[-1], odds(np.maximum(same - 1, 0), np.maximum(seen - 1, 0))))
+    x.append(np.where(seen < 0, x[-1], odds(same - 1, np.maximum(seen, same) - 1)))
     sure = sureness(np.where(seen < 0, s, seen) - 1)
     weight = (same * n).astype(np.float64)
     c = len(x)
@@ -627,14 +634,14 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     paths = huffman(bytes_seen)
     vocabulary = summed(listed, paths)
     totals = vocabulary.where("block IS NULL")
-    v = totals.select(F.sum(F.size(F.filter("counts", lambda k: k > 0)))).first()[0] or 0
+    v = totals.agg(F.sum("known")).first()[0] or 0
     model = spark.sparkContext.broadcast(train(totals, paths))   # contexts of last bytes only
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def score(own: pa.Table, known: pa.Table) -> pa.Table:
-        words, *figures = (pa.concat_arrays([c.flatten() for c in known.column(name).chunks])
-                           for name in ("words", "counts", "sizes", "chain"))
-        counts, sizes, chain = (f.to_numpy() for f in figures)
+        lists = pa.concat_tables(unpacked(w.as_py()) for w in known.column("words")).combine_chunks()
+        words, counts, links = (lists.column(c).combine_chunks() for c in ("words", "counts", "chain"))
+        counts, sizes, chain = (x.to_numpy() for x in (counts, links.value_lengths(), links.flatten()))
         tokens, hits, base, logp, nbytes = score_block(
             own.column("text"), words.to_pylist(), counts.astype(np.float64), sizes.astype(np.int64), chain,
             model.value, n, v)
@@ -644,7 +651,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
             "base_score": pa.array(base), "score": pa.array(logp / np.log(10)), "n_bytes": pa.array(nbytes),
             "bits_per_byte": pa.array(-logp / np.log(2) / nbytes)})
 
-    words = vocabulary.where("block IS NOT NULL").select(F.col("block").alias("of_block"), "words", "counts", "sizes", "chain")
+    words = vocabulary.where("block IS NOT NULL").select(F.col("block").alias("of_block"), "words")
     return (rows.where("text IS NOT NULL").select("block", "doc_id", "held_out", "text").groupBy("block")
             .cogroup(words.groupBy("of_block"))
             .applyInArrow(score, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, "
