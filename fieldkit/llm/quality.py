@@ -68,7 +68,7 @@ def text_rules(text: bytes) -> tuple[int, int, int, int, int, dict[bytes, int]]:
         if own:
             dup += line in seen
             seen.add(line)
-            lines[xxhash.xxh3_128_digest(b" ".join(own))] += len(own)
+            lines[normal_line(own)] += len(own)
     return len(words), chars, symbols, dup, repeat_words(words), lines
 
 
@@ -77,6 +77,10 @@ _RULES = ("text_key binary, n_words bigint, word_chars bigint, n_symbols bigint,
 _LINES = pa.list_(pa.struct([("h", pa.binary()), ("w", pa.int64())]))
 
 
+def _host():
+    return F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), F.col("source").cast("string")))
+
+
 def measured(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, host and the text rules, with the lines as an array."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,12 +98,24 @@ def measured(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("host"), pa.array(keys, pa.binary()),
                  *[pa.array(table[:, k]) for k in range(5)], pa.array(lines, _LINES)], names=names)
-    host = F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), F.col("source").cast("string")))
     ids = docs.schema["doc_id"].dataType.simpleString()
-    return (docs.select("doc_id", host.alias("host"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
+    return (docs.select("doc_id", _host().alias("host"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
             .mapInArrow(run, f"doc_id {ids}, host string, {_RULES}"))
 
 
+def normal_line(words: list[bytes]) -> bytes:
+    """The hash of a normalised line, given its normalised words."""
+    return xxhash.xxh3_128_digest(b" ".join(words))
+
+
+def less_lines(text: bytes, gone: set[bytes]) -> tuple[bytes, list[int]]:
+    """The text without the lines of these hashes, and their numbers."""
+    lines = text.split(b"\n")
+    out = [k for k, x in enumerate(lines) if (own := x.translate(NORMAL).split()) and normal_line(own) in gone]
+    at = set(out)
+    return b"\n".join(x for k, x in enumerate(lines) if k not in at), out
+
+
 def quality(docs: DataFrame, min_line_docs: int = MIN_LINE_DOCS, max_line_share: float = MAX_LINE_SHARE,
             min_words: int = MIN_WORDS, max_repeat_pct: int = MAX_REPEAT_PCT,
             min_left_pct: int = MIN_LEFT_PCT) -> DataFrame:
@@ -110,6 +126,13 @@ def quality(docs: DataFrame, min_line_docs: int = MIN_LINE_DOCS, max_line_share:
     in the choice of the first document; an empty table gives no rows; other
     columns are ignored.
     """
+    return _judged(docs, min_line_docs, max_line_share, min_words, max_repeat_pct, min_left_pct)[0]
+
+
+def _judged(docs: DataFrame, min_line_docs: int = MIN_LINE_DOCS, max_line_share: float = MAX_LINE_SHARE,
+            min_words: int = MIN_WORDS, max_repeat_pct: int = MAX_REPEAT_PCT,
+            min_left_pct: int = MIN_LEFT_PCT) -> tuple[DataFrame, DataFrame]:
+    """The result of ``quality``, and per (host, text_key) the hashes ``hs`` of the lines to take out."""
     rules = save(measured(docs), "rules")
     last = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2**63 - 1))
     lines = (rules.select("host", "text_key", last.alias("id"), F.explode("lines").alias("l"))
@@ -119,22 +142,65 @@ def quality(docs: DataFrame, min_line_docs: int = MIN_LINE_DOCS, max_line_share:
     frequent = (lines.groupBy("host", "h").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
                 .where(F.col("n") > min_line_docs).join(hosts, "host")
                 .where(F.col("n") > F.col("host_docs") * F.lit(max_line_share)).select("host", "h", "first_id"))
-    taken = (lines.join(frequent, ["host", "h"]).where("id <> first_id")
-             .groupBy("host", "text_key").agg(F.sum("w").alias("w")))
+    places = lines.join(frequent, ["host", "h"]).where("id <> first_id")
+    taken = places.groupBy("host", "text_key").agg(F.sum("w").alias("w"))
     out = rules.drop("lines").join(taken, ["host", "text_key"], "left")
     gone = F.coalesce("w", F.lit(0))
     left = F.col("n_words") - gone
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))
     depleted = (gone > 0) & ((left < min_words) | (100 * left < min_left_pct * F.col("n_words")))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+    out = out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       failed.alias("base_failed"), (~failed & ~depleted).alias("kept"),
-                      gone.alias("frequent_line_words"), "text_key", "host")
+                     gone.alias("frequent_line_words"), "text_key", "host")
+    # a text has no more hashes here than lines
+    return out, places.groupBy("host", "text_key").agg(F.collect_list("h").alias("hs"))
 
 
-def keep_good(docs: DataFrame, **limits) -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns.
+def without_frequent_lines(docs: DataFrame, **limits) -> DataFrame:
+    """The rows of ``docs`` that pass, with the text less its host's frequent lines and ``removed``, their numbers.
 
-    Joined by doc_id; rows that repeat a doc_id (or lack one) are kept if any of them passes.
+    Rows that repeat a doc_id (or lack one) are kept if any of them passes. n_chars follows, if there.
     """
-    good = quality(docs, **limits).where("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(good, F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi")
+    verdicts, taken = _judged(docs, **limits)
+    good = verdicts.where("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
+    names = [c for c in docs.columns if c not in ("removed", "n_chars")]
+    sized = docs.schema["n_chars"].dataType if "n_chars" in docs.columns else None
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [xxhash.xxh3_128_digest(t.as_py()) for t in b.column("__bytes")]
+            yield pa.RecordBatch.from_arrays([b.column("__row"), b.column("__host"), b.column("__bytes"),
+                                              pa.array(found, pa.binary())], names=["__row", "__host", "__bytes", "__key"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, gone = [], []
+            for t, hs in zip(b.column("__bytes").to_pylist(), b.column("hs").to_pylist(), strict=True):
+                text, out = less_lines(t, set(hs)) if hs else (t, [])
+                texts.append(text)
+                gone.append(out)
+            yield pa.RecordBatch.from_arrays([b.column("__row"), pa.array(texts, pa.binary()).cast(pa.string()),
+                                              pa.array(gone, pa.list_(pa.int32()))], names=["__row", "__new", "__removed"])
+
+    kept = docs.join(good, F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi")
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("text", "removed")],
+                   F.col("text").isNull().alias("__null")).alias("__row")
+    rows = kept.select(own, _host().alias("__host"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("__bytes"))
+    row = rows.schema["__row"].dataType.simpleString()
+    keyed = rows.mapInArrow(keys, f"__row {row}, __host string, __bytes binary, __key binary")
+    joined = keyed.join(taken, (F.col("__host") == F.col("host")) & (F.col("__key") == F.col("text_key")), "left")
+    out = joined.select("__row", "__bytes", "hs").mapInArrow(cut, f"__row {row}, __new string, __removed array<int>")
+    text = F.when(~F.col("__row.__null"), F.col("__new"))
+    cols = {c: text if c == "text" else F.col(f"__row.`{c}`") for c in names}
+    if sized:
+        cols["n_chars"] = F.when(F.size("__removed") > 0, F.length("__new")).otherwise(F.col("__row.n_chars")).cast(sized)
+    order = [c for c in docs.columns if c != "removed"]
+    return out.select(*[cols[c].alias(c) for c in order], F.col("__removed").alias("removed"))
+
+
+def keep_good(docs: DataFrame, **limits) -> DataFrame:
+    """``without_frequent_lines`` with the columns of ``docs``."""
+    old = "removed" in docs.columns
+    named = docs.withColumnRenamed("removed", "__removed_before") if old else docs
+    out = without_frequent_lines(named, **limits).drop("removed")
+    return (out.withColumnRenamed("__removed_before", "removed") if old else out).select(*[f"`{c}`" for c in docs.columns])

@@ -199,6 +199,22 @@ def test_quality_against_brute_force(docs, rows):
     assert seen_removed
 
 
+def test_frequent_lines_leave_the_text(spark):
+    letters = lambda n: chr(97 + n // 26) + chr(97 + n % 26)
+    own = lambda i: " ".join(letters(i) + letters(k) for k in range(30))
+    texts = {i: f"{own(i)}\nSubscribe to our letter {i}\n\nend of {i} " + "abc"[i % 3] * (i + 1) for i in range(40)}
+    rows = [(i, t, "s", len(t)) for i, t in texts.items()] + [(99, own(99), "s", 0)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars bigint")
+    got = by_id(quality.without_frequent_lines(df))
+    # digits count as one, so documents of one- and two-digit numbers have a line each: only the second is in 25
+    for i, t in texts.items():
+        cut = i > 10
+        want = t.replace(f"Subscribe to our letter {i}\n", "") if cut else t
+        assert (got[i]["text"], got[i]["removed"]) == (want, [1] if cut else []) and got[i]["n_chars"] == len(want)
+    assert got[99]["text"] == own(99) and got[99]["removed"] == []
+    assert {k: r["text"] for k, r in by_id(quality.keep_good(df)).items()} == {k: r["text"] for k, r in got.items()}
+
+
 def test_quality_odd_rows(odd, none):
     assert quality.quality(odd).count() == odd.count()
     kept = quality.keep_good(odd)
