@@ -26,7 +26,8 @@ MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 8, 16, 32
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 TOKEN = r"[A-Za-z0-9+/_=-]+"
-MIN_TOKEN = 16           # shortest token that the models judge
+MIN_TOKEN = 8            # shortest token that the models judge
+MIN_UNTAUGHT = 16        # tokens of so many characters, with a digit and a letter, do not teach the ordinary model
 MIN_RATIO = 10.0         # nats by which a random string must be likelier
 MIN_RATE = 0.5           # ... and nats per character
 SMOOTH = 5.0             # weight of the back-off in the ordinary model, in pairs
@@ -109,8 +110,8 @@ def train(found: DataFrame) -> list[float]:
               .where(F.col("token").rlike("[0-9]") & F.col("token").rlike("[A-Za-z]")))
     plain = (found.where("ordinary").where(F.size("assign") + F.size("access") + F.size("hex") == 0)
              .select(F.explode(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))).alias("token"))
-             # tokens that the models are to judge teach neither of them
-             .where(~((F.length("token") >= MIN_TOKEN) & F.col("token").rlike("[0-9]") & F.col("token").rlike("[A-Za-z]"))))
+             # what looks most like a secret teaches neither model
+             .where(~((F.length("token") >= MIN_UNTAUGHT) & F.col("token").rlike("[0-9]") & F.col("token").rlike("[A-Za-z]"))))
     random = _log_model(_pairs(secret).collect(), SMOOTH_RANDOM)       # a row per pair of characters
     usual = _log_model(_pairs(plain).where(F.col("a").isin(*ALPHABET) & F.col("b").isin(*ALPHABET)).collect(), SMOOTH)
     return [x - y for a, b in zip(random, usual, strict=True) for x, y in zip(a, b, strict=True)]
@@ -147,14 +148,14 @@ def secrets(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     long_token = r"[A-Za-z0-9+/_=-]{%d,}" % MIN_TOKEN
     token = lambda s: F.substring("text", s["s"] + 1, s["e"] - s["s"])
     base = F.concat("assign", "access", "hex")
-    mixed = lambda v: v.rlike("[0-9]") & v.rlike("[A-Za-z]")
     free = lambda s: ~F.exists(base, lambda b: (b["s"] < s["e"]) & (s["s"] < b["e"]))
-    tokens = F.filter(spans(t, long_token), lambda s: mixed(token(s)) & free(s))
-    likely = F.filter(tokens, lambda s: (ratio(token(s), model) >= MIN_RATIO)
-                      & (ratio(token(s), model) >= MIN_RATE * (s["e"] - s["s"])))
-    # only tokens with a letter and a digit are judged, so texts without one are settled by this test
-    some = r"(?=[A-Za-z0-9+/_=-]*[0-9])(?=[A-Za-z0-9+/_=-]*[A-Za-z])" + long_token
-    out = found.withColumn("markov", _only_if(t, some, likely))
+    tokens = F.filter(spans(t, long_token), free)
+
+    def likely(s: Column) -> Column:
+        # worked out once: the longer the token, the more nats it needs
+        return ratio(token(s), model) >= F.greatest(F.lit(MIN_RATIO), MIN_RATE * (s["e"] - s["s"]))
+
+    out = found.withColumn("markov", _only_if(t, long_token, F.filter(tokens, likely)))
     kinds = ("assign", "access", "hex", "markov")
 
     def named(k: int, n: str):

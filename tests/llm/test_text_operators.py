@@ -406,6 +406,20 @@ def test_secret_models_add_random_tokens(spark, docs):
     assert sum(got[r["doc_id"]]["n_markov"] for r in docs.collect()) == 0
 
 
+def test_secret_models_judge_every_shape(spark):
+    rng = np.random.default_rng(8)
+    chars = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    plain = "Plain words of some text, snake_case and camelCase names, considerable half-lives and understanding. "
+    rows = [(i, plain * 5) for i in range(60)] + [(100 + i, "password=" + "".join(rng.choice(chars, 30))) for i in range(120)]
+    # documents with a base match do not teach the ordinary model
+    rows += [(1000 + i, "password=abcd1234 see " + "".join(rng.choice(chars[:52], 24)) + " here") for i in range(20)]   # no digit
+    rows += [(2000 + i, "password=abcd1234 see " + "".join(rng.choice(chars, 14)) + " here") for i in range(20)]        # short
+    got = by_id(secrets.secrets(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    assert sum(got[1000 + i]["n_markov"] for i in range(20)) >= 18
+    assert sum(got[2000 + i]["n_markov"] for i in range(20)) >= 18
+    assert all(got[i]["spans"] == "" for i in range(60))
+
+
 def test_secret_odd_rows(odd, none):
     assert secrets.secrets(odd).count() == odd.count()
     assert secrets.secrets(none).collect() == []
