@@ -33,7 +33,7 @@ def words_of(text: bytes) -> list[bytes]:
     return text.split()
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
+def save(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
     Cuts the lineage: later stages survive lost executors without redoing the
@@ -41,7 +41,7 @@ def save(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -77,3 +77,68 @@ n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
 FROM part LEFT JOIN n USING (vec_id)
 """
+
+
+def _rounds() -> str:
+    """Lloyd's rounds: nearest entry of every part, then the entries' new components."""
+    out = []
+    for r in range(3):
+        out.append(f"""near{r} AS (
+  SELECT n, p, min(d * 64 + e) % 64 AS e, min(d) AS d
+  FROM (SELECT x.n, x.p, c.e, sum((x.x - c.x) * (x.x - c.x)) AS d FROM x JOIN c{r} c ON c.p = x.p AND c.j = x.j GROUP BY ALL)
+  GROUP BY n, p)""")
+        if r < 2:
+            out.append(f"""m{r} AS (
+  SELECT a.p, a.e, x.j, sum(x.x)::BIGINT AS s, count(*) AS k FROM near{r} a JOIN x ON x.n = a.n AND x.p = a.p GROUP BY ALL),
+c{r + 1} AS MATERIALIZED (
+  SELECT c.p, c.e, c.j, CASE WHEN k IS NULL THEN c.x ELSE (s - ((s % k) + k) % k) // k END AS x
+  FROM c{r} c LEFT JOIN m{r} m ON m.p = c.p AND m.e = c.e AND m.j = c.j)""")
+    return ",\n".join(out)
+
+
+VECTOR_CODES = f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, label, embedding, row_number() OVER (ORDER BY vec_id) - 1 AS n FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+x AS MATERIALIZED (
+  SELECT n, (k * 16) // size AS p, k % (size // 16) AS j, floor(256 * value::DOUBLE)::BIGINT AS x
+  FROM (SELECT n, len(embedding) AS size, unnest(embedding) AS value, unnest(range(len(embedding))) AS k FROM v)),
+c0 AS MATERIALIZED (SELECT p, n AS e, j, x FROM x WHERE n < 64),
+{_rounds()},
+done AS (
+  SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error
+  FROM near2 JOIN v USING (n) GROUP BY n, vec_id, label),
+books AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, j)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM done, books
+"""
+
+CONVERSATIONS = """
+WITH own AS MATERIALIZED (
+  SELECT conv_id, list(md5(length(r)::VARCHAR || ':' || r || x) ORDER BY turn NULLS FIRST, r, x) AS s,
+    list(len(list_filter(regexp_split_to_array(x, '[ \t\n\x0B\f\r]+'), lambda w: w <> '')) ORDER BY turn NULLS FIRST, r, x) AS n
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)
+  GROUP BY conv_id),
+h AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, xor(4294967295, list_reduce(
+    list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda u, step: xor(u >> 1, 3988292384 * (u & 1))))) % 4 AS h
+  FROM own),
+rebuilt AS MATERIALIZED (
+  SELECT h.conv_id, list_concat(coalesce(b.s[1:h], []), own.s[h + 1:]) AS s, list_concat(coalesce(b.n[1:h], []), own.n[h + 1:]) AS n
+  FROM h JOIN own USING (conv_id) LEFT JOIN own b ON b.conv_id = h.base),
+path AS MATERIALIZED (
+  SELECT conv_id, d, md5(array_to_string(s[1:d], ',')) AS key, md5(array_to_string(s[1:d - 1], ',')) AS above,
+    CASE WHEN d = 0 THEN 0 ELSE n[d] END AS words, len(s) = d AS ended
+  FROM (SELECT conv_id, s, n, unnest(range(len(s) + 1)) AS d FROM rebuilt)),
+node AS MATERIALIZED (
+  SELECT d, key, min(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(words) AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ended), '')) AS ends_sha256
+  FROM path GROUP BY d, key),
+kids AS (SELECT d - 1 AS d, above AS key, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+total AS (
+  SELECT a.d, a.key, count(*) FILTER (WHERE k.n IS NULL) AS n_leaves, sum(x.saved)::BIGINT AS saved_tokens
+  FROM node x JOIN path a ON a.conv_id = x.conv_id AND a.d <= x.d LEFT JOIN kids k ON k.d = x.d AND k.key = x.key GROUP BY ALL)
+SELECT x.conv_id, x.d AS depth, up.conv_id AS parent_conv_id, x.n_convs, coalesce(k.n, 0) AS n_children, n_leaves, saved_tokens, x.ends_sha256
+FROM node x JOIN total USING (d, key) LEFT JOIN kids k ON k.d = x.d AND k.key = x.key
+LEFT JOIN node up ON up.d = x.d - 1 AND up.key = x.above
+"""

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldkit.llm import embed_dedup, html_text, line_dedup, lm, mixing, oracles, packing, quality, secrets, simhash, toxicity
+from fieldkit.llm import (bpe, embed_dedup, html_text, line_dedup, lm, mixing, oracles, packing, prefix_trie, quality, secrets, simhash,
+                          toxicity, vector_codes)
 from fieldkit.llm.common import read_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,10 +66,27 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.page_text(read_documents(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code of every embedding, and the hash of the codebooks."""
+    coded, codebooks = vector_codes.compress(read_documents(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_errors(coded).withColumn("codebooks_sha256", F.lit(vector_codes.digest(codebooks)))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie.conversation_trie(read_documents(spark, sf_dir, "conversations"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and the bytes they decode to, as hashes."""
+    return bpe.round_trip(read_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_line_dedup": oracles.LINE_DEDUP, "op4_quality_rules": oracles.QUALITY,
-            "op8_embedding_neardup": oracles.EMBEDDINGS}
+            "op8_embedding_neardup": oracles.EMBEDDINGS, "op11_vector_codes": oracles.VECTOR_CODES,
+            "op12_conversation_trie": oracles.CONVERSATIONS}

@@ -12,7 +12,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_one_query_per_operator_and_the_pipeline():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)", n)[1]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
     assert set(queries.oracle_sql()) <= set(entry.oracle_sql())
 
