@@ -1,6 +1,9 @@
 """Plain-Python versions of the operators, for small inputs."""
 
+import hashlib
+import math
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -117,3 +120,53 @@ def cosine_links(vectors, least):
     near = x @ x.T >= least
     np.fill_diagonal(near, False)
     return near
+
+
+def vector_codes(vectors, parts, entries, rounds):
+    """(codes, errors, codebooks) of integer vectors in id order, by comparing everything with everything."""
+    x = np.array(vectors, np.int64).reshape(len(vectors), parts, -1)
+    books = x[:entries].transpose(1, 0, 2).copy()
+
+    def nearest():
+        d = ((x[:, :, None, :] - books[None]) ** 2).sum(-1)
+        return d.argmin(2), d.min(2)
+
+    for _ in range(rounds):
+        code, _ = nearest()
+        for p in range(parts):
+            for e in range(books.shape[1]):
+                own = x[code[:, p] == e, p]
+                if len(own):
+                    books[p, e] = own.sum(0) // len(own)
+    code, error = nearest()
+    return code, error.sum(1), books
+
+
+def conversation_trie(rows, group=20, heads=4):
+    """Nodes of the trie of rebuilt conversations, of rows (conv_id, turn, role, text) without two of one turn."""
+    turns = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            turns.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    turns = {c: [(r, t) for *_, r, t in sorted(s)] for c, s in turns.items()}
+    rebuilt = {}
+    for c, s in turns.items():
+        h = zlib.crc32(str(c).encode()) % heads
+        rebuilt[c] = tuple(turns.get(c - int(math.fmod(c, group)), [])[:h] + s[h:])
+    members, children = {}, {}
+    for c, s in rebuilt.items():
+        for d in range(len(s) + 1):
+            members.setdefault(s[:d], []).append(c)
+    for s in members:
+        if s:
+            children.setdefault(s[:-1], []).append(s)
+    leaves, saved, out = {}, {}, []
+    for s in sorted(members, key=len, reverse=True):
+        below = children.get(s, [])
+        leaves[s] = sum(leaves[k] for k in below) or 1
+        words = len(WORD.findall(s[-1][1])) if s else 0
+        saved[s] = (len(members[s]) - 1) * words + sum(saved[k] for k in below)
+        ends = ",".join(str(c) for c in sorted(members[s]) if len(rebuilt[c]) == len(s))
+        out.append((min(members[s]), len(s), min(members[s[:-1]]) if s else None, len(members[s]), len(below), leaves[s], saved[s],
+                    hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=lambda r: r[:2])
