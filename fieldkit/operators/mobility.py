@@ -128,56 +128,113 @@ def placed_locations(pings: DataFrame) -> DataFrame:
     return unique_locations(pings.where(PLACED))
 
 
-GRID = 16   # a user-day's box is cut into GRID x GRID cells
+GRID = 4      # a cell is cut into GRID x GRID cells
+LEVELS = 12   # times at most; then locations are compared one by one
 
 
-def farthest_distance(pings: DataFrame, locs: DataFrame | None = None) -> DataFrame:
+def _known(a: str, b: str) -> str:
+    """Haversine of the angle between the sample locations of two cells."""
+    return (f"pow(sin(radians({b}.y - {a}.y) / 2), 2) + cos(radians({a}.y)) * cos(radians({b}.y))"
+            f" * pow(sin(radians({b}.x - {a}.x) / 2), 2)")
+
+
+def _most(a: str, b: str) -> str:
+    """A bound on it for all locations of two cells: the widest angles, the latitudes nearest to the equator."""
+    def wide(v: str) -> str:
+        return f"least(greatest(abs({a}.{v}1 - {b}.{v}0), abs({b}.{v}1 - {a}.{v}0)), 180D)"
+
+    def cosine(c: str) -> str:
+        return f"cos(radians(if({c}.y0 <= 0 AND {c}.y1 >= 0, 0D, least(abs({c}.y0), abs({c}.y1)))))"
+
+    return (f"(pow(sin(radians({wide('y')}) / 2), 2) + {cosine(a)} * {cosine(b)} * pow(sin(radians({wide('x')}) / 2), 2))"
+            " * (1 + 1e-12)")   # a margin for the last bits
+
+
+def _cells(grid: DataFrame, level: int) -> DataFrame:
+    """The cells of a level with locations: their number, bounds and one location, as the struct ``cell``."""
+    step = GRID ** (LEVELS - level)
+    at = [F.floor(F.col(v) / step).cast("int").alias(v) for v in ("ix", "iy")]
+    return grid.groupBy(*_DAY, *at).agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"),
+        F.max("y").alias("y1"), F.min(F.struct("x", "y")).alias("one")).select(
+        *_DAY, F.struct("ix", "iy", "n", "x0", "x1", "y0", "y1", F.col("one.x").alias("x"), F.col("one.y").alias("y")).alias("cell"))
+
+
+def farthest_distance(pings: DataFrame, locs: DataFrame | None = None, trace: list | None = None) -> DataFrame:
     """Per user-day: number of unique locations and the largest distance
     between two of them (0 for a single location) (MB-3).
 
-    A day's locations are summed up by cells of its bounding box: their bounds
-    and one location each, at most GRID x GRID rows. The farthest of those locations
-    bounds the answer from below, the corners of two cells bound a pair from
-    above; only locations in pairs of cells that can still beat the bound
-    are compared, as rows of a join. No row or task holds a day's locations.
+    Branch and bound: a day's box is cut into GRID x GRID cells, of which a location
+    each bounds the answer from below; the corners of two cells bound a pair from
+    above. Only pairs of cells that can still beat the best known pair stay open; in
+    rounds, their cells are cut again, until the bounds close or a cell holds one location.
+    Most days are done after the first cut, which makes a row per day of at most
+    GRID x GRID cells; later rounds are joins of open pairs with the cells of their locations,
+    so no row or task holds a day's locations and no two cells' locations are paired.
+    ``trace`` collects the number of pairs looked at in each round.
     """
     locs = placed_locations(pings) if locs is None else locs
     box = locs.groupBy(*_DAY).agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"),
-                                         F.max("y").alias("y1"))
-    step = lambda v: F.when(F.col(f"{v}1") > F.col(f"{v}0"), F.least(F.lit(GRID - 1), F.floor(
-        (F.col(v) - F.col(f"{v}0")) / (F.col(f"{v}1") - F.col(f"{v}0")) * GRID)).cast("int")).otherwise(F.lit(0))
-    celled = locs.join(box, _DAY).select(*_DAY, "x", "y", (step("x") * GRID + step("y")).alias("cell"))
-    cells = celled.groupBy(*_DAY, "cell").agg(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"),
-        F.max("y").alias("y1"), F.min(F.struct("x", "y")).alias("one"))
-    days = cells.groupBy(*_DAY).agg(F.sum("n").alias("n_locs"), F.collect_list(   # GRID * GRID cells at most
-        F.struct("cell", "n", "x0", "x1", "y0", "y1", F.col("one.x").alias("x"), F.col("one.y").alias("y"))).alias("c"))
-    pair = "aggregate(sequence(1, size(c)), {zero}, (s, i) -> aggregate(sequence(i, size(c)), s, (t, j) -> {step}))"
-    hav = ("pow(sin(radians({y2} - {y1}) / 2), 2) + cos(radians({y1})) * cos(radians({y2}))"
-           " * pow(sin(radians({x2} - {x1}) / 2), 2)")
-    known = hav.format(y1="c[i - 1].y", y2="c[j - 1].y", x1="c[i - 1].x", x2="c[j - 1].x")
-    # from above: the widest angles between two cells and, for the cosines, their latitudes nearest to the equator
-    wide = lambda v: f"greatest(abs(c[i - 1].{v}1 - c[j - 1].{v}0), abs(c[j - 1].{v}1 - c[i - 1].{v}0))"
-    cosine = lambda k: f"cos(radians(if(c[{k} - 1].y0 <= 0 AND c[{k} - 1].y1 >= 0, 0D, least(abs(c[{k} - 1].y0), abs(c[{k} - 1].y1)))))"
-    most = (f"pow(sin(radians(least({wide('y')}, 180D)) / 2), 2)"
-            f" + {cosine('i')} * {cosine('j')} * pow(sin(radians(least({wide('x')}, 180D)) / 2), 2)")
-    bounded = days.withColumn("low", F.expr(pair.format(zero="CAST(0 AS DOUBLE)", step=f"greatest(t, {known})")))
-    open_pairs = pair.format(
-        zero="CAST(array() AS array<struct<a: int, b: int>>)",
-        step=f"if(c[i - 1].n * c[j - 1].n > 1 AND ({most}) > low, concat(t, array(named_struct('a', c[i - 1].cell, 'b', c[j - 1].cell))), t)")
+                                  F.max("y").alias("y1"))
+    fine = GRID ** LEVELS
+
+    def place(v: str) -> F.Column:
+        low, high = F.col(f"{v}0"), F.col(f"{v}1")
+        return F.when(high > low, F.least(F.lit(fine - 1), F.floor((F.col(v) - low) / (high - low) * fine))).otherwise(F.lit(0))
+
+    grid = locs.join(box, _DAY).select(*_DAY, "x", "y", place("x").alias("ix"), place("y").alias("iy"))
+    days = _cells(grid, 1).groupBy(*_DAY).agg(F.sum("cell.n").alias("n_locs"), F.collect_list("cell").alias("c"))
+    over_pairs = "aggregate(sequence(1, size(c)), {zero}, (s, i) -> aggregate(sequence(i, size(c)), s, (t, j) -> {step}))"
+    i, j = "c[i - 1]", "c[j - 1]"
+    bounded = days.withColumn("low", F.expr(over_pairs.format(zero="CAST(0 AS DOUBLE)", step=f"greatest(t, {_known(i, j)})")))
+    pair = f"named_struct('ax', {i}.ix, 'ay', {i}.iy, 'bx', {j}.ix, 'by', {j}.iy)"
+    open_pairs = over_pairs.format(zero="CAST(array() AS array<struct<ax: int, ay: int, bx: int, by: int>>)",
+                                   step=f"if({i}.n * {j}.n > 1 AND {_most(i, j)} > low, concat(t, array({pair})), t)")
     # the bound enters as a lambda's argument, so it is worked out once a row and not once a pair
     once = f"element_at(transform(array(low), low -> {open_pairs}), 1)"
-    found = bounded.select(*_DAY, "n_locs", "low", F.expr(once).alias("pairs"))
-    todo = found.select(*_DAY, F.explode("pairs").alias("p")).select(*_DAY, "p.a", "p.b")
-    one = celled.select(*_DAY, F.col("cell").alias("a"), F.col("x").alias("xa"), F.col("y").alias("ya"))
-    other = celled.select(*_DAY, F.col("cell").alias("b"), F.col("x").alias("xb"), F.col("y").alias("yb"))
-    exact = (todo.join(one, [*_DAY, "a"]).join(other, [*_DAY, "b"])
-             .withColumn("h", F.expr(hav.format(y1="ya", y2="yb", x1="xa", x2="xb")))
-             .groupBy(*_DAY).agg(F.max("h").alias("h")))
-    best = F.least(F.lit(1.0), F.greatest("low", F.coalesce("h", F.lit(0.0))))
-    return found.drop("pairs").join(exact, _DAY, "left").select(
-        *_DAY, F.col("n_locs").cast("bigint").alias("n_locs"),
-        (F.asin(F.sqrt(best)) * F.lit(2 * EARTH_RADIUS_KM)).alias("max_dist"))
+    found = cut_lineage(bounded.select(*_DAY, "n_locs", "low", F.expr(once).alias("pairs")))
+    low = found.where(F.size("pairs") > 0).select(*_DAY, "low")
+    pairs = found.select(*_DAY, F.explode("pairs").alias("p")).select(*_DAY, "p.*")
+    raised = _narrowed(grid, low, pairs, trace if trace is not None else [])
+    best = F.col("low") if raised is None else F.greatest("low", F.coalesce("raised", F.lit(0.0)))
+    out = found if raised is None else found.join(raised.select(*_DAY, F.col("low").alias("raised")), _DAY, "left")
+    return out.select(*_DAY, F.col("n_locs").cast("bigint").alias("n_locs"),
+                      (F.asin(F.sqrt(F.least(F.lit(1.0), best))) * F.lit(2 * EARTH_RADIUS_KM)).alias("max_dist"))
+
+
+def _narrowed(grid: DataFrame, low: DataFrame, pairs: DataFrame, trace: list) -> DataFrame | None:
+    """The days' best pairs after the rounds over open ``pairs`` of cells of level 1; None if there are none."""
+    level, done = 1, None
+    while not pairs.isEmpty():
+        sides = pairs.select(*_DAY, F.col("ax").alias("px"), F.col("ay").alias("py")).union(
+            pairs.select(*_DAY, F.col("bx").alias("px"), F.col("by").alias("py"))).distinct()
+        step = GRID ** (LEVELS - level)
+        # only locations of open cells go on
+        at = [F.floor(F.col(f"i{v}") / step).cast("int").alias(f"p{v}") for v in ("x", "y")]
+        grid = cut_lineage(grid.select(*_DAY, "x", "y", "ix", "iy", *at).join(sides, [*_DAY, "px", "py"], "left_semi")
+                           .drop("px", "py"))
+        level += 1
+        last = level > LEVELS
+        if last:   # locations of one finest cell, one by one
+            cells = grid.select(*_DAY, F.expr("struct(ix, iy, 1L AS n, x AS x0, x AS x1, y AS y0, y AS y1, x, y)").alias("cell"))
+            parent = [F.col("cell.ix").cast("int"), F.col("cell.iy").cast("int")]
+        else:
+            cells = cut_lineage(_cells(grid, level))
+            parent = [F.floor(F.col(f"cell.{v}") / GRID).cast("int") for v in ("ix", "iy")]
+        one, other = (cells.select(*_DAY, parent[0].alias(f"{s}x"), parent[1].alias(f"{s}y"), F.col("cell").alias(s)) for s in ("a", "b"))
+        both = (pairs.join(one, [*_DAY, "ax", "ay"]).join(other, [*_DAY, "bx", "by"])
+                .where("ax <> bx OR ay <> by OR a <= b")   # inside a cell each pair once
+                .select(*_DAY, F.col("a.ix").alias("ax"), F.col("a.iy").alias("ay"), F.col("b.ix").alias("bx"), F.col("b.iy").alias("by"),
+                        F.expr(_known("a", "b")).alias("known"), F.expr(_most("a", "b")).alias("most"), F.expr("a.n * b.n").alias("n")))
+        both = cut_lineage(both)
+        trace.append(both.count())
+        better = both.groupBy(*_DAY).agg(F.max("known").alias("known"))
+        low = cut_lineage(low.join(better, _DAY, "left").select(*_DAY, F.greatest("low", F.coalesce("known", F.lit(0.0))).alias("low")))
+        done = low
+        if last:
+            break
+        pairs = cut_lineage(both.where("n > 1").join(low, _DAY).where("most > low").select(*_DAY, "ax", "ay", "bx", "by"))
+    return done
 
 
 def travel_days(pings: DataFrame, min_unique_locs: int = MIN_UNIQUE_LOCS,
