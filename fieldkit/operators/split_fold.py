@@ -20,8 +20,9 @@ holds a large share of all rows, this module splits the days:
    run summaries and are merged by one aggregate.
 
 Sums are integers (``clustering.UNIT``), so pieces of a cluster add up to the
-sums of the undivided fold, to the bit. What passes through the driver is the
-open cluster of each run that crosses a chunk boundary: a row per chunk at most.
+sums of the undivided fold, to the bit. The carried clusters are a table of
+a row per chunk at most, written anew each round and joined to the chunks they
+continue; the driver learns only whether a round is needed.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ from fieldkit.session import cut_lineage
 _PIECE = ("user_id bigint, d int, part int, idx int, visit_freq int, sx bigint, sy bigint, first_us bigint, "
           "last_us bigint, hours array<int>")
 _KEYS = ["user_id", "d", "part"]
+_CARRIED = ["carried_n", "carried_sx", "carried_sy"]
 
 
 def _pass_a(radius: float):
@@ -48,10 +50,10 @@ def _pass_a(radius: float):
     return run
 
 
-def _pass_b(radius: float, carried: dict[int, tuple[int, int, int]]):
-    """Pieces of the first run of a listed chunk up to where the true and the fresh fold meet, and one row with
-    visit_freq NULL: idx (the fresh fold's cluster there, -1 if they never meet), first_us (the true fold's)
-    and the true open cluster at the end as last_us, sx, sy."""
+def _pass_b(radius: float):
+    """Pieces of a continued run (with its carried cluster in every row) up to where the true and the fresh fold meet, and
+    one row with visit_freq NULL: idx (the fresh fold's cluster there, -1 if they never meet), first_us (the true
+    fold's) and, if they never meet, the true open cluster at the end as last_us, sx, sy."""
     def row(key, **cols) -> pd.DataFrame:
         base = dict(zip(_KEYS, key, strict=True)) | {"idx": -1, "visit_freq": None, "sx": None, "sy": None,
                                                      "first_us": None, "last_us": None, "hours": None}
@@ -63,31 +65,24 @@ def _pass_b(radius: float, carried: dict[int, tuple[int, int, int]]):
         opened_true = opened_fresh = 0
         for pdf in batches:
             if done or not len(pdf):
-                continue   # the rest of the chunk is exact already
-            own = [pdf[k].to_numpy() for k in _KEYS]
+                continue   # the rest of the run is exact already
             if key is None:
-                key = tuple(int(c[0]) for c in own)
-                true = Open(*carried[key[2]])
-            mine = (own[0] == key[0]) & (own[1] == key[1])
-            m = int(mine.argmin()) if not mine.all() else len(pdf)
-            if m:
-                x, y = pdf["xi"].to_numpy(np.int64)[:m], pdf["yi"].to_numpy(np.int64)[:m]
-                none = np.zeros(m, bool)
-                t = open_flags(x, y, none, radius, true)
-                f = open_flags(x, y, none, radius, fresh)
-                meet = np.flatnonzero(t & f)
-                upto = int(meet[0]) if meet.size else m
-                number = opened_true + np.cumsum(t)
-                if upto:
-                    yield _pieces(key, pdf.iloc[:upto], x[:upto], y[:upto], number[:upto])
-                if meet.size:
-                    yield row(key, idx=opened_fresh + int(np.cumsum(f)[upto]) - 1, first_us=int(number[upto]))
-                    done = True
-                    continue
-                opened_true, opened_fresh = int(number[-1]), opened_fresh + int(f.sum())
-            if m < len(pdf):
+                key = tuple(int(pdf[k].iloc[0]) for k in _KEYS)
+                true = Open(*(int(pdf[c].iloc[0]) for c in _CARRIED))
+            x, y = pdf["xi"].to_numpy(np.int64), pdf["yi"].to_numpy(np.int64)
+            none = np.zeros(len(pdf), bool)
+            t = open_flags(x, y, none, radius, true)
+            f = open_flags(x, y, none, radius, fresh)
+            meet = np.flatnonzero(t & f)
+            upto = int(meet[0]) if meet.size else len(pdf)
+            number = opened_true + np.cumsum(t)
+            if upto:
+                yield _pieces(key, pdf.iloc[:upto], x[:upto], y[:upto], number[:upto])
+            if meet.size:
+                yield row(key, idx=opened_fresh + int(np.cumsum(f)[upto]) - 1, first_us=int(number[upto]))
                 done = True
-                yield row(key, first_us=opened_true, last_us=true.n, sx=true.sx, sy=true.sy)
+                continue
+            opened_true, opened_fresh = int(number[-1]), opened_fresh + int(f.sum())
         if key is not None and not done:
             yield row(key, first_us=opened_true, last_us=true.n, sx=true.sx, sy=true.sy)
     return run
@@ -106,39 +101,50 @@ def _pieces(key: tuple, pdf: pd.DataFrame, x: np.ndarray, y: np.ndarray, number:
     return out
 
 
-def trip_clusters_split(events: DataFrame, radius_km: float, n_chunks: int) -> DataFrame:
+def trip_clusters_split(events: DataFrame, radius_km: float, n_chunks: int, trace: list | None = None) -> DataFrame:
     """Clusters of ``clustering.placed_events`` with hot user-days split over ``n_chunks`` tasks:
-    user_id, d, clust_id, visit_freq, sx, sy, first_us, last_us, hours."""
-    spark = events.sparkSession
+    user_id, d, clust_id, visit_freq, sx, sy, first_us, last_us, hours. ``trace`` collects the chunks folded again per round."""
     keys = ["user_id", "d", "t_us", "event_id"]
     ranged = cut_lineage(events.repartitionByRange(n_chunks, *keys).sortWithinPartitions(*keys)
                          .select("user_id", "d", "t_us", "xi", "yi", "hr", F.spark_partition_id().alias("part")))
     a = cut_lineage(ranged.mapInPandas(_pass_a(radius_km), _PIECE))
-    runs = a.groupBy(*_KEYS).agg(F.max_by(F.struct("visit_freq", "sx", "sy"), "idx").alias("end"))
-    w = Window.partitionBy("user_id", "d").orderBy("part")   # a row per chunk of a user-day
-    cont = (runs.select(*_KEYS, "end", F.lag("part").over(w).alias("before"), F.lag("end").over(w).alias("carry"))
-            .where("before IS NOT NULL").collect())
-    ends = {r.part: tuple(r.end) for r in cont}          # speculative, then true
-    group = {r.part: (r.user_id, r.d) for r in cont}
-    before = {r.part: r.before for r in cont if group.get(r.before) == (r.user_id, r.d)}
-    carry = {r.part: tuple(r.carry) for r in cont}
-    used: dict[int, tuple] = {}
     repaired: list[DataFrame] = []
-    todo = dict(carry)
-    while todo:
-        parts = spark.createDataFrame([(p,) for p in todo], "part int")
-        b = cut_lineage(ranged.join(F.broadcast(parts), "part", "left_semi")
-                        .select("user_id", "d", "t_us", "xi", "yi", "hr", "part").mapInPandas(_pass_b(radius_km, todo), _PIECE))
+    state = _first_state(a)
+    todo = cut_lineage(state)
+    while not todo.isEmpty():
+        if trace is not None:
+            trace.append(todo.count())
+        # n_chunks rows at most; the chunks keep their partitions and their order
+        carried = F.broadcast(todo.select(*_KEYS, *[F.col(f"carry.{c}").alias(n) for c, n in zip(("visit_freq", "sx", "sy"), _CARRIED, strict=True)]))
+        b = cut_lineage(ranged.join(carried, _KEYS).mapInPandas(_pass_b(radius_km), _PIECE))
         repaired.append(b)
-        used |= todo
-        for r in b.where("visit_freq IS NULL AND idx < 0").collect():
-            ends[r.part] = (r.last_us, r.sx, r.sy)
-        # again for chunks whose predecessor's true end is another than assumed
-        want = {p: ends[before[p]] if p in before else carry[p] for p in carry}
-        todo = {p: c for p, c in want.items() if c != used[p]}
+        state = cut_lineage(_next_state(state, b))
+        todo = cut_lineage(state.where("NOT (carry <=> used)"))
     return _assemble(a, repaired)
 
 
+_OPEN = "struct<visit_freq:int,sx:bigint,sy:bigint>"
+
+
+def _first_state(a: DataFrame) -> DataFrame:
+    """A row per continued run: the chunk before, its speculative end, the cluster carried into the run (that end) and
+    the one the run was last folded from (none yet)."""
+    runs = a.groupBy(*_KEYS).agg(F.max_by(F.struct("visit_freq", "sx", "sy"), "idx").cast(_OPEN).alias("end"))
+    w = Window.partitionBy("user_id", "d").orderBy("part")   # a row per chunk of a user-day
+    return (runs.select(*_KEYS, F.lag("part").over(w).alias("before"), F.lag("end").over(w).alias("speculative")).where("before IS NOT NULL")
+            .withColumns({"carry": F.col("speculative"), "used": F.lit(None).cast(_OPEN)}))
+
+
+def _next_state(state: DataFrame, b: DataFrame) -> DataFrame:
+    """The state after a round: a chunk folded again hands on its true end, or the speculative one if the folds met."""
+    ends = b.where("visit_freq IS NULL").select(
+        "user_id", "d", F.col("part").alias("before"), (F.col("idx") >= 0).alias("met"),
+        F.struct(F.col("last_us").cast("int").alias("visit_freq"), "sx", "sy").cast(_OPEN).alias("end"))
+    carry = F.when(F.col("met").isNull(), F.col("carry")).when(F.col("met"), F.col("speculative")).otherwise(F.col("end"))
+    return (state.join(ends, ["user_id", "d", "before"], "left")
+            .select(*_KEYS, "before", "speculative", carry.alias("carry"), F.col("carry").alias("used")))
+
+
 def _assemble(a: DataFrame, repaired: list[DataFrame]) -> DataFrame:
     b = a.limit(0).withColumn("_round", F.lit(0))
     for i, df in enumerate(repaired):

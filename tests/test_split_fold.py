@@ -59,6 +59,50 @@ def test_split_fold_equals_stream_fold(spark, parts):
     assert sum(1 for r in split if r[0] == 2) == 1
 
 
+def drifting_history(seed: int):
+    """Days that hover about the radius, so that folds from different starts meet late, or only from some starts."""
+    rnd = random.Random(seed)
+    rows, eid = [], 0
+    for user in range(1, 5):
+        x = y = 0.0
+        for i in range(600):
+            step = rnd.choice([0.0002, 0.002, 0.006, 0.009])
+            x = max(-0.01, min(0.01, x + rnd.uniform(-step, step)))
+            y = max(-0.004, min(0.004, y + rnd.uniform(-step, step)))
+            rows.append((eid, user, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i * 120 + user), 0, 33.7 + x, -14.0 + y))
+            eid += 1
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("parts", [5, 40, 150])
+def test_split_fold_of_drifting_days(spark, seed, parts):
+    """Equal to the stream to the bit; rounds end, with fewer chunks each time."""
+    from fieldkit.operators.clustering import placed_events, with_times
+    from fieldkit.operators.split_fold import trip_clusters_split
+    p = spark.createDataFrame(drifting_history(seed), SCHEMA)
+    trace: list = []
+    split = norm(with_times(trip_clusters_split(placed_events(p), 1.0, parts, trace), "hours"))
+    assert split == norm(MB.trip_clusters(p, split_hot=False))
+    assert len(trace) >= (2 if parts == 150 else 1)
+    assert trace[0] <= parts and sorted(trace, reverse=True) == trace
+
+
+def test_a_chunk_that_meets_again_hands_on_its_speculative_end(spark):
+    """First folded from a wrong cluster it never met, then from the true one it does."""
+    from fieldkit.operators import split_fold as SF
+    wrong, right = (3, 30, 30), (5, 50, 50)
+    state = spark.createDataFrame([(1, 0, 4, 3, right, wrong, wrong)], "user_id bigint, d int, part int, before int, "
+                                  f"speculative {SF._OPEN}, carry {SF._OPEN}, used {SF._OPEN}")
+    met = spark.createDataFrame([(1, 0, 3, 2, None, None, None, 4, None, None)], SF._PIECE)
+    row = SF._next_state(state, met).first()
+    assert tuple(row.carry) == right and tuple(row.used) == wrong
+    never = spark.createDataFrame([(1, 0, 3, -1, None, 70, 71, 4, 7, None)], SF._PIECE)
+    assert tuple(SF._next_state(state, never).first().carry) == (7, 70, 71)
+    other = spark.createDataFrame([(1, 0, 9, -1, None, 70, 71, 4, 7, None)], SF._PIECE)
+    assert tuple(SF._next_state(state, other).first().carry) == wrong
+
+
 def test_hot_group_detection(spark):
     from fieldkit.operators.clustering import has_hot_groups
     p = spark.createDataFrame(hot_history(5), SCHEMA).selectExpr("user_id", "to_date(ts) AS day")
