@@ -27,6 +27,7 @@ import fieldkit
 from fieldkit.functions.geo import distance_km
 from fieldkit.params import (EARTH_RADIUS_KM, EXCLUDED_DAYS, HOME_HOURS, HOME_WORK_RADIUS_KM, LAST_STAY_MIN,
                              STAY_THRESHOLD_MIN, TRANSIT_HOURS, TRIP_RADIUS_KM, WORK_HOURS)
+from fieldkit.session import cut_lineage
 
 # The fold helpers travel with the task (pickled by value), so Python
 # workers need no installed copy of this package.
@@ -440,14 +441,27 @@ def _merged_boxes(cells: np.ndarray, margin: float) -> np.ndarray:
     return group
 
 
-def place_groups(events: DataFrame, radius_km: float) -> DataFrame:
-    """``events`` with ``grp``: events of a user in different groups can never share a cluster.
+def _widest_km(x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray) -> np.ndarray:
+    """A bound on the distance of any two points of boxes in degrees."""
+    flat = np.where((y0 <= 0) & (y1 >= 0), 0.0, np.minimum(np.abs(y0), np.abs(y1)))   # the latitude nearest to the equator
+    # the box's height along a meridian and its width along that latitude, as legs of one angle
+    h = np.sin(np.radians(y1 - y0) / 2) ** 2 + (np.cos(np.radians(flat)) * np.sin(np.radians(np.minimum(x1 - x0, 180)) / 2)) ** 2
+    return 2 * EARTH_RADIUS_KM * np.arcsin(np.sqrt(np.minimum(h, 1)))
 
-    A cluster's centre lies in the box of its members, and an event joins
-    within the radius, so events whose boxes stay apart when widened by the radius do
-    not affect each other. Boxes start as occupied cells, eight radii wide, and are merged while they
-    overlap. Grouped are the distinct cells of a user, not the events.
-    """
+
+def _with_cells(events: DataFrame, radius_km: float) -> DataFrame:
+    """Events with the cell they lie in, eight radii wide."""
+    lat_cell = 8 * math.degrees(radius_km / EARTH_RADIUS_KM)
+    cell = lambda c: F.floor(F.col(c) / F.lit(UNIT * lat_cell)).cast("bigint")
+    return events.withColumn("cx", cell("xi")).withColumn("cy", cell("yi"))
+
+
+def _box() -> list:
+    return [F.min("xi").alias("x0"), F.max("xi").alias("x1"), F.min("yi").alias("y0"), F.max("yi").alias("y1")]
+
+
+def _cell_groups(cells: DataFrame, radius_km: float) -> DataFrame:
+    """user_id, cx, cy, grp and ``narrow``: no two events of the group are farther apart than the radius."""
     lat_cell = 8 * math.degrees(radius_km / EARTH_RADIUS_KM)
 
     def groups(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -457,36 +471,67 @@ def place_groups(events: DataFrame, radius_km: float) -> DataFrame:
         wide = 1.001 / 8 / coslat
         cells = pdf[["cx", "cy"]].to_numpy()
         edge = np.abs(cells[:, 0]).max() + 1 + wide >= 180 / lat_cell or coslat < 0.05
-        g = np.zeros(len(cells), np.int64) if edge else _merged_boxes(cells, wide)
-        return pdf.assign(grp=g)
+        pdf = pdf.assign(grp=np.zeros(len(cells), np.int64) if edge else _merged_boxes(cells, wide))
+        box = pdf.groupby("grp").agg(x0=("x0", "min"), x1=("x1", "max"), y0=("y0", "min"), y1=("y1", "max")) / UNIT
+        far = _widest_km(*(box[c].to_numpy() for c in ("x0", "x1", "y0", "y1")))
+        narrow = dict(zip(box.index, far < radius_km - 1e-6, strict=True))   # a millimetre, as distances are compared
+        return pdf[["user_id", "cx", "cy", "grp"]].assign(narrow=pdf["grp"].map(narrow))
 
-    cell = lambda c: F.floor(F.col(c) / F.lit(UNIT * lat_cell)).cast("bigint")
-    own = events.withColumn("cx", cell("xi")).withColumn("cy", cell("yi"))
-    named = (own.select("user_id", "cx", "cy").distinct().groupBy("user_id")
-             .applyInPandas(groups, "user_id bigint, cx bigint, cy bigint, grp bigint"))
+    return (cells.select("user_id", "cx", "cy", "x0", "x1", "y0", "y1").groupBy("user_id")
+            .applyInPandas(groups, "user_id bigint, cx bigint, cy bigint, grp bigint, narrow boolean"))
+
+
+def place_groups(events: DataFrame, radius_km: float) -> DataFrame:
+    """``events`` with ``grp``: events of a user in different groups can never share a cluster.
+
+    A cluster's centre lies in the box of its members, and an event joins
+    within the radius, so events whose boxes stay apart when widened by the radius do
+    not affect each other. Boxes start as occupied cells, eight radii wide, and are merged while they
+    overlap. Grouped are the distinct cells of a user, not the events.
+    """
+    own = _with_cells(events, radius_km)
+    named = _cell_groups(own.groupBy("user_id", "cx", "cy").agg(*_box()), radius_km).drop("narrow")
     return own.join(named, ["user_id", "cx", "cy"]).drop("cx", "cy")
 
 
 def home_work_clusters_raw(pings: DataFrame, radius_km: float = HOME_WORK_RADIUS_KM,
                            home_hours=HOME_HOURS, work_hours=WORK_HOURS, transit_hours=TRANSIT_HOURS,
-                           excluded_days=EXCLUDED_DAYS) -> DataFrame:
+                           excluded_days=EXCLUDED_DAYS, sum_narrow: bool = True) -> DataFrame:
     """Nearest-leader clustering over each user's whole history (WN-5, MB-12).
 
     An event joins the nearest existing cluster of the user if its centre is
     within ``radius_km`` (ties: the earliest cluster), else opens a new one.
     Home/work/transit hour counts skip ``excluded_days`` (weekday names).
 
-    A user is split by place (``place_groups``) and each group is folded on its
-    own; clusters are then numbered by their first events, which is the order
-    in which the undivided history opens them. What one dense place costs: its
-    events are one task's stream, in linear time and bounded memory.
+    A user is split by place (``place_groups``). A place no wider than the radius
+    is one cluster whatever the order of its events, so it is summed up by plain
+    aggregates, combined before the shuffle: a site with a third of all events is no task's
+    stream (``sum_narrow=False`` folds it all the same). Each wider place is folded on its
+    own, as one task's stream in linear time and the memory of its clusters. Clusters are numbered by their
+    first events, which is the order in which the undivided history opens them.
     """
     dname = F.date_format(F.date_from_unix_date("d"), "EEEE").alias("dname")
-    pts = place_groups(placed_events(pings), radius_km).select("*", dname)
+    own = _with_cells(placed_events(pings), radius_km).select("*", dname)
+    counted = ~F.col("dname").isin(list(excluded_days))
+    hours = [F.count_if(counted & F.col("hr").isin(list(h))).cast("int").alias(n)
+             for n, h in (("home", home_hours), ("work", work_hours), ("transit", transit_hours))]
+    cells = own.groupBy("user_id", "cx", "cy").agg(
+        *_box(), F.count(F.lit(1)).alias("visit_freq"), F.sum("xi").alias("sx"), F.sum("yi").alias("sy"), *hours,
+        F.min(F.struct("t_us", "event_id")).alias("first"))
+    cells = cut_lineage(cells)
+    named = cut_lineage(_cell_groups(cells, radius_km))
+    if not sum_narrow:
+        named = named.withColumn("narrow", F.lit(False))
+    whole = cells.join(named.where("narrow").drop("narrow"), ["user_id", "cx", "cy"]).groupBy("user_id", "grp").agg(
+        F.sum("visit_freq").cast("int").alias("visit_freq"), *[F.sum(c).alias(c) for c in ("sx", "sy")],
+        *[F.sum(c).cast("int").alias(c) for c in ("home", "work", "transit")], F.min("first").alias("first"))
+    whole = whole.select("user_id", "grp", F.lit(1).alias("nth"), "visit_freq", "sx", "sy", "home", "work", "transit",
+                         F.col("first.t_us").alias("first_us"), F.col("first.event_id").alias("first_id"))
     fold = _home_work_fold(radius_km, tuple(home_hours), tuple(work_hours), tuple(transit_hours),
                            tuple(excluded_days))
-    stream = pts.repartition("user_id", "grp").sortWithinPartitions("user_id", "grp", "t_us", "event_id")
-    clusters = stream.mapInPandas(fold, _HOME_WORK)
+    wide = own.join(named.where("NOT narrow").drop("narrow"), ["user_id", "cx", "cy"]).drop("cx", "cy")
+    stream = wide.repartition("user_id", "grp").sortWithinPartitions("user_id", "grp", "t_us", "event_id")
+    clusters = stream.mapInPandas(fold, _HOME_WORK).union(whole)
     order = Window.partitionBy("user_id").orderBy("first_us", "first_id")   # a row per cluster of the user
     return clusters.select("user_id", F.row_number().over(order).alias("clust_id"), "visit_freq",
                            (F.col("sx") / F.lit(UNIT)).alias("sx"), (F.col("sy") / F.lit(UNIT)).alias("sy"),

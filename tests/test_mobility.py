@@ -281,6 +281,37 @@ def test_home_work_hot_user_is_split_by_place(spark):
     assert [g[1:] for g in got] == py_home_work_fold([(t, i, x, y) for i, (_, t, (x, y)) in enumerate(rows)])
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_narrow_places_are_summed_up(spark, seed):
+    """Places about as wide as the radius, one site with most events, the poles and the date line: summing up equals the fold."""
+    from fieldkit.operators.clustering import _box, _cell_groups, _with_cells, home_work_clusters_raw, placed_events
+    rnd = random.Random(seed)
+    rows = []
+    for user in range(1, 9):
+        places = [(rnd.uniform(-60, 60), rnd.uniform(-60, 60), rnd.choice([0.0, 0.004, 0.009, 0.0125, 0.02])) for _ in range(6)]
+        places += [(179.999, 10.0, 0.004), (20.0, 89.9, 0.01)] if user == 8 else []
+        for _ in range(400):
+            cx, cy, wide = places[0] if rnd.random() < 0.5 else rnd.choice(places)
+            rows.append((user, dt.datetime(2024, 1, rnd.randint(1, 28), rnd.randint(0, 23), rnd.randint(0, 59)),
+                         (cx + rnd.uniform(-wide, wide), min(90.0, cy + rnd.uniform(-wide, wide)))))
+    p = pings(spark, rows)
+    cells = _with_cells(placed_events(p), 2.0).groupBy("user_id", "cx", "cy").agg(*_box())
+    assert {r.narrow for r in _cell_groups(cells, 2.0).collect()} == {True, False}
+    one, other = (sorted(tuple(r) for r in home_work_clusters_raw(p, sum_narrow=s).collect()) for s in (True, False))
+    assert one == other
+
+
+def test_widest_distance_of_a_box():
+    import numpy as np
+    from fieldkit.operators.clustering import _widest_km
+    rng = np.random.default_rng(2)
+    lo, size = rng.uniform([-180, -90], [170, 80], (200, 2)), rng.uniform(0, 10, (200, 2))
+    most = _widest_km(lo[:, 0], lo[:, 0] + size[:, 0], lo[:, 1], lo[:, 1] + size[:, 1])
+    for _ in range(300):
+        (x1, y1), (x2, y2) = ((lo + rng.uniform(0, 1, (200, 2)) * size).T for _ in range(2))
+        assert (distance_km(y1, x1, y2, x2) <= most + 1e-9).all()
+
+
 def test_trips_independent_of_session_time_zone(spark):
     """Wall-clock (NTZ) events around a DST gap give the same clusters, stays
     and trips whatever the session time zone."""
