@@ -2,7 +2,9 @@
 
 A small tokeniser walks the markup (any quoting, comments, raw script and
 style text), so nested elements, single quotes and all character references
-are read as a browser reads them. The functions are Arrow-batched columns.
+are read as a browser reads them. What is wanted of a page are readers of its
+tokens; ``extract`` runs any number of them over one walk, which ends early where all have
+what they need (a title). The functions are Arrow-batched columns.
 """
 
 from __future__ import annotations
@@ -58,150 +60,249 @@ def _clean(parts: list[str]) -> str:
     return " ".join(re.split(r"[ \t\n\r\f\xa0]+", _html.unescape(" ".join(parts)).strip(" \t\n\r\f\xa0")))
 
 
-def _title(page: str) -> str | None:
-    inside, parts = False, []
-    for kind, tag, text in tokens(page):
+class Reader:
+    """Takes the tokens of one page; ``done`` once nothing that follows can change its result."""
+
+    kind = "string"   # of the column
+    done = False
+
+    def take(self, kind: str, tag: str, rest: str) -> None:
+        raise NotImplementedError
+
+    def result(self):
+        raise NotImplementedError
+
+
+class Title(Reader):
+    """The text of the first title element (HT-1); NULL when the page has none."""
+
+    def __init__(self):
+        self.inside, self.parts = False, []
+
+    def take(self, kind, tag, rest):
         if tag == "title":
-            if kind == "end" and inside:
-                return _clean(parts)
-            inside = kind == "start"
-        elif inside:
-            parts.append(text)
-    return None
+            self.done = kind == "end" and self.inside
+            self.inside = kind == "start" or self.done
+        elif self.inside:
+            self.parts.append(rest)
 
+    def result(self):
+        return _clean(self.parts) if self.done else None
 
-def _text(page: str) -> str:
-    return _clean([t for kind, _, t in tokens(page) if kind == "text"])
 
+class Text(Reader):
+    """All text of the page but scripts, styles and comments (HT-2)."""
 
-def _links(page: str) -> list[dict]:
-    found, href, parts = [], None, []
+    def __init__(self):
+        self.parts = []
+
+    def take(self, kind, tag, rest):
+        if kind == "text":
+            self.parts.append(rest)
 
-    def close() -> None:
-        if href is not None:
-            found.append({"href": href, "anchor": _clean(parts)})
+    def result(self):
+        return _clean(self.parts)
 
-    for kind, tag, rest in tokens(page):
+
+class Links(Reader):
+    """href and anchor text of all ``<a href>`` elements (HT-3)."""
+
+    kind = "array<struct<href: string, anchor: string>>"
+
+    def __init__(self):
+        self.found, self.href, self.parts = [], None, []
+
+    def _close(self):
+        if self.href is not None:
+            self.found.append({"href": self.href, "anchor": _clean(self.parts)})
+
+    def take(self, kind, tag, rest):
         if tag == "a":
-            close()
-            href, parts = (attribute(rest, "href") if kind == "start" else None), []
-        elif kind == "text" and href is not None:
-            parts.append(rest)
-    close()
-    return found
+            self._close()
+            self.href, self.parts = (attribute(rest, "href") if kind == "start" else None), []
+        elif kind == "text" and self.href is not None:
+            self.parts.append(rest)
 
+    def result(self):
+        self._close()
+        return self.found
 
-def _nested_links(page: str, outer: str) -> list[str]:
+
+class NestedLinks(Reader):
     """Targets of the links inside ``outer`` elements."""
-    depth, found = 0, []
-    for kind, tag, rest in tokens(page):
-        if tag == outer:
-            depth = max(0, depth + (1 if kind == "start" else -1))
-        elif depth and tag == "a" and kind == "start":
+
+    kind = "array<string>"
+
+    def __init__(self, outer: str):
+        self.outer, self.depth, self.found = outer, 0, []
+
+    def take(self, kind, tag, rest):
+        if tag == self.outer:
+            self.depth = max(0, self.depth + (1 if kind == "start" else -1))
+        elif self.depth and tag == "a" and kind == "start":
             href = attribute(rest, "href")
             if href is not None:
-                found.append(href)
-    return found
+                self.found.append(href)
+
+    def result(self):
+        return self.found
 
 
-def _elements(page: str, name: str, css_class: str) -> list[str]:
-    """Texts of ``name`` elements that carry the class, nested ones included in the outer and listed on their own."""
-    found: list[tuple[int, list[str]]] = []   # (place, parts) of open and closed matches
-    open_: list[int | None] = []              # per open element of that name: its match, if any
-    for kind, tag, rest in tokens(page):
+class Elements(Reader):
+    """Texts of ``name`` elements that carry the class (HT-4), nested ones included in the outer and listed on their own."""
+
+    kind = "array<string>"
+
+    def __init__(self, name: str, css_class: str):
+        self.name, self.css_class = name, css_class
+        self.found: list[list[str]] = []          # parts of open and closed matches
+        self.open: list[int | None] = []          # per open element of that name: its match, if any
+
+    def take(self, kind, tag, rest):
         if kind == "text":
-            for k in open_:
+            for k in self.open:
                 if k is not None:
-                    found[k][1].append(rest)
-        elif tag == name and kind == "start":
-            if css_class in (attribute(rest, "class") or "").split():
-                found.append((len(found), []))
-                open_.append(len(found) - 1)
+                    self.found[k].append(rest)
+        elif tag == self.name and kind == "start":
+            if self.css_class in (attribute(rest, "class") or "").split():
+                self.found.append([])
+                self.open.append(len(self.found) - 1)
             else:
-                open_.append(None)
+                self.open.append(None)
             if tag in _NO_END:
-                open_.pop()
-        elif tag == name and open_:
-            open_.pop()
-    return [_clean(parts) for _, parts in found]
+                self.open.pop()
+        elif tag == self.name and self.open:
+            self.open.pop()
+
+    def result(self):
+        return [_clean(parts) for parts in self.found]
+
 
+class Rows(Reader):
+    """Per table row, the texts of its ``cell`` elements (HT-5), rows with more than ``min_cells`` of them; a new cell
+    or row closes the one before."""
 
-def _cells(page: str, cell: str) -> list[list[str]]:
-    """Per table row, the texts of its ``cell`` elements; a new cell or row closes the one before."""
-    rows: list[list[str]] = []
-    row: list[str] | None = None
-    parts: list[str] | None = None
+    kind = "array<array<string>>"
 
-    def close_cell() -> None:
-        nonlocal parts
-        if parts is not None and row is not None:
-            row.append(_clean(parts))
-        parts = None
+    def __init__(self, cell: str = "td", min_cells: int = 0):
+        self.cell, self.min_cells = cell, min_cells
+        self.rows: list[list[str]] = []
+        self.row: list[str] | None = None
+        self.parts: list[str] | None = None
 
-    for kind, tag, rest in tokens(page):
+    def _close_cell(self):
+        if self.parts is not None and self.row is not None:
+            self.row.append(_clean(self.parts))
+        self.parts = None
+
+    def _close_row(self):
+        if self.row is not None:
+            self.rows.append(self.row)
+        self.row = None
+
+    def take(self, kind, tag, rest):
         if kind == "text":
-            if parts is not None:
-                parts.append(rest)
+            if self.parts is not None:
+                self.parts.append(rest)
         elif tag in ("td", "th", "tr", "table"):
-            close_cell()
-            if tag == "tr" or tag == "table":
-                if row is not None:
-                    rows.append(row)
-                row = [] if (tag, kind) == ("tr", "start") else None
-            elif kind == "start" and tag == cell:
-                row = [] if row is None else row
-                parts = []
-    close_cell()
-    if row is not None:
-        rows.append(row)
-    return rows
+            self._close_cell()
+            if tag in ("tr", "table"):
+                self._close_row()
+                self.row = [] if (tag, kind) == ("tr", "start") else None
+            elif kind == "start" and tag == self.cell:
+                self.row = [] if self.row is None else self.row
+                self.parts = []
+
+    def result(self):
+        self._close_cell()
+        self._close_row()
+        return [r for r in self.rows if len(r) > self.min_cells]
+
+
+class Header(Rows):
+    """Header cell texts (HT-6)."""
+
+    kind = "array<string>"
+
+    def __init__(self):
+        super().__init__("th")
+
+    def result(self):
+        return [c for r in super().result() for c in r]
+
+
+def read_page(page: str, readers: list[Reader]) -> list:
+    """The results of all readers from one walk over the page, which ends once all of them are done."""
+    waiting = [r for r in readers if not r.done]
+    for token in tokens(page):
+        for r in waiting:
+            r.take(*token)
+        if any(r.done for r in waiting):
+            waiting = [r for r in waiting if not r.done]
+            if not waiting:
+                break
+    return [r.result() for r in readers]
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _column(fn, kind: str, html) -> Column:
-    @F.pandas_udf(kind)
-    def run(pages: pd.Series) -> pd.Series:
-        return pd.Series([None if p is None else fn(p) for p in pages], dtype=object)
+def extract(html, **readers: tuple) -> Column:
+    """A struct with a field per reader, all from one pass over each page.
+
+    A reader is given as its class and arguments: ``extract("html", title=(Title,), ads=(Elements, "div", "ad"))``.
+    Fields of a NULL page are NULL.
+    """
+    names = list(readers)
+    made = [(r[0], r[1:]) for r in readers.values()]
+
+    @F.pandas_udf("struct<" + ", ".join(f"{n}: {cls.kind}" for n, (cls, _) in zip(names, made, strict=True)) + ">")
+    def run(pages: pd.Series) -> pd.DataFrame:
+        none = [None] * len(names)
+        rows = [none if p is None else read_page(p, [cls(*args) for cls, args in made]) for p in pages]
+        return pd.DataFrame({n: pd.Series([r[k] for r in rows], dtype=object) for k, n in enumerate(names)})
     return run(_c(html))
 
 
+def _one(html, *reader) -> Column:
+    return extract(html, value=reader)["value"]
+
+
 def title(html) -> Column:
     """Page title text (HT-1); NULL when the page has none."""
-    return _column(_title, "string", html)
+    return _one(html, Title)
 
 
 def visible_text(html) -> Column:
     """All text of the page but scripts, styles and comments (HT-2)."""
-    return _column(_text, "string", html)
+    return _one(html, Text)
 
 
 def links(html) -> Column:
     """array<struct<href, anchor>> of all ``<a href>`` elements (HT-3)."""
-    return _column(_links, "array<struct<href: string, anchor: string>>", html)
+    return _one(html, Links)
 
 
 def nested_links(html, outer: str) -> Column:
     """array<string>: targets of the links inside ``<outer>`` elements."""
-    return _column(lambda p: _nested_links(p, outer), "array<string>", html)
+    return _one(html, NestedLinks, outer)
 
 
 def element_text(html, tag: str, css_class: str) -> Column:
     """Texts of ``<tag>`` elements whose class list holds ``css_class`` (HT-4)."""
-    return _column(lambda p: _elements(p, tag, css_class), "array<string>", html)
+    return _one(html, Elements, tag, css_class)
 
 
 def table_rows(html, min_cells: int = 0) -> Column:
     """Rows of ``<td>`` cells, each cell cleaned on its own (so a comma inside a
     cell never splits it); rows with more than ``min_cells`` cells (HT-5)."""
-    return _column(lambda p: [r for r in _cells(p, "td") if len(r) > min_cells], "array<array<string>>", html)
+    return _one(html, Rows, "td", min_cells)
 
 
 def table_header(html) -> Column:
     """Header cell texts (HT-6)."""
-    return _column(lambda p: [c for r in _cells(p, "th") for c in r], "array<string>", html)
+    return _one(html, Header)
 
 
 def clean_text(s) -> Column:

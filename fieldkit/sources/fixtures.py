@@ -212,18 +212,23 @@ def _escaped(c) -> F.Column:
 
 
 def link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page per document whose only link, single-quoted, has the document's first line as its text."""
-    line = _escaped(F.substring_index("text", "\n", 1))
+    """A page per document with a link, single-quoted, for every line of the text."""
+    doc = F.col("doc_id").cast("string")
+    link = lambda line, i: F.concat(F.lit("<a class=x href='/d?a=1&amp;id="), doc, F.lit("&amp;line="), (i + 1).cast("string"),
+                                    F.lit("'><b>"), _escaped(line), F.lit("</b></a><br>\n"))
+    lines = F.array_join(F.transform(F.split("text", "\n"), link), "")
     return read_table(spark, sf_dir, "documents").select(
-        "doc_id", F.concat(F.lit("<p>no link <a>nor here</a><a class=x href='/d?a=1&amp;id="), F.col("doc_id").cast("string"),
-                           F.lit("'><b>"), line, F.lit("</b></a>")).alias("html"))
+        "doc_id", F.concat(F.lit("<p>no link <a>nor here</a>"), lines, F.lit("<p>end")).alias("html"))
+
+
+ORDERS_PAGE = 1024   # order keys per page: a customer's table goes over as many pages as it needs
 
 
 def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page per customer with an HTML table of the customer's orders (tags in mixed case, cells left open)."""
-    o = read_table(spark, sf_dir, "orders")
+    """Pages with an HTML table of a customer's orders, one per range of order keys (tags in mixed case, cells left open)."""
+    o = read_table(spark, sf_dir, "orders").withColumn("page", F.floor(F.col("o_orderkey") / ORDERS_PAGE))
     row = F.concat(F.lit("<TR><td>"), F.col("o_orderkey").cast("string"), F.lit("<td align='right'> "),
                    F.col("o_orderstatus"), F.lit(" </td>\n<td>"), _escaped(F.col("o_orderpriority")), F.lit(", <i>x</i></td></tr>"))
-    return o.groupBy("o_custkey").agg(F.concat(
+    return o.groupBy("o_custkey", "page").agg(F.concat(   # ORDERS_PAGE rows at most
         F.lit("<table><tr><th>order<th>status</th><th class=\"w\">priority</th></tr>"),
         F.array_join(F.array_sort(F.collect_list(row)), ""), F.lit("</table><p>end")).alias("html"))
