@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fieldkit.functions.geo import round6
@@ -99,3 +99,11 @@ def pivot_keys(df: DataFrame, col: str, most: int = 1000) -> list:
     if len(found) > most:
         raise ValueError(f"{col} has more than {most} values; a pivot needs a column for each")
     return sorted(found)
+
+
+def with_counters(df: DataFrame, counters: dict[str, Column], sink: Callable[[DataFrame], None]) -> dict:
+    """Runs ``sink`` (an action: a write, a count) over ``df`` and returns the counters, aggregates taken of the
+    rows on their way (AG-21). No second pass; rows of retried tasks count once."""
+    seen = Observation()
+    sink(df.observe(seen, *[c.alias(n) for n, c in counters.items()]))
+    return seen.get

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import math
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldkit.session import cut_lineage
+from fieldkit.session import ensure_checkpoint_dir
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -29,9 +29,20 @@ def remove_spaces_in_colnames(df: DataFrame) -> DataFrame:
 
 
 def schema_table(df: DataFrame) -> DataFrame:
-    """Columns / dtypes / nullability as a small table (PR-17)."""
-    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "pos int, name string, type string, nullable boolean")
+    """Columns / dtypes / nullability, and how many values each column holds, as a small table (PR-17)."""
+    held = df.agg(*[F.count(f"`{f.name}`").alias(f"n{i}") for i, f in enumerate(df.schema.fields)])
+    return held.select(F.explode(F.array(*[F.struct(
+        F.lit(i).alias("pos"), F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"),
+        F.lit(f.nullable).alias("nullable"), F.col(f"n{i}").alias("n_values")) for i, f in enumerate(df.schema.fields)])).alias("s")).select("s.*")
+
+
+def shared(df: DataFrame, name: str = "shared") -> DataFrame:
+    """``df`` as a table in the shared folder, for several consumers (PR-20): its sources are read once, and a
+    consumer reads only the columns and rows that it needs. Survives lost executors, unlike a cache on their disks."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shared-{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -50,28 +61,64 @@ def safe_cast(df: DataFrame, col: str, to: str, name: str | None = None) -> Data
     return df.withColumn(name or col, F.expr(f"try_cast(`{col}` AS {to})"))
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
-    """One row, columns ``q0``, ``q1``, ...: exact quantiles of ``col``, linearly interpolated, NULLs ignored.
+_STEPS, _ROUNDS = 4096, 3
+
 
-    Values are counted first (combined on the map side), the counts sorted by
-    range; running sums need one number per range partition and a window
-    inside each, so neither a task nor the driver holds the column.
+def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """A row per column: ``column``, ``q0``, ``q1``, ...: exact quantiles, linearly interpolated, NULLs ignored (NaN
+    is the largest number); NULL where a column holds nothing.
+
+    All columns together are one table of (column, value, count), combined on the map side: one shuffle of the data,
+    whatever the number of columns. The values at the wanted places are then found by selection: counts per
+    order-preserving bucket tell the bucket of a place, whose own values are bucketed anew. Windows run over
+    at most ``_STEPS`` buckets (the first time, over those of the logarithm), the last one over the distinct values left of a
+    bucket. Nothing runs while the plan is built.
     """
-    counts = (df.where(F.col(f"`{col}`").isNotNull()).groupBy(F.col(f"`{col}`").cast("double").alias("v"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    ranged = cut_lineage(counts.repartitionByRange("v").withColumn("part", F.spark_partition_id()))
-    per_part = ranged.groupBy("part").agg(F.sum("n").alias("m"))
-    ahead = per_part.withColumn("ahead", F.coalesce(F.sum("m").over(
-        Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))   # a row per partition
-    inside = F.sum("n").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    upto = ranged.join(ahead.select("part", "ahead"), "part").withColumn("upto", F.col("ahead") + inside)
-    total = ranged.agg(F.sum("n")).first()[0] or 0
-    ranks = [(total - 1) * float(p) for p in probs]
-    value_at = lambda place: F.min(F.when(F.col("upto") >= F.lit(place), F.col("v")))
-    r = upto.agg(*[c for k, rank in enumerate(ranks) for c in (
-        value_at(math.floor(rank) + 1).alias(f"l{k}"), value_at(math.ceil(rank) + 1).alias(f"h{k}"))])
-    return r.select(*[(F.col(f"l{k}") + (F.col(f"h{k}") - F.col(f"l{k}")) * F.lit(rank - math.floor(rank))).alias(f"q{k}")
-                      for k, rank in enumerate(ranks)])
+    values = df.select(F.posexplode(F.array(*[F.col(f"`{c}`").cast("double") for c in cols])).alias("c", "v"))
+    counts = values.where("v IS NOT NULL").groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    inf = F.lit(float("inf"))
+    scale = (F.when(F.isnan("v"), F.lit(20_000)).when(F.col("v") == inf, F.lit(10_000)).when(F.col("v") == -inf, F.lit(-10_000))
+             .otherwise(F.floor(F.signum("v") * F.log1p(F.abs("v")) * 4).cast("int")))
+
+    def buckets(rows: DataFrame, keys: list[str]) -> DataFrame:
+        """Buckets ``b`` with their count, bounds and the count up to them."""
+        upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, 0))
+        return (rows.groupBy(*keys, "b").agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+                .withColumn("upto", upto))
+
+    hit = (F.col("place") <= F.col("upto")) & (F.col("place") > F.col("upto") - F.col("n"))
+    first = buckets(counts.withColumn("b", scale), ["c"]).withColumn("total", F.sum("n").over(Window.partitionBy("c")))
+    place = lambda p: (F.col("total") - 1) * F.lit(float(p))
+    asked = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(side).alias("side"), (at(place(p)) + 1).alias("place"),
+                               (place(p) - F.floor(place(p))).alias("part"))
+                      for k, p in enumerate(probs) for side, at in ((0, F.floor), (1, F.ceil))])
+    wanted = first.select("*", F.explode(asked).alias("a")).select("*", "a.*").where(hit)
+    target = ["c", "k", "side"]
+    found = lambda w: w.select(*target, (F.col("place") - F.col("upto") + F.col("n")).alias("place"), "part", "lo", "hi")
+    wanted = found(wanted)
+
+    def inside(wanted: DataFrame) -> DataFrame:
+        """The counts of the wanted buckets (a few rows per column: two per quantile)."""
+        return counts.join(F.broadcast(wanted), "c").where("v >= lo AND v <= hi")
+
+    for _ in range(_ROUNDS):
+        share = (F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+        b = F.when(F.col("lo") == F.col("hi"), F.lit(0)).otherwise(F.least(F.lit(_STEPS - 1), F.floor(share * _STEPS).cast("int")))
+        wanted = found(buckets(inside(wanted).withColumn("b", b), [*target, "place", "part"]).where(hit))
+    running = F.sum("n").over(Window.partitionBy(*target).orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    exact = (inside(wanted).withColumn("upto", running).where(F.col("upto") >= F.col("place"))
+             .groupBy(*target).agg(F.min("v").alias("v"), F.first("part").alias("part")))
+    pick = lambda k, side, col: F.max(F.when((F.col("k") == k) & (F.col("side") == side), F.col(col)))
+    low, high, part = ([pick(k, side, col) for k in range(len(probs))] for side, col in ((0, "v"), (1, "v"), (0, "part")))
+    by_column = exact.groupBy("c").agg(*[
+        F.when(low[k] == high[k], low[k]).otherwise(low[k] + (high[k] - low[k]) * part[k]).alias(f"q{k}") for k in range(len(probs))])
+    names = df.sparkSession.range(1).select(F.posexplode(F.array(*[F.lit(c) for c in cols])).alias("c", "column"))
+    return names.join(by_column, "c", "left").drop("c")
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
+    """One row, columns ``q0``, ``q1``, ...: exact quantiles of ``col`` (see ``column_quantiles``)."""
+    return column_quantiles(df, [col], probs).drop("column")
 
 
 def summary_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -91,14 +138,11 @@ def summary_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     rows = one.select(F.explode(F.array(*[F.struct(
         F.lit(c).alias("column"), F.col(f"n{k}").alias("count"), F.col(f"mean{k}").alias("mean"), F.col(f"std{k}").alias("std"),
         F.col(f"lo{k}").alias("min"), F.col(f"hi{k}").alias("max")) for k, c in enumerate(cols)])).alias("s")).select("s.*")
-    quart = None
-    for c in numeric:
-        q = exact_quantiles(df, c, (0.25, 0.5, 0.75)).select(
-            F.lit(c).alias("column"), *[round6(f"q{k}").alias(f"p{p}") for k, p in enumerate((25, 50, 75))])
-        quart = q if quart is None else quart.unionByName(q)
-    if quart is None:
+    if not numeric:
         return rows.select("*", *[none.alias(f"p{p}") for p in (25, 50, 75)])
-    return rows.join(quart, "column", "left")
+    quartiles = column_quantiles(df, numeric, (0.25, 0.5, 0.75)).select(
+        "column", *[round6(f"q{k}").alias(f"p{p}") for k, p in enumerate((25, 50, 75))])
+    return rows.join(quartiles, "column", "left")
 
 
 def key_fraction(key: str, seed: int = 42) -> Column:

@@ -332,9 +332,11 @@ def attach_mean_price(spark, sf_dir):
 @register("schema_columns", ids=("PR-17",), sql="""
     SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS pos, column_name AS name,
            CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
-                WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS type, true AS nullable
-    FROM (DESCRIBE SELECT * FROM orders)""")
+                WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS type, true AS nullable, n_values
+    FROM (DESCRIBE SELECT * FROM orders) JOIN (
+      UNPIVOT (SELECT count(COLUMNS(*)) FROM orders) ON COLUMNS(*) INTO NAME column_name VALUE n_values) USING (column_name)""")
 def schema_columns(spark, sf_dir):
+    """Every column of a table with its type and how many values it holds."""
     return PR.schema_table(_t(spark, sf_dir, "orders"))
 
 

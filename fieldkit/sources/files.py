@@ -43,9 +43,10 @@ def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType | str, s
                       *([F.when(bad, whole).alias(bad_rows)] if bad_rows else []))
 
 
-def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One row per line, column ``value`` (IO-5); folders are read whole."""
-    return spark.read.text(path)
+def read_text_lines(spark: SparkSession, path: str, line_end: str | None = None) -> DataFrame:
+    """One row per line, column ``value`` (IO-5); folders are read whole. Lines end in LF, CR or both, or in ``line_end`` alone."""
+    r = spark.read if line_end is None else spark.read.option("lineSep", line_end)
+    return r.text(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str, multiline: bool = False) -> DataFrame:
