@@ -12,38 +12,47 @@ numbered within their length by Spark and look up their place.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from fieldkit.llm.common import save, text_bytes, worker_cache, words_of
+from fieldkit.llm.common import save, text_bytes, worker_cache
 
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 900_000   # words a task keeps the ids of, about; then it starts anew
+BLOCK = 32 << 20        # bytes of text whose words are looked up together, about
 
 
-# letters, and bytes beyond ASCII, between ASCII punctuation other than the apostrophe (which may begin a contraction)
-AROUND = re.compile(rb"([!-&(-/:-@\[-`{-~]*)([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")
+# ASCII punctuation that is split off letters: all but the apostrophe, which may begin a contraction
+AROUND = """!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"""
+
+
+def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs ``flat[start:start + size]`` one after another."""
+    ends = np.cumsum(sizes)
+    return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if ends.size else 0)]
 
 
 class Ids:
-    """Token ids of white-space separated words as bytes (32-bit little-endian), kept per word.
+    """Token ids of texts, each distinct word looked up once per block of texts.
 
     The tokenizer drops white space, splits there before merging and folds
-    case, so the ids of a text are those of its words one after another.
+    case, so the ids of a text are those of its words one after another. A
+    block's words are numbered by Arrow; punctuation around letters is split off, as the
+    tokenizer does, so that what remains to be encoded are distinct stems and a few
+    marks; ids are put together again by numpy.
     """
 
-    def __init__(self, path: str, limit: int = CACHE_WORDS):
+    def __init__(self, path: str, limit: int = BLOCK):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
@@ -51,79 +60,92 @@ class Ids:
         self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.limit = limit
-        self.known: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def _encode(self, words: list[bytes]) -> None:
-        """Ids of words one by one."""
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number per word) of words one by one."""
+        ids, sizes = [np.zeros(0, np.uint32)], []
         for k in range(0, len(words), 20_000):
-            part = words[k:k + 20_000]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for w, e in zip(part, found, strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-
-    def _encode_letters(self, words: list[bytes]) -> None:
-        """Ids of words of letters: many as one text, parted after the ids that end a word."""
-        plain = [w for w in words if w.isascii()]
-        other = [w for w in words if not w.isascii()]
-        for tokenizer, part in [(t, own[k:k + 2_000]) for t, own in ((self.plain, plain), (self.tokenizer, other))
-                                for k in range(0, len(own), 2_000)]:
-            text = b" ".join(part).decode()
-            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if ends.size != len(part):
-                self._encode(part)
-                continue
-            raw, first = ids.tobytes(), 0
-            for w, end in zip(part, (4 * ends).tolist(), strict=True):
-                self.known[w] = raw[first:end]
-                first = end
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Ids of new words; punctuation around letters is split off, as the tokenizer does."""
-        known = self.known
-        letters: dict[bytes, None] = {}
-        others: dict[bytes, None] = {}
-        made = []
-        for w in words:
-            m = AROUND.fullmatch(w)
-            if m is None or b"<|" in w or not m[2].decode().isalpha():
-                others[w] = None
-                continue
-            if m[2] not in known:
-                letters[m[2]] = None
-            if len(m[2]) < len(w):
-                made.append((w, m[1], m[2], m[3]))
-                for part in (m[1], m[3]):
-                    if part and part not in known:
-                        others[part] = None
-        self._encode_letters(list(letters))
-        self._encode(list(others))
-        known[b""] = b""
-        for w, before, stem, after in made:
-            known[w] = known[before] + known[stem] + known[after]
-
-    def of(self, texts: list[bytes]) -> Iterator[bytes]:
-        """The ids of each text."""
-        texts = [t if b"<|" in t else t.lower() for t in texts]
-        for k in range(0, len(texts), 500):
-            part = [words_of(t) for t in texts[k:k + 500]]
-            if len(self.known) > self.limit:
-                self.known = {}
-            find = self.known.get
-            found = [list(map(find, words)) for words in part]
-            whole = list(map(all, found))   # not None, nor empty: much cheaper to test than equality with None
-            new = {w for words, ids, ok in zip(part, found, whole, strict=True) if not ok
-                   for w, i in zip(words, ids, strict=True) if i is None}
-            if new:
-                self._learn(list(new))
-            known = self.known
-            for words, ids, ok in zip(part, found, whole, strict=True):
-                if not ok:
-                    ids = [known[w] if i is None else i for w, i in zip(words, ids, strict=True)]
-                yield b"".join(ids)
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(words[k:k + 20_000], add_special_tokens=False)]
+            sizes += map(len, found)
+            ids += [np.array(i, np.uint32) for i in found]
+        return np.concatenate(ids), np.array(sizes, np.int64)
+
+    def _encode_letters(self, words: list[str], tokenizer) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters: many as one text, parted after the ids that end a word."""
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for k in range(0, len(words), 2_000):
+            part = words[k:k + 2_000]
+            found = np.array(tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            size = np.diff(np.flatnonzero(self.ends[found]), prepend=-1)
+            if size.size != len(part):
+                found, size = self._encode(part)
+            ids.append(found)
+            sizes.append(size)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _word_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number per word) of distinct words."""
+        stems = pc.ascii_trim(words, characters=AROUND)
+        n = pc.binary_length(words).to_numpy()
+        before = n - pc.binary_length(pc.ascii_ltrim(words, characters=AROUND)).to_numpy()
+        letters = pc.and_(pc.ascii_is_alpha(stems), pc.ascii_is_lower(stems)).to_numpy(zero_copy_only=False)
+        wide = np.zeros(len(words), bool)
+        rest = np.flatnonzero(~letters)
+        special = pc.match_substring(words, "<|").to_numpy(zero_copy_only=False)
+        for k, stem in zip(rest.tolist(), stems.take(pa.array(rest)).to_pylist(), strict=True):
+            # letters of any script, those of ASCII folded already
+            wide[k] = stem.isalpha() and not special[k] and stem.encode().lower() == stem.encode()
+        letters &= ~special
+        split = letters | wide
+        # what is encoded: distinct stems, distinct marks around them, and whole words of other kinds
+        kinds = [pc.unique(stems.filter(pa.array(letters))), pc.unique(stems.filter(pa.array(wide)))]
+        marked = np.flatnonzero(split & (pc.binary_length(stems).to_numpy() < n))
+        around = [(w[:b], w[len(w) - a:]) for w, b, a in zip(
+            words.take(pa.array(marked)).to_pylist(), before[marked].tolist(),
+            (n - before - pc.binary_length(stems).to_numpy())[marked].tolist(), strict=True)]
+        marks = {"": 0}
+        for pair in around:
+            for m in pair:
+                marks.setdefault(m, len(marks))
+        others = words.filter(pa.array(~split))
+        parts = [self._encode(list(marks)), self._encode_letters(kinds[0].to_pylist(), self.plain),
+                 self._encode_letters(kinds[1].to_pylist(), self.tokenizer), self._encode(others.to_pylist())]
+        flat, sizes = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        first = np.cumsum([0, *[len(p[1]) for p in parts]])
+        # three entries per word: the mark before, the stem or whole word, the mark after
+        entry = np.zeros((len(words), 3), np.int64)
+        entry[marked] = np.array([(marks[b], 0, marks[a]) for b, a in around], np.int64).reshape(-1, 3)
+        for which, known, at in ((letters, kinds[0], first[1]), (wide, kinds[1], first[2])):
+            entry[which, 1] = at + pc.index_in(stems.filter(pa.array(which)), known).to_numpy().astype(np.int64)
+        entry[~split, 1] = first[3] + np.arange(len(others))
+        of_entry = sizes[entry]
+        return gather(flat, (np.cumsum(sizes) - sizes)[entry.ravel()], of_entry.ravel()), of_entry.sum(axis=1)
+
+    def of_block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, where each text's begin, and their end) of an array of strings without nulls."""
+        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        lists = pc.ascii_split_whitespace(texts)
+        words = lists.values.slice(lists.offsets[0].as_py(), lists.offsets[-1].as_py() - lists.offsets[0].as_py())
+        numbered = words.dictionary_encode()
+        ids, sizes = self._word_ids(numbered.dictionary)   # the empty word, at the ends of a text, has none
+        at = numbered.indices.to_numpy()
+        of_word = sizes[at]
+        upto = np.concatenate([[0], np.cumsum(of_word)])
+        return gather(ids, (np.cumsum(sizes) - sizes)[at], of_word), upto[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+
+    def of(self, texts: list[bytes] | pa.Array) -> Iterator[bytes]:
+        """The ids of each text as unsigned 32-bit integers, little-endian."""
+        texts = pa.array(texts, pa.binary()) if isinstance(texts, list) else texts
+        size = pc.binary_length(texts).to_numpy().astype(np.int64)
+        block = (np.cumsum(size) - size) // self.limit   # some bytes more where a text is longer
+        for rows in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(block)) + 1):
+            if rows.size:
+                ids, at = self.of_block(texts.slice(rows[0], rows.size).cast(pa.string()))
+                raw = ids.astype("<u4", copy=False).tobytes()
+                yield from (raw[4 * a:4 * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
 
 
 def tokenizer_path(path: str | None) -> str:
@@ -143,14 +165,12 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, w
         if where not in known:
             known[where] = Ids(where)
         ids = known[where]
-        ids.known = {}   # a task's own words: bounded by its part, and a small table stays in the CPU's caches
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         end = np.array([END_ID], "<u4").tobytes()
         for b in batches:
             row, piece, start, length, crc, nth, own = [], [], [], [], [], [], []
-            texts = b.column("text").to_pylist()
-            for k, found in enumerate(ids.of(texts)):
+            for k, found in enumerate(ids.of(b.column("text"))):
                 found += end
                 for p, at in enumerate(range(0, len(found), 4 * capacity)):
                     cut = found[at:at + 4 * capacity]
@@ -275,12 +295,9 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], i
 
 
 def make_plan(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Exact complements first, best fit for the rest; best fit alone if that needs fewer sequences."""
+    """Exact complements first, best fit for the rest."""
     rest = counts.copy()
-    plan = complements(rest, capacity)
-    plan += best_fit(rest, capacity)
-    other = best_fit(counts.copy(), capacity)
-    return min(plan, other, key=lambda p: sum(t for _, t in p))
+    return complements(rest, capacity) + best_fit(rest, capacity)
 
 
 def places(plan: list[tuple[tuple[int, ...], int]], capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
