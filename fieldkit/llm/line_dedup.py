@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from fieldkit.llm.common import save, words_of
 
 MIN_WORDS = 20   # shortest repeated run, in words, whose later copies go
+SALTS = 64       # groups that equal rows are dealt to
 
 
 def minimal_windows(words: np.ndarray, least: int) -> list[set[int]]:
@@ -152,12 +153,31 @@ def without_lines(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int
     return b"\n".join(x for x, g in zip(lines, gone.tolist(), strict=True) if not g), len(lines), merged
 
 
+def _later_copies(keyed: DataFrame) -> DataFrame:
+    """``keyed`` rows with ``__later``: whether another row equal in (id, t) counts as the first.
+
+    Only rows that have an equal are looked at, in two steps over salted groups, so that many equal rows do not
+    meet in one task.
+    """
+    equal = save(keyed.groupBy("id", "t").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "equal_rows")
+    if equal.isEmpty():
+        return keyed.withColumn("__later", F.lit(False))
+    same = keyed.join(equal, ["id", "t"], "left_semi").withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    nth = F.row_number().over(Window.partitionBy("id", "t", "__salt").orderBy("__salt"))
+    first = F.row_number().over(Window.partitionBy("id", "t", "__nth").orderBy("__salt"))   # SALTS rows at most
+    same = same.withColumn("__nth", nth).withColumn("__first", first)
+    marked = same.withColumn("__later", ~((F.col("__nth") == 1) & (F.col("__first") == 1)))
+    single = keyed.join(equal, ["id", "t"], "left_anti").withColumn("__later", F.lit(False))
+    return single.unionByName(marked.drop("__salt", "__nth", "__first"))
+
+
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The rows of ``docs(doc_id, text, ...)`` with the text less its repeats, ``n_lines`` before and the
     spans ``removed`` (lines [from, to)).
 
-    Null texts stay null and have no lines; equal rows (doc_id and text) count
-    as one document and are one row; among rows that share a doc_id, or lack
+    Null texts stay null and have no lines; of rows equal in doc_id and text
+    one is the first and the others are later copies of it, so they lose all
+    lines if the text has ``min_words`` words; among rows that share a doc_id, or lack
     one, the order is that of a hash of the text; an empty table gives no rows.
     Columns of ``docs`` named like the two new ones are replaced.
     """
@@ -165,18 +185,19 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
              .agg(F.collect_list(F.struct("line", "l")).alias("__spans")))   # at most two per line of a document
     names = [c for c in docs.columns if c not in ("n_lines", "removed")]
     own = F.struct(*[F.col(f"`{c}`") for c in names if c != "text"]).alias("__row")
-    one = Window.partitionBy("id", "t").orderBy("id")
-    keyed = docs.select(own, F.col("text").cast("binary").alias("__text"), *_doc_key())
-    joined = (keyed.join(spans, ["id", "t"], "left").withColumn("__nth", F.row_number().over(one)).where("__nth = 1")
-              .select("__row", "__text", "__spans"))
+    keyed = _later_copies(docs.select(own, F.col("text").cast("binary").alias("__text"), *_doc_key()))
+    joined = keyed.join(spans, ["id", "t"], "left").select("__row", "__text", "__spans", "__later")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))
         for b in batches:
             texts, counts, removed = [], [], []
-            for t, s in zip(b.column("__text").to_pylist(), b.column("__spans").to_pylist(), strict=True):
+            for t, s, later in zip(*(b.column(c).to_pylist() for c in ("__text", "__spans", "__later")), strict=True):
                 if t is None:
                     new, n, gone = None, 0, []
+                elif later and len(words_of(t)) >= min_words:
+                    n = t.count(b"\n") + 1
+                    new, gone = b"", [(0, n)]
                 elif s:
                     new, n, gone = without_lines(t, [(x["line"], x["l"]) for x in s])
                 else:

@@ -52,7 +52,7 @@ own AS (SELECT host, t, line, max(w) AS w, min(doc_id) AS id
         FROM (SELECT host, t, line, doc_id, sum(n_words) AS w FROM norm GROUP BY ALL) GROUP BY host, t, line),
 hosts AS (SELECT coalesce('=' || source, '-') AS host, count(DISTINCT t) AS docs FROM d GROUP BY 1),
 often AS (SELECT host, line, min(id) AS first_id, count(*) AS n FROM own JOIN hosts USING (host) GROUP BY host, line, docs
-          HAVING count(*) > {quality.MIN_LINE_DOCS} AND count(*) > docs * {quality.MAX_LINE_SHARE}),
+          HAVING count(*) > {quality.MIN_LINE_DOCS} AND (count(*) > {quality.MAX_LINE_DOCS} OR count(*) > docs * {quality.MAX_LINE_SHARE})),
 gone AS (SELECT host, t, sum(w) AS w FROM own JOIN often USING (host, line) WHERE id <> first_id GROUP BY host, t),
 f AS (SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words,
         CAST(coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0) AS BIGINT) AS word_chars,

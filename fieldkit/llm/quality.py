@@ -2,10 +2,11 @@
 
 A line is normalised (A-Z lower-cased, digits to 0, words joined by single
 spaces) and hashed (128 bits). Per host the distinct documents that hold it are counted, exact
-copies of a text once. A line above the limit is taken out of every document
-of the host except the first (smallest doc_id) that holds it, so boilerplate
-goes but no text vanishes altogether. A document left with too few words is
-rejected.
+copies of a text once. A line is frequent above a share of the host's
+documents, but never allowed in more than a fixed number of them, however large
+the host. It is taken out of every document of the host except the first
+(smallest doc_id) that holds it, so boilerplate goes but no text vanishes
+altogether. A document left with too few words is rejected.
 """
 
 from __future__ import annotations
@@ -24,8 +25,9 @@ from fieldkit.llm.common import WORD_BREAKS, save, words_of
 MIN_WORDS = 10          # fewer words fail, before and after lines are taken out
 MAX_REPEAT_PCT = 20     # share of words in repeated 5-word windows
 WINDOW = 5
-MIN_LINE_DOCS = 25      # a line is frequent only in more documents of its host than this
-MAX_LINE_SHARE = 0.02   # ... and in more than this share of them
+MAX_LINE_DOCS = 25      # a line is frequent in more documents of its host than this
+MAX_LINE_SHARE = 0.04   # ... or in more than this share of them,
+MIN_LINE_DOCS = 4       # if in more than this many
 MIN_LEFT_PCT = 30       # share of words that must stay
 
 NORMAL = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", b"abcdefghijklmnopqrstuvwxyz000000000")
@@ -118,7 +120,7 @@ def less_lines(text: bytes, gone: set[bytes]) -> tuple[bytes, list[int]]:
 
 def quality(docs: DataFrame, min_line_docs: int = MIN_LINE_DOCS, max_line_share: float = MAX_LINE_SHARE,
             min_words: int = MIN_WORDS, max_repeat_pct: int = MAX_REPEAT_PCT,
-            min_left_pct: int = MIN_LEFT_PCT) -> DataFrame:
+            min_left_pct: int = MIN_LEFT_PCT, max_line_docs: int = MAX_LINE_DOCS) -> DataFrame:
     """One row per row of ``docs(doc_id, text, source, ...)``: the rules, words taken out, ``kept``.
 
     Null text counts as empty and fails; rows without a source form a host of
@@ -126,23 +128,24 @@ def quality(docs: DataFrame, min_line_docs: int = MIN_LINE_DOCS, max_line_share:
     in the choice of the first document; an empty table gives no rows; other
     columns are ignored.
     """
-    return _judged(docs, min_line_docs, max_line_share, min_words, max_repeat_pct, min_left_pct)[0]
+    return _judged(docs, min_line_docs, max_line_share, min_words, max_repeat_pct, min_left_pct, max_line_docs)[0]
 
 
 def _judged(docs: DataFrame, min_line_docs: int = MIN_LINE_DOCS, max_line_share: float = MAX_LINE_SHARE,
             min_words: int = MIN_WORDS, max_repeat_pct: int = MAX_REPEAT_PCT,
-            min_left_pct: int = MIN_LEFT_PCT) -> tuple[DataFrame, DataFrame]:
+            min_left_pct: int = MIN_LEFT_PCT, max_line_docs: int = MAX_LINE_DOCS) -> tuple[DataFrame, DataFrame]:
     """The result of ``quality``, and per (host, text_key) the hashes ``hs`` of the lines to take out."""
     rules = save(measured(docs), "rules")
-    last = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2**63 - 1))
+    last = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")   # of any type that has an order, nulls last
     lines = (rules.select("host", "text_key", last.alias("id"), F.explode("lines").alias("l"))
              .groupBy("host", F.col("l.h").alias("h"), "text_key")
              .agg(F.max("l.w").alias("w"), F.min("id").alias("id")))
     hosts = (rules.select("host", "text_key").distinct().groupBy("host").agg(F.count("*").alias("host_docs")))
     frequent = (lines.groupBy("host", "h").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
                 .where(F.col("n") > min_line_docs).join(hosts, "host")
-                .where(F.col("n") > F.col("host_docs") * F.lit(max_line_share)).select("host", "h", "first_id"))
-    places = lines.join(frequent, ["host", "h"]).where("id <> first_id")
+                .where((F.col("n") > max_line_docs) | (F.col("n") > F.col("host_docs") * F.lit(max_line_share)))
+                .select("host", "h", "first_id"))
+    places = lines.join(frequent, ["host", "h"]).where(~F.col("id").eqNullSafe(F.col("first_id")))
     taken = places.groupBy("host", "text_key").agg(F.sum("w").alias("w"))
     out = rules.drop("lines").join(taken, ["host", "text_key"], "left")
     gone = F.coalesce("w", F.lit(0))
@@ -159,10 +162,10 @@ def _judged(docs: DataFrame, min_line_docs: int = MIN_LINE_DOCS, max_line_share:
 def without_frequent_lines(docs: DataFrame, **limits) -> DataFrame:
     """The rows of ``docs`` that pass, with the text less its host's frequent lines and ``removed``, their numbers.
 
-    Rows that repeat a doc_id (or lack one) are kept if any of them passes. n_chars follows, if there.
+    Each row goes by the verdict on its own text and host, whatever other rows share its doc_id. n_chars follows, if there.
     """
     verdicts, taken = _judged(docs, **limits)
-    good = verdicts.where("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
+    good = verdicts.where("kept").select("host", "text_key").distinct().join(taken, ["host", "text_key"], "left")
     names = [c for c in docs.columns if c not in ("removed", "n_chars")]
     sized = docs.schema["n_chars"].dataType if "n_chars" in docs.columns else None
 
@@ -182,13 +185,12 @@ def without_frequent_lines(docs: DataFrame, **limits) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("__row"), pa.array(texts, pa.binary()).cast(pa.string()),
                                               pa.array(gone, pa.list_(pa.int32()))], names=["__row", "__new", "__removed"])
 
-    kept = docs.join(good, F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi")
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("text", "removed")],
                    F.col("text").isNull().alias("__null")).alias("__row")
-    rows = kept.select(own, _host().alias("__host"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("__bytes"))
+    rows = docs.select(own, _host().alias("__host"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("__bytes"))
     row = rows.schema["__row"].dataType.simpleString()
     keyed = rows.mapInArrow(keys, f"__row {row}, __host string, __bytes binary, __key binary")
-    joined = keyed.join(taken, (F.col("__host") == F.col("host")) & (F.col("__key") == F.col("text_key")), "left")
+    joined = keyed.join(good, (F.col("__host") == F.col("host")) & (F.col("__key") == F.col("text_key")))
     out = joined.select("__row", "__bytes", "hs").mapInArrow(cut, f"__row {row}, __new string, __removed array<int>")
     text = F.when(~F.col("__row.__null"), F.col("__new"))
     cols = {c: text if c == "text" else F.col(f"__row.`{c}`") for c in names}

@@ -221,6 +221,12 @@ def link_stars(nodes: DataFrame, max_bits: int = MAX_BITS, sample: int = SAMPLE,
     return cells.groupBy("shard", "i", "j").applyInArrow(stars, "a bigint, b bigint")
 
 
+def _roots(nodes: DataFrame, max_bits: int, **limits) -> DataFrame:
+    """(fp, root) for every fingerprint of ``nodes(fp)``."""
+    roots = components(link_stars(nodes, max_bits, **limits))
+    return nodes.join(roots, nodes["fp"] == roots["node"], "left").select(*nodes.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, **limits) -> DataFrame:
     """(doc_id, fingerprint, component_id) per row of ``docs(doc_id, text, ...)``.
 
@@ -232,9 +238,7 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int =
     """
     fps = save(fingerprints(docs, shingle), "fingerprints")
     nodes = save(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
-    roots = components(link_stars(nodes, max_bits, **limits))
-    linked = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    linked = _roots(nodes, max_bits, **limits)
     named = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = linked.join(named, "root").select("fp", "component_id")
     return fps.join(classes, "fp").select(
@@ -242,15 +246,21 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int =
 
 
 def near_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, **limits) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the one with the smallest doc_id.
+    """The rows of ``docs`` that stay: one of each component, that with the smallest doc_id (rows without one come last).
 
-    Of rows that repeat a doc_id one stays (the least text, by code point). Rows without a
-    doc_id cannot be named by a component and are kept as they are.
+    Rows are told apart by doc_id and a hash of the text, so rows that share a doc_id stand for themselves; of rows that share
+    it within a component the text with the smaller hash stays, of rows equal in both any one.
     """
-    named = docs.where(F.col("doc_id").isNotNull())
-    ids = (simhash_components(named, shingle, max_bits, **limits)
-           .where("doc_id = component_id").select("doc_id").distinct())
-    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
-    kept = (named.join(ids, "doc_id", "left_semi").withColumn("__nth", F.row_number().over(first))
-            .where("__nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns]))
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    key = [F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.xxhash64(F.lit(13), F.col("text")).alias("t")]
+    rows = docs.select(F.struct(*key).alias("doc_id"), "text")   # the key takes the place of the id
+    fps = save(fingerprints(rows, shingle), "fingerprints")
+    nodes = save(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+    stay = _roots(nodes, max_bits, **limits).groupBy("root").agg(F.min("first").alias("k")).select("k.*")   # one row per component
+    stay = stay.select(F.col("doc_id").alias("__id"), F.col("t").alias("__t"))
+    t = F.xxhash64(F.lit(13), F.col("text"))
+    kept = docs.withColumn("__key_t", t).join(stay, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key_t") == F.col("__t")), "left_semi")
+    # rows equal in id and text: one of them (combined before the shuffle)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = kept.groupBy(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__i"), F.col("doc_id").isNull().alias("__n"), "__key_t").agg(
+        F.first(whole).alias("__row"))
+    return kept.select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns])

@@ -67,8 +67,18 @@ def test_simhash_odd_rows(odd, none):
     assert sum(r["doc_id"] == 0 for r in rows) == 3
     kept = simhash.near_dedup(odd)
     assert kept.columns == odd.columns
-    ids = [r["doc_id"] for r in kept.collect()]
-    assert ids.count(None) == 2 and ids.count(0) == 1 and ids.count(5) == 1
+    # one row of each component, by brute force: the smallest doc_id (null last), then the hash of the text
+    given = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    fps = [brute.fingerprint(t) for _, t in given]
+    links = [(a, b) for a in range(len(given)) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= 4]
+    groups = {}
+    for k, root in brute.groups(range(len(given)), links).items():
+        groups.setdefault(root, []).append(given[k])
+    rows = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert len(rows) == len(groups)
+    for members in groups.values():
+        least = min((i is None, i or 0) for i, _ in members)
+        assert sum(r in members and (r[0] is None, r[0] or 0) == least for r in rows) == 1
     assert simhash.simhash_components(none).collect() == []
     assert simhash.near_dedup(none).collect() == []
 
@@ -100,9 +110,14 @@ def test_repeated_passage_stays_once(spark):
 
 def test_line_dedup_odd_rows(odd, none):
     out = line_dedup.dedup_lines(odd).collect()
-    assert Counter(r["doc_id"] for r in out)[0] == 1      # equal rows are one document
-    assert Counter(r["doc_id"] for r in out)[5] == 2
-    assert Counter(r["doc_id"] for r in out)[None] == 2
+    assert Counter(r["doc_id"] for r in out) == Counter(r["doc_id"] for r in odd.collect())
+    own = [r for r in out if r["doc_id"] == 0]             # equal rows: later copies of the first
+    assert len(own) == 3 and sum(r["text"] == "" and [tuple(x) for x in r["removed"]] == [(0, r["n_lines"])] for r in own) >= 2
+    many = [(1, "again " * 30, k) for k in range(300)] + [(2, "short text", k) for k in range(5)] + [(None, None, 1), (None, None, 2)]
+    df = odd.sparkSession.createDataFrame(many, "doc_id bigint, text string, k int").repartition(7)
+    rows = line_dedup.dedup_lines(df).collect()
+    assert len(rows) == 307 and sum(r["text"] == "again " * 30 for r in rows) == 1 and sum(r["text"] == "" for r in rows) == 299
+    assert sorted(r["k"] for r in rows if r["doc_id"] is None) == [1, 2] and sum(r["text"] == "short text" for r in rows) == 5
     assert line_dedup.remove_repeats(odd).columns == [c for c in odd.columns if c != "removed"]
     assert line_dedup.dedup_lines(none).collect() == []
 
@@ -204,9 +219,10 @@ def test_frequent_lines_leave_the_text(spark):
     own = lambda i: " ".join(letters(i) + letters(k) for k in range(30))
     texts = {i: f"{own(i)}\nSubscribe to our letter {i}\n\nend of {i} " + "abc"[i % 3] * (i + 1) for i in range(40)}
     rows = [(i, t, "s", len(t)) for i, t in texts.items()] + [(99, own(99), "s", 0)]
+    rows += [(200 + i, own(100 + i), "s", 0) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars bigint")
     got = by_id(quality.without_frequent_lines(df))
-    # digits count as one, so documents of one- and two-digit numbers have a line each: only the second is in 25
+    # digits count as one, so documents of one- and two-digit numbers have a line each: 10 are under both limits, 30 over one
     for i, t in texts.items():
         cut = i > 10
         want = t.replace(f"Subscribe to our letter {i}\n", "") if cut else t
@@ -215,6 +231,40 @@ def test_frequent_lines_leave_the_text(spark):
     assert {k: r["text"] for k, r in by_id(quality.keep_good(df)).items()} == {k: r["text"] for k, r in got.items()}
 
 
+def hosted(spark, hosts):
+    """Documents of 40 words of their own and, in ``shared`` of a host's ``n``, a common line."""
+    word = lambda k: "".join(chr(97 + int(d)) for d in str(k))
+    rows = []
+    for host, (n, shared) in hosts.items():
+        for i in range(n):
+            text = " ".join(word(1_000_000 + 50 * len(rows) + k) for k in range(40))
+            rows.append((len(rows), text + "\nRead more on our pages" * (i < shared), host))
+    return spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+
+
+def test_frequent_lines_of_large_and_small_hosts(spark):
+    """The limit follows the host's size, but stands still from some size on, and nothing in a few documents is frequent."""
+    hosts = {"hot": (3000, 30), "hot rarely": (3000, 25), "small": (50, 5), "small rarely": (50, 4), "middle": (400, 17), "middle rarely": (400, 16),
+             "all alike": (6, 6), None: (20, 10)}
+    got = quality.quality(hosted(spark, hosts)).collect()
+    cut = Counter(r["host"] for r in got if r["frequent_line_words"])
+    assert cut == {"=hot": 29, "=small": 4, "=middle": 16, "=all alike": 5, "-": 9}
+    assert all(r["kept"] for r in got)
+
+
+def test_every_row_goes_by_its_own_verdict(spark):
+    good = " ".join(f"w{k}" for k in range(30))
+    rows = [(5, good, "s"), (5, "bad", "s"), (None, good + " x", "s"), (None, "bad too", "s"), (6, None, None), (7, good, "s"), (7, good, "s")]
+    kept = quality.keep_good(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [rows[0], rows[2], rows[5], rows[6]]))
+
+
+def test_ids_of_any_type_choose_the_first_document(spark):
+    df = hosted(spark, {"h": (10, 10)}).selectExpr("concat('d', doc_id) AS doc_id", "text", "source")
+    got = {r["doc_id"]: r["frequent_line_words"] for r in quality.quality(df).collect()}
+    assert got["d0"] == 0 and all(got[f"d{k}"] == 5 for k in range(1, 10))
+
+
 def test_quality_odd_rows(odd, none):
     assert quality.quality(odd).count() == odd.count()
     kept = quality.keep_good(odd)
