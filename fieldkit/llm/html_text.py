@@ -46,7 +46,7 @@ CLOSE_P = frozenset("address article aside blockquote center details dialog dir
 HEAD_ONLY = frozenset("head title base link meta style script noscript template".split())
 TABLE_ENDS = frozenset("table tr tbody thead tfoot td th body html".split())   # end tags that reach out of a cell
 P_BARRIERS = frozenset("td th table caption button object body html".split())
-MAX_COLUMN = 60    # a column is padded to so many characters at most
+PADDING = 16       # a table's padding is held to so many times its text and cells
 MAX_SPAN = 1000
 
 TOKEN = re.compile(
@@ -264,12 +264,29 @@ class Grid:
             for c in range(at, at + wide):
                 self.taken[c] = high
 
-    def lines(self) -> list[str]:
+    def widths(self) -> dict[int, int]:
+        """The longest line of each column. Only where one vast cell would blow up a table by ``PADDING`` times are the
+        widest columns held to less, so that memory follows the page: text that is longer pushes its row to the right."""
         width: dict[int, int] = {}
+        size, lines, columns = 0, 0, 0
         for row in self.rows:
+            high = 1
             for c, (text, wide) in row.items():
+                parts = text.split("\n")
+                size += len(text) + 1
+                high = max(high, len(parts))
                 if wide == 1:
-                    width[c] = max(width.get(c, 0), *(min(MAX_COLUMN, len(x)) for x in text.split("\n")))
+                    width[c] = max(width.get(c, 0), *map(len, parts))
+            lines += high
+        columns = sum(width.values())
+        most = max(width.values(), default=0)
+        while lines * columns > PADDING * (size + 1000) and most > 1:
+            most //= 2
+            columns = sum(min(w, most) for w in width.values())
+        return {c: min(w, most) for c, w in width.items()}
+
+    def lines(self) -> list[str]:
+        width = self.widths()
         out = []
         for row in self.rows:
             cells = [(c, text.split("\n")) for c, (text, _) in sorted(row.items())]

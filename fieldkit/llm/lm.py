@@ -57,9 +57,11 @@ STEP = 64                     # words between refinements of a document's weight
 RATE = 0.0003
 PASSES = 12                   # over the decisions, at most, to fit the weights
 ENOUGH = 1e-5                 # share of the loss that a pass must still gain
-GATHERED = 2_000_000          # decisions that a task adds up at a time
-BLOCK_BYTES = 32 << 20        # documents are scored in blocks of about so much text
-BATCH_BYTES = 1 << 20
+GATHERED = 1_500_000          # decisions that a task adds up at a time
+BLOCK_BYTES = 16 << 20        # documents are scored in blocks of about so much text
+PARCEL_BYTES = 1 << 20        # and travel in parcels of so much
+PART = 100_000                # words spelled out at a time
+BATCH_TOKENS = 100_000        # words refined together, about
 ADD = 0.1                     # added to each word count
 END = b"\0"
 _KNUTH = np.uint64(0x9E3779B97F4A7C15)
@@ -240,41 +242,59 @@ def unrolled(bits: np.ndarray, counts: np.ndarray, sizes: np.ndarray, chain: np.
 def mixed_words(model: Model, tokens: list[bytes], counts: np.ndarray | None = None, sizes: np.ndarray | None = None,
                 chain: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
     """(per mixer the log odds of the turns taken, bounds of each token's decisions); without counts and chains, words
-    are unknown beyond WIDEST bytes."""
-    paths = (model.length, model.first, model.nodes, model.turns)
+    are unknown beyond WIDEST bytes. Contexts of last bytes are looked up once for equal bytes behind equal ones."""
     if counts is None:
         counts, sizes, chain = np.zeros(len(tokens)), np.zeros(len(tokens), np.int64), np.zeros(0)
-    data = np.frombuffer(b"".join(tokens), np.uint8)
-    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)))
-    bound = np.concatenate([[0], np.concatenate([[0], np.cumsum(model.length[data])])[ends]])
+    spelled = Spelled((model.length, model.first, model.nodes, model.turns), tokens)
+    owner, place = _stretch(np.zeros(len(tokens), np.int64), spelled.size)
+    at = spelled.start[owner] + place
+    grams = pa.array(spelled.last(at, place) << 8 | spelled.data[at]).dictionary_encode()
+    gram, kind = grams.indices.to_numpy(), grams.dictionary.to_numpy()
+    del owner, at, grams
+    # the decisions of each kind of byte: log odds from its last bytes, of the turn taken, and how sure they are
+    size = model.length[kind & 255]
+    which = np.repeat(np.arange(kind.size), size)
+    path = np.arange(which.size) - np.repeat(np.cumsum(size) - size, size) + model.first[kind & 255][which]
+    key = (kind >> 8 << 8)[which].view(np.uint64) | model.nodes[path].astype(np.uint64)
+    sign = np.where(model.turns[path], np.float32(1), np.float32(-1))
+    near = []
+    for table, keys, own in zip(model.tables, model.keys, narrowed(key), strict=True):
+        slot = find(keys, own)
+        near.append(table.take(slot, mode="clip") * sign)
+    near_sure = model.sure.take(slot)
+    del which, path, key, sign, slot
+    first = (np.cumsum(size) - size).astype(np.int32)
+    n = size[gram]
+    ends = np.cumsum(spelled.size)
+    bound = np.concatenate([[0], np.concatenate([[0], np.cumsum(n)])[ends]])
     links = np.concatenate([[0], np.cumsum(sizes)])
     out = [np.empty(bound[-1], np.float32) for _ in range(MIXERS)]
     weights = model.weights.astype(np.float32)
     for k in range(0, len(tokens), 5_000):
         end = min(k + 5_000, len(tokens))
-        b = bits_of(paths, symbols_of(tokens[k:end]))
+        own = slice(ends[k] - spelled.size[k], ends[end - 1])    # bytes
         rows = slice(bound[k], bound[end])
-        sign = np.where(b.right, np.float32(1), np.float32(-1))
-        deep = np.flatnonzero(b.place >= WIDEST)
-        seen, same = unrolled(np.bincount(b.word[deep], minlength=end - k), counts[k:end], sizes[k:end],
-                              chain[links[k]:links[end]])
-        xs = []
-        for table, keys, key in zip(model.tables, model.keys, narrowed(b.key), strict=True):
-            at = find(keys, key)
-            xs.append(table.take(at, mode="clip"))
-            xs[-1] *= sign
+        m = n[own]
+        pick = np.arange(rows.stop - rows.start, dtype=np.int32)
+        pick += np.repeat(first[gram[own]] - (np.cumsum(m) - m).astype(np.int32), m)
+        gate = np.repeat(np.minimum(place[own], GATES - 1), m)
+        deep = np.flatnonzero(gate >= WIDEST)
+        word = np.repeat(np.arange(end - k), spelled.size[k:end])
+        bits = np.bincount(word, weights=m * (place[own] >= WIDEST), minlength=end - k).astype(np.int64)
+        seen, same = unrolled(bits, counts[k:end], sizes[k:end], chain[links[k]:links[end]])
+        xs = [x.take(pick, mode="clip") for x in near]
         so_far = xs[-1].copy()
         so_far[deep] = odds(same, seen)
-        sure = model.sure.take(at)
+        sure = near_sure.take(pick, mode="clip").astype(np.intp)
         sure[deep] = sureness(seen)
         for c, x in enumerate([*xs, so_far]):
-            for m, g in enumerate((b.place, sure)):
-                part = weights[m, :, c][g]
+            for mixer, g in enumerate((gate, sure)):
+                part = weights[mixer, :, c].take(g, mode="clip")
                 part *= x
                 if c:
-                    out[m][rows] += part
+                    out[mixer][rows] += part
                 else:
-                    out[m][rows] = part
+                    out[mixer][rows] = part
     return out, bound
 
 
@@ -316,40 +336,27 @@ def refine(z: list[np.ndarray], bound: np.ndarray, docs: list[np.ndarray]) -> np
     return back
 
 
-def in_bytes(texts: pa.ChunkedArray, most: int) -> Iterator[list[bytes]]:
-    """The texts in lists of about ``most`` bytes."""
-    size = pc.binary_length(texts).to_numpy()
-    turn = np.flatnonzero(np.diff(np.cumsum(size) // most, prepend=0))
-    bounds = [0, *(turn + 1).tolist(), len(texts)]
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        if a < b:
-            yield texts.slice(a, b - a).to_pylist()
-
-
 def counted(docs: DataFrame, buckets: int) -> DataFrame:
-    """One pass over the documents: rows with a text (a document and its block) and rows with ``words`` (those of a
-    block that fall into ``bucket``, and their counts in its training documents; the empty word is the end)."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    """One pass over the documents: rows with ``docs`` (some documents of a block, packed) and rows with ``words`` (those
+    of a block that fall into ``bucket``, and their counts in its training documents; the empty word is the end)."""
     held = F.coalesce(bucket_of("doc_id", FOLDS) == 0, F.lit(False)).alias("held_out")
     base = docs.select("doc_id", held, F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 24
         words: Counter = Counter()
-        size, ids = 0, None
+        size = parcel = 0
 
         def rows(length: int, **cols) -> pa.RecordBatch:
             out = {"block": pa.array(np.full(length, block, np.int64)), "bucket": pa.nulls(length, pa.int32()),
                    "words": pa.nulls(length, pa.list_(pa.binary())), "counts": pa.nulls(length, pa.list_(pa.int64())),
-                   "doc_id": pa.nulls(length, ids), "held_out": pa.nulls(length, pa.bool_()),
-                   "text": pa.nulls(length, pa.binary())} | cols
+                   "docs": pa.nulls(length, pa.binary())} | cols
             return pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
 
         def vocabulary() -> pa.RecordBatch:
             own = list(words)
-            at = np.fromiter((zlib.crc32(w[:WIDEST].replace(END, b"\1")) for w in own), np.int64, len(own)) % buckets
-            order = np.argsort(at, kind="stable")
-            some, first = np.unique(at[order], return_index=True)
+            order, at = in_order(own, buckets)
+            some, first = np.unique(at, return_index=True)
             bounds = pa.array(np.append(first, len(own)).astype(np.int32))
             n = np.fromiter(words.values(), np.int64, len(own))[order]
             return rows(some.size, bucket=pa.array(some.astype(np.int32)),
@@ -357,11 +364,11 @@ def counted(docs: DataFrame, buckets: int) -> DataFrame:
                         counts=pa.ListArray.from_arrays(bounds, pa.array(n)))
 
         for b in batches:
-            ids = b.column("doc_id").type
             first = 0
             for k, (out, t) in enumerate(zip(b.column("held_out").to_pylist(), b.column("text").to_pylist(), strict=True)):
                 own = words_of(t.lower())
                 size += len(t)
+                parcel += len(t)
                 if out:
                     for w in own:
                         if w not in words:
@@ -371,52 +378,160 @@ def counted(docs: DataFrame, buckets: int) -> DataFrame:
                     words.update(own)
                     words[b""] += 1
                 full = size > BLOCK_BYTES
-                if full or k == b.num_rows - 1:
+                if full or parcel > PARCEL_BYTES or k == b.num_rows - 1:
                     cut = b.slice(first, k + 1 - first)
-                    yield rows(cut.num_rows, **{c: cut.column(c) for c in ("doc_id", "held_out", "text")})
-                    first = k + 1
+                    yield rows(1, docs=pa.array([packed(**{c: cut.column(c) for c in ("doc_id", "held_out", "text")})], pa.binary()))
+                    first, parcel = k + 1, 0
                 if full:
                     yield vocabulary()
                     block, size, words = block + 1, 0, Counter()
         if words:
             yield vocabulary()
 
-    return save(base.mapInArrow(run, "block bigint, bucket int, words array<binary>, counts array<bigint>, "
-                                     f"doc_id {kind}, held_out boolean, text binary"), "counted")
+    return save(base.mapInArrow(run, "block bigint, bucket int, words array<binary>, counts array<bigint>, docs binary"), "counted")
+
+
+_MADE = ["turn", "seen", "same"]
+
+
+def _added(tables: list[pa.Table]) -> pa.Table:
+    """Equal decisions as one row with their number ``n``."""
+    out = pa.concat_tables(tables).group_by(_MADE).aggregate([("n", "sum")])
+    return out.rename_columns([*_MADE, "n"])
+
+
+class Made:
+    """The decisions made by training words, each kind with its number; few are held apart at a time."""
+
+    def __init__(self):
+        self.tables = [pa.table({c: pa.array([], pa.int64()) for c in [*_MADE, "n"]})]
+
+    def add(self, last: np.ndarray, node: np.ndarray, place: np.ndarray, right: np.ndarray, seen: np.ndarray, same: np.ndarray) -> None:
+        key = last.astype(np.int64) << 8 | node
+        turn = key << 4 | np.minimum(place, GATES - 1) << 1 | right
+        self.tables.append(pa.table({"turn": turn, "seen": seen, "same": same, "n": np.ones(turn.size, np.int64)}))
+        if sum(map(len, self.tables[1:])) > GATHERED // 4:
+            self.tables = [_added(self.tables)]
+
+    def table(self) -> pa.Table:
+        return _added(self.tables).combine_chunks()
+
 
+class Spelled:
+    """Closed words as bytes, and the decisions of stretches of them."""
 
-def chains(paths: tuple[np.ndarray, ...], tokens: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(sizes, chain, turn, seen, same) of closed words, all that share their first WIDEST bytes with one of them.
+    def __init__(self, paths: tuple[np.ndarray, ...], tokens: list[bytes]):
+        self.length, self.first, self.nodes, self.turns = paths
+        self.data = np.frombuffer(b"   " + b"".join(tokens), np.uint8)
+        self.size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.start = np.cumsum(self.size) - self.size + 3
+
+    def last(self, at: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The three bytes before each; spaces before a word's own."""
+        out = np.zeros(at.size, np.int64)
+        for k in (1, 2, 3):
+            out |= np.where(place >= k, self.data[at - k], 32).astype(np.int64) << 8 * (k - 1)
+        return out
+
+    def bits(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(which byte, node, right) of the decisions of the bytes at these places."""
+        size = self.length[self.data[at]]
+        which = np.repeat(np.arange(at.size), size)
+        path = np.arange(which.size) - np.repeat(np.cumsum(size) - size, size) + self.first[self.data[at]][which]
+        return which, self.nodes[path], self.turns[path].astype(np.int64)
+
+
+def _stretch(first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, number) of all numbers of the ranges [first, first + size)."""
+    owner = np.repeat(np.arange(first.size), size)
+    return owner, np.arange(owner.size) - np.repeat(np.cumsum(size) - size - first, size)
+
+
+def chains(paths: tuple[np.ndarray, ...], tokens: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Table]:
+    """(sizes, chain, decisions) of closed words, all that share their first WIDEST bytes with one of them.
 
     A word's chain: the training words that agree with it after WIDEST bytes and after each further decision, as
-    long as they are more than its own. The decisions made by training words, once each: ``turn`` holds the last
-    bytes, node, place and turn; ``seen`` is -1 within the first WIDEST bytes, where other groups add to ``same``.
+    long as they are more than its own. The decisions made by training words, (turn, seen, same) with the number of
+    each kind: ``turn`` holds the last bytes, node, place and turn; ``seen`` is -1 within the first WIDEST bytes,
+    where other groups add to ``same``.
+
+    Words go byte by byte in groups that share all bytes so far; a word that is alone in its group has no chain from there.
     """
-    b = bits_of(paths, symbols_of(tokens), so_far=True)
-    turn = (b.key << np.uint64(4)).view(np.int64) | b.place.astype(np.int64) << 1 | b.right
-    deep = np.flatnonzero(b.place >= WIDEST)
-    word, right = b.word[deep], b.right[deep]
-    at = pa.array(b.so_far[deep]).dictionary_encode().indices.to_numpy()
-    size = int(at.max()) + 1 if at.size else 0
-    each = np.bincount(2 * at + right, weights=counts[word], minlength=2 * size).astype(np.int64)
-    same, seen = each[2 * at + right], (each[::2] + each[1::2])[at]
-    bits = np.bincount(word, minlength=len(tokens))
-    first = np.cumsum(bits) - bits
-    left = np.empty(deep.size + len(tokens), np.int64)
-    left[np.arange(deep.size) + word + 1] = same
-    left[first + np.arange(len(tokens))] = counts
-    some = np.flatnonzero(bits)
-    left[first[some] + some] = seen[first[some]]
-    owner = np.repeat(np.arange(len(tokens)), bits + 1)
-    more = left > counts[owner]
-    once = np.unique(2 * at + right, return_index=True)[1]
-    once = once[same[once] > 0]
-    near = np.flatnonzero(b.place < WIDEST)
-    kinds, which = np.unique(turn[near], return_inverse=True)
-    n = np.bincount(which, weights=counts[b.word[near]], minlength=kinds.size).astype(np.int64)
-    kinds, n = kinds[n > 0], n[n > 0]
-    return (np.bincount(owner[more], minlength=len(tokens)), left[more], np.concatenate([turn[deep][once], kinds]),
-            np.concatenate([seen[once], np.full(kinds.size, -1)]), np.concatenate([same[once], n]))
+    counts = counts.astype(np.int64)
+    words, made = Spelled(paths, tokens), Made()
+    near: list[tuple[np.ndarray, np.ndarray]] = []
+    for k in range(0, len(tokens), PART):
+        own = np.arange(k, min(k + PART, len(tokens)))
+        owner, place = _stretch(np.zeros(own.size, np.int64), np.minimum(words.size[own], WIDEST))
+        at = words.start[own][owner] + place
+        which, node, right = words.bits(at)
+        kinds, inverse = np.unique((words.last(at, place)[which] << 8 | node) << 3 | place[which] << 1 | right, return_inverse=True)
+        near.append((kinds, np.bincount(inverse, weights=counts[own][owner][which], minlength=kinds.size)))
+    if near:
+        kinds, inverse = np.unique(np.concatenate([u for u, _ in near]), return_inverse=True)
+        n = np.bincount(inverse, weights=np.concatenate([c for _, c in near])).astype(np.int64)
+        kinds, n = kinds[n > 0], n[n > 0]
+        made.add(kinds >> 11, kinds >> 3 & 255, kinds >> 1 & 3, kinds & 1, np.full(kinds.size, -1), n)
+
+    long = np.flatnonzero(words.size > WIDEST)
+    head = words.data[words.start[long][:, None] + np.arange(WIDEST)].astype(np.int64) @ (1 << 8 * np.arange(WIDEST))
+    order = np.argsort(head, kind="stable")
+    long, group = long[order], np.unique(head[order], return_inverse=True)[1]
+    link_word, link = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    edges = np.flatnonzero(np.diff(group, prepend=-1))      # where groups begin
+    upto = 0
+    while upto < long.size:
+        # whole groups, about PART words at a time
+        k = np.searchsorted(edges, upto + PART)
+        end = long.size if k == edges.size else int(edges[k])
+        for w, v in _deep(words, long[upto:end], group[upto:end], counts, made):
+            link_word.append(w)
+            link.append(v)
+        upto = end
+    owner, value = np.concatenate(link_word), np.concatenate(link)
+    order = np.argsort(owner, kind="stable")
+    return np.bincount(owner, minlength=len(tokens)), value[order], made.table()
+
+
+def _deep(words: Spelled, live: np.ndarray, group: np.ndarray, counts: np.ndarray, made: Made) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(words, training words that agree) for the links of the words ``live``, in the order of the decisions."""
+    group = np.unique(group, return_inverse=True)[1]
+    agree = np.bincount(group, weights=counts[live]).astype(np.int64)[group]
+    more = agree > counts[live]
+    yield live[more], agree[more]
+    place = WIDEST
+    while live.size:
+        members = np.bincount(group)[group]
+        total = np.bincount(group, weights=counts[live])[group]
+        lone = live[(members == 1) & (total > 0)]
+        for k in range(0, lone.size, PART // 4):    # nobody else comes here: seen and same are the word's own
+            own = lone[k:k + PART // 4]
+            owner, at = _stretch(words.start[own] + place, words.size[own] - place)
+            which, node, right = words.bits(at)
+            where = (at - words.start[own][owner])
+            n = counts[own][owner][which]
+            made.add(words.last(at, where)[which], node, where[which], right, n, n)
+        stay = (members > 1) & (total > 0)
+        live, group = live[stay], group[stay]
+        if not live.size:
+            break
+        at = words.start[live] + place
+        which, node, right = words.bits(at)
+        kind, one, inverse = np.unique((group[which] << 8 | node) << 1 | right, return_index=True, return_inverse=True)
+        same = np.bincount(inverse, weights=counts[live][which]).astype(np.int64)
+        _, context = np.unique(kind >> 1, return_inverse=True)
+        seen = np.bincount(context, weights=same).astype(np.int64)[context]
+        some = same > 0
+        one = one[some]
+        where = np.full(one.size, place)
+        made.add(words.last(at[which[one]], where), node[one], where, right[one], seen[some], same[some])
+        agree = same[inverse]
+        more = agree > counts[live][which]
+        yield live[which[more]], agree[more]
+        place += 1
+        on = words.size[live] > place
+        group = np.unique((group << 8 | words.data[at])[on], return_inverse=True)[1]
+        live = live[on]
 
 
 def packed(**columns: pa.Array) -> bytes:
@@ -433,33 +548,31 @@ def unpacked(value: bytes) -> pa.Table:
 
 
 def summed(rows: DataFrame, paths: tuple[np.ndarray, ...]) -> DataFrame:
-    """(block, words): the words of each block with their counts over all blocks and their chains, packed; and, with
-    a null block, the number of training words and their decisions (turn, seen, same), packed."""
+    """(block, bucket, words): for the words of each block in a bucket, in order, their counts over all blocks and their
+    chains, packed; and, with a null block, the number of training words and their decisions (turn, seen, same, n), packed."""
     def run(t: pa.Table) -> pa.Table:
         words = t.column("words").combine_chunks()
         coded = words.flatten().dictionary_encode()
         at = coded.indices.to_numpy()
         total = np.bincount(at, weights=t.column("counts").combine_chunks().flatten().to_numpy(),
                             minlength=len(coded.dictionary)).astype(np.int64)
-        size, chain, *made = chains(paths, closed(coded.dictionary.to_pylist()), total)
+        size, chain, made = chains(paths, closed(coded.dictionary.to_pylist()), total)
         links = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(chain))
         bounds = np.concatenate([[0], np.cumsum(words.value_lengths().to_numpy())])
         lists = []
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             own = pa.array(at[a:b])
-            lists.append(packed(words=coded.dictionary.take(own), counts=pa.array(total[at[a:b]]), chain=links.take(own)))
-        made = packed(**{name: pa.array(v) for name, v in zip(_MADE, made, strict=True)})
+            lists.append(packed(counts=pa.array(total[at[a:b]]), chain=links.take(own)))
+        made = packed(**dict(zip(made.column_names, (c.combine_chunks() for c in made.columns), strict=True)))
         return pa.table({
             "block": pa.chunked_array([*t.column("block").chunks, pa.nulls(1, pa.int64())]),
+            "bucket": pa.chunked_array([*t.column("bucket").chunks, pa.nulls(1, pa.int32())]),
             "words": pa.array([*lists, None], pa.binary()),
             "known": pa.array([None] * len(lists) + [np.count_nonzero(total)], pa.int64()),
             "made": pa.array([None] * len(lists) + [made], pa.binary())})
 
     return save(rows.select("block", "bucket", "words", "counts").groupBy("bucket").applyInArrow(
-        run, "block bigint, words binary, known bigint, made binary"), "vocabulary")
-
-
-_MADE = ["turn", "seen", "same"]
+        run, "block bigint, bucket int, words binary, known bigint, made binary"), "vocabulary")
 
 
 def _learned(batch: pa.RecordBatch, most: int) -> Iterator[tuple[list[bytes], np.ndarray]]:
@@ -473,26 +586,20 @@ def _learned(batch: pa.RecordBatch, most: int) -> Iterator[tuple[list[bytes], np
 
 
 def decisions(totals: DataFrame) -> DataFrame:
-    """(turn, seen, same, n): the decisions of the training words, equal ones as one row with their number."""
+    """(turn, seen, same, n): the decisions of the training words, equal ones of a task as one row with their number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-
-        def added() -> pa.RecordBatch:
-            out = pa.concat_tables(held).group_by(_MADE).aggregate([("turn", "count")])
-            return out.rename_columns([*_MADE, "n"]).combine_chunks().to_batches()[0]
-
         for b in batches:
             for value in b.column("made"):
                 held.append(unpacked(value.as_py()))
                 size += len(held[-1])
                 if size > GATHERED:
-                    yield added()
+                    yield from _added(held).combine_chunks().to_batches()
                     held, size = [], 0
         if size:
-            yield added()
+            yield from _added(held).combine_chunks().to_batches()
 
-    return save(totals.select("made").mapInArrow(run, "turn bigint, seen bigint, same bigint, n bigint")
-                .groupBy(*_MADE).agg(F.sum("n").alias("n")), "decisions")
+    return save(totals.select("made").mapInArrow(run, "turn bigint, seen bigint, same bigint, n bigint"), "decisions")
 
 
 def byte_counts(rows: DataFrame) -> tuple[np.ndarray, int]:
@@ -591,29 +698,51 @@ def train(totals: DataFrame, paths: tuple[np.ndarray, ...]) -> Model:
     return build(paths, none, none, none, tables, fitted(made, tables))
 
 
-def score_block(texts: pa.ChunkedArray, words: list[bytes], counts: np.ndarray, sizes: np.ndarray, chain: np.ndarray,
+def in_order(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, bucket): words by the bucket of their first bytes, then by their bytes (neighbours have much of their
+    chains in common, which packs well), and the bucket of each in that order."""
+    order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+    at = np.fromiter((zlib.crc32(words[k][:WIDEST].replace(END, b"\1")) for k in order.tolist()), np.int64, len(words)) % buckets
+    by = np.argsort(at, kind="stable")
+    return order[by], at[by]
+
+
+def numbered(texts: pa.ChunkedArray, buckets: int) -> tuple[list[bytes], list[np.ndarray], np.ndarray]:
+    """The distinct words of the texts in order, with the end mark; each text as their numbers; and its bytes as coded."""
+    flat = pa.concat_arrays(texts.chunks).view(pa.string()) if texts.num_chunks else pa.array([], pa.string())
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(flat))
+    at = lists.offsets.to_numpy().astype(np.int64)
+    found = lists.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
+    words = found.dictionary.view(pa.binary()).to_pylist()
+    if b"" not in words:
+        words.append(b"")
+    order, _ = in_order(words, buckets)
+    place = np.empty(len(words), np.int64)
+    place[order] = np.arange(len(words))
+    end = place[words.index(b"")]
+    ids = place[found.indices.to_numpy()]
+    real = ids != end   # a text may begin or end with an empty one
+    upto = np.concatenate([[0], np.cumsum(real)])[at - at[0]]
+    size = np.array([len(w) for w in words], np.int64)[order]
+    n_bytes = np.concatenate([[0], np.cumsum((size[ids] + 1) * real)])[at - at[0]]
+    ids = ids[real]
+    docs = [np.append(ids[a:b], end) for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
+    return [words[k] for k in order.tolist()], docs, np.diff(n_bytes) + 1
+
+
+def score_block(words: list[bytes], docs: list[np.ndarray], counts: np.ndarray, sizes: np.ndarray, chain: np.ndarray,
                 model: Model, n: int, v: int) -> tuple:
-    """(tokens, known tokens, base score, score, bytes) of each text of a block, given all its words' counts and chains."""
-    number = dict(zip(words, range(len(words)), strict=True))
+    """(tokens, known tokens, base score, score) of each text of a block, given its words' counts and chains."""
     z, bound = mixed_words(model, closed(words), counts, sizes, chain)
     log_count = np.log10(counts + ADD)
     known = (counts > 0).astype(np.int64)
-    find = number.__getitem__
-    tokens, base, score, hits, nbytes = [], [], [], [], []
-    for part in in_bytes(texts, BATCH_BYTES):
-        docs = []
-        for t in part:
-            own = words_of(t.lower())
-            docs.append(np.fromiter(map(find, [*own, b""]), np.int64, len(own) + 1))
-            nbytes.append(sum(map(len, own)) + len(own) + 1)
-        for ids in docs:
-            tokens.append(ids.size)
-            base.append(log_count[ids].sum())
-            hits.append(known[ids].sum())
-        score.append(refine(z, bound, docs))
-    tokens = np.array(tokens, np.int64)
-    return (tokens, np.array(hits, np.int64), np.array(base) - tokens * np.log10(n + ADD * (v + 1)),
-            np.concatenate(score), np.array(nbytes, np.int64))
+    tokens = np.fromiter(map(len, docs), np.int64, len(docs))
+    flat, first = np.concatenate(docs), np.cumsum(tokens) - tokens
+    base, hits = np.add.reduceat(log_count[flat], first), np.add.reduceat(known[flat], first)
+    part = np.cumsum(tokens) // BATCH_TOKENS
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(docs)]
+    score = np.concatenate([refine(z, bound, docs[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if a < b])
+    return tokens, hits, base - tokens * np.log10(n + ADD * (v + 1)), score
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:
@@ -635,24 +764,29 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     vocabulary = summed(listed, paths)
     totals = vocabulary.where("block IS NULL")
     v = totals.agg(F.sum("known")).first()[0] or 0
-    model = spark.sparkContext.broadcast(train(totals, paths))   # contexts of last bytes only
+    # contexts of last bytes only; plain arrays, as a broadcast names classes instead of carrying them
+    shared = spark.sparkContext.broadcast(dict(vars(train(totals, paths))))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def score(own: pa.Table, known: pa.Table) -> pa.Table:
-        lists = pa.concat_tables(unpacked(w.as_py()) for w in known.column("words")).combine_chunks()
-        words, counts, links = (lists.column(c).combine_chunks() for c in ("words", "counts", "chain"))
-        counts, sizes, chain = (x.to_numpy() for x in (counts, links.value_lengths(), links.flatten()))
-        tokens, hits, base, logp, nbytes = score_block(
-            own.column("text"), words.to_pylist(), counts.astype(np.float64), sizes.astype(np.int64), chain,
-            model.value, n, v)
+    def score(parcels: pa.Table, known: pa.Table) -> pa.Table:
+        own = pa.concat_tables(unpacked(p.as_py()) for p in parcels.column("docs"))
+        words, docs, nbytes = numbered(own.column("text"), buckets)
+        lists = [unpacked(w.as_py()) for w in known.sort_by("bucket").column("words")]
+        counts = np.concatenate([t.column("counts").to_numpy() for t in lists])
+        links = [c for t in lists for c in t.column("chain").chunks]
+        sizes = np.concatenate([c.value_lengths().to_numpy() for c in links])
+        chain = np.concatenate([c.flatten().to_numpy() for c in links])
+        del lists, links   # the chains are the largest part, and copied now
+        tokens, hits, base, logp = score_block(words, docs, counts.astype(np.float64), sizes.astype(np.int64), chain,
+                                               Model(**shared.value), n, v)
         return pa.table({
             "doc_id": own.column("doc_id"), "held_out": own.column("held_out"), "n_tokens": pa.array(tokens),
             "n_known": pa.array(hits), "train_tokens": pa.array(np.full(len(tokens), n, np.int64)),
             "base_score": pa.array(base), "score": pa.array(logp / np.log(10)), "n_bytes": pa.array(nbytes),
             "bits_per_byte": pa.array(-logp / np.log(2) / nbytes)})
 
-    words = vocabulary.where("block IS NOT NULL").select(F.col("block").alias("of_block"), "words")
-    return (rows.where("text IS NOT NULL").select("block", "doc_id", "held_out", "text").groupBy("block")
+    words = vocabulary.where("block IS NOT NULL").select(F.col("block").alias("of_block"), "bucket", "words")
+    return (rows.where("docs IS NOT NULL").select("block", "docs").groupBy("block")
             .cogroup(words.groupBy("of_block"))
             .applyInArrow(score, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, "
                                  "train_tokens bigint, base_score double, score double, n_bytes bigint, bits_per_byte double"))

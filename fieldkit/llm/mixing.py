@@ -33,7 +33,8 @@ WEIGHTS = (5.0, 2.0, 1.0)   # by source in code-point order, repeating; null las
 MAX_PASSES = 3
 SHARDS = 16
 BLOCK_BITS = 12
-SLICES = 64               # an output shard is written by so many tasks at most
+SLICE_WORDS = 1 << 20     # words of an output shard that a task writes, about
+BROADCAST_SOURCES = 10_000
 SEED = 20240611
 
 
@@ -99,6 +100,11 @@ def _block(key: Column) -> Column:
     return (F.shiftright(key, 64 - BLOCK_BITS) + F.lit(1 << (BLOCK_BITS - 1))).cast("int")
 
 
+def _side(table: DataFrame, sources: int) -> DataFrame:
+    """A table of a row per source, broadcast while there are not too many."""
+    return F.broadcast(table) if sources <= BROADCAST_SOURCES else table
+
+
 def plan(rows: DataFrame, weights=WEIGHTS, most: float = MAX_PASSES, shards: int = SHARDS, seed: int = SEED) -> Mix:
     """The mix of ``rows(source, size, key)``, kept as a saved table by the caller."""
     blocks = save(rows.groupBy("source", _block(F.col("key")).alias("block")).agg(F.sum("size").alias("words")), "blocks")
@@ -137,7 +143,7 @@ def _cuts(rows: DataFrame, blocks: DataFrame, names: list, parts: list[float]) -
     want = spark.createDataFrame([(s, float(p)) for s, p in zip(names, parts, strict=True)], "s string, part double")
     run = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     edge = (blocks.withColumn("before", F.coalesce(F.sum("words").over(run), F.lit(0)))
-            .join(F.broadcast(want), F.col("source").eqNullSafe(F.col("s")))
+            .join(_side(want, len(names)), F.col("source").eqNullSafe(F.col("s")))
             .where("before < part AND before + words >= part").select("s", "block", "before", "part"))
     inside = (rows.withColumn("block", _block(F.col("key"))).alias("r")
               .join(edge.alias("e"), F.col("r.source").eqNullSafe(F.col("e.s")) & (F.col("r.block") == F.col("e.block")))
@@ -154,7 +160,7 @@ def _cuts(rows: DataFrame, blocks: DataFrame, names: list, parts: list[float]) -
         missing[r["s"]] = parts[names.index(r["s"])] - r["m"]["sum"]
     gaps = spark.createDataFrame([(s, cuts[s], float(missing[s])) for s in names if s in cuts and missing[s] >= 1],
                                  "s string, cut bigint, gap double")
-    rest = rows.join(F.broadcast(gaps), F.col("source").eqNullSafe(F.col("s"))).where("key >= cut AND size > 0")
+    rest = rows.join(_side(gaps, len(names)), F.col("source").eqNullSafe(F.col("s"))).where("key >= cut AND size > 0")
     off = F.abs(F.col("size") - F.col("gap"))
     close = rest.where(off < F.col("gap")).groupBy("s").agg(F.min(F.struct(off.alias("off"), "key")).alias("m")).collect()
     last = {r["s"]: int(r["m"]["key"]) for r in close}
@@ -171,7 +177,7 @@ def mixed(rows: DataFrame, mix: Mix, shards: int = SHARDS, seed: int = SEED) ->
         [(s, z, t, p, c, e, [[int(x) for x in q] for q in d]) for s, z, t, p, c, e, d in
          zip(mix.sources, mix.sizes, mix.targets, mix.passes, mix.cuts, mix.last, mix.deal.tolist(), strict=True)],
         "__s string, source_size bigint, target double, __passes int, __cut bigint, __last bigint, __deal array<array<bigint>>")
-    out = rows.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("__s")))
+    out = rows.join(_side(table, len(mix.sources)), F.col("source").eqNullSafe(F.col("__s")))
     more = (F.col("key") < F.col("__cut")) | F.coalesce(F.col("key") == F.col("__last"), F.lit(False))
     copies = F.col("__passes") + more.cast("int")
     block = _block(F.col("key"))
@@ -209,7 +215,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, most: float = MAX_PASSES, shar
 def mix_rows(docs: DataFrame, weights=WEIGHTS, most: float = MAX_PASSES, shards: int = SHARDS,
              seed: int = SEED) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as taken, with all their columns, dealt to the
-    output shards (each in a bounded number of slices) and shuffled inside them by a hash of the row and its copy."""
+    output shards (each in slices of about ``SLICE_WORDS`` words) and shuffled inside them by a hash of the row and its copy."""
     plan_rows = save(sized(docs, "source", seed=seed), "sized")
     mix = plan(plan_rows, weights, most, shards, seed)
     names = docs.columns
@@ -217,5 +223,6 @@ def mix_rows(docs: DataFrame, weights=WEIGHTS, most: float = MAX_PASSES, shards:
                         F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"))
     out = mixed(whole, mix, shards, seed).select("__row", "key", F.posexplode("shards").alias("copy", "shard"))
     local = F.xxhash64(F.lit(seed), "key", "copy")
-    return (out.withColumn("__order", local).repartition(F.col("shard"), F.pmod(F.col("__order"), F.lit(SLICES)))
+    slices = max(1, -(-int(sum(mix.targets)) // (shards * SLICE_WORDS)))
+    return (out.withColumn("__order", local).repartition(F.col("shard"), F.pmod(F.col("__order"), F.lit(slices)))
             .sortWithinPartitions("shard", "__order").select("__row.*"))

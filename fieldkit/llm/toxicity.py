@@ -292,10 +292,11 @@ class Words:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score, predicted, threshold (of the language) and flagged (score >= threshold) per row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)   # bounded by BUCKETS
+    # bounded by BUCKETS; plain arrays and dicts, as a broadcast names classes instead of carrying them
+    shared = docs.sparkSession.sparkContext.broadcast(dict(vars(model)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = Model(**shared.value)
         known = Words(m)   # a task's own: bounded by its part
         for b in batches:
             z = np.full(b.num_rows, m.shift)
