@@ -35,7 +35,6 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldkit.llm.common import bucket_of, in_batches, save, worker_cache, words_of
+from fieldkit.llm.common import bucket_of, in_batches, save, worker_cache
 
 FOLDS = 10
 SLOT_BITS = (16, 18, 20)      # fewest slots of a table: last byte, 2 bytes, 3 bytes; each with a node
@@ -344,8 +343,8 @@ def counted(docs: DataFrame, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 24
-        words: Counter = Counter()
-        size = parcel = 0
+        held: list[tuple[pa.Array, np.ndarray]] = []     # distinct words of parts of the block, and their counts
+        size = 0
 
         def rows(length: int, **cols) -> pa.RecordBatch:
             out = {"block": pa.array(np.full(length, block, np.int64)), "bucket": pa.nulls(length, pa.int32()),
@@ -353,39 +352,42 @@ def counted(docs: DataFrame, buckets: int) -> DataFrame:
                    "docs": pa.nulls(length, pa.binary())} | cols
             return pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
 
+        def count(part: pa.RecordBatch) -> None:
+            found, at = split_words(part.column("text"))
+            learned = ~part.column("held_out").to_numpy(zero_copy_only=False)
+            n = np.bincount(found.indices.to_numpy(), weights=np.repeat(learned, np.diff(at)), minlength=len(found.dictionary))
+            n[np.asarray(pc.equal(found.dictionary, b""), bool)] = 0
+            held.append((found.dictionary, n))
+            held.append((pa.array([b""], pa.binary()), np.array([np.count_nonzero(learned)])))   # an end each
+
         def vocabulary() -> pa.RecordBatch:
-            own = list(words)
-            order, at = in_order(own, buckets)
+            found = pa.concat_arrays([w for w, _ in held]).dictionary_encode()
+            n = np.bincount(found.indices.to_numpy(), weights=np.concatenate([c for _, c in held])).astype(np.int64)
+            order, at = in_order(found.dictionary, buckets)
             some, first = np.unique(at, return_index=True)
-            bounds = pa.array(np.append(first, len(own)).astype(np.int32))
-            n = np.fromiter(words.values(), np.int64, len(own))[order]
+            bounds = pa.array(np.append(first, order.size).astype(np.int32))
             return rows(some.size, bucket=pa.array(some.astype(np.int32)),
-                        words=pa.ListArray.from_arrays(bounds, pa.array(own, pa.binary()).take(pa.array(order))),
-                        counts=pa.ListArray.from_arrays(bounds, pa.array(n)))
+                        words=pa.ListArray.from_arrays(bounds, found.dictionary.take(pa.array(order))),
+                        counts=pa.ListArray.from_arrays(bounds, pa.array(n[order])))
 
         for b in batches:
-            first = 0
-            for k, (out, t) in enumerate(zip(b.column("held_out").to_pylist(), b.column("text").to_pylist(), strict=True)):
-                own = words_of(t.lower())
-                size += len(t)
-                parcel += len(t)
-                if out:
-                    for w in own:
-                        if w not in words:
-                            words[w] = 0
-                    words[b""] += 0
-                else:
-                    words.update(own)
-                    words[b""] += 1
-                full = size > BLOCK_BYTES
-                if full or parcel > PARCEL_BYTES or k == b.num_rows - 1:
-                    cut = b.slice(first, k + 1 - first)
+            upto = np.cumsum(pc.binary_length(b.column("text")).to_numpy().astype(np.int64))
+            first, done = 0, 0
+            while first < b.num_rows:
+                # documents up to the end of the block, or of the batch
+                end = min(b.num_rows, int(np.searchsorted(upto, done + BLOCK_BYTES - size, side="right")) + 1)
+                part = b.slice(first, end - first)
+                count(part)
+                parcel = (upto[first:end] - done) // PARCEL_BYTES
+                for own in np.split(np.arange(first, end), np.flatnonzero(np.diff(parcel)) + 1):
+                    cut = b.slice(own[0], own.size)
                     yield rows(1, docs=pa.array([packed(**{c: cut.column(c) for c in ("doc_id", "held_out", "text")})], pa.binary()))
-                    first, parcel = k + 1, 0
-                if full:
+                size += int(upto[end - 1]) - done
+                first, done = end, int(upto[end - 1])
+                if size > BLOCK_BYTES:
                     yield vocabulary()
-                    block, size, words = block + 1, 0, Counter()
-        if words:
+                    block, size, held = block + 1, 0, []
+        if held:
             yield vocabulary()
 
     return save(base.mapInArrow(run, "block bigint, bucket int, words array<binary>, counts array<bigint>, docs binary"), "counted")
@@ -575,16 +577,6 @@ def summed(rows: DataFrame, paths: tuple[np.ndarray, ...]) -> DataFrame:
         run, "block bigint, bucket int, words binary, known bigint, made binary"), "vocabulary")
 
 
-def _learned(batch: pa.RecordBatch, most: int) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    """The training words of a batch of word lists, as coded, with their counts, about ``most`` at a time."""
-    words, counts = batch.column("words").flatten(), batch.column("counts").flatten().to_numpy()
-    for k in range(0, len(words), most):
-        c = counts[k:k + most]
-        some = np.flatnonzero(c > 0)
-        if some.size:
-            yield closed(words.slice(k, most).take(pa.array(some)).to_pylist()), c[some]
-
-
 def decisions(totals: DataFrame) -> DataFrame:
     """(turn, seen, same, n): the decisions of the training words, equal ones of a task as one row with their number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -603,15 +595,19 @@ def decisions(totals: DataFrame) -> DataFrame:
 
 
 def byte_counts(rows: DataFrame) -> tuple[np.ndarray, int]:
-    """How often each byte comes in the training words; all training tokens (257 rows reach the driver)."""
+    """How often each byte comes in the training words as coded; all training tokens (257 rows reach the driver)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(257)
         for batch in batches:
-            for words, counts in _learned(batch, 100_000):
-                size = np.fromiter(map(len, words), np.int64, len(words))
-                data = np.frombuffer(b"".join(words), np.uint8)
-                table[:256] += np.bincount(data, weights=np.repeat(counts, size), minlength=256)
-                table[256] += counts.sum()
+            words, n = batch.column("words").flatten(), batch.column("counts").flatten().to_numpy()
+            at, data = _buffers(words)
+            size = np.diff(at)
+            table[:256] += np.bincount(data[at[0]:at[-1]], weights=np.repeat(n, size), minlength=256)
+            table[32] += n[size > 0].sum()      # the space that closes a word
+            table[256] += n.sum()
+        ends = table[256] - table[32]
+        table[1] += table[0]                    # as ``closed`` writes it
+        table[0] = ends
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(257)), pa.array(table)], names=["b", "n"])
     found = rows.select("words", "counts").mapInArrow(run, "b bigint, n double").groupBy("b").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(257)
@@ -698,36 +694,55 @@ def train(totals: DataFrame, paths: tuple[np.ndarray, ...]) -> Model:
     return build(paths, none, none, none, tables, fitted(made, tables))
 
 
-def in_order(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def _buffers(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, bytes) of a binary array."""
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    return np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64), data
+
+
+def in_order(words: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """(order, bucket): words by the bucket of their first bytes, then by their bytes (neighbours have much of their
     chains in common, which packs well), and the bucket of each in that order."""
-    order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
-    at = np.fromiter((zlib.crc32(words[k][:WIDEST].replace(END, b"\1")) for k in order.tolist()), np.int64, len(words)) % buckets
-    by = np.argsort(at, kind="stable")
-    return order[by], at[by]
+    at, data = _buffers(words)
+    size = np.minimum(np.diff(at), WIDEST)
+    head = size << 8 * WIDEST
+    for k in range(WIDEST):
+        own = np.flatnonzero(size > k)
+        head[own] |= data[at[own] + k].astype(np.int64) << 8 * k
+    some, which = np.unique(head, return_inverse=True)
+    crc = np.array([zlib.crc32(int(h).to_bytes(8, "little")[:h >> 8 * WIDEST].replace(END, b"\1")) for h in some.tolist()], np.int64)
+    order = pc.sort_indices(words).to_numpy().astype(np.int64)
+    bucket = (crc % buckets)[which][order]
+    by = np.argsort(bucket, kind="stable")
+    return order[by], bucket[by]
+
+
+def split_words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The lower-cased words of binary texts, numbered, and where each text's begin (a text may begin or end with an empty one)."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    at = lists.offsets.to_numpy().astype(np.int64)
+    found = lists.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
+    return pa.DictionaryArray.from_arrays(found.indices, found.dictionary.view(pa.binary())), at - at[0]
 
 
 def numbered(texts: pa.ChunkedArray, buckets: int) -> tuple[list[bytes], list[np.ndarray], np.ndarray]:
     """The distinct words of the texts in order, with the end mark; each text as their numbers; and its bytes as coded."""
-    flat = pa.concat_arrays(texts.chunks).view(pa.string()) if texts.num_chunks else pa.array([], pa.string())
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(flat))
-    at = lists.offsets.to_numpy().astype(np.int64)
-    found = lists.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
-    words = found.dictionary.view(pa.binary()).to_pylist()
-    if b"" not in words:
-        words.append(b"")
+    found, at = split_words(pa.concat_arrays(texts.chunks))
+    words = found.dictionary
+    if not pc.any(pc.equal(words, b"")).as_py():
+        words = pa.concat_arrays([words, pa.array([b""], pa.binary())])
     order, _ = in_order(words, buckets)
     place = np.empty(len(words), np.int64)
     place[order] = np.arange(len(words))
-    end = place[words.index(b"")]
+    size = pc.binary_length(words).to_numpy().astype(np.int64)[order]
+    end = int(np.flatnonzero(size == 0)[0])
     ids = place[found.indices.to_numpy()]
-    real = ids != end   # a text may begin or end with an empty one
-    upto = np.concatenate([[0], np.cumsum(real)])[at - at[0]]
-    size = np.array([len(w) for w in words], np.int64)[order]
-    n_bytes = np.concatenate([[0], np.cumsum((size[ids] + 1) * real)])[at - at[0]]
+    real = ids != end
+    upto = np.concatenate([[0], np.cumsum(real)])[at]
+    n_bytes = np.concatenate([[0], np.cumsum((size[ids] + 1) * real)])[at]
     ids = ids[real]
     docs = [np.append(ids[a:b], end) for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
-    return [words[k] for k in order.tolist()], docs, np.diff(n_bytes) + 1
+    return words.take(pa.array(order)).to_pylist(), docs, np.diff(n_bytes) + 1
 
 
 def score_block(words: list[bytes], docs: list[np.ndarray], counts: np.ndarray, sizes: np.ndarray, chain: np.ndarray,
