@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 from types import ModuleType
 
 import numpy as np
@@ -28,6 +30,19 @@ def worker_cache(name: str) -> dict:
     return sys.modules.setdefault("fieldkit_worker_cache", ModuleType("fieldkit_worker_cache")).__dict__.setdefault(name, {})
 
 
+def tidied(run: Callable) -> Callable:
+    """A function over Arrow batches that gives back memory when its task ends: Python processes outlive their tasks,
+    and what their allocators keep adds to the next stage's."""
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):   # where there is another C library
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+    return tidy
+
+
 def words_of(text: bytes) -> list[bytes]:
     """Runs of bytes other than U+0020 and U+0009-U+000D (what bytes.split() takes as white space)."""
     return text.split()

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldkit.llm.common import save, words_of
+from fieldkit.llm.common import save, tidied, words_of
 
 MIN_WORDS = 20   # shortest repeated run, in words, whose later copies go
 SALTS = 64       # groups that equal rows are dealt to
@@ -77,7 +77,7 @@ def line_table(docs: DataFrame, min_words: int) -> DataFrame:
 
     text = F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("__text")
     return docs.select(*_doc_key(), text).mapInArrow(
-        run, "id bigint, t bigint, line int, h1 bigint, h2 bigint, lens array<int>, deep int")
+        tidied(run), "id bigint, t bigint, line int, h1 bigint, h2 bigint, lens array<int>, deep int")
 
 
 def _doc_key():
@@ -210,7 +210,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                  pa.array(removed, kind)], names=["__row", "__new", "__lines", "__removed"])
 
     row = joined.schema["__row"].dataType.simpleString()
-    out = joined.mapInArrow(run, f"__row {row}, __new string, __lines int, "
+    out = joined.mapInArrow(tidied(run), f"__row {row}, __new string, __lines int, "
                                  "__removed array<struct<from: int, to: int>>")
     return out.select(*[F.col("__new").alias("text") if c == "text" else F.col(f"__row.`{c}`") for c in names],
                       F.col("__lines").alias("n_lines"), F.col("__removed").alias("removed"))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from fieldkit.llm.common import save, word_counts
+from fieldkit.llm.common import save, tidied, word_counts
 
 WEIGHTS = (5.0, 2.0, 1.0)   # by source in code-point order, repeating; null last
 MAX_PASSES = 3
@@ -88,7 +88,7 @@ def sized(docs: DataFrame, *keep: str, seed: int = SEED) -> DataFrame:
     text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     base = docs.select(*[F.col(f"`{c}`") for c in keep], order_key("doc_id", "text", seed).alias("key"), text.alias("__text"))
     schema = base.drop("__text").schema.add("size", LongType())
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(tidied(run), schema)
 
 
 def order_key(doc_id: str, text: str, seed: int) -> Column:

@@ -24,12 +24,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from fieldkit.llm.common import save, text_bytes, worker_cache
+from fieldkit.llm.common import save, text_bytes, tidied, worker_cache
 
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-BLOCK = 32 << 20        # bytes of text whose words are looked up together, about
+BLOCK = 8 << 20         # bytes of text whose words are looked up together, about
 
 
 # ASCII punctuation that is split off letters: all but the apostrophe, which may begin a contraction
@@ -191,7 +191,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, w
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return text_bytes(docs, "doc_id").mapInArrow(
-        run, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
+        tidied(run), f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
         + ", ids binary" * with_ids)
 
 

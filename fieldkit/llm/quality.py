@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldkit.llm.common import WORD_BREAKS, save, words_of
+from fieldkit.llm.common import WORD_BREAKS, save, tidied, words_of
 
 MIN_WORDS = 10          # fewer words fail, before and after lines are taken out
 MAX_REPEAT_PCT = 20     # share of words in repeated 5-word windows
@@ -102,7 +102,7 @@ def measured(docs: DataFrame) -> DataFrame:
                  *[pa.array(table[:, k]) for k in range(5)], pa.array(lines, _LINES)], names=names)
     ids = docs.schema["doc_id"].dataType.simpleString()
     return (docs.select("doc_id", _host().alias("host"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
-            .mapInArrow(run, f"doc_id {ids}, host string, {_RULES}"))
+            .mapInArrow(tidied(run), f"doc_id {ids}, host string, {_RULES}"))
 
 
 def normal_line(words: list[bytes]) -> bytes:
@@ -189,9 +189,9 @@ def without_frequent_lines(docs: DataFrame, **limits) -> DataFrame:
                    F.col("text").isNull().alias("__null")).alias("__row")
     rows = docs.select(own, _host().alias("__host"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("__bytes"))
     row = rows.schema["__row"].dataType.simpleString()
-    keyed = rows.mapInArrow(keys, f"__row {row}, __host string, __bytes binary, __key binary")
+    keyed = rows.mapInArrow(tidied(keys), f"__row {row}, __host string, __bytes binary, __key binary")
     joined = keyed.join(good, (F.col("__host") == F.col("host")) & (F.col("__key") == F.col("text_key")))
-    out = joined.select("__row", "__bytes", "hs").mapInArrow(cut, f"__row {row}, __new string, __removed array<int>")
+    out = joined.select("__row", "__bytes", "hs").mapInArrow(tidied(cut), f"__row {row}, __new string, __removed array<int>")
     text = F.when(~F.col("__row.__null"), F.col("__new"))
     cols = {c: text if c == "text" else F.col(f"__row.`{c}`") for c in names}
     if sized:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldkit.llm.common import in_batches, save, text_bytes, words_of
+from fieldkit.llm.common import in_batches, save, text_bytes, tidied, words_of
 from fieldkit.llm.components import components
 
 SHINGLE = 4
@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column("text")], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
     ids = docs.schema["doc_id"].dataType.simpleString()
-    return text_bytes(docs, "doc_id").mapInArrow(run, f"doc_id {ids}, fp bigint")
+    return text_bytes(docs, "doc_id").mapInArrow(tidied(run), f"doc_id {ids}, fp bigint")
 
 
 @dataclass
@@ -259,6 +259,10 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
     stay = stay.select(F.col("doc_id").alias("__id"), F.col("t").alias("__t"))
     t = F.xxhash64(F.lit(13), F.col("text"))
     kept = docs.withColumn("__key_t", t).join(stay, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key_t") == F.col("__t")), "left_semi")
+    equal = (fps.groupBy(F.col("doc_id.doc_id").alias("__id"), F.col("doc_id.t").alias("__t")).agg(F.count("*").alias("n"))
+             .where("n > 1").drop("n"))
+    if equal.isEmpty():
+        return kept.drop("__key_t")
     # rows equal in id and text: one of them (combined before the shuffle)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     kept = kept.groupBy(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__i"), F.col("doc_id").isNull().alias("__n"), "__key_t").agg(
