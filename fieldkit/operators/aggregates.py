@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fieldkit.functions.geo import round6
@@ -101,9 +101,13 @@ def pivot_keys(df: DataFrame, col: str, most: int = 1000) -> list:
     return sorted(found)
 
 
-def with_counters(df: DataFrame, counters: dict[str, Column], sink: Callable[[DataFrame], None]) -> dict:
-    """Runs ``sink`` (an action: a write, a count) over ``df`` and returns the counters, aggregates taken of the
-    rows on their way (AG-21). No second pass; rows of retried tasks count once."""
+def with_counters(spark: SparkSession, build: Callable[[SparkSession], DataFrame], counters: dict[str, Column],
+                  sink: Callable[[DataFrame], None]) -> dict:
+    """Runs ``sink`` (an action: a write, a count) over the frame that ``build`` makes, and returns the counters,
+    aggregates taken of the rows on their way (AG-21). No second pass; rows of retried tasks count once.
+
+    The frame is built in a session of its own (same cluster, same tables): a session that has observed a query
+    carries a listener that some later plans cannot be shipped with."""
     seen = Observation()
-    sink(df.observe(seen, *[c.alias(n) for n, c in counters.items()]))
+    sink(build(spark.newSession()).observe(seen, *[c.alias(n) for n, c in counters.items()]))
     return seen.get

@@ -142,9 +142,9 @@ def partition_folders(spark, sf_dir):
 def side_counters(spark, sf_dir):
     """Totals of a cleaned table beside what the cleaning counted on the way: rows, bad and missing values, in one pass."""
     at = _folder(spark)
-    clean = FX.census_dirty(spark, sf_dir).select("prov_id", "P08", F.col("P08").try_cast("int").alias("value"))
+    clean = lambda own: FX.census_dirty(own, sf_dir).select("prov_id", "P08", F.col("P08").try_cast("int").alias("value"))
     bad = F.col("P08").isNotNull() & F.col("value").isNull()
-    seen = AG.with_counters(clean, {"n_rows": F.count(F.lit(1)), "n_bad": F.count_if(bad), "n_missing": F.count_if(F.col("P08").isNull())},
+    seen = AG.with_counters(spark, clean, {"n_rows": F.count(F.lit(1)), "n_bad": F.count_if(bad), "n_missing": F.count_if(F.col("P08").isNull())},
                             lambda df: df.drop("P08").write.parquet(at))
     totals = spark.read.parquet(at).groupBy("prov_id").agg(F.sum("value").alias("total"))
     return totals.select("*", *[F.lit(seen[n]).cast("bigint").alias(n) for n in ("n_rows", "n_bad", "n_missing")])

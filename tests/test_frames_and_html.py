@@ -92,12 +92,14 @@ def test_shared_result_reads_its_sources_once(spark):
 
 
 def test_counters_beside_a_result(spark):
-    df = spark.createDataFrame([("1",), ("x",), ("3",), (None,)], "p string").withColumn("v", F.col("p").try_cast("int"))
+    def build(session):
+        return session.createDataFrame([("1",), ("x",), ("3",), (None,)], "p string").withColumn("v", F.col("p").try_cast("int"))
+
     kept = []
-    seen = AG.with_counters(df, {"rows": F.count(F.lit(1)), "bad": F.count_if(F.col("p").isNotNull() & F.col("v").isNull())},
+    seen = AG.with_counters(spark, build, {"rows": F.count(F.lit(1)), "bad": F.count_if(F.col("p").isNotNull() & F.col("v").isNull())},
                             lambda d: kept.append([r.v for r in d.collect()]))
     assert seen == {"rows": 4, "bad": 1} and kept == [[1, None, 3, None]]
-    none = AG.with_counters(df.where("p = 'no'"), {"rows": F.count(F.lit(1)), "sum": F.sum("v")}, lambda d: d.count())
+    none = AG.with_counters(spark, lambda s: build(s).where("p = 'no'"), {"rows": F.count(F.lit(1)), "sum": F.sum("v")}, lambda d: d.count())
     assert none == {"rows": 0, "sum": None}
 
 
