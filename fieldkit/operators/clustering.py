@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -367,50 +368,180 @@ class _CentreGrid:
         return sorted(found, key=lambda c: c[0])
 
 
-HOME_WORK_COLUMNS = ["user_id", "grp", "nth", "visit_freq", "sx", "sy", "home", "work", "transit", "first_us", "first_id"]
-_HOME_WORK = ("user_id bigint, grp bigint, nth int, visit_freq int, sx bigint, sy bigint, home int, work int, "
-              "transit int, first_us bigint, first_id bigint")
+MANY = 64   # clusters of a group; with more, candidates come from a grid
+FEW = 16    # groups; fewer are searched one by one
+
+
+def _nearest(n: np.ndarray, sx: np.ndarray, sy: np.ndarray, x: np.ndarray, y: np.ndarray, radius: float) -> np.ndarray:
+    """Per event the nearest of its row of clusters (the first minimum: the earliest wins ties), -1 where none is within
+    the radius. Clusters without members are none."""
+    m = np.maximum(n, 1)
+    # compared to the millimetre, so that ties do not hang on the last bit of a sine
+    d = np.floor(distance_km(sy / m / UNIT, sx / m / UNIT, y[:, None] / UNIT, x[:, None] / UNIT) * 1e6 + 0.5)
+    d = np.where(n > 0, d, np.inf)
+    k = np.argmin(d, axis=1)
+    return np.where(d[np.arange(len(k)), k] <= radius * 1e6, k, -1)
+
+
+def _search_grid(x: np.ndarray, y: np.ndarray, at: int, end: int, state: list[list], radius: float, label: np.ndarray) -> None:
+    """Label the events in [at, end) one by one, with candidates from a grid of the centres."""
+    grid = _CentreGrid(radius)
+    for k, (n, sx, sy) in enumerate(state):
+        grid.add([k, n, sx, sy])
+    for i, px, py in zip(range(at, end), x[at:end].tolist(), y[at:end].tolist(), strict=True):
+        near = grid.candidates(px / UNIT, py / UNIT)
+        if near:
+            c = np.array([o[1:] for o in near])
+            k = int(_nearest(c[None, :, 0], c[None, :, 1], c[None, :, 2], np.array([px]), np.array([py]), radius)[0])
+        if near and k >= 0:
+            grid.join(near[k], px, py)
+            label[i] = near[k][0]
+        else:
+            label[i] = len(grid.all)
+            grid.add([len(grid.all), 1, px, py])
 
 
-def _home_work_fold(radius_km: float, home: tuple, work: tuple, transit: tuple, excluded: tuple):
-    home, work, transit, excluded = set(home), set(work), set(transit), set(excluded)
+def _search_nearest(x: np.ndarray, y: np.ndarray, at: int, end: int, state: list[list], radius: float, label: np.ndarray) -> None:
+    """Label the events in [at, end) of one group with their cluster; ``state`` holds [n, sum of x, sum of y] of those open.
 
-    def run(batches):
-        owner, grid = None, None
+    A block's labels are guessed, the centres before each event follow from the guess and give new labels: these are
+    right up to and with the first that differs, and become the next guess."""
+    size = 16
+    while at < end:
+        if len(state) > MANY:
+            return _search_grid(x, y, at, end, state, radius, label)
+        if not state:
+            label[at] = 0
+            state.append([1, int(x[at]), int(y[at])])
+            at += 1
+            continue
+        xs, ys = x[at:at + size][:end - at], y[at:at + size][:end - at]
+        n, sx, sy = (np.array(c, np.int64)[None, :] for c in zip(*state, strict=True))
+        guess = _nearest(n, sx, sy, xs, ys, radius)
+        for _ in range(6):
+            own = guess[:, None] == np.arange(len(state))
+            ox, oy = own * xs[:, None], own * ys[:, None]
+            found = _nearest(n + np.cumsum(own, 0) - own, sx + np.cumsum(ox, 0) - ox, sy + np.cumsum(oy, 0) - oy, xs, ys, radius)
+            differs = found != guess
+            right = int(np.argmax(differs)) + 1 if differs.any() else len(xs)
+            opens = found[:right] < 0
+            if opens.any():
+                right = int(np.argmax(opens)) + 1
+                break
+            if right == len(xs):
+                break
+            guess = found
+        took = found[:right]
+        for k in np.unique(took[took >= 0]).tolist():
+            own = took == k
+            c = state[k]
+            c[0], c[1], c[2] = c[0] + int(own.sum()), c[1] + int(xs[:right][own].sum()), c[2] + int(ys[:right][own].sum())
+        if took[-1] < 0:
+            took[-1] = len(state)
+            state.append([1, int(xs[right - 1]), int(ys[right - 1])])
+        label[at:at + right] = took
+        at += right
+        size = min(2 * size, 4096) if right == len(xs) else max(16, right)
+
+
+def nearest_labels(x: np.ndarray, y: np.ndarray, starts: np.ndarray, radius: float, held: list[list]) -> np.ndarray:
+    """The cluster, from 0, of each event within its group. ``starts`` marks the first event of each group; events before
+    the first mark go on with the clusters ``held``. Groups step together as long as there are enough of them."""
+    label = np.zeros(len(x), np.int64)
+    begin = np.flatnonzero(starts)
+    _search_nearest(x, y, 0, int(begin[0]) if begin.size else len(x), held, radius, label)
+    if not begin.size:
+        return label
+    size = np.diff(np.append(begin, len(x)))
+    order = np.argsort(-size, kind="stable")
+    at, left = begin[order], size[order]
+    used = np.ones(at.size, np.int64)   # clusters per group
+    n, sx, sy = (np.zeros((at.size, 4), np.int64) for _ in range(3))
+    n[:, 0], sx[:, 0], sy[:, 0] = 1, x[at], y[at]
+    step = 1
+    while step < left[0]:
+        live = int(np.searchsorted(-left, -step, side="left"))   # groups with an event at this step
+        wide = int(used[:live].max())
+        if live < FEW or wide > MANY:
+            for g in range(live):
+                state = np.stack([n[g, :used[g]], sx[g, :used[g]], sy[g, :used[g]]], 1).tolist()
+                _search_nearest(x, y, int(at[g]) + step, int(at[g] + left[g]), state, radius, label)
+            break
+        if wide == n.shape[1]:
+            n, sx, sy = (np.pad(c, ((0, 0), (0, wide))) for c in (n, sx, sy))
+        here = at[:live] + step
+        xs, ys = x[here], y[here]
+        k = _nearest(n[:live, :wide], sx[:live, :wide], sy[:live, :wide], xs, ys, radius)
+        new = k < 0
+        k[new] = used[:live][new]
+        used[:live] += new
+        label[here] = k
+        rows = np.arange(live)
+        n[rows, k] += 1
+        sx[rows, k] += xs
+        sy[rows, k] += ys
+        step += 1
+    return label
 
-        def flush() -> pd.DataFrame:
-            rows = [(*owner, *c) for c in grid.all]
-            return pd.DataFrame.from_records(rows, columns=HOME_WORK_COLUMNS)
 
-        for pdf in batches:
-            done = []
-            for u, g, x, y, h, dname, t, e in zip(*[pdf[c].tolist() for c in (
-                    "user_id", "grp", "xi", "yi", "hr", "dname", "t_us", "event_id")], strict=True):
-                if (u, g) != owner:
-                    if owner is not None:
-                        done.append(flush())
-                    owner, grid = (u, g), _CentreGrid(radius_km)
-                c = None
-                near = grid.candidates(x / UNIT, y / UNIT)
-                if near:
-                    centres = np.array([(o[3] / o[1] / UNIT, o[2] / o[1] / UNIT) for o in near])
-                    # compared to the millimetre, so that ties do not hang on the last bit of a sine
-                    d = np.floor(distance_km(centres[:, 0], centres[:, 1], y / UNIT, x / UNIT) * 1e6 + 0.5)
-                    k = int(np.argmin(d))   # the first minimum: the earliest cluster wins ties
-                    if d[k] <= radius_km * 1e6:
-                        c = near[k]
-                        grid.join(c, x, y)
-                if c is None:
-                    c = [len(grid.all) + 1, 1, x, y, 0, 0, 0, t, e]
-                    grid.add(c)
-                if dname not in excluded:  # visit_freq still counts excluded days
-                    c[4] += h in home
-                    c[5] += h in work
-                    c[6] += h in transit
-            if done:
-                yield pd.concat(done)
-        if owner is not None:
-            yield flush()
+_HOME_WORK = ("user_id bigint, grp bigint, nth int, visit_freq int, sx bigint, sy bigint, home int, work int, "
+              "transit int, first_us bigint, first_id bigint")
+_ADDED = ("visit_freq", "sx", "sy", "home", "work", "transit")
+
+
+def _home_work_fold(radius_km: float):
+    """Clusters of a stream sorted by user_id, grp, time and event_id, with the 0/1 columns home, work and transit.
+    Only the clusters of the last group are held from batch to batch."""
+    def table(users, groups, nth, sums, first_us, first_id) -> pa.RecordBatch:
+        ints = lambda v: pa.array(v.astype(np.int32))
+        cols = [pa.array(users), pa.array(groups), ints(nth), ints(sums[:, 0]), pa.array(sums[:, 1].copy()), pa.array(sums[:, 2].copy()),
+                *[ints(sums[:, k]) for k in (3, 4, 5)], pa.array(first_us), first_id]
+        return pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in _HOME_WORK.split(", ")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None   # the last group: user, group, sums, first_us, first_id
+        for b in batches:
+            m = b.num_rows
+            if not m:
+                continue
+            u, g, x, y, t = (b.column(c).to_numpy() for c in ("user_id", "grp", "xi", "yi", "t_us"))
+            starts = np.ones(m, bool)
+            starts[1:] = (u[1:] != u[:-1]) | (g[1:] != g[:-1])
+            starts[0] = held is None or (u[0], g[0]) != held[:2]
+            if held is not None and starts[0]:
+                k = len(held[2])
+                yield table(np.full(k, held[0]), np.full(k, held[1]), np.arange(1, k + 1), *held[2:])
+                held = None
+            before = 0 if held is None else len(held[2])
+            label = nearest_labels(x, y, starts, radius_km, [] if held is None else held[2][:, :3].tolist())
+            # a row per cluster: groups one after another, those held first
+            begin = np.flatnonzero(starts)
+            first = np.append(begin, m) if starts[0] else np.concatenate([[0], begin, [m]])
+            of = np.repeat(np.arange(first.size - 1), np.diff(first))
+            count = np.maximum.reduceat(label, first[:-1]) + 1
+            count[0] = max(count[0], before)
+            base = np.cumsum(count) - count
+            row, total = base[of] + label, int(count.sum())
+            sums = np.zeros((total, len(_ADDED)), np.int64)
+            for k, col in enumerate((np.ones(m, np.int64), x, y, *[b.column(c).to_numpy().astype(np.int64) for c in _ADDED[3:]])):
+                np.add.at(sums[:, k], row, col)
+            rows, event = np.unique(row, return_index=True)   # of each cluster the first event in this batch
+            first_us, first_at = np.zeros(total, np.int64), np.zeros(total, np.int64)
+            first_us[rows], first_at[rows] = t[event], event
+            first_id = b.column("event_id").take(pa.array(first_at))
+            if held is not None:
+                sums[:before] += held[2]
+                first_us[:before] = held[3]
+                first_id = pa.concat_arrays([held[4], first_id[before:]])
+            last = int(base[-1])
+            if last:
+                group = np.repeat(first[:-1], count)
+                yield table(u[group][:last], g[group][:last], (np.arange(total) - np.repeat(base, count) + 1)[:last],
+                            sums[:last], first_us[:last], first_id[:last])
+            held = (u[-1], g[-1], sums[last:].copy(), first_us[last:].copy(), first_id[last:])
+        if held is not None:
+            k = len(held[2])
+            yield table(np.full(k, held[0]), np.full(k, held[1]), np.arange(1, k + 1), *held[2:])
     return run
 
 
@@ -464,21 +595,46 @@ def _cell_groups(cells: DataFrame, radius_km: float) -> DataFrame:
     """user_id, cx, cy, grp and ``narrow``: no two events of the group are farther apart than the radius."""
     lat_cell = 8 * math.degrees(radius_km / EARTH_RADIUS_KM)
 
-    def groups(pdf: pd.DataFrame) -> pd.DataFrame:
+    def named(pdf: pd.DataFrame) -> pd.DataFrame:
+        """The groups of whole users, their rows together; users of one cell are one group."""
+        user, cells = pdf["user_id"].to_numpy(), pdf[["cx", "cy"]].to_numpy()
+        begin = np.flatnonzero(np.append(True, user[1:] != user[:-1]))
+        size = np.diff(np.append(begin, len(user)))
         # degrees of longitude shrink towards the poles: the margin covers the user's highest latitude
-        top = min(90.0, (np.abs(pdf["cy"].to_numpy()).max() + 1) * lat_cell + lat_cell)
-        coslat = max(math.cos(math.radians(top)), 1e-6)
+        top = np.minimum(90.0, (np.maximum.reduceat(np.abs(cells[:, 1]), begin) + 1) * lat_cell + lat_cell)
+        coslat = np.maximum(np.cos(np.radians(top)), 1e-6)
         wide = 1.001 / 8 / coslat
-        cells = pdf[["cx", "cy"]].to_numpy()
-        edge = np.abs(cells[:, 0]).max() + 1 + wide >= 180 / lat_cell or coslat < 0.05
-        pdf = pdf.assign(grp=np.zeros(len(cells), np.int64) if edge else _merged_boxes(cells, wide))
-        box = pdf.groupby("grp").agg(x0=("x0", "min"), x1=("x1", "max"), y0=("y0", "min"), y1=("y1", "max")) / UNIT
-        far = _widest_km(*(box[c].to_numpy() for c in ("x0", "x1", "y0", "y1")))
-        narrow = dict(zip(box.index, far < radius_km - 1e-6, strict=True))   # a millimetre, as distances are compared
-        return pdf[["user_id", "cx", "cy", "grp"]].assign(narrow=pdf["grp"].map(narrow))
-
-    return (cells.select("user_id", "cx", "cy", "x0", "x1", "y0", "y1").groupBy("user_id")
-            .applyInPandas(groups, "user_id bigint, cx bigint, cy bigint, grp bigint, narrow boolean"))
+        edge = (np.maximum.reduceat(np.abs(cells[:, 0]), begin) + 1 + wide >= 180 / lat_cell) | (coslat < 0.05)
+        grp = np.zeros(len(user), np.int64)
+        for k in np.flatnonzero((size > 1) & ~edge).tolist():
+            a, z = begin[k], begin[k] + size[k]
+            grp[a:z] = _merged_boxes(cells[a:z], wide[k])
+        order = np.lexsort((grp, np.repeat(np.arange(size.size), size)))
+        pdf, grp, user = pdf.iloc[order], grp[order], user[order]
+        at = np.flatnonzero(np.append(True, (user[1:] != user[:-1]) | (grp[1:] != grp[:-1])))
+        box = [f.reduceat(pdf[c].to_numpy(), at) / UNIT for c, f in
+               (("x0", np.minimum), ("x1", np.maximum), ("y0", np.minimum), ("y1", np.maximum))]
+        narrow = _widest_km(*box) < radius_km - 1e-6   # a millimetre, as distances are compared
+        return pdf[["user_id", "cx", "cy"]].assign(grp=grp, narrow=np.repeat(narrow, np.diff(np.append(at, len(grp)))))
+
+    def groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []   # rows of the last user, who may go on in the next batch
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            user = pdf["user_id"].to_numpy()
+            cut = int(np.argmax(user == user[-1]))   # rows are sorted by user
+            if held and (cut or held[-1]["user_id"].iloc[-1] != user[0]):
+                yield named(pd.concat([*held, pdf.iloc[:cut]], ignore_index=True))
+                held = []
+            elif cut:
+                yield named(pdf.iloc[:cut])
+            held.append(pdf.iloc[cut:])
+        if held:
+            yield named(pd.concat(held, ignore_index=True))
+
+    return (cells.select("user_id", "cx", "cy", "x0", "x1", "y0", "y1").repartition("user_id").sortWithinPartitions("user_id")
+            .mapInPandas(groups, "user_id bigint, cx bigint, cy bigint, grp bigint, narrow boolean"))
 
 
 def place_groups(events: DataFrame, radius_km: float) -> DataFrame:
@@ -513,8 +669,9 @@ def home_work_clusters_raw(pings: DataFrame, radius_km: float = HOME_WORK_RADIUS
     dname = F.date_format(F.date_from_unix_date("d"), "EEEE").alias("dname")
     own = _with_cells(placed_events(pings), radius_km).select("*", dname)
     counted = ~F.col("dname").isin(list(excluded_days))
-    hours = [F.count_if(counted & F.col("hr").isin(list(h))).cast("int").alias(n)
-             for n, h in (("home", home_hours), ("work", work_hours), ("transit", transit_hours))]
+    own = own.select("*", *[(counted & F.col("hr").isin(list(h))).cast("int").alias(n) for n, h in (
+        ("home", home_hours), ("work", work_hours), ("transit", transit_hours))]).drop("dname", "hr")
+    hours = [F.sum(n).cast("int").alias(n) for n in ("home", "work", "transit")]
     cells = own.groupBy("user_id", "cx", "cy").agg(
         *_box(), F.count(F.lit(1)).alias("visit_freq"), F.sum("xi").alias("sx"), F.sum("yi").alias("sy"), *hours,
         F.min(F.struct("t_us", "event_id")).alias("first"))
@@ -527,11 +684,10 @@ def home_work_clusters_raw(pings: DataFrame, radius_km: float = HOME_WORK_RADIUS
         *[F.sum(c).cast("int").alias(c) for c in ("home", "work", "transit")], F.min("first").alias("first"))
     whole = whole.select("user_id", "grp", F.lit(1).alias("nth"), "visit_freq", "sx", "sy", "home", "work", "transit",
                          F.col("first.t_us").alias("first_us"), F.col("first.event_id").alias("first_id"))
-    fold = _home_work_fold(radius_km, tuple(home_hours), tuple(work_hours), tuple(transit_hours),
-                           tuple(excluded_days))
-    wide = own.join(named.where("NOT narrow").drop("narrow"), ["user_id", "cx", "cy"]).drop("cx", "cy")
+    wide = own.join(named.where("NOT narrow").drop("narrow"), ["user_id", "cx", "cy"]).select(
+        *[F.col(c).cast("bigint").alias(c) for c in ("user_id", "grp", "t_us", "event_id", "xi", "yi")], "home", "work", "transit")
     stream = wide.repartition("user_id", "grp").sortWithinPartitions("user_id", "grp", "t_us", "event_id")
-    clusters = stream.mapInPandas(fold, _HOME_WORK).union(whole)
+    clusters = stream.mapInArrow(_home_work_fold(radius_km), _HOME_WORK).union(whole)
     order = Window.partitionBy("user_id").orderBy("first_us", "first_id")   # a row per cluster of the user
     return clusters.select("user_id", F.row_number().over(order).alias("clust_id"), "visit_freq",
                            (F.col("sx") / F.lit(UNIT)).alias("sx"), (F.col("sy") / F.lit(UNIT)).alias("sy"),

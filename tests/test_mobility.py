@@ -343,3 +343,50 @@ def test_in_fold_stays_and_trips_equal_window_steps(spark, seed):
     win = sorted(tuple(r) for r in MB.trips(MB.cluster_stay_time(cl)).collect())
     fold = sorted(tuple(r) for r in MB.trips_from_pings(p, split_hot=False).collect())
     assert len(fold) > 50 and fold == win
+
+
+@pytest.mark.parametrize("users,each", [(60, 50), (1, 3000)])
+def test_home_work_fold_steps_over_arrays(monkeypatch, users, each):
+    """Many short histories, and a long one over several batches: the plain fold's clusters, without a distance call per event."""
+    import pyarrow as pa
+    from fieldkit.operators import clustering as CL
+    calls = []
+    monkeypatch.setattr(CL, "distance_km", lambda *a: calls.append(1) or distance_km(*a))
+    rnd = random.Random(users)
+    rows = [(u, t, t, round(33.7e8 + rnd.randrange(10) * 4e5), round(-14e8 + rnd.randrange(10) * 4e5), t % 3)
+            for u in range(users) for t in range(each)]
+    cols = [pa.array([r[k] for r in rows], pa.int64()) for k in range(5)]
+    flags = [pa.array([int(r[5] == k) for r in rows], pa.int32()) for k in range(3)]
+    batch = pa.RecordBatch.from_arrays(
+        [cols[0], pa.array([0] * len(rows), pa.int64()), *cols[1:], *flags],
+        names=["user_id", "grp", "t_us", "event_id", "xi", "yi", "home", "work", "transit"])
+    cuts = [batch.slice(k, 1510) for k in range(0, len(rows), 1510)]
+    got = [r for b in CL._home_work_fold(2.0)(iter(cuts)) for r in b.to_pylist()]
+    half_up = lambda v: math.floor(v * 1e6 + 0.5) / 1e6
+    for u in range(users):
+        mine = [r for r in got if r["user_id"] == u]
+        assert [r["nth"] for r in mine] == list(range(1, len(mine) + 1))
+        assert [(r["visit_freq"], half_up(r["sx"] / 1e8 / r["visit_freq"]), half_up(r["sy"] / 1e8 / r["visit_freq"])) for r in mine] \
+            == py_home_work_fold([(t, i, x / 1e8, y / 1e8) for (w, t, i, x, y, _) in rows if w == u])
+        assert sum(r["home"] + r["work"] + r["transit"] for r in mine) == each
+        assert all((r["first_us"], r["first_id"]) in {(t, i) for (w, t, i, *_) in rows if w == u} for r in mine)
+    assert len(calls) < len(rows) / 4
+
+
+def test_cell_groups_take_many_users_at_once(spark, monkeypatch):
+    """One call per batch for the width of places, not one per user; a user over two batches is one."""
+    from fieldkit.operators import clustering as CL
+    rows = [(u, T(8 + k), (10.0 + u % 7 + 0.15 * k, 20.0)) for u in range(40) for k in range(3)]
+    cells = CL._with_cells(CL.placed_events(pings(spark, rows)), 2.0).groupBy("user_id", "cx", "cy").agg(*CL._box())
+    frames = []
+    monkeypatch.setattr(CL, "_widest_km", lambda *a, f=CL._widest_km: frames.append(len(a[0])) or f(*a))
+
+    class Caught:
+        def __getattr__(self, name):
+            return lambda *a, **k: a[0] if name == "mapInPandas" else self
+    run = CL._cell_groups(Caught(), 2.0)
+    pdf = cells.toPandas().sort_values("user_id", ignore_index=True)
+    out = [f for k in (50, 64) for f in run(iter([pdf.iloc[:k], pdf.iloc[k:]]))]
+    assert len(frames) <= 6 and sum(len(f) for f in out) == 2 * len(pdf)
+    both = [f[["user_id", "grp"]].drop_duplicates().groupby("user_id").size().sum() for f in out]
+    assert sum(both) == 2 * 40   # neighbouring cells, one group per user
