@@ -30,6 +30,7 @@ CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 BLOCK = 8 << 20         # bytes of text whose words are looked up together, about
+PLACED = 1 << 18        # words of it whose ids are put in place together, about
 
 
 # ASCII punctuation that is split off letters: all but the apostrophe, which may begin a contraction
@@ -67,10 +68,10 @@ class Ids:
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number per word) of words one by one."""
         ids, sizes = [np.zeros(0, np.uint32)], []
-        for k in range(0, len(words), 20_000):
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(words[k:k + 20_000], add_special_tokens=False)]
+        for k in range(0, len(words), 4_000):   # an encoding holds far more than its ids
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(words[k:k + 4_000], add_special_tokens=False)]
             sizes += map(len, found)
-            ids += [np.array(i, np.uint32) for i in found]
+            ids.append(np.array([i for own in found for i in own], np.uint32))
         return np.concatenate(ids), np.array(sizes, np.int64)
 
     def _encode_letters(self, words: list[str], tokenizer) -> tuple[np.ndarray, np.ndarray]:
@@ -124,17 +125,25 @@ class Ids:
         of_entry = sizes[entry]
         return gather(flat, (np.cumsum(sizes) - sizes)[entry.ravel()], of_entry.ravel()), of_entry.sum(axis=1)
 
-    def of_block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, where each text's begin, and their end) of an array of strings without nulls."""
+    def of_block(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids, where each text's begin, and their end) of an array of strings without nulls, some texts at a time: a
+        word is 4 bytes until then, and several times that where its ids are put in place."""
         texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
         lists = pc.ascii_split_whitespace(texts)
+        del texts
         words = lists.values.slice(lists.offsets[0].as_py(), lists.offsets[-1].as_py() - lists.offsets[0].as_py())
+        begin = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         numbered = words.dictionary_encode()
+        del lists, words
         ids, sizes = self._word_ids(numbered.dictionary)   # the empty word, at the ends of a text, has none
-        at = numbered.indices.to_numpy()
-        of_word = sizes[at]
-        upto = np.concatenate([[0], np.cumsum(of_word)])
-        return gather(ids, (np.cumsum(sizes) - sizes)[at], of_word), upto[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        starts, word = np.cumsum(sizes) - sizes, numbered.indices.to_numpy()
+        del numbered
+        cuts = np.flatnonzero(np.diff(begin[:-1] // PLACED)) + 1
+        for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), begin.size - 1], strict=True):
+            at = word[begin[a]:begin[z]]
+            of_word = sizes[at]
+            upto = np.concatenate([[0], np.cumsum(of_word)])
+            yield gather(ids, starts[at], of_word), upto[begin[a:z + 1] - begin[a]]
 
     def of(self, texts: list[bytes] | pa.Array) -> Iterator[bytes]:
         """The ids of each text as unsigned 32-bit integers, little-endian."""
@@ -143,9 +152,9 @@ class Ids:
         block = (np.cumsum(size) - size) // self.limit   # some bytes more where a text is longer
         for rows in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(block)) + 1):
             if rows.size:
-                ids, at = self.of_block(texts.slice(rows[0], rows.size).cast(pa.string()))
-                raw = ids.astype("<u4", copy=False).tobytes()
-                yield from (raw[4 * a:4 * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
+                for ids, at in self.of_block(texts.slice(rows[0], rows.size).cast(pa.string())):
+                    raw = ids.astype("<u4", copy=False).tobytes()
+                    yield from (raw[4 * a:4 * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
 
 
 def tokenizer_path(path: str | None) -> str:

@@ -2,6 +2,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fieldkit.llm import components, html_text, line_dedup, lm, mixing, packing, quality, secrets, simhash
@@ -179,6 +180,19 @@ def test_words_and_punctuation_tokenise_like_the_text():
     assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_ids_are_put_in_place_some_texts_at_a_time(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    texts = [" ".join(f"word{k * n % 97}, it's" for n in range(k % 30)) for k in range(120)] + ["", "a " * 500, ""]
+    monkeypatch.setattr(packing, "PLACED", 64)
+    parts = list(packing.Ids(path).of_block(pa.array(texts)))
+    assert len(parts) > 20 and max(len(ids) for ids, at in parts) < 1500   # the longest text and some others
+    got = [ids[a:z].tolist() for ids, at in parts for a, z in zip(at[:-1], at[1:], strict=True)]
+    assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_packing_odd_rows(odd, none):
     got = packing.pack(odd)
     assert got.where("doc_id = 0").count() == 3
